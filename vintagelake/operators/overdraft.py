@@ -49,9 +49,11 @@ def closed_month_events(events: DataFrame, successor_map: DataFrame, run_date: _
     e = e.withColumns({
         "year": F.year("proc_date"), "month": F.month("proc_date"),
         "exposure": F.col("auth_balance") + F.col("auth_amount"),
+        # the source order leaves same-day ties arbitrary; the event id completes it
         "last_limit": first_value(F.when(approved, F.col("auth_limit")), part,
-                                  [F.when(approved, 0).otherwise(1).asc(), F.col("proc_date").desc()]),
-        "last_spid": last_value_full(F.col("spid"), part, [F.col("proc_date").asc()]),
+                                  [F.when(approved, 0).otherwise(1).asc(), F.col("proc_date").desc(),
+                                   F.col("event_id").desc()]),
+        "last_spid": last_value_full(F.col("spid"), part, [F.col("proc_date").asc(), F.col("event_id").asc()]),
     })
     return e
 
