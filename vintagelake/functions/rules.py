@@ -40,6 +40,9 @@ class RuleTable:
     otherwise: Any = None
     output_type: str = "string"
     inputs: tuple = field(default_factory=tuple)
+    # > 0: render consecutive rules sharing their first ``nest_prefix`` tests
+    # as one guarded sub-CASE (smaller generated code, same first match)
+    nest_prefix: int = 0
 
     def column(self, **inputs: Column | str) -> Column:
         return to_column(self, inputs)
@@ -84,7 +87,50 @@ def _resolve(inputs: Mapping[str, Column | str], name: str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _conj(tests, inputs) -> Column | None:
+    cond = None
+    for name, op, *rest in tests:
+        t = _test_column(_resolve(inputs, name), op, rest[0] if rest else None)
+        cond = t if cond is None else (cond & t)
+    return cond
+
+
+def _nested_column(table: RuleTable, inputs: Mapping[str, Column | str]) -> Column:
+    """First match as ``coalesce`` over guarded groups.
+
+    Flat first-match equals the first non-NULL group result because every
+    rule value is non-NULL: a group whose guard holds but whose sub-rules all
+    fail yields NULL and evaluation falls through to the next group, exactly
+    like the flat CASE.
+    """
+    k = table.nest_prefix
+    if any(r.value is None for r in table.rules):
+        raise ValueError("nested rendering needs non-NULL rule values")
+    groups: list[tuple[tuple, list]] = []
+    for rule in table.rules:
+        head, tail = rule.tests[:k], rule.tests[k:]
+        if groups and groups[-1][0] == head:
+            groups[-1][1].append((tail, rule.value))
+        else:
+            groups.append((head, [(tail, rule.value)]))
+    parts = []
+    for head, subs in groups:
+        inner = None
+        for tail, value in subs:
+            cond = _conj(tail, inputs)
+            if cond is None:
+                cond = F.lit(True)
+            inner = F.when(cond, _lit(value)) if inner is None else inner.when(cond, _lit(value))
+        guard = _conj(head, inputs)
+        parts.append(inner if guard is None else F.when(guard, inner))
+    if table.otherwise is not None:
+        parts.append(_lit(table.otherwise))
+    return F.coalesce(*parts).cast(table.output_type)
+
+
 def to_column(table: RuleTable, inputs: Mapping[str, Column | str]) -> Column:
+    if table.nest_prefix:
+        return _nested_column(table, inputs)
     expr = None
     for rule in table.rules:
         cond = None

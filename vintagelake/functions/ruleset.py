@@ -127,7 +127,7 @@ RISK_EFFECTIVE = RuleTable("risk_effective", tuple(
     + _risk_block(110, (("period", ">=", 202204),), _CUTS_NEW, ">", 661)
     + _risk_block(210, (("period", ">=", 202204),), _CUTS_NEW, ">", 661)
     + _risk_block(200, (("period", ">=", 202402),), (("<=", 451), ("<=", 531), ("<=", 637), ("<=", 714)), ">", 783)
-), None, "string", ("product", "period", "score"))
+), None, "string", ("product", "period", "score"), nest_prefix=2)
 
 # ---------------------------------------------------------------------------
 # R8 rate tier (decimal membership; 80.00 sits in T4 and T5 -> T4 wins)
@@ -363,7 +363,7 @@ def _score_tree_rules():
 
 
 SCORE_TREE_NODE = RuleTable("score_tree_node", _score_tree_rules(), None, "int",
-                            ("period", "product", "brand", "mob", "score"))
+                            ("period", "product", "brand", "mob", "score"), nest_prefix=3)
 
 # R18 node -> MOB label
 NODE_LABEL = RuleTable("node_label", (

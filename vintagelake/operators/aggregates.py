@@ -73,6 +73,23 @@ def txn_monthly(ledger: DataFrame, since: _dt.date | None = None, count_positive
                  conditional_sum(amt, fg).alias("forgiveness_amount"), cnt(fg).alias("forgiveness_count")))
 
 
+def code_sets_monthly(ledger: DataFrame, successor_map: DataFrame, start: _dt.date, end: _dt.date,
+                      write_off=R.WRITE_OFF_CODES, forgiveness=R.FORGIVENESS_CODES) -> DataFrame:
+    """K7 two-set form of the dispositions fact: write-off and forgiveness
+    amount and row count (``COUNT(CASE ... ELSE 0 END)``: zero amounts count)
+    per resolved (``zero`` mode) account-month of the window -- one scan of
+    the ledger for both code sets, aggregated to the join key."""
+    led = ledger.where(F.col("txn_date").between(F.lit(start), F.lit(end))
+                       & _in("code", tuple(write_off) + tuple(forgiveness)))
+    led = resolve_key(led.select("account_id", "txn_date", "code", "amount"), successor_map, mode="zero")
+    code, amt = F.col("code"), F.col("amount")
+    wo, fg = _in(code, write_off), _in(code, forgiveness)
+    return (led.groupBy("account_id", F.year("txn_date").alias("year"), F.month("txn_date").alias("month"))
+            .agg(conditional_sum(amt, wo).alias("write_off_amount"), F.count(F.when(wo, 1)).alias("write_off_rows"),
+                 conditional_sum(amt, fg).alias("forgiveness_amount"),
+                 F.count(F.when(fg, 1)).alias("forgiveness_rows")))
+
+
 def signed_amount(code: Column, amount: Column, product: Column, plan: Column) -> Column:
     """A4 / K9 signed cash-advance amount: reversals negative, debits positive;
     store-family codes only through the listed plans."""

@@ -94,15 +94,23 @@ class Dim:
     on: dict
     columns: Sequence[str] = field(default_factory=tuple)
     defaults: dict = field(default_factory=dict)
+    unique: bool = False   # True when df is already one row per key (e.g. aggregated on it)
 
 
 def star_join(base: DataFrame, dims: Sequence[Dim]) -> DataFrame:
-    """Chained LEFT joins; each dimension is reduced to one row per
-    key (DISTINCT on key + payload) so the base row count cannot grow."""
+    """Chained LEFT joins; each dimension not already unique on its
+    key is reduced by DISTINCT on key + payload, so the base row count cannot
+    grow unless a key carries two different payloads (``assert_unique``).
+
+    Order the dimensions by join key: consecutive joins on the same keys
+    reuse one shuffle of the base.
+    """
     out = base
     for i, d in enumerate(dims):
         pref = f"__d{i}_"
-        right = d.df.select(*[F.col(v).alias(pref + v) for v in d.on.values()], *d.columns).distinct()
+        right = d.df.select(*[F.col(v).alias(pref + v) for v in d.on.values()], *d.columns)
+        if not d.unique:
+            right = right.distinct()
         cond = None
         for bk, dk in d.on.items():
             c = out[bk] == right[pref + dk]

@@ -49,4 +49,4 @@ HISTORY_START = _dt.date(1995, 1, 1)
 OVERDRAFT_RUN_DATE = _dt.date(2001, 2, 15)  # closes January 2001
 
 # Import the query modules so their @register decorators run.
-from vintagelake.plans import queries_aggs, queries_core, queries_rules  # noqa: E402,F401
+from vintagelake.plans import queries_aggs, queries_core, queries_marts, queries_rules  # noqa: E402,F401

@@ -243,6 +243,34 @@ def macro_segments(spark: SparkSession, sf_dir: str, generation: str) -> DataFra
                     F.col("o_orderkey").alias("ref_id"))
 
 
+STATUS_SEGMENT = (("F", "GOLD"), ("O", "SILVER"))     # else 'BRONZE'
+
+
+def client_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Client segment rows per account-month (several per month possible)."""
+    o = read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderstatus", "o_orderdate"])
+    return o.select(F.col("o_custkey").alias("account_id"), F.year("o_orderdate").cast("int").alias("year"),
+                    F.month("o_orderdate").cast("int").alias("month"),
+                    _case(F.col("o_orderstatus"), STATUS_SEGMENT, "BRONZE").alias("segment_client"))
+
+
+def rfm_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recency/frequency label per account-month (one row per key)."""
+    o = read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderdate"])
+    g = o.groupBy(F.col("o_custkey").alias("account_id"), F.year("o_orderdate").cast("int").alias("year"),
+                  F.month("o_orderdate").cast("int").alias("month")).agg(F.count(F.lit(1)).alias("_n"))
+    return g.select("account_id", "year", "month",
+                    F.when(F.col("_n") >= 2, F.lit("FREQUENT")).otherwise(F.lit("OCCASIONAL")).alias("rfm"))
+
+
+def inferred_income(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inferred income observations (account, follow-up date, income)."""
+    o = read_table(spark, sf_dir, "orders", ["o_custkey", "o_totalprice", "o_orderdate"])
+    return o.select(F.col("o_custkey").alias("account_id"), F.col("o_orderdate").cast("date").alias("follow_date"),
+                    (F.col("o_totalprice").cast("decimal(18,2)") * F.lit(0.1).cast("decimal(2,1)"))
+                    .cast("decimal(18,3)").alias("income"))
+
+
 # ---------------------------------------------------------------------------
 # The same derivations as SQL CTEs for the DuckDB oracle
 # ---------------------------------------------------------------------------
@@ -355,6 +383,20 @@ SQL = {
       SELECT o_custkey AS account_id, CAST(o_orderdate AS DATE) AS segment_date,
              CAST((o_orderkey % 7) * 33 AS INTEGER) AS segment_official, o_orderkey AS ref_id
       FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'""",
+    "client_segments": f"""
+      SELECT o_custkey AS account_id, CAST(year(o_orderdate) AS INTEGER) AS year,
+             CAST(month(o_orderdate) AS INTEGER) AS month,
+             {_sql_case('o_orderstatus', STATUS_SEGMENT, "'BRONZE'")} AS segment_client
+      FROM orders""",
+    "rfm_segments": """
+      SELECT o_custkey AS account_id, CAST(year(o_orderdate) AS INTEGER) AS year,
+             CAST(month(o_orderdate) AS INTEGER) AS month,
+             CASE WHEN count(*) >= 2 THEN 'FREQUENT' ELSE 'OCCASIONAL' END AS rfm
+      FROM orders GROUP BY 1, 2, 3""",
+    "inferred_income": """
+      SELECT o_custkey AS account_id, CAST(o_orderdate AS DATE) AS follow_date,
+             CAST(CAST(o_totalprice AS DECIMAL(18,2)) * CAST(0.1 AS DECIMAL(2,1)) AS DECIMAL(18,3)) AS income
+      FROM orders""",
 }
 
 SQL_DEPS = {"clients": ("accounts",), "snapshots": ("accounts",), "ledger": ("accounts",),
