@@ -125,6 +125,55 @@ def signed_monthly_base(ledger: DataFrame, successor_map: DataFrame, accounts: D
     return g.withColumn("channel", R.CHANNEL.column(plan="plan"))
 
 
+def ledger_monthly_facts(ledger: DataFrame, successor_map: DataFrame, start: _dt.date, end: _dt.date,
+                         write_off=R.WRITE_OFF_CODES, forgiveness=R.FORGIVENESS_CODES) -> DataFrame:
+    """One resolved scan of the ledger window feeding both the cash-advance
+    base (K9) and the write-off / forgiveness sets (K7): conditional
+    aggregates per (account, product, month, plan).  ``cash_advance_base`` and
+    ``code_sets_from_facts`` derive from it, so the largest table is read and
+    shuffled once (the two consumers share the aggregate's exchange)."""
+    code, product, plan = F.col("code"), F.col("product"), F.col("plan")
+    base_rows = (_in(code, R.LEDGER_FILTER_CODES) & _in(product, R.LEDGER_FILTER_FAMILIES)
+                 & _in(plan, R.LEDGER_FILTER_PLANS))
+    sets = _in(code, tuple(write_off) + tuple(forgiveness))
+    led = ledger.where(F.col("txn_date").between(F.lit(start), F.lit(end)) & (base_rows | sets))
+    led = resolve_key(led.select("account_id", "product", "txn_date", "code", "amount", "plan"),
+                      successor_map, mode="zero")
+    amt = F.col("amount")
+    in_base = (_in(code, R.LEDGER_FILTER_CODES) & _in(product, R.LEDGER_FILTER_FAMILIES)
+               & _in(plan, R.LEDGER_FILTER_PLANS))
+    wo, fg = _in(code, write_off), _in(code, forgiveness)
+    qual = R.QUALIFYING_TXN.column(code="code", product="product", plan="plan")
+    return (led.groupBy("account_id", "product", F.year("txn_date").alias("year"), F.month("txn_date").alias("month"),
+                        "plan")
+            .agg(F.count(F.when(in_base, 1)).alias("base_rows"),
+                 F.sum(F.when(in_base, qual)).cast("long").alias("n_txn"),
+                 F.sum(F.when(in_base, signed_amount(code, amt, product, plan))).alias("amount"),
+                 conditional_sum(amt, wo).alias("write_off_amount"), F.count(F.when(wo, 1)).alias("write_off_rows"),
+                 conditional_sum(amt, fg).alias("forgiveness_amount"),
+                 F.count(F.when(fg, 1)).alias("forgiveness_rows")))
+
+
+def cash_advance_base(facts: DataFrame, accounts: DataFrame) -> DataFrame:
+    """K9 from ``ledger_monthly_facts`` (same rows as ``signed_monthly_base``)."""
+    g = facts.where(F.col("base_rows") > 0).select(
+        "account_id", "product", F.col("year").alias("origin_year"), F.col("month").alias("origin_month"), "plan",
+        "n_txn", "amount")
+    acc = accounts.select(F.col("account_id").alias("a_id"), "open_date")
+    g = g.join(acc, g.account_id == acc.a_id, "left").drop("a_id")
+    return g.withColumn("channel", R.CHANNEL.column(plan="plan"))
+
+
+def code_sets_from_facts(facts: DataFrame) -> DataFrame:
+    """K7 two-set form from ``ledger_monthly_facts`` (same rows as
+    ``code_sets_monthly``): rolled up from (product, plan) to the account-month."""
+    g = facts.where((F.col("write_off_rows") + F.col("forgiveness_rows")) > 0)
+    return g.groupBy("account_id", "year", "month").agg(
+        F.sum("write_off_amount").alias("write_off_amount"), F.sum("write_off_rows").alias("write_off_rows"),
+        F.sum("forgiveness_amount").alias("forgiveness_amount"),
+        F.sum("forgiveness_rows").alias("forgiveness_rows"))
+
+
 def net_monthly_base(ledger: DataFrame, successor_map: DataFrame, start: _dt.date, end: _dt.date) -> DataFrame:
     """Netted cash-advance base.
 

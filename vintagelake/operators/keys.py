@@ -33,7 +33,24 @@ def resolved_key(own: Column, successor: Column, mode: str) -> Column:
 
 def resolve_key(df: DataFrame, successor_map: DataFrame, key: str = "account_id", mode: str = "zero",
                 out: str | None = None, map_key: str = "account_id", map_successor: str = "successor_id") -> DataFrame:
-    """Replace (or add as ``out``) ``key`` by its resolved current id."""
+    """Replace (or add as ``out``) ``key`` by its resolved current id.
+
+    ``inverse`` mode only consults the map for rows whose own id is 0/NULL:
+    those rows are split off (a selective, pushed-down filter) and joined,
+    the rest pass through untouched -- the big side is never shuffled for a
+    lookup that cannot change it.
+    """
+    if mode == "inverse":
+        own = F.col(key)
+        needs = own.isNull() | (own == 0)
+        keep = df.where(~needs) if out is None else df.where(~needs).withColumn(out, own)
+        fix = _resolve_join(df.where(needs), successor_map, key, mode, out, map_key, map_successor)
+        return keep.unionByName(fix)
+    return _resolve_join(df, successor_map, key, mode, out, map_key, map_successor)
+
+
+def _resolve_join(df: DataFrame, successor_map: DataFrame, key: str, mode: str, out: str | None,
+                  map_key: str, map_successor: str) -> DataFrame:
     m = successor_map.select(F.col(map_key).alias("__old"), F.col(map_successor).alias("__succ"))
     j = df.join(m, df[key] == m["__old"], "left")
     target = out or key

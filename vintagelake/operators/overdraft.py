@@ -18,7 +18,7 @@ from __future__ import annotations
 import datetime as _dt
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintagelake.functions import ruleset as R
@@ -77,14 +77,28 @@ def approvals_declines(ev: DataFrame) -> DataFrame:
 
 def auto_overdrafts(ev: DataFrame) -> DataFrame:
     """Approved automatic overdraft rows per account-month with the excess
-    (max exposure - last approved limit), section mix and counts."""
+    (max exposure - last approved limit), section mix and counts.
+
+    One pass over the events: the per-decision aggregate also counts the
+    section codes; the account-month totals (section mix, approvals,
+    declines) are window sums over those few aggregated rows, instead of two
+    more scans and joins of the event table.  ``last_spid``/``last_limit``
+    are constant within an account-month, so the decision rows of one
+    account-month form the window partition.
+    """
+    d = F.col("decision")
     g = (ev.groupBy("track_id", "year", "month", "last_spid", "last_limit", "decision")
          .agg(F.max("exposure").alias("max_exposure"), F.sum("auth_amount").alias("amount_total"),
-              F.count(F.lit(1)).alias("n_events")))
-    g = g.withColumn("excess", F.col("max_exposure") - F.col("last_limit"))
-    k = ["track_id", "year", "month"]
-    g = g.join(section_mix(ev), k, "left").join(approvals_declines(ev).drop("n_accounts"), k, "left").distinct()
-    return g.where(F.col("decision") == "1")
+              F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("section") == 0).alias("_n0"),
+              F.count_if(F.col("section").isin(1, 2, 3)).alias("_n123")))
+    w = Window.partitionBy("track_id", "year", "month")
+    g = g.withColumns({
+        "excess": F.col("max_exposure") - F.col("last_limit"),
+        "section_mix": R.SECTION_MIX.column(n_zero=F.sum("_n0").over(w), n_main=F.sum("_n123").over(w)),
+        "n_approved": F.sum(F.when(d == "1", F.col("n_events")).otherwise(0)).over(w),
+        "n_declined": F.sum(F.when(d == "2", F.col("n_events")).otherwise(0)).over(w),
+    }).drop("_n0", "_n123")
+    return g.where(d == "1")
 
 
 def merge_manual(auto: DataFrame, manual_monthly: DataFrame) -> DataFrame:

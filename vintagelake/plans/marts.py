@@ -34,6 +34,7 @@ from vintagelake.operators import aggregates as G
 from vintagelake.operators import enrich, keys, overdraft, panel, windows
 from vintagelake.operators.enrich import Dim
 from vintagelake.sources import analogues as A
+from vintagelake.session import stage
 from vintagelake.sources import sinks
 
 AM = ["account_id", "year", "month"]
@@ -128,9 +129,17 @@ def enriched_snapshot(inp: Inputs, run_date: _dt.date) -> DataFrame:
 # ---------------------------------------------------------------------------
 # E1 dispositions
 # ---------------------------------------------------------------------------
-def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _dt.date) -> DataFrame:
-    """Cash-advance vintage fact for the window [start, end]."""
-    base = G.signed_monthly_base(inp.ledger, inp.successor_map, inp.accounts, start, end)
+def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _dt.date,
+                      facts: DataFrame | None = None) -> DataFrame:
+    """Cash-advance vintage fact for the window [start, end].
+
+    ``facts`` (``ledger_monthly_facts``) feeds both the cash-advance base and
+    the write-off/forgiveness dimension; it is staged (checkpointed) so the
+    ledger -- the largest input -- is scanned and shuffled once.
+    """
+    if facts is None:
+        facts = stage(G.ledger_monthly_facts(inp.ledger, inp.successor_map, start, end))
+    base = G.cash_advance_base(facts, inp.accounts)
     snap = keys.resolve_key(
         inp.snapshots.where(F.col("year").between(start.year, end.year)
                             & P.yyyymm("year", "month").between(start.year * 100 + start.month,
@@ -181,7 +190,7 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
     ind = keys.resolve_key(inp.indicators.where(months), inp.successor_map, mode="zero")
     pivot = G.indicator_pivot(ind, with_total=False).select(
         *AM, "int_fin", "int_mor", F.col("int_msi_any").alias("int_msi"))
-    codes = G.code_sets_monthly(inp.ledger, inp.successor_map, start, end)
+    codes = G.code_sets_from_facts(facts)
     fees = G.commissions(inp.indicators)
     seg = enrich.segment_history(inp.macro_old, inp.macro_new).select(*AM, "segment_official")
     demo = windows.latest(inp.clients, ["account_id"], [F.col("client_open_date").asc_nulls_last()],
@@ -237,11 +246,12 @@ DISPOSITIONS_COLUMNS = [
 
 def dispositions_stages(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _dt.date) -> dict[str, DataFrame]:
     """The staged tables of E1, named as in the control totals."""
-    fact = dispositions_mart(inp, start, end, load_date)
+    facts = stage(G.ledger_monthly_facts(inp.ledger, inp.successor_map, start, end))
+    fact = dispositions_mart(inp, start, end, load_date, facts)
     return {
         "TMP_1_CARD_COUNTS": G.card_counts(inp.cards),
         "TMP_2_UNIFIED_CLIENT": G.unified_customer(inp.cards),
-        "TMP_3_BASE": G.signed_monthly_base(inp.ledger, inp.successor_map, inp.accounts, start, end),
+        "TMP_3_BASE": G.cash_advance_base(facts, inp.accounts),
         "TMP_6_FACT": fact,
     }
 

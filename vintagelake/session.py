@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     "spark.ui.enabled": "false",
+    # remove checkpoint files of staged DataFrames once they are unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -65,3 +67,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def stage(df):
+    """Materialise a DataFrame consumed by several branches of one plan
+    (S3 staged tables): a reliable, eager ``checkpoint`` into the shared
+    ``spark.checkpoint.dir``.  Survives executor loss (unlike a local
+    checkpoint) and cuts the lineage so the source is scanned once."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
