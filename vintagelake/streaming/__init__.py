@@ -1 +1,7 @@
-"""streaming"""
+"""Streaming: intentionally empty.
+
+The source workload is batch-only (closed-month reprocessing); it has no
+streams, watermarks, event-time windows or stateful operators, so none are
+provided here.  Month closes are handled by the idempotent window rewrite
+in :mod:`vintagelake.sources.sinks`.
+"""
