@@ -129,6 +129,67 @@ RISK_EFFECTIVE = RuleTable("risk_effective", tuple(
     + _risk_block(200, (("period", ">=", 202402),), (("<=", 451), ("<=", 531), ("<=", 637), ("<=", 714)), ">", 783)
 ), None, "string", ("product", "period", "score"), nest_prefix=2)
 
+# Overdraft form: the period is the ORIGIN month, except the family-100
+# 202202..202601 block whose lower bound tests the OBSERVATION month (levels
+# 2-5); families 200/210 use reversed numbering in nested ladders whose ELSE
+# is ''; anything else reads '0.NO CALIFICADO'.
+_LOW_NUM = ("5.VERY HIGH", "4.HIGH", "3.MEDIUM", "2.LOW", "1.VERY LOW")
+
+
+def _reversed_block(guard: tuple, cuts: tuple, top_op: str, top: float) -> list:
+    rules = [Rule(guard + (("score", "=", 0),), "0.NO CALIFICADO"),
+             Rule(guard + (("score", "is_null"),), "0.NO CALIFICADO")]
+    rules += [Rule(guard + (("score", op, v),), lbl) for (op, v), lbl in zip(cuts, _LOW_NUM)]
+    rules.append(Rule(guard + (("score", top_op, top),), _LOW_NUM[4]))
+    rules.append(Rule(guard, ""))          # the nested CASE's ELSE: no fall-through
+    return rules
+
+
+_OLD_STORE_CUTS = (("<", 452), ("<", 532), ("<", 638), ("<", 715))
+RISK_OVERDRAFT = RuleTable("risk_overdraft", tuple(
+    [Rule((("product", "in", (100, 110, 200, 210)), ("score", "<=", 0)), "0.NO CALIFICADO")]
+    + [Rule((("product", "=", 100), ("score", op, v), ("origin", "<=", 202201)), lbl) for (op, v), lbl in
+       zip((("<=", 405), ("<=", 426), ("<=", 450), ("<=", 467), (">=", 468)), _LEVELS)]
+    + [Rule((("product", "=", 110), ("score", op, v), ("origin", "<=", 202203)), lbl) for (op, v), lbl in
+       zip((("<=", 856), ("<=", 894), ("<=", 929), ("<=", 952), (">=", 953)), _LEVELS)]
+    + [Rule((("product", "=", 100), ("score", "<=", 455), ("origin", ">=", 202202), ("origin", "<", 202602)),
+            _LEVELS[0])]
+    + [Rule((("product", "=", 100), ("score", op, v), ("obs", ">=", 202202), ("origin", "<", 202602)), lbl)
+       for (op, v), lbl in zip((("<=", 525), ("<=", 603), ("<=", 661), (">", 661)), _LEVELS[1:])]
+    + [Rule((("product", "=", 110), ("score", op, v), ("origin", ">=", 202204)), lbl) for (op, v), lbl in
+       zip((("<=", 455), ("<=", 525), ("<=", 603), ("<=", 661), (">", 661)), _LEVELS)]
+    + [Rule((("product", "=", 100), ("score", op, v), ("origin", ">=", 202602)), lbl) for (op, v), lbl in
+       zip((("<", 438), ("<", 519), ("<", 567), ("<", 654), (">=", 654)), _LEVELS)]
+    + _reversed_block((("product", "=", 210), ("origin", "<=", 202308)), _OLD_STORE_CUTS, ">=", 715)
+    + _reversed_block((("product", "=", 210), ("origin", ">=", 202309)),
+                      (("<=", 455), ("<=", 525), ("<=", 603), ("<=", 661)), ">=", 662)
+    + _reversed_block((("product", "=", 200),), _OLD_STORE_CUTS, ">=", 715)
+), "0.NO CALIFICADO", "string", ("product", "origin", "obs", "score"))
+
+# Older nested form (dates as periods): only score = 0 is unclassified, no
+# fall-through between the product/period blocks, no ELSE (NULL).
+_LEGACY_ZERO = "0.No calificado"
+
+
+def _legacy_block(guard: tuple, cuts: tuple, top_op: str, top: float) -> list:
+    rules = [Rule(guard + (("score", "=", 0),), _LEGACY_ZERO)]
+    rules += [Rule(guard + (("score", op, v),), lbl) for (op, v), lbl in zip(cuts, _LEVELS)]
+    rules.append(Rule(guard + (("score", top_op, top),), _LEVELS[4]))
+    return rules
+
+
+RISK_LEGACY = RuleTable("risk_legacy", tuple(
+    _legacy_block((("product", "=", 100), ("period", "<=", 202201)),
+                  (("<=", 405), ("<=", 426), ("<=", 450), ("<=", 467)), ">=", 468)
+    + _legacy_block((("product", "=", 100), ("period", ">=", 202202)), _CUTS_NEW, ">", 661)
+    + _legacy_block((("product", "=", 110), ("period", "<=", 202203)),
+                    (("<=", 856), ("<=", 894), ("<=", 929), ("<=", 952)), ">=", 953)
+    + _legacy_block((("product", "=", 110), ("period", ">=", 202204)), _CUTS_NEW, ">", 661)
+    + _legacy_block((("product", "=", 210), ("period", ">=", 202204)), _CUTS_NEW, ">", 661)
+    + _legacy_block((("product", "=", 200), ("period", ">=", 202402)),
+                    (("<=", 451), ("<=", 531), ("<=", 637), ("<=", 714)), ">", 783)
+), None, "string", ("product", "period", "score"))
+
 # ---------------------------------------------------------------------------
 # R8 rate tier (decimal membership; 80.00 sits in T4 and T5 -> T4 wins)
 # ---------------------------------------------------------------------------
@@ -178,6 +239,24 @@ RATE_TIER_SINGLE = RuleTable("rate_tier_single", tuple(
 MOB_BAND = ladder("mob_band", "mob", [
     ("<=", 6, "A.0M-6M"), ("<=", 12, "B.7M-12M"), ("<=", 24, "C.13M-24M"), ("<=", 36, "D.25M-36M"),
     ("<=", 48, "E.37M-48M"), ("<=", 60, "F.49M-60M"), (">=", 61, "G.61M+")], otherwise="0.- NO CLASIFICADO")
+# Overdraft variants: NULL falls to the last band; numbered labels.
+MOB_BAND_OVERDRAFT = ladder("mob_band_overdraft", "mob", [
+    ("<=", 6, "A.0M-6M"), ("<=", 12, "B.7M-12M"), ("<=", 24, "C.13M-24M"), ("<=", 36, "D.25M-36M"),
+    ("<=", 48, "E.37M-48M"), ("<=", 60, "F.49M-60M")], otherwise="G.61M+")
+MOB_BAND_NUMBERED = ladder("mob_band_numbered", "mob", [
+    ("<=", 6, "1. 0-6 Meses"), ("<=", 12, "2. 7-12 Meses"), ("<=", 24, "3. 13-24 Meses"),
+    ("<=", 36, "4. 25-36 Meses"), ("<=", 48, "5. 37-48 Meses"), ("<=", 60, "6. 49-60 Meses")],
+    otherwise="7. 61+ Meses")
+AGE_BAND_OVERDRAFT = RuleTable("age_band_overdraft", (
+    Rule.of("<21", ("age", "<", 21)),
+    Rule.of("21-24", ("age", ">=", 21), ("age", "<=", 24)),
+    Rule.of("25-29", ("age", ">=", 25), ("age", "<=", 29)),
+    Rule.of("30-37", ("age", ">", 29), ("age", "<=", 37)),
+    Rule.of("38-44", ("age", ">", 37), ("age", "<=", 44)),
+    Rule.of("45-59", ("age", ">", 44), ("age", "<=", 59)),
+    Rule.of("60 +", ("age", ">=", 60))), None, "string", ("age",))
+FLAG_30_TEXT = lookup("flag_30_text", "level", [((3, 4, 5, 6, 7, 8, 9), "1")], otherwise="0")
+FLAG_90_TEXT = lookup("flag_90_text", "level", [((5, 6, 7, 8, 9), "1")], otherwise="0")
 AGE_BAND_COHORT = RuleTable("age_band_cohort", (
     Rule.of("18-20", ("age", ">=", 18), ("age", "<=", 20)),
     Rule.of("21-24", ("age", ">", 20), ("age", "<=", 24)),

@@ -86,6 +86,16 @@ def demographics(clients: DataFrame, run_date) -> DataFrame:
                     (F.year(F.lit(run_date)) - F.year("birth_date")).alias("age"))
 
 
+def attach_application(base: DataFrame, apps: DataFrame, org: int, logo: int, since) -> DataFrame:
+    """Application status of the account.  The source can hold several
+    applications per account; joining it raw would multiply the base rows,
+    so it is reduced to the latest application per account first."""
+    a = apps.where((F.col("org") == org) & (F.col("logo") == logo) & (F.col("app_date") >= F.lit(since)))
+    a = latest(a, ["account_id"], [F.col("app_date").desc()], [F.col("app_id").desc()]).select(
+        F.col("account_id").alias("__app_id"), "app_status", "app_status_desc")
+    return base.join(a, base.account_id == a.__app_id, "left").drop("__app_id")
+
+
 @dataclass
 class Dim:
     """One star-join dimension: ``df`` joined on ``on`` (base col -> dim col)."""

@@ -60,6 +60,7 @@ class Inputs:
     income: DataFrame
     auth_events: DataFrame
     manual_auths: DataFrame
+    applications: DataFrame
 
     @staticmethod
     def load(spark: SparkSession, sf_dir: str) -> "Inputs":
@@ -69,7 +70,8 @@ class Inputs:
                       A.clients(acc), A.stores(spark, sf_dir), A.zone_history(spark, sf_dir),
                       A.macro_segments(spark, sf_dir, "old"), A.macro_segments(spark, sf_dir, "new"),
                       A.client_segments(spark, sf_dir), A.rfm_segments(spark, sf_dir), A.inferred_income(spark, sf_dir),
-                      A.auth_events(spark, sf_dir), A.manual_auths(spark, sf_dir))
+                      A.auth_events(spark, sf_dir), A.manual_auths(spark, sf_dir),
+                      A.applications(spark, sf_dir, acc))
 
 
 def digital_ids(cards: DataFrame) -> DataFrame:
@@ -273,7 +275,8 @@ def run_dispositions(spark: SparkSession, inp: Inputs, run_date: _dt.date, histo
 # ---------------------------------------------------------------------------
 # E2 overdraft
 # ---------------------------------------------------------------------------
-def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = ()) -> DataFrame:
+def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = (),
+                   web_stores: Sequence[str] = ()) -> DataFrame:
     """Overdraft episodes of the closed month x the account's snapshots
     from that month on, with overdraft-form labels."""
     ep = overdraft.overdraft_episodes(inp.auth_events, inp.manual_auths, inp.snapshots, inp.successor_map,
@@ -306,8 +309,39 @@ def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = ()
         "level_3": R.TREE_LEVEL_3.column(product="product", score="score"),
         "node_id": R.TREE_NODE_ID.column(product="product", mob="mob_origin", score="score"),
     })
-    z = enrich.zone_normalise(inp.zone_history).select(F.col("store_id").alias("z_store"), "zone", "zone_id")
-    p = p.join(z, p.store_id == z.z_store, "left").drop("z_store")
+    p = p.withColumns({
+        "mob": P.month_offset(F.year("open_date"), F.month("open_date"), F.col("year"), F.col("month")),
+        "risk_level": R.RISK_OVERDRAFT.column(product="product", origin=P.yyyymm("origin_year", "origin_month"),
+                                              obs="obs_yyyymm", score="score"),
+        "flag_30": R.FLAG_30_TEXT.column(level="level"),
+        "flag_90": R.FLAG_90_TEXT.column(level="level"),
+    })
+    p = p.withColumns({"mob_band": R.MOB_BAND_OVERDRAFT.column(mob="mob"),
+                       "mob_band_numbered": R.MOB_BAND_NUMBERED.column(mob="mob_origin")})
+    ym = {"account_id": "account_id", "year": "year", "month": "month"}
+    acc_on = {"account_id": "account_id"}
+    demo = windows.latest(inp.clients, ["account_id"], [F.col("client_open_date").asc_nulls_last()],
+                          [F.col("logo").asc()]).select("account_id", "birth_date", "gender_code")
+    dims = [
+        Dim(G.indicator_pivot(inp.indicators, with_total=False), ym, ["int_fin", "int_mor", "int_msi"],
+            {"int_fin": 0, "int_mor": 0, "int_msi": 0}, unique=True),
+        Dim(G.txn_monthly(inp.ledger), ym, ["write_off_amount", "write_off_count", "forgiveness_amount",
+                                            "forgiveness_count"],
+            {"write_off_amount": 0, "write_off_count": 0, "forgiveness_amount": 0, "forgiveness_count": 0},
+            unique=True),
+        Dim(G.online_months(inp.ledger, web_stores).withColumn("web_flag", F.lit(1)), ym, ["web_flag"],
+            {"web_flag": 0}, unique=True),
+        Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit("1")), acc_on, ["digital_flag"],
+            {"digital_flag": "0"}, unique=True),
+        Dim(demo, acc_on, ["birth_date", "gender_code"], unique=True),
+        Dim(enrich.zone_normalise(inp.zone_history), {"store_id": "store_id"}, ["zone", "zone_id"], unique=True),
+    ]
+    p = enrich.star_join(p, dims)
+    p = p.withColumns({
+        "gender": R.GENDER_FROM_CODE.column(gen="gender_code"),
+        "age_band": R.AGE_BAND_OVERDRAFT.column(age=F.col("origin_year") - F.year("birth_date")),
+        "int_total": F.col("int_fin") + F.col("int_mor"),
+    })
     return p.select(*OVERDRAFT_COLUMNS)
 
 
@@ -316,7 +350,9 @@ OVERDRAFT_COLUMNS = [
     "total_approved", "section", "year", "month", "obs_yyyymm", "vintage_offset", "horizon", "product", "balance",
     "credit_limit", "util_ratio", "util_band", "limit_band", "balance_band", "level", "delinquency", "cd2",
     "cd2_plus", "mob_cd2", "mob_origin", "level_2", "level_3", "node_id", "pay_max", "statement", "rate_tier",
-    "vintage_text", "has_balance", "zone", "zone_id",
+    "vintage_text", "has_balance", "zone", "zone_id", "mob", "risk_level", "flag_30", "flag_90", "mob_band",
+    "mob_band_numbered", "int_fin", "int_mor", "int_total", "int_msi", "write_off_amount", "write_off_count",
+    "forgiveness_amount", "forgiveness_count", "web_flag", "digital_flag", "gender", "age_band",
 ]
 
 
@@ -324,15 +360,18 @@ OVERDRAFT_COLUMNS = [
 # E3 cohort
 # ---------------------------------------------------------------------------
 def cohort_mart(inp: Inputs, product: int, brand: int, since: _dt.date, stores: Sequence[str] | None,
-                run_date: _dt.date) -> DataFrame:
-    """Cohort of new accounts x monthly snapshots from the opening month
-    (state 'T' and NULL states dropped), cohort-variant labels."""
+                run_date: _dt.date, with_applications: bool = False) -> DataFrame:
+    """Cohort of new accounts x monthly snapshots of the same brand from
+    the opening month (state 'T' and NULL states dropped), cohort-variant
+    labels.  The second cohort also carries the application status (K26) and
+    the load date."""
     coh = panel.cohort(inp.accounts, inp.clients, product, brand, since, stores)
     coh = coh.select("account_id", F.col("open_year").alias("origin_year"), F.col("open_month").alias("origin_month"),
                      F.col("store_id").alias("open_store"), "sex", "birth_date",
                      P.calendar_years(F.lit(run_date), F.col("birth_date")).alias("age"))
     since_yyyymm = since.year * 100 + since.month
-    snap = panel.prepare_snapshot(inp.snapshots, since_yyyymm, R.AMOUNT_BAND_COHORT, R.AMOUNT_BAND_COHORT)
+    snap = panel.prepare_snapshot(inp.snapshots.where(F.col("brand") == brand), since_yyyymm,
+                                  R.AMOUNT_BAND_COHORT, R.AMOUNT_BAND_COHORT)
     p = panel.vintage_panel(coh, snap.where(~F.col("state").isin("T")))
     pivot = G.indicator_pivot(inp.indicators, since_yyyymm=since_yyyymm, with_total=False)
     txn = G.txn_monthly(inp.ledger, since=_dt.date(since.year, since.month, 1))
@@ -364,6 +403,9 @@ def cohort_mart(inp: Inputs, product: int, brand: int, since: _dt.date, stores:
         "age_band": R.AGE_BAND_COHORT.column(age="age"),
         "rate_tier": R.RATE_TIER_COHORT.column(product="product", rate="rate"),
     })
+    if with_applications:
+        e = enrich.attach_application(e, inp.applications, 100, brand, since).withColumn("load_date", F.lit(run_date))
+        return e.select(*COHORT_COLUMNS, "app_status", "app_status_desc", "load_date")
     return e.select(*COHORT_COLUMNS)
 
 
@@ -375,3 +417,94 @@ COHORT_COLUMNS = [
     "int_fin", "int_mor", "int_total", "int_msi", "write_off_amount", "write_off_count", "write_off_date",
     "forgiveness_amount", "forgiveness_count",
 ]
+
+
+# ---------------------------------------------------------------------------
+# E1' dispositions, netted variant
+# ---------------------------------------------------------------------------
+def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _dt.date) -> DataFrame:
+    """E1 variant over the netted cash-advance base (K10): one statement,
+    older risk ladder, raw zone names, and the initial state of each vintage
+    (first observation of the account's origin month, W10/W11).
+
+    The netted base repeats an account-month's totals once per store; the
+    fact carries no store, so those identical rows are removed *before* the
+    panel expansion (the source removes them at the end by grouping on every
+    column -- same rows, far less data through the join).
+    """
+    net = G.net_monthly_base(inp.ledger, inp.successor_map, start, end)
+    base = (net.drop("store_id").distinct()
+            .withColumnsRenamed({"year": "origin_year", "month": "origin_month"}))
+    acc = inp.accounts.select(F.col("account_id").alias("a_id"), "open_date")
+    base = base.join(acc, base.account_id == acc.a_id, "left").drop("a_id")
+    base = base.withColumn("channel", R.CHANNEL.column(plan="plan"))
+    months = P.yyyymm("year", "month").between(start.year * 100 + start.month, end.year * 100 + end.month)
+    snap = keys.resolve_key(
+        inp.snapshots.where(F.col("year").between(start.year, end.year) & months).select(
+            "account_id", "year", "month", "brand", "state", "store_id", "balance", "credit_limit", "level",
+            "score", "stmt_flag", "totalero_flag"),
+        inp.successor_map, mode="null").distinct()
+    p = panel.vintage_panel(base, snap)
+    is110 = F.col("product").isin(110)
+    p = p.where((is110 & ~F.col("state").isin("T")) | ~is110)
+    bal, lim = F.col("balance"), F.col("credit_limit")
+    p = p.withColumns({
+        "obs_yyyymm": P.yyyymm("year", "month"),
+        "origin_yyyymm": P.yyyymm("origin_year", "origin_month"),
+        "mob_origin": P.month_offset(F.year("open_date"), F.month("open_date"), F.col("origin_year"),
+                                     F.col("origin_month")),
+        "util_ratio": panel.utilisation_nonpositive(bal, lim),
+    })
+    p = p.withColumns({
+        "util_band": R.UTILISATION_BAND.column(ratio="util_ratio"),
+        "balance_band": R.AMOUNT_BAND.column(product="product", amount=bal),
+        "delinquency": R.DELINQUENCY_LABEL.column(level="level"),
+        "flag_30": R.FLAG_30.column(level="level"),
+        "flag_90": R.FLAG_90.column(level="level"),
+        "risk_level": R.RISK_LEGACY.column(product="product", period="obs_yyyymm", score="score"),
+        "node": R.SCORE_TREE_NODE.column(period="obs_yyyymm", product="product", brand="brand",
+                                         mob="mob_origin", score="score"),
+        "paper_channel": R.STATEMENT_CHANNEL_SHORT.column(flag="stmt_flag"),
+    })
+    p = p.withColumn("node_label", R.NODE_LABEL.column(product="product", period="obs_yyyymm", node="node"))
+    seg = enrich.segment_history(inp.macro_old, inp.macro_new).select(*AM, "segment_official")
+    zraw = windows.latest(inp.zone_history, ["store_id"], [F.col("year").desc(), F.col("month").desc()]).select(
+        "store_id", F.col("zone_desc").alias("zone_name"))
+    dims = [
+        Dim(seg, {"account_id": "account_id", "year": "year", "month": "month"}, ["segment_official"], unique=True),
+        Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit("1")), {"account_id": "account_id"},
+            ["digital_flag"], {"digital_flag": "0"}, unique=True),
+        Dim(inp.stores, {"store_id": "store_id"}, ["zone_code"]),
+        Dim(zraw, {"store_id": "store_id"}, ["zone_name"], unique=True),
+    ]
+    e = enrich.star_join(p, dims)
+    zone_in = F.when(F.col("product").isin(100, 110), F.col("zone_code")).otherwise(F.col("zone_name"))
+    e = e.withColumns({
+        "macro_segment": enrich.macro_segment_label(F.col("segment_official")),
+        "zone_label": R.ZONE_LABEL_FACT.column(product="product", zone=zone_in, store="store_id"),
+        "load_date": F.lit(load_date),
+    })
+    # initial state of the vintage: the first observation month; ties (two
+    # old ids resolved onto one account) are broken by the values themselves
+    keys_ = ["account_id", "origin_year", "origin_month"]
+    order = [F.col("year").asc(), F.col("month").asc(), F.col("product").asc_nulls_first(),
+             F.col("plan").asc_nulls_first(), F.col("code").asc_nulls_first(), F.col("score").asc_nulls_first(),
+             F.col("level").asc_nulls_first(), F.col("state").asc_nulls_first(), F.col("brand").asc_nulls_first(),
+             F.col("totalero_flag").asc_nulls_first()]
+    e = e.withColumns({
+        "initial_risk": windows.first_value(F.col("risk_level"), keys_, order),
+        "initial_brand": windows.first_value(F.col("brand"), keys_, order),
+        "initial_state": windows.first_value(F.col("state"), keys_, order),
+        "initial_totalero_flag": windows.first_value(F.col("totalero_flag"), keys_, order),
+        "initial_macro_segment": windows.first_value(F.col("macro_segment"), keys_, order),
+    })
+    return e.select(*NET_COLUMNS)
+
+
+NET_COLUMNS = [
+    "account_id", "product", "plan", "code", "origin_year", "origin_month", "origin_yyyymm", "channel", "amount",
+    "n_txn", "open_date", "year", "month", "obs_yyyymm", "vintage_offset", "mob_origin", "state", "balance",
+    "credit_limit", "util_ratio", "util_band", "balance_band", "level", "delinquency", "flag_30", "flag_90", "score",
+    "risk_level", "node", "node_label", "paper_channel", "zone_label", "macro_segment", "digital_flag",
+    "initial_risk", "initial_brand", "initial_state", "initial_totalero_flag", "initial_macro_segment", "load_date",
+]

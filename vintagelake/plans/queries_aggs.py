@@ -11,7 +11,7 @@ from vintagelake.functions import ruleset as R
 from vintagelake.functions.rules import sql_literal
 from vintagelake.operators import aggregates as G
 from vintagelake.operators import enrich, overdraft, panel, windows
-from vintagelake.plans.catalog import HISTORY_START, OVERDRAFT_RUN_DATE, RUN_DATE_HISTORY, register
+from vintagelake.plans.registry import HISTORY_START, OVERDRAFT_RUN_DATE, RUN_DATE_HISTORY, register
 from vintagelake.sources import analogues as A
 
 WINDOW_START, WINDOW_END = P.period_window(RUN_DATE_HISTORY, True, HISTORY_START)
@@ -172,7 +172,7 @@ def net_monthly_base(spark, sf_dir):
 
 _NET_CODES = R.NET_BASE_CODES + R.NET_BASE_REVERSALS
 # The oracle keeps the many-to-many self-join of the original formulation.
-register("net_monthly_base", A.sql_with("accounts", "ledger", "successor_map", extra={
+NET_BASE_CTES = {
     "b": f"""SELECT COALESCE(m.successor_id, l.account_id) AS track, l.product, year(l.txn_date) AS y,
                     month(l.txn_date) AS mo, l.plan, l.code, l.store_id,
                     CASE WHEN l.code IN {_sql_in(R.NET_BASE_REVERSALS)} THEN -l.amount
@@ -188,7 +188,8 @@ register("net_monthly_base", A.sql_with("accounts", "ledger", "successor_map", e
               FROM cta a JOIN media b ON a.track = b.track AND a.y = b.y AND a.mo = b.mo GROUP BY ALL""",
     "pick": """SELECT track, y, mo, plan, code FROM (
                  SELECT *, row_number() OVER (PARTITION BY track, y, mo ORDER BY plan, code, product) AS rn
-                 FROM (SELECT DISTINCT track, y, mo, product, plan, code FROM b)) WHERE rn = 1"""}) + """
+                 FROM (SELECT DISTINCT track, y, mo, product, plan, code FROM b)) WHERE rn = 1"""}
+register("net_monthly_base", A.sql_with("accounts", "ledger", "successor_map", extra=NET_BASE_CTES) + """
 SELECT agg.track AS account_id, CAST(agg.product AS BIGINT) AS product, CAST(pick.plan AS BIGINT) AS plan,
        CAST(pick.code AS BIGINT) AS code, CAST(agg.y AS BIGINT) AS year, CAST(agg.mo AS BIGINT) AS month,
        agg.store_id, CAST(agg.monto AS DOUBLE) AS amount, CAST(agg.trn AS BIGINT) AS n_txn

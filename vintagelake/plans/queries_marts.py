@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from vintagelake.functions import ruleset as R
 from vintagelake.operators import aggregates as G
 from vintagelake.plans import marts as M
-from vintagelake.plans.catalog import OVERDRAFT_RUN_DATE, RUN_DATE_HISTORY, register
+from vintagelake.plans.registry import OVERDRAFT_RUN_DATE, RUN_DATE_HISTORY, register
 from vintagelake.plans.queries_aggs import (COHORT_BRAND, COHORT_CTE, COHORT_PRODUCT, COHORT_SINCE, COHORT_STORES,
-                                            EXCLUDED_ACCOUNTS, OD_CTES, OD_CLOSING_CTES, SIGNED_BASE_CTES,
+                                            EXCLUDED_ACCOUNTS, NET_BASE_CTES, OD_CTES, OD_CLOSING_CTES, SIGNED_BASE_CTES,
+                                            WEB_STORES,
                                             WINDOW_END, WINDOW_START, _d, _sql_in)
 from vintagelake.plans.queries_rules import _ZONE_CLEAN_SQL
 from vintagelake.session import checkpoint_dir
@@ -238,12 +239,26 @@ FROM j
 # E2 overdraft mart
 # ---------------------------------------------------------------------------
 def overdraft_mart(spark, sf_dir):
-    return M.overdraft_mart(M.Inputs.load(spark, sf_dir), OVERDRAFT_RUN_DATE, EXCLUDED_ACCOUNTS)
+    return M.overdraft_mart(M.Inputs.load(spark, sf_dir), OVERDRAFT_RUN_DATE, EXCLUDED_ACCOUNTS, WEB_STORES)
 
 
 register("overdraft_mart", A.sql_with(
-    "auth_events", "manual_auths", "successor_map", "accounts", "snapshots", "zone_history", extra={
-        **OD_CTES, **OD_CLOSING_CTES, "zn": _ZONE_CLEAN_SQL,
+    "auth_events", "manual_auths", "successor_map", "accounts", "snapshots", "zone_history", "indicators", "ledger",
+    "cards", "clients", extra={
+        **OD_CTES, **OD_CLOSING_CTES, **{k: _DIM_CTES[k] for k in ("zn", "dig", "cli1")},
+        "pv": """SELECT account_id, year, month,
+                        sum(CASE WHEN indicator = 'INTERESES_FIN' THEN amount ELSE 0 END) AS int_fin,
+                        sum(CASE WHEN indicator = 'INTERESES_MOR' THEN amount ELSE 0 END) AS int_mor,
+                        sum(CASE WHEN indicator LIKE 'MSI%' THEN amount ELSE 0 END) AS int_msi
+                 FROM indicators GROUP BY account_id, year, month""",
+        "tx": f"""SELECT account_id, year(txn_date) AS year, month(txn_date) AS month,
+                         sum(CASE WHEN code IN {_WO} THEN amount ELSE 0 END) AS write_off_amount,
+                         count(CASE WHEN code IN {_WO} AND amount > 0 THEN 1 END) AS write_off_count,
+                         sum(CASE WHEN code IN {_FG} THEN amount ELSE 0 END) AS forgiveness_amount,
+                         count(CASE WHEN code IN {_FG} AND amount > 0 THEN 1 END) AS forgiveness_count
+                  FROM ledger GROUP BY ALL""",
+        "web": f"""SELECT DISTINCT account_id, year(txn_date) AS year, month(txn_date) AS month FROM ledger
+                   WHERE store_id IN {_sql_in(WEB_STORES)}""",
         "epd": """SELECT DISTINCT account_id, origin_year, origin_month, origin_class, overdraft_amount, total_amount,
                          total_approved, section FROM ep""",
         "sz": f"""SELECT CASE WHEN m.successor_id IS NULL OR m.successor_id = 0 THEN s.account_id ELSE m.successor_id END
@@ -254,13 +269,23 @@ register("overdraft_mart", A.sql_with(
                   FROM snapshots s LEFT JOIN successor_map m ON m.account_id = s.account_id
                   WHERE s.state NOT IN ('T')""",
         "op": """SELECT e.*, s.year, s.month, s.product, s.store_id, s.balance, s.credit_limit, s.rate, s.level, s.score,
-                        s.stmt_flag, s.pay_history, s.util_ratio,
+                        s.stmt_flag, s.pay_history, s.util_ratio, a.open_date,
+                        (s.year - year(a.open_date)) * 12 + (s.month - month(a.open_date)) AS mob,
                         (s.year - e.origin_year) * 12 + (s.month - e.origin_month) AS vintage_offset,
                         (e.origin_year - year(a.open_date)) * 12 + (e.origin_month - month(a.open_date)) AS mob_origin
                  FROM epd e JOIN sz s ON s.account_id = e.account_id
                  LEFT JOIN accounts a ON a.account_id = e.account_id
-                 WHERE (s.year - e.origin_year) * 12 + (s.month - e.origin_month) >= 0"""}) + f"""
-SELECT op.account_id, CAST(origin_year AS BIGINT) AS origin_year, CAST(origin_month AS BIGINT) AS origin_month,
+                 WHERE (s.year - e.origin_year) * 12 + (s.month - e.origin_month) >= 0""",
+        "opj": """SELECT op.*, zn.zone, zn.zone_id, pv.int_fin, pv.int_mor, pv.int_msi, tx.write_off_amount,
+                         tx.write_off_count, tx.forgiveness_amount, tx.forgiveness_count, web.account_id AS web_id,
+                         dig.account_id AS dig_id, cli1.gender_code, cli1.birth_date
+                  FROM op LEFT JOIN zn ON zn.store_id = op.store_id
+                  LEFT JOIN pv ON pv.account_id = op.account_id AND pv.year = op.year AND pv.month = op.month
+                  LEFT JOIN tx ON tx.account_id = op.account_id AND tx.year = op.year AND tx.month = op.month
+                  LEFT JOIN web ON web.account_id = op.account_id AND web.year = op.year AND web.month = op.month
+                  LEFT JOIN dig ON dig.account_id = op.account_id
+                  LEFT JOIN cli1 ON cli1.account_id = op.account_id"""}) + f"""
+SELECT account_id, CAST(origin_year AS BIGINT) AS origin_year, CAST(origin_month AS BIGINT) AS origin_month,
        CAST(origin_class AS BIGINT) AS origin_class, CAST(overdraft_amount AS DOUBLE) AS overdraft_amount,
        CAST(total_amount AS DOUBLE) AS total_amount, CAST(total_approved AS BIGINT) AS total_approved,
        CAST(section AS BIGINT) AS section, CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month,
@@ -286,8 +311,24 @@ SELECT op.account_id, CAST(origin_year AS BIGINT) AS origin_year, CAST(origin_mo
        {R.RATE_TIER.sql(product='product', rate='rate')} AS rate_tier,
        CASE WHEN origin_year < 2009 OR origin_year IS NULL THEN '<2009'
             ELSE CAST(origin_year AS VARCHAR) || right('0' || CAST(origin_month AS VARCHAR), 2) END AS vintage_text,
-       CASE WHEN balance > 0 THEN '0' ELSE '1' END AS has_balance, zn.zone, zn.zone_id
-FROM op LEFT JOIN zn ON zn.store_id = op.store_id
+       CASE WHEN balance > 0 THEN '0' ELSE '1' END AS has_balance, zone, zone_id,
+       CAST(mob AS BIGINT) AS mob,
+       {R.RISK_OVERDRAFT.sql(product='product', origin='(origin_year * 100 + origin_month)',
+                             obs='(year * 100 + month)', score='score')} AS risk_level,
+       {R.FLAG_30_TEXT.sql(level='level')} AS flag_30, {R.FLAG_90_TEXT.sql(level='level')} AS flag_90,
+       {R.MOB_BAND_OVERDRAFT.sql(mob='mob')} AS mob_band, {R.MOB_BAND_NUMBERED.sql(mob='mob_origin')} AS mob_band_numbered,
+       CAST(COALESCE(int_fin, 0) AS DOUBLE) AS int_fin, CAST(COALESCE(int_mor, 0) AS DOUBLE) AS int_mor,
+       CAST(COALESCE(int_fin, 0) + COALESCE(int_mor, 0) AS DOUBLE) AS int_total,
+       CAST(COALESCE(int_msi, 0) AS DOUBLE) AS int_msi,
+       CAST(COALESCE(write_off_amount, 0) AS DOUBLE) AS write_off_amount,
+       CAST(COALESCE(write_off_count, 0) AS BIGINT) AS write_off_count,
+       CAST(COALESCE(forgiveness_amount, 0) AS DOUBLE) AS forgiveness_amount,
+       CAST(COALESCE(forgiveness_count, 0) AS BIGINT) AS forgiveness_count,
+       CAST(CASE WHEN web_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS web_flag,
+       CASE WHEN dig_id IS NULL THEN '0' ELSE '1' END AS digital_flag,
+       {R.GENDER_FROM_CODE.sql(gen='gender_code')} AS gender,
+       {R.AGE_BAND_OVERDRAFT.sql(age='(origin_year - year(birth_date))')} AS age_band
+FROM opj
 """)(overdraft_mart)
 
 
@@ -299,21 +340,35 @@ def cohort_mart(spark, sf_dir):
                          RUN_DATE_HISTORY)
 
 
-_SINCE_YM = COHORT_SINCE.year * 100 + COHORT_SINCE.month
-register("cohort_mart", A.sql_with(
-    "accounts", "clients", "snapshots", "ledger", "cards", "indicators", "stores", "client_segments",
-    "rfm_segments", "inferred_income", extra={
-        **COHORT_CTE, **{k: _DIM_CTES[k] for k in ("dig", "csg", "inc")},
+def _cohort_mart_sql(product: int, brand: int, since: _dt.date, stores, with_apps: bool) -> str:
+    since_ym = since.year * 100 + since.month
+    store_filter = f"AND a.store_id IN {_sql_in(stores)}" if stores else ""
+    apps = {"app": f"""SELECT account_id, app_status, app_status_desc FROM (
+                         SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY app_date DESC, app_id DESC) AS rn
+                         FROM applications WHERE org = 100 AND logo = {brand} AND app_date >= {_d(since)})
+                       WHERE rn = 1"""} if with_apps else {}
+    extra_cols = (f", app.app_status, app.app_status_desc, {_d(RUN_DATE_HISTORY)} AS load_date" if with_apps else "")
+    extra_join = "LEFT JOIN app ON app.account_id = cp.account_id" if with_apps else ""
+    names = ["accounts", "clients", "snapshots", "ledger", "cards", "indicators", "stores", "client_segments",
+             "rfm_segments", "inferred_income"] + (["applications"] if with_apps else [])
+    return A.sql_with(*names, extra={
+        "coh": f"""SELECT a.account_id, a.product, a.brand, a.open_date, a.store_id, year(a.open_date) AS open_year,
+                          month(a.open_date) AS open_month, c.sex, c.birth_date
+                   FROM accounts a LEFT JOIN clients c
+                     ON a.account_id = c.account_id AND a.brand = c.logo AND a.open_date = c.client_open_date
+                   WHERE a.brand = {brand} AND a.product = {product} AND a.open_date >= {_d(since)} {store_filter}""",
+        **{k: _DIM_CTES[k] for k in ("dig", "csg", "inc")}, **apps,
         "sc": f"""SELECT *, year * 100 + month AS obs_yyyymm, credit_limit - balance AS headroom,
                          CASE WHEN credit_limit IS NULL OR credit_limit = 0 THEN -1.0
                               ELSE CAST(balance AS DOUBLE) / CAST(credit_limit AS DOUBLE) END AS util_ratio
                   FROM snapshots
-                  WHERE year >= {COHORT_SINCE.year} AND year * 100 + month >= {_SINCE_YM} AND state NOT IN ('T')""",
+                  WHERE brand = {brand} AND year >= {since.year} AND year * 100 + month >= {since_ym}
+                    AND state NOT IN ('T')""",
         "pv": f"""SELECT account_id, year, month,
                          sum(CASE WHEN indicator = 'INTERESES_FIN' THEN amount ELSE 0 END) AS int_fin,
                          sum(CASE WHEN indicator = 'INTERESES_MOR' THEN amount ELSE 0 END) AS int_mor,
                          sum(CASE WHEN indicator LIKE 'MSI%' THEN amount ELSE 0 END) AS int_msi
-                  FROM indicators WHERE year >= {COHORT_SINCE.year} AND year * 100 + month >= {_SINCE_YM}
+                  FROM indicators WHERE year >= {since.year} AND year * 100 + month >= {since_ym}
                   GROUP BY account_id, year, month""",
         "tx": f"""SELECT account_id, year(txn_date) AS year, month(txn_date) AS month,
                          sum(CASE WHEN code IN {_WO} THEN amount ELSE 0 END) AS write_off_amount,
@@ -321,9 +376,9 @@ register("cohort_mart", A.sql_with(
                          max(CASE WHEN code IN {_WO} THEN txn_date END) AS write_off_date,
                          sum(CASE WHEN code IN {_FG} THEN amount ELSE 0 END) AS forgiveness_amount,
                          count(CASE WHEN code IN {_FG} AND amount > 0 THEN 1 END) AS forgiveness_count
-                  FROM ledger WHERE txn_date >= {_d(_dt.date(COHORT_SINCE.year, COHORT_SINCE.month, 1))} GROUP BY ALL""",
+                  FROM ledger WHERE txn_date >= {_d(_dt.date(since.year, since.month, 1))} GROUP BY ALL""",
         "cp": f"""SELECT c.account_id, c.open_year AS origin_year, c.open_month AS origin_month, c.store_id AS open_store,
-                         c.sex, {RUN_DATE_HISTORY.year} - year(c.birth_date) AS age, s.*  EXCLUDE (account_id),
+                         c.sex, {RUN_DATE_HISTORY.year} - year(c.birth_date) AS age, s.* EXCLUDE (account_id),
                          (s.year - c.open_year) * 12 + (s.month - c.open_month) AS vintage_offset
                   FROM coh c JOIN sc s ON s.account_id = c.account_id
                   WHERE (s.year - c.open_year) * 12 + (s.month - c.open_month) >= 0"""}) + f"""
@@ -351,7 +406,7 @@ SELECT cp.account_id, CAST(origin_year AS BIGINT) AS origin_year, CAST(origin_mo
        CAST(COALESCE(tx.write_off_amount, 0) AS DOUBLE) AS write_off_amount,
        CAST(COALESCE(tx.write_off_count, 0) AS BIGINT) AS write_off_count, tx.write_off_date,
        CAST(COALESCE(tx.forgiveness_amount, 0) AS DOUBLE) AS forgiveness_amount,
-       CAST(COALESCE(tx.forgiveness_count, 0) AS BIGINT) AS forgiveness_count
+       CAST(COALESCE(tx.forgiveness_count, 0) AS BIGINT) AS forgiveness_count{extra_cols}
 FROM cp
 LEFT JOIN pv ON pv.account_id = cp.account_id AND pv.year = cp.year AND pv.month = cp.month
 LEFT JOIN tx ON tx.account_id = cp.account_id AND tx.year = cp.year AND tx.month = cp.month
@@ -360,7 +415,46 @@ LEFT JOIN rfm_segments r ON r.account_id = cp.account_id AND r.year = cp.year AN
 LEFT JOIN inc ON inc.account_id = cp.account_id AND inc.year = cp.year AND inc.month = cp.month
 LEFT JOIN dig ON dig.account_id = cp.account_id
 LEFT JOIN stores st ON st.store_id = cp.open_store
-""")(cohort_mart)
+{extra_join}
+"""
+
+
+register("cohort_mart", _cohort_mart_sql(COHORT_PRODUCT, COHORT_BRAND, COHORT_SINCE, COHORT_STORES, False))(
+    cohort_mart)
+
+# Second cohort: another product/brand, no store list, with application status and load date.
+COHORT2_PRODUCT, COHORT2_BRAND, COHORT2_SINCE = 100, 120, _dt.date(1995, 2, 1)
+
+
+def cohort_mart_applications(spark, sf_dir):
+    return M.cohort_mart(M.Inputs.load(spark, sf_dir), COHORT2_PRODUCT, COHORT2_BRAND, COHORT2_SINCE, None,
+                         RUN_DATE_HISTORY, with_applications=True)
+
+
+register("cohort_mart_applications",
+         _cohort_mart_sql(COHORT2_PRODUCT, COHORT2_BRAND, COHORT2_SINCE, None, True))(cohort_mart_applications)
+
+
+def application_status(spark, sf_dir):
+    """K26 on its own: the cohort's accounts with their latest application."""
+    from vintagelake.operators import enrich, panel
+    acc = A.accounts(spark, sf_dir)
+    c = panel.cohort(acc, A.clients(acc), COHORT2_PRODUCT, COHORT2_BRAND, COHORT2_SINCE).select(
+        "account_id", "open_date", "open_yyyymm")
+    return enrich.attach_application(c, A.applications(spark, sf_dir, acc), 100, COHORT2_BRAND, COHORT2_SINCE)
+
+
+register("application_status", A.sql_with("accounts", "clients", "applications", extra={
+    "app": f"""SELECT account_id, app_status, app_status_desc FROM (
+                 SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY app_date DESC, app_id DESC) AS rn
+                 FROM applications WHERE org = 100 AND logo = {COHORT2_BRAND} AND app_date >= {_d(COHORT2_SINCE)})
+               WHERE rn = 1"""}) + f"""
+SELECT a.account_id, a.open_date, CAST(year(a.open_date) * 100 + month(a.open_date) AS BIGINT) AS open_yyyymm,
+       app.app_status, app.app_status_desc
+FROM accounts a LEFT JOIN clients c ON a.account_id = c.account_id AND a.brand = c.logo AND a.open_date = c.client_open_date
+LEFT JOIN app ON app.account_id = a.account_id
+WHERE a.brand = {COHORT2_BRAND} AND a.product = {COHORT2_PRODUCT} AND a.open_date >= {_d(COHORT2_SINCE)}
+""")(application_status)
 
 
 # ---------------------------------------------------------------------------
@@ -416,3 +510,77 @@ SELECT CAST(year * 100 + month AS BIGINT) AS obs_yyyymm, CAST(count(*) AS BIGINT
 FROM snapshots WHERE year * 100 + month <> {REWRITE_DROPPED_MONTH}
 GROUP BY year * 100 + month
 """)(window_rewrite)
+
+
+# ---------------------------------------------------------------------------
+# E1' dispositions, netted variant
+# ---------------------------------------------------------------------------
+def dispositions_net_mart(spark, sf_dir):
+    return M.dispositions_net_mart(M.Inputs.load(spark, sf_dir), WINDOW_START, WINDOW_END, LOAD_DATE)
+
+
+_NET_ORDER = ("year, month, product NULLS FIRST, plan NULLS FIRST, code NULLS FIRST, score NULLS FIRST, "
+              "level NULLS FIRST, state NULLS FIRST, brand NULLS FIRST, totalero_flag NULLS FIRST")
+register("dispositions_net_mart", A.sql_with(
+    "accounts", "ledger", "successor_map", "snapshots", "cards", "stores", "zone_history", "macro_old", "macro_new",
+    extra={
+        **NET_BASE_CTES, **{k: _DIM_CTES[k] for k in ("dig", "msg")},
+        "nb": f"""SELECT DISTINCT agg.track AS account_id, agg.product, pick.plan, pick.code, agg.y AS origin_year,
+                         agg.mo AS origin_month, agg.monto AS amount, agg.trn AS n_txn
+                  FROM agg JOIN pick ON pick.track = agg.track AND pick.y = agg.y AND pick.mo = agg.mo""",
+        "nb2": f"""SELECT nb.*, a.open_date, {R.CHANNEL.sql(plan='nb.plan')} AS channel
+                   FROM nb LEFT JOIN accounts a ON a.account_id = nb.account_id""",
+        "sn": f"""SELECT DISTINCT COALESCE(m.successor_id, s.account_id) AS account_id, s.year, s.month, s.brand,
+                         s.state, s.store_id, s.balance, s.credit_limit, s.level, s.score, s.stmt_flag, s.totalero_flag
+                  FROM snapshots s LEFT JOIN successor_map m ON m.account_id = s.account_id
+                  WHERE s.year BETWEEN {WINDOW_START.year} AND {WINDOW_END.year}
+                    AND s.year * 100 + s.month BETWEEN {_WIN_YM[0]} AND {_WIN_YM[1]}""",
+        "np": """SELECT nb2.*, sn.year, sn.month, sn.brand, sn.state, sn.store_id, sn.balance, sn.credit_limit, sn.level,
+                        sn.score, sn.stmt_flag, sn.totalero_flag,
+                        (sn.year - nb2.origin_year) * 12 + (sn.month - nb2.origin_month) AS vintage_offset,
+                        sn.year * 100 + sn.month AS obs_yyyymm, nb2.origin_year * 100 + nb2.origin_month AS origin_yyyymm,
+                        (nb2.origin_year - year(nb2.open_date)) * 12 + (nb2.origin_month - month(nb2.open_date))
+                          AS mob_origin,
+                        CASE WHEN sn.credit_limit <= 0 THEN -1.0
+                             ELSE CAST(sn.balance AS DOUBLE) / CAST(sn.credit_limit AS DOUBLE) END AS util_ratio
+                 FROM nb2 JOIN sn ON sn.account_id = nb2.account_id
+                 WHERE (sn.year - nb2.origin_year) * 12 + (sn.month - nb2.origin_month) >= 0
+                   AND ((nb2.product IN (110) AND sn.state NOT IN ('T')) OR nb2.product NOT IN (110))""",
+        "np2": f"""SELECT *, {R.RISK_LEGACY.sql(product='product', period='obs_yyyymm', score='score')} AS risk_level,
+                          {R.SCORE_TREE_NODE.sql(period='obs_yyyymm', product='product', brand='brand',
+                                                 mob='mob_origin', score='score')} AS node
+                   FROM np""",
+        "zr": """SELECT store_id, zone_desc AS zone_name FROM (
+                   SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY year DESC, month DESC) AS rn
+                   FROM zone_history) WHERE rn = 1""",
+        "nj": f"""SELECT np2.*, CASE WHEN msg.segment_official IN (0, 99) OR msg.segment_official IS NULL
+                                    THEN 'No clasificado' ELSE CAST(msg.segment_official AS VARCHAR) END AS macro_segment,
+                         CASE WHEN dig.account_id IS NULL THEN '0' ELSE '1' END AS digital_flag,
+                         {R.ZONE_LABEL_FACT.sql(product='np2.product', store='np2.store_id',
+                                                zone='(CASE WHEN np2.product IN (100, 110) THEN st.zone_code '
+                                                     'ELSE zr.zone_name END)')} AS zone_label
+                  FROM np2
+                  LEFT JOIN msg ON msg.account_id = np2.account_id AND msg.year = np2.year AND msg.month = np2.month
+                  LEFT JOIN dig ON dig.account_id = np2.account_id
+                  LEFT JOIN stores st ON st.store_id = np2.store_id
+                  LEFT JOIN zr ON zr.store_id = np2.store_id"""}) + f"""
+SELECT account_id, CAST(product AS BIGINT) AS product, CAST(plan AS BIGINT) AS plan, CAST(code AS BIGINT) AS code,
+       CAST(origin_year AS BIGINT) AS origin_year, CAST(origin_month AS BIGINT) AS origin_month,
+       CAST(origin_yyyymm AS BIGINT) AS origin_yyyymm, channel, CAST(amount AS DOUBLE) AS amount,
+       CAST(n_txn AS BIGINT) AS n_txn, open_date, CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month,
+       CAST(obs_yyyymm AS BIGINT) AS obs_yyyymm, CAST(vintage_offset AS BIGINT) AS vintage_offset,
+       CAST(mob_origin AS BIGINT) AS mob_origin, state, CAST(balance AS DOUBLE) AS balance,
+       CAST(credit_limit AS DOUBLE) AS credit_limit, util_ratio, {R.UTILISATION_BAND.sql(ratio='util_ratio')} AS util_band,
+       {R.AMOUNT_BAND.sql(product='product', amount='balance')} AS balance_band, CAST(level AS BIGINT) AS level,
+       {R.DELINQUENCY_LABEL.sql(level='level')} AS delinquency,
+       CAST({R.FLAG_30.sql(level='level')} AS BIGINT) AS flag_30, CAST({R.FLAG_90.sql(level='level')} AS BIGINT) AS flag_90,
+       CAST(score AS BIGINT) AS score, risk_level, CAST(node AS BIGINT) AS node,
+       {R.NODE_LABEL.sql(product='product', period='obs_yyyymm', node='node')} AS node_label,
+       {R.STATEMENT_CHANNEL_SHORT.sql(flag='stmt_flag')} AS paper_channel, zone_label, macro_segment, digital_flag,
+       first_value(risk_level) OVER w AS initial_risk, CAST(first_value(brand) OVER w AS BIGINT) AS initial_brand,
+       first_value(state) OVER w AS initial_state,
+       CAST(first_value(totalero_flag) OVER w AS BIGINT) AS initial_totalero_flag,
+       first_value(macro_segment) OVER w AS initial_macro_segment, {_d(LOAD_DATE)} AS load_date
+FROM nj
+WINDOW w AS (PARTITION BY account_id, origin_year, origin_month ORDER BY {_NET_ORDER})
+""")(dispositions_net_mart)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from vintagelake.functions import periods as P
 from vintagelake.functions import ruleset as R
 from vintagelake.operators import enrich, keys, panel
-from vintagelake.plans.catalog import HISTORY_START, register
+from vintagelake.plans.registry import HISTORY_START, register
 from vintagelake.sources import analogues as A
 
 RISK_SHIFT = 25      # 1995..2001 -> 2020..2026
@@ -432,3 +432,81 @@ SELECT account_id, CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month,
        CAST({R.TREE_NODE_ID.sql(product='product', mob='mob', score='score')} AS BIGINT) AS node_id
 FROM sm
 """)(tree_levels)
+
+
+# ---------------------------------------------------------------------------
+# R7 overdraft form (origin and observation periods) and the older nested form
+# ---------------------------------------------------------------------------
+def risk_level_overdraft(spark, sf_dir):
+    acc, s = _snap(spark, sf_dir)
+    a = acc.select(F.col("account_id").alias("a_id"), "open_date")
+    s = s.join(a, s.account_id == a.a_id, "left")
+    origin = P.yyyymm(F.year("open_date") + RISK_SHIFT, F.month("open_date"))
+    obs = P.yyyymm(F.col("year") + RISK_SHIFT, "month")
+    return s.select("account_id", "year", "month", origin.alias("origin"), obs.alias("obs"), "score",
+                    R.RISK_OVERDRAFT.column(product="product", origin=origin, obs=obs, score="score")
+                    .alias("risk_level"))
+
+
+register("risk_level_overdraft", A.sql_with("accounts", "snapshots", extra={
+    "ro": f"""SELECT s.*, (year(a.open_date) + {RISK_SHIFT}) * 100 + month(a.open_date) AS origin,
+                     (s.year + {RISK_SHIFT}) * 100 + s.month AS obs
+              FROM snapshots s LEFT JOIN accounts a ON a.account_id = s.account_id"""}) + f"""
+SELECT account_id, CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month, CAST(origin AS BIGINT) AS origin,
+       CAST(obs AS BIGINT) AS obs, CAST(score AS BIGINT) AS score,
+       {R.RISK_OVERDRAFT.sql(product='product', origin='origin', obs='obs', score='score')} AS risk_level
+FROM ro
+""")(risk_level_overdraft)
+
+
+def risk_level_legacy(spark, sf_dir):
+    _, s = _snap(spark, sf_dir)
+    period = P.yyyymm(F.col("year") + RISK_SHIFT, "month")
+    return s.select("account_id", "year", "month", "score",
+                    R.RISK_LEGACY.column(product="product", period=period, score="score").alias("risk_level"))
+
+
+register("risk_level_legacy", A.sql_with("accounts", "snapshots") + f"""
+SELECT account_id, CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month, CAST(score AS BIGINT) AS score,
+       {R.RISK_LEGACY.sql(product='product', period=f'((year + {RISK_SHIFT}) * 100 + month)', score='score')}
+         AS risk_level
+FROM snapshots
+""")(risk_level_legacy)
+
+
+# ---------------------------------------------------------------------------
+# R9 / R10 / R5 overdraft-fact variants
+# ---------------------------------------------------------------------------
+def band_mob_variants(spark, sf_dir):
+    s = _with_mob(spark, sf_dir)
+    return s.select("account_id", "year", "month", R.MOB_BAND_OVERDRAFT.column(mob="mob").alias("mob_band_od"),
+                    R.MOB_BAND_NUMBERED.column(mob="mob").alias("mob_band_numbered"),
+                    R.FLAG_30_TEXT.column(level="level").alias("flag_30"),
+                    R.FLAG_90_TEXT.column(level="level").alias("flag_90"))
+
+
+register("band_mob_variants", A.sql_with("accounts", "snapshots", extra=_MOB_SQL_CTE) + f"""
+SELECT account_id, CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month,
+       {R.MOB_BAND_OVERDRAFT.sql(mob='mob')} AS mob_band_od, {R.MOB_BAND_NUMBERED.sql(mob='mob')} AS mob_band_numbered,
+       {R.FLAG_30_TEXT.sql(level='level')} AS flag_30, {R.FLAG_90_TEXT.sql(level='level')} AS flag_90
+FROM sm
+""")(band_mob_variants)
+
+
+def band_age_overdraft(spark, sf_dir):
+    acc = A.accounts(spark, sf_dir)
+    c = A.clients(acc).select(F.col("account_id").alias("c_id"), "birth_date", "gender_code")
+    j = acc.join(c, acc.account_id == c.c_id, "left")
+    age = P.calendar_years("open_date", "birth_date")
+    return j.select("account_id", age.alias("age"), R.AGE_BAND_OVERDRAFT.column(age=age).alias("age_band"),
+                    R.GENDER_FROM_CODE.column(gen="gender_code").alias("gender"),
+                    R.SEX_FROM_CODE.column(gen="gender_code").alias("sex"))
+
+
+register("band_age_overdraft", A.sql_with("accounts", "clients", extra={
+    "ag": """SELECT a.account_id, year(a.open_date) - year(c.birth_date) AS age, c.gender_code
+             FROM accounts a LEFT JOIN clients c ON c.account_id = a.account_id"""}) + f"""
+SELECT account_id, CAST(age AS BIGINT) AS age, {R.AGE_BAND_OVERDRAFT.sql(age='age')} AS age_band,
+       {R.GENDER_FROM_CODE.sql(gen='gender_code')} AS gender, {R.SEX_FROM_CODE.sql(gen='gender_code')} AS sex
+FROM ag
+""")(band_age_overdraft)

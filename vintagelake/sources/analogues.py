@@ -271,6 +271,21 @@ def inferred_income(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .cast("decimal(18,3)").alias("income"))
 
 
+STATUS_APPLICATION = (("F", "A"), ("O", "P"))            # else 'R'
+STATUS_APPLICATION_DESC = (("F", "APROBADA"), ("O", "PENDIENTE"))  # else 'RECHAZADA'
+
+
+def applications(spark: SparkSession, sf_dir: str, accounts_df: DataFrame | None = None) -> DataFrame:
+    """Credit applications: one per order (origin 100, the account's logo)."""
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
+    acc = (accounts_df if accounts_df is not None else accounts(spark, sf_dir)).select("account_id", "brand")
+    return (o.join(acc, o.o_custkey == acc.account_id, "inner")
+            .select(F.lit(100).alias("org"), F.col("brand").alias("logo"), "account_id",
+                    _case(F.col("o_orderstatus"), STATUS_APPLICATION, "R").alias("app_status"),
+                    _case(F.col("o_orderstatus"), STATUS_APPLICATION_DESC, "RECHAZADA").alias("app_status_desc"),
+                    F.col("o_orderdate").cast("date").alias("app_date"), F.col("o_orderkey").alias("app_id")))
+
+
 # ---------------------------------------------------------------------------
 # The same derivations as SQL CTEs for the DuckDB oracle
 # ---------------------------------------------------------------------------
@@ -397,10 +412,16 @@ SQL = {
       SELECT o_custkey AS account_id, CAST(o_orderdate AS DATE) AS follow_date,
              CAST(CAST(o_totalprice AS DECIMAL(18,2)) * CAST(0.1 AS DECIMAL(2,1)) AS DECIMAL(18,3)) AS income
       FROM orders""",
+    "applications": f"""
+      SELECT 100 AS org, a.brand AS logo, a.account_id,
+             {_sql_case('o.o_orderstatus', STATUS_APPLICATION, "'R'")} AS app_status,
+             {_sql_case('o.o_orderstatus', STATUS_APPLICATION_DESC, "'RECHAZADA'")} AS app_status_desc,
+             CAST(o.o_orderdate AS DATE) AS app_date, o.o_orderkey AS app_id
+      FROM orders o JOIN accounts a ON a.account_id = o.o_custkey""",
 }
 
 SQL_DEPS = {"clients": ("accounts",), "snapshots": ("accounts",), "ledger": ("accounts",),
-            "indicators": ("accounts",)}
+            "indicators": ("accounts",), "applications": ("accounts",)}
 
 
 def sql_with(*names: str, extra: dict[str, str] | None = None) -> str:
