@@ -199,3 +199,16 @@ def test_membership_flag_and_parse(spark):
     ids = enrich.parse_account_ids(text, "t")
     out = enrich.membership_flag(base, ids, ["account_id"], ["account_id"], "flag", as_string=True)
     assert sorted((r.account_id, r.flag) for r in out.collect()) == [(1, "1"), (2, "1"), (3, "0")]
+
+
+def test_salted_vintage_panel_equals_plain(spark):
+    origins = spark.createDataFrame([(0, 2023, m) for m in range(1, 13)] + [(1, 2023, 5), (2, 2024, 1)],
+                                    "account_id long, origin_year int, origin_month int")
+    snaps = spark.createDataFrame([(0, y, m, y * 100 + m) for y in (2023, 2024) for m in range(1, 13)]
+                                  + [(1, 2023, 6, 1), (2, 2023, 12, 2), (2, 2024, 2, 3)],
+                                  "account_id long, year int, month int, v int")
+    plain = sorted(tuple(r) for r in panel.vintage_panel(origins, snaps, salt_buckets=1).collect())
+    salted_df = panel.vintage_panel(origins, snaps, salt_buckets=5, hot_rows=10)
+    salted = sorted(tuple(r) for r in salted_df.collect())
+    assert salted == plain and len(plain) == sum(24 - (m - 1) for m in range(1, 13)) + 1 + 1
+    assert salted_df.columns == ["account_id", "origin_year", "origin_month", "year", "month", "v", "vintage_offset"]

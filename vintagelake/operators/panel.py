@@ -81,25 +81,85 @@ def origins_from_accounts(accounts: DataFrame, date_col: str = "open_date") -> D
             .select("account_id", F.year(date_col).alias("origin_year"), F.month(date_col).alias("origin_month")))
 
 
+# Hot-key salting of the vintage join (see ``vintage_panel``): keys with at
+# least HOT_KEY_ROWS snapshot rows are spread over SALT_BUCKETS tasks.  Both
+# can be overridden per session with the conf keys below.
+SALT_BUCKETS = 16
+HOT_KEY_ROWS = 5000
+CONF_SALT_BUCKETS = "vintagelake.panel.saltBuckets"
+CONF_HOT_KEY_ROWS = "vintagelake.panel.hotKeyRows"
+
+
+def _skew_settings(df: DataFrame, salt_buckets: int | None, hot_rows: int | None) -> tuple[int, int]:
+    conf = df.sparkSession.conf
+    k = salt_buckets if salt_buckets is not None else int(conf.get(CONF_SALT_BUCKETS, str(SALT_BUCKETS)))
+    t = hot_rows if hot_rows is not None else int(conf.get(CONF_HOT_KEY_ROWS, str(HOT_KEY_ROWS)))
+    return k, t
+
+
 def vintage_panel(origins: DataFrame, snaps: DataFrame, key: str = "account_id",
                   origin_year: str = "origin_year", origin_month: str = "origin_month",
-                  obs_year: str = "year", obs_month: str = "month") -> DataFrame:
+                  obs_year: str = "year", obs_month: str = "month",
+                  salt_buckets: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """Origins x later snapshots of the same account.
 
     Written as an inner equi-join on ``key`` with the offset predicate in the
     join condition (the reference's left join is made inner by its WHERE).
     Adds ``vintage_offset`` (months from origin to observation).
+
+    Skew: the output of one key is (its origins) x (its snapshots), so a key
+    that collects many accounts (e.g. every old id resolved to successor 0)
+    explodes inside one task -- a blow-up in the join *output* that AQE's
+    input-size skew detection cannot see.  Keys with at least ``hot_rows``
+    snapshot rows are salted: their snapshot rows are spread over
+    ``salt_buckets`` buckets by observation month and only their origin rows
+    are replicated per bucket; every (origin, snapshot) pair is still
+    produced exactly once.  The hot-key table comes from an aggregate with
+    map-side combine and holds at most rows / ``hot_rows`` keys.
     """
+    k, t = _skew_settings(snaps, salt_buckets, hot_rows)
     o = origins.alias("o")
     s = snaps.alias("s")
+    cond_extra = None
+    if k > 1:
+        hot = (snaps.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= t)
+               .select(F.col(key).alias("__hot_key"), F.lit(True).alias("__hot")))
+        s = (snaps.join(hot, snaps[key] == hot["__hot_key"], "left").drop("__hot_key")
+             .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.hash(obs_year, obs_month), F.lit(k)))
+                         .otherwise(F.lit(0))).drop("__hot").alias("s"))
+        o = (origins.join(hot, origins[key] == hot["__hot_key"], "left").drop("__hot_key")
+             .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(k - 1)))
+                                             .otherwise(F.array(F.lit(0))))).drop("__hot").alias("o"))
+        cond_extra = F.col("o.__salt") == F.col("s.__salt")
     off = month_offset(F.col(f"o.{origin_year}"), F.col(f"o.{origin_month}"),
                        F.col(f"s.{obs_year}"), F.col(f"s.{obs_month}"))
-    j = o.join(s, (F.col(f"o.{key}") == F.col(f"s.{key}")) & (off >= 0), "inner")
+    cond = (F.col(f"o.{key}") == F.col(f"s.{key}")) & (off >= 0)
+    if cond_extra is not None:
+        cond = cond & cond_extra
+    j = o.join(s, cond, "inner")
     s_cols = [F.col(f"s.{c}") for c in snaps.columns if c != key and c not in origins.columns]
     return j.select(F.col(f"o.{key}").alias(key), *[F.col(f"o.{c}") for c in origins.columns if c != key],
                     *s_cols, off.alias("vintage_offset"))
 
 
+def first_observation(origins: DataFrame, snaps: DataFrame, order: Sequence[str], key: str = "account_id",
+                      origin_year: str = "origin_year", origin_month: str = "origin_month",
+                      where: Column | None = None) -> DataFrame:
+    """The first panel row of every vintage under ``order``
+    (ascending, NULLs first), one row per (key, origin month).
+
+    Computed as ``min(struct(order))`` over a *narrow* panel (keys and order
+    columns only): a hash aggregate with map-side combine, instead of a
+    window that would shuffle and fully sort the wide expanded panel.  Join
+    the result onto the origins before the wide expansion.
+    """
+    p = vintage_panel(origins, snaps, key, origin_year, origin_month)
+    if where is not None:
+        p = p.where(where)
+    g = p.groupBy(key, origin_year, origin_month).agg(F.min(F.struct(*order)).alias("__first"))
+    return g.select(key, origin_year, origin_month, *[F.col(f"__first.{c}").alias(f"first_{c}") for c in order])
+
+
 def vintage_delinquency(origins: DataFrame, snaps: DataFrame, years: int = 4) -> DataFrame:
     """Flagship: 30+/90+ delinquency rate by vintage (origin YYYYMM) and offset.
 

@@ -444,9 +444,29 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
             "account_id", "year", "month", "brand", "state", "store_id", "balance", "credit_limit", "level",
             "score", "stmt_flag", "totalero_flag"),
         inp.successor_map, mode="null").distinct()
-    p = panel.vintage_panel(base, snap)
     is110 = F.col("product").isin(110)
-    p = p.where((is110 & ~F.col("state").isin("T")) | ~is110)
+    keep = (is110 & ~F.col("state").isin("T")) | ~is110
+    # initial state of each vintage (first observation month; ties -- two old
+    # ids resolved onto one account -- broken by the values themselves),
+    # computed on a narrow panel and attached to the base before expansion
+    order = ["year", "month", "product", "plan", "code", "score", "level", "state", "brand", "totalero_flag"]
+    first = panel.first_observation(base.select("account_id", "origin_year", "origin_month", "product", "plan", "code"),
+                                    snap.select("account_id", "year", "month", "score", "level", "state", "brand",
+                                                "totalero_flag"), order, where=keep)
+    seg = enrich.segment_history(inp.macro_old, inp.macro_new).select(*AM, "segment_official")
+    fseg = seg.select(F.col("account_id").alias("__a"), F.col("year").alias("__y"), F.col("month").alias("__m"),
+                      "segment_official")
+    first = first.join(fseg, (first.account_id == fseg.__a) & (first.first_year == fseg.__y)
+                       & (first.first_month == fseg.__m), "left")
+    first = first.select(
+        "account_id", "origin_year", "origin_month",
+        R.RISK_LEGACY.column(product="first_product", period=P.yyyymm("first_year", "first_month"),
+                             score="first_score").alias("initial_risk"),
+        F.col("first_brand").alias("initial_brand"), F.col("first_state").alias("initial_state"),
+        F.col("first_totalero_flag").alias("initial_totalero_flag"),
+        enrich.macro_segment_label(F.col("segment_official")).alias("initial_macro_segment"))
+    base = base.join(first, ["account_id", "origin_year", "origin_month"], "left")
+    p = panel.vintage_panel(base, snap).where(keep)
     bal, lim = F.col("balance"), F.col("credit_limit")
     p = p.withColumns({
         "obs_yyyymm": P.yyyymm("year", "month"),
@@ -467,7 +487,6 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
         "paper_channel": R.STATEMENT_CHANNEL_SHORT.column(flag="stmt_flag"),
     })
     p = p.withColumn("node_label", R.NODE_LABEL.column(product="product", period="obs_yyyymm", node="node"))
-    seg = enrich.segment_history(inp.macro_old, inp.macro_new).select(*AM, "segment_official")
     zraw = windows.latest(inp.zone_history, ["store_id"], [F.col("year").desc(), F.col("month").desc()]).select(
         "store_id", F.col("zone_desc").alias("zone_name"))
     dims = [
@@ -484,20 +503,6 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
         "zone_label": R.ZONE_LABEL_FACT.column(product="product", zone=zone_in, store="store_id"),
         "load_date": F.lit(load_date),
     })
-    # initial state of the vintage: the first observation month; ties (two
-    # old ids resolved onto one account) are broken by the values themselves
-    keys_ = ["account_id", "origin_year", "origin_month"]
-    order = [F.col("year").asc(), F.col("month").asc(), F.col("product").asc_nulls_first(),
-             F.col("plan").asc_nulls_first(), F.col("code").asc_nulls_first(), F.col("score").asc_nulls_first(),
-             F.col("level").asc_nulls_first(), F.col("state").asc_nulls_first(), F.col("brand").asc_nulls_first(),
-             F.col("totalero_flag").asc_nulls_first()]
-    e = e.withColumns({
-        "initial_risk": windows.first_value(F.col("risk_level"), keys_, order),
-        "initial_brand": windows.first_value(F.col("brand"), keys_, order),
-        "initial_state": windows.first_value(F.col("state"), keys_, order),
-        "initial_totalero_flag": windows.first_value(F.col("totalero_flag"), keys_, order),
-        "initial_macro_segment": windows.first_value(F.col("macro_segment"), keys_, order),
-    })
     return e.select(*NET_COLUMNS)
 
 
