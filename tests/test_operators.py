@@ -212,3 +212,16 @@ def test_salted_vintage_panel_equals_plain(spark):
     salted = sorted(tuple(r) for r in salted_df.collect())
     assert salted == plain and len(plain) == sum(24 - (m - 1) for m in range(1, 13)) + 1 + 1
     assert salted_df.columns == ["account_id", "origin_year", "origin_month", "year", "month", "v", "vintage_offset"]
+
+
+def test_latest_load_keeps_ties(spark):
+    df = spark.createDataFrame([("a", dt.date(2024, 1, 1)), ("b", dt.date(2024, 2, 1)), ("c", dt.date(2024, 2, 1))],
+                               "k string, load date")
+    assert sorted(r.k for r in windows.latest_load(df, "load").collect()) == ["b", "c"]
+
+
+def test_time_zone_helpers(spark):
+    from vintagelake.functions import periods as P
+    r = spark.range(1).select(P.today_in("America/Mexico_City").alias("d"),
+                              P.time_of_day_in("America/Mexico_City").alias("t")).first()
+    assert isinstance(r.d, dt.date) and len(r.t) == 8 and r.t[2] == ":"

@@ -113,3 +113,13 @@ def horizon_bucket(offset: ColLike, years: int = 4, other: str = "OTRO") -> Colu
         cond = o <= 12 * y
         expr = F.when(cond, F.lit(f"Y{y}")) if expr is None else expr.when(cond, F.lit(f"Y{y}"))
     return expr.otherwise(F.lit(other))
+
+
+def today_in(tz: str) -> Column:
+    """CURRENT_DATE(tz) -- the calendar date in a time zone."""
+    return F.to_date(F.from_utc_timestamp(F.current_timestamp(), tz))
+
+
+def time_of_day_in(tz: str) -> Column:
+    """EXTRACT(TIME FROM CURRENT_DATETIME(tz)) as HH:mm:ss text."""
+    return F.date_format(F.from_utc_timestamp(F.current_timestamp(), tz), "HH:mm:ss")

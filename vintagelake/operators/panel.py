@@ -97,10 +97,19 @@ def _skew_settings(df: DataFrame, salt_buckets: int | None, hot_rows: int | None
     return k, t
 
 
+def hot_keys(snaps: DataFrame, key: str = "account_id", hot_rows: int | None = None) -> DataFrame:
+    """Keys holding at least ``hot_rows`` rows (at most rows / hot_rows keys),
+    from an aggregate with map-side combine."""
+    _, t = _skew_settings(snaps, None, hot_rows)
+    return (snaps.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= t)
+            .select(F.col(key).alias("__hot_key"), F.lit(True).alias("__hot")))
+
+
 def vintage_panel(origins: DataFrame, snaps: DataFrame, key: str = "account_id",
                   origin_year: str = "origin_year", origin_month: str = "origin_month",
                   obs_year: str = "year", obs_month: str = "month",
-                  salt_buckets: int | None = None, hot_rows: int | None = None) -> DataFrame:
+                  salt_buckets: int | None = None, hot_rows: int | None = None,
+                  hot: DataFrame | None = None) -> DataFrame:
     """Origins x later snapshots of the same account.
 
     Written as an inner equi-join on ``key`` with the offset predicate in the
@@ -115,15 +124,17 @@ def vintage_panel(origins: DataFrame, snaps: DataFrame, key: str = "account_id",
     ``salt_buckets`` buckets by observation month and only their origin rows
     are replicated per bucket; every (origin, snapshot) pair is still
     produced exactly once.  The hot-key table comes from an aggregate with
-    map-side combine and holds at most rows / ``hot_rows`` keys.
+    map-side combine and holds at most rows / ``hot_rows`` keys; pass ``hot``
+    (from ``hot_keys`` on the plain snapshots) when ``snaps`` carries joined
+    enrichment, so the count does not drag the enrichment joins along.
     """
     k, t = _skew_settings(snaps, salt_buckets, hot_rows)
     o = origins.alias("o")
     s = snaps.alias("s")
     cond_extra = None
     if k > 1:
-        hot = (snaps.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= t)
-               .select(F.col(key).alias("__hot_key"), F.lit(True).alias("__hot")))
+        if hot is None:
+            hot = hot_keys(snaps, key, t)
         s = (snaps.join(hot, snaps[key] == hot["__hot_key"], "left").drop("__hot_key")
              .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.hash(obs_year, obs_month), F.lit(k)))
                          .otherwise(F.lit(0))).drop("__hot").alias("s"))

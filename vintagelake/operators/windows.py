@@ -51,3 +51,12 @@ def last_value_full(value: Column, keys: Sequence[str | Column], order: Sequence
     w = (Window.partitionBy(*keys).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     return F.last(value, ignorenulls=False).over(w)
+
+
+def latest_load(df: DataFrame, load_col: str) -> DataFrame:
+    """Rows whose load date equals the table's latest load
+    (``WHERE load = (SELECT MAX(load) ...)``).  The maximum is a one-row
+    global aggregate (partial per task), joined back by equality on the
+    load value -- a broadcast of one row, no window over the whole table."""
+    mx = df.agg(F.max(load_col).alias("__max_load"))
+    return df.join(F.broadcast(mx), F.col(load_col) == F.col("__max_load"), "inner").drop("__max_load")

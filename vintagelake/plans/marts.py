@@ -153,7 +153,44 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
     snap = snap.withColumns({
         "util_ratio": panel.utilisation_nonpositive(bal, lim),
     })
-    p = panel.vintage_panel(base, snap)
+    hot = panel.hot_keys(snap)
+
+    # Enrichment BEFORE the vintage expansion: account-month dimensions are
+    # keyed like the snapshot rows (account, observation month) and join
+    # there; account dimensions join the base.  The expanded panel -- the
+    # largest dataset of the job -- is then never shuffled again.
+    ym = {"account_id": "account_id", "year": "year", "month": "month"}
+    acc_on = {"account_id": "account_id"}
+    months = (F.col("year") * 100 + F.col("month")).between(start.year * 100 + start.month,
+                                                             end.year * 100 + end.month)
+    ind = keys.resolve_key(inp.indicators.where(months), inp.successor_map, mode="zero")
+    pivot = G.indicator_pivot(ind, with_total=False).select(
+        *AM, "int_fin", "int_mor", F.col("int_msi_any").alias("int_msi"))
+    codes = G.code_sets_from_facts(facts)
+    fees = G.commissions(inp.indicators)
+    seg = enrich.segment_history(inp.macro_old, inp.macro_new).select(*AM, "segment_official")
+    demo = windows.latest(inp.clients, ["account_id"], [F.col("client_open_date").asc_nulls_last()],
+                          [F.col("logo").asc()]).select(
+        "account_id", "birth_date", R.SEX_FROM_CODE.column(gen="gender_code").alias("sex"))
+    snap = enrich.star_join(snap, [
+        Dim(pivot, ym, ["int_fin", "int_mor", "int_msi"], {"int_fin": 0, "int_mor": 0, "int_msi": 0}, unique=True),
+        Dim(codes, ym, ["write_off_amount", "write_off_rows", "forgiveness_amount", "forgiveness_rows"],
+            unique=True),
+        Dim(fees, ym, ["fee_amount"], {"fee_amount": 0}, unique=True),
+        Dim(seg, ym, ["segment_official"], unique=True),
+        Dim(inp.stores, {"store_id": "store_id"}, ["zone_code"]),
+        Dim(enrich.zone_normalise(inp.zone_history), {"store_id": "store_id"}, ["zone"], unique=True),
+    ])
+    base = enrich.star_join(base, [
+        Dim(G.card_counts(inp.cards), acc_on, ["n_addon", "n_primary"], {"n_addon": 0, "n_primary": 0},
+            unique=True),
+        Dim(G.unified_customer(inp.cards), acc_on, ["client_uid"], unique=True),
+        Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit("1")), acc_on, ["digital_flag"],
+            {"digital_flag": "0"}, unique=True),
+        Dim(demo, acc_on, ["birth_date", "sex"], unique=True),
+    ])
+
+    p = panel.vintage_panel(base, snap, hot=hot)
     open_y, open_m = F.year("open_date"), F.month("open_date")
     obs = P.yyyymm("year", "month")
     p = p.withColumns({
@@ -182,38 +219,7 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
                                R.OPENING_YEAR_BAND.column(product="product", open_year=open_y))
         .when(F.col("product").isin(210, 200) & (open_y >= 2018), open_y.cast("string")).otherwise(F.lit("NO")),
     })
-    p = p.withColumn("node_label", R.NODE_LABEL.column(product="product", period="obs_yyyymm", node="node"))
-
-    # enrichment, account-month dims first (observation month), then account dims
-    ym = {"account_id": "account_id", "year": "year", "month": "month"}
-    acc_on = {"account_id": "account_id"}
-    months = (F.col("year") * 100 + F.col("month")).between(start.year * 100 + start.month,
-                                                             end.year * 100 + end.month)
-    ind = keys.resolve_key(inp.indicators.where(months), inp.successor_map, mode="zero")
-    pivot = G.indicator_pivot(ind, with_total=False).select(
-        *AM, "int_fin", "int_mor", F.col("int_msi_any").alias("int_msi"))
-    codes = G.code_sets_from_facts(facts)
-    fees = G.commissions(inp.indicators)
-    seg = enrich.segment_history(inp.macro_old, inp.macro_new).select(*AM, "segment_official")
-    demo = windows.latest(inp.clients, ["account_id"], [F.col("client_open_date").asc_nulls_last()],
-                          [F.col("logo").asc()]).select(
-        "account_id", "birth_date", R.SEX_FROM_CODE.column(gen="gender_code").alias("sex"))
-    dims = [
-        Dim(pivot, ym, ["int_fin", "int_mor", "int_msi"], {"int_fin": 0, "int_mor": 0, "int_msi": 0}, unique=True),
-        Dim(codes, ym, ["write_off_amount", "write_off_rows", "forgiveness_amount", "forgiveness_rows"],
-            unique=True),
-        Dim(fees, ym, ["fee_amount"], {"fee_amount": 0}, unique=True),
-        Dim(seg, ym, ["segment_official"], unique=True),
-        Dim(G.card_counts(inp.cards), acc_on, ["n_addon", "n_primary"], {"n_addon": 0, "n_primary": 0},
-            unique=True),
-        Dim(G.unified_customer(inp.cards), acc_on, ["client_uid"], unique=True),
-        Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit("1")), acc_on, ["digital_flag"],
-            {"digital_flag": "0"}, unique=True),
-        Dim(demo, acc_on, ["birth_date", "sex"], unique=True),
-        Dim(inp.stores, {"store_id": "store_id"}, ["zone_code"]),
-        Dim(enrich.zone_normalise(inp.zone_history), {"store_id": "store_id"}, ["zone"], unique=True),
-    ]
-    e = enrich.star_join(p, dims)
+    e = p.withColumn("node_label", R.NODE_LABEL.column(product="product", period="obs_yyyymm", node="node"))
     age = P.age_from_yyyymm("obs_yyyymm", P.yyyymm(F.year("birth_date"), F.month("birth_date")))
     zone_in = F.when(F.col("product").isin(100, 110), F.col("zone_code")).otherwise(F.col("zone"))
     e = e.withColumns({
@@ -466,7 +472,19 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
         F.col("first_totalero_flag").alias("initial_totalero_flag"),
         enrich.macro_segment_label(F.col("segment_official")).alias("initial_macro_segment"))
     base = base.join(first, ["account_id", "origin_year", "origin_month"], "left")
-    p = panel.vintage_panel(base, snap).where(keep)
+    hot = panel.hot_keys(snap)
+    # enrichment before the expansion (see dispositions_mart)
+    zraw = windows.latest(inp.zone_history, ["store_id"], [F.col("year").desc(), F.col("month").desc()]).select(
+        "store_id", F.col("zone_desc").alias("zone_name"))
+    snap = enrich.star_join(snap, [
+        Dim(seg, {"account_id": "account_id", "year": "year", "month": "month"}, ["segment_official"], unique=True),
+        Dim(inp.stores, {"store_id": "store_id"}, ["zone_code"]),
+        Dim(zraw, {"store_id": "store_id"}, ["zone_name"], unique=True),
+    ])
+    base = enrich.star_join(base, [
+        Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit("1")), {"account_id": "account_id"},
+            ["digital_flag"], {"digital_flag": "0"}, unique=True)])
+    p = panel.vintage_panel(base, snap, hot=hot).where(keep)
     bal, lim = F.col("balance"), F.col("credit_limit")
     p = p.withColumns({
         "obs_yyyymm": P.yyyymm("year", "month"),
@@ -486,17 +504,7 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
                                          mob="mob_origin", score="score"),
         "paper_channel": R.STATEMENT_CHANNEL_SHORT.column(flag="stmt_flag"),
     })
-    p = p.withColumn("node_label", R.NODE_LABEL.column(product="product", period="obs_yyyymm", node="node"))
-    zraw = windows.latest(inp.zone_history, ["store_id"], [F.col("year").desc(), F.col("month").desc()]).select(
-        "store_id", F.col("zone_desc").alias("zone_name"))
-    dims = [
-        Dim(seg, {"account_id": "account_id", "year": "year", "month": "month"}, ["segment_official"], unique=True),
-        Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit("1")), {"account_id": "account_id"},
-            ["digital_flag"], {"digital_flag": "0"}, unique=True),
-        Dim(inp.stores, {"store_id": "store_id"}, ["zone_code"]),
-        Dim(zraw, {"store_id": "store_id"}, ["zone_name"], unique=True),
-    ]
-    e = enrich.star_join(p, dims)
+    e = p.withColumn("node_label", R.NODE_LABEL.column(product="product", period="obs_yyyymm", node="node"))
     zone_in = F.when(F.col("product").isin(100, 110), F.col("zone_code")).otherwise(F.col("zone_name"))
     e = e.withColumns({
         "macro_segment": enrich.macro_segment_label(F.col("segment_official")),

@@ -550,3 +550,17 @@ SELECT {_MRG_COLS}, CAST(over_limit AS BIGINT) AS over_limit, CAST(product AS BI
        CAST(closing_balance AS DOUBLE) AS closing_balance
 FROM ep
 """)(overdraft_closing)
+
+
+# ---------------------------------------------------------------------------
+# P11 equality to a scalar subquery: the latest load of the zone table
+# ---------------------------------------------------------------------------
+def zone_latest_load(spark, sf_dir):
+    z = windows.latest_load(A.zone_history(spark, sf_dir), "load_date")
+    return z.select("store_id", "store_desc", "zone_desc", "load_date")
+
+
+register("zone_latest_load", A.sql_with("zone_history") + """
+SELECT store_id, store_desc, zone_desc, load_date FROM zone_history
+WHERE load_date = (SELECT max(load_date) FROM zone_history)
+""")(zone_latest_load)

@@ -226,10 +226,12 @@ def zone_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, n = F.col("s_suppkey"), F.col("s_nationkey")
     older = s.select(store_code(k).alias("store_id"), F.col("s_name").alias("store_desc"),
                      _pick(ZONE_NAMES, n % 25, "string").alias("zone_desc"),
-                     F.lit(2000).alias("year"), F.lit(12).alias("month"))
+                     F.lit(2000).alias("year"), F.lit(12).alias("month"),
+                     F.lit("2000-12-31").cast("date").alias("load_date"))
     newer = s.select(store_code(k).alias("store_id"), F.col("s_name").alias("store_desc"),
                      _pick(ZONE_NAMES, (n + k) % 25, "string").alias("zone_desc"),
-                     F.lit(2001).alias("year"), F.lit(1).alias("month"))
+                     F.lit(2001).alias("year"), F.lit(1).alias("month"),
+                     F.lit("2001-01-31").cast("date").alias("load_date"))
     return older.unionByName(newer)
 
 
@@ -384,11 +386,12 @@ SQL = {
       FROM supplier""",
     "zone_history": f"""
       SELECT lpad(CAST(s_suppkey AS VARCHAR), 4, '0') AS store_id, s_name AS store_desc,
-             {_sql_list(ZONE_NAMES)}[s_nationkey % 25 + 1] AS zone_desc, 2000 AS year, 12 AS month
+             {_sql_list(ZONE_NAMES)}[s_nationkey % 25 + 1] AS zone_desc, 2000 AS year, 12 AS month,
+             DATE '2000-12-31' AS load_date
       FROM supplier
       UNION ALL
       SELECT lpad(CAST(s_suppkey AS VARCHAR), 4, '0'), s_name,
-             {_sql_list(ZONE_NAMES)}[(s_nationkey + s_suppkey) % 25 + 1], 2001, 1
+             {_sql_list(ZONE_NAMES)}[(s_nationkey + s_suppkey) % 25 + 1], 2001, 1, DATE '2001-01-31'
       FROM supplier""",
     "macro_old": """
       SELECT o_custkey AS account_id, CAST(o_orderdate AS DATE) AS segment_date,
