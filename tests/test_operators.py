@@ -115,9 +115,12 @@ def _events(spark):
 def test_overdraft_chain(spark):
     ev = overdraft.closed_month_events(_events(spark), spark.createDataFrame([], MAP_SCHEMA),
                                        dt.date(2024, 2, 10), excluded=[99])
-    attrs = {r.track_id: (r.last_limit, r.last_spid) for r in ev.select("track_id", "last_limit", "last_spid")
-             .distinct().collect()}
+    attrs = {r.track_id: (r.last_limit, r.last_spid) for r in overdraft.month_attributes(ev).collect()}
     assert attrs == {1: (D("1200"), "S3"), 2: (None, "S4")}
+    # the aggregate form equals the source's window functions on every row
+    win = {r.track_id: (r.last_limit, r.last_spid) for r in overdraft.window_attributes(ev)
+           .select("track_id", "last_limit", "last_spid").distinct().collect()}
+    assert win == attrs
     auto = {r.track_id: r for r in overdraft.auto_overdrafts(ev).collect()}
     assert set(auto) == {1}
     a = auto[1]

@@ -32,30 +32,53 @@ KEYS = ["account_id", "year", "month"]
 
 def closed_month_events(events: DataFrame, successor_map: DataFrame, run_date: _dt.date,
                         excluded: Sequence[int] = ()) -> DataFrame:
-    """K18 part 1: the previous month's decided events with window attributes.
-
-    ``last_limit``: limit of the latest approved event (approved rows first,
-    latest date first; NULL when the month has only declines).
-    ``last_spid``: processing id of the latest event by date (full frame).
-    """
+    """K18 part 1: the previous month's decided events (decision 1/2, unit
+    amounts and excluded accounts removed), resolved to the current account
+    (``track_id``), with year, month and exposure (balance + amount)."""
     start, end = previous_month(run_date)
     e = events.where(F.col("decision").isin("1", "2") & (F.col("auth_amount") != 1)
                      & (F.col("proc_date") >= F.lit(start)) & (F.col("proc_date") <= F.lit(end)))
     if excluded:
         e = e.where(~F.col("account_id").isin(list(excluded)))
     e = resolve_key(e, successor_map, key="account_id", out="track_id", mode="null")
+    return e.withColumns({"year": F.year("proc_date"), "month": F.month("proc_date"),
+                          "exposure": F.col("auth_balance") + F.col("auth_amount")})
+
+
+def month_attributes(ev: DataFrame) -> DataFrame:
+    """W8 / W9 per account-month, as aggregates:
+
+    * ``last_limit`` -- FIRST_VALUE(limit of approved rows) ordered approved
+      first, latest date first: the limit of the latest approved event, NULL
+      when the month has only declines.  ``max_by`` with a NULL ordering key
+      for declines (ignored by ``max_by``).
+    * ``last_spid`` -- LAST_VALUE(spid) over the full frame ordered by date:
+      the processing id of the latest event.
+
+    Same-day ties are arbitrary in the source order; the event id completes
+    it.  Aggregates combine map-side, so an account-month that collects many
+    accounts (every id resolved onto one successor) never lands whole in one
+    task, as a window partition would.
+    """
+    approved = F.col("decision") == "1"
+    order = F.struct("proc_date", "event_id")
+    return ev.groupBy("track_id", "year", "month").agg(
+        F.max_by(F.col("auth_limit"), F.when(approved, order)).alias("last_limit"),
+        F.max_by(F.col("spid"), order).alias("last_spid"))
+
+
+def window_attributes(ev: DataFrame) -> DataFrame:
+    """The same attributes as ``month_attributes`` written as the source's
+    window functions (W8 default frame, W9 full frame) on every event row --
+    kept for reference and tests; the marts use the aggregate form."""
     part = ["track_id", F.trunc("proc_date", "MM")]
     approved = F.col("decision") == "1"
-    e = e.withColumns({
-        "year": F.year("proc_date"), "month": F.month("proc_date"),
-        "exposure": F.col("auth_balance") + F.col("auth_amount"),
-        # the source order leaves same-day ties arbitrary; the event id completes it
+    return ev.withColumns({
         "last_limit": first_value(F.when(approved, F.col("auth_limit")), part,
                                   [F.when(approved, 0).otherwise(1).asc(), F.col("proc_date").desc(),
                                    F.col("event_id").desc()]),
         "last_spid": last_value_full(F.col("spid"), part, [F.col("proc_date").asc(), F.col("event_id").asc()]),
     })
-    return e
 
 
 def section_mix(ev: DataFrame) -> DataFrame:
@@ -79,26 +102,24 @@ def auto_overdrafts(ev: DataFrame) -> DataFrame:
     """Approved automatic overdraft rows per account-month with the excess
     (max exposure - last approved limit), section mix and counts.
 
-    One pass over the events: the per-decision aggregate also counts the
-    section codes; the account-month totals (section mix, approvals,
-    declines) are window sums over those few aggregated rows, instead of two
-    more scans and joins of the event table.  ``last_spid``/``last_limit``
-    are constant within an account-month, so the decision rows of one
-    account-month form the window partition.
+    Two map-side-combined aggregates over the events -- per account-month
+    (window attributes, section counts, approvals, declines) and per
+    account-month-decision (exposure, amount, count) -- joined on the
+    account-month: one pass over the event table, no window over it.
     """
     d = F.col("decision")
-    g = (ev.groupBy("track_id", "year", "month", "last_spid", "last_limit", "decision")
+    k = ["track_id", "year", "month"]
+    month = month_attributes(ev).join(
+        ev.groupBy(*k).agg(F.count_if(F.col("section") == 0).alias("_n0"),
+                           F.count_if(F.col("section").isin(1, 2, 3)).alias("_n123"),
+                           F.sum(F.when(d == "1", 1).otherwise(0)).alias("n_approved"),
+                           F.sum(F.when(d == "2", 1).otherwise(0)).alias("n_declined")), k)
+    month = month.withColumn("section_mix", R.SECTION_MIX.column(n_zero="_n0", n_main="_n123")).drop("_n0", "_n123")
+    g = (ev.where(d == "1").groupBy(*k, "decision")
          .agg(F.max("exposure").alias("max_exposure"), F.sum("auth_amount").alias("amount_total"),
-              F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("section") == 0).alias("_n0"),
-              F.count_if(F.col("section").isin(1, 2, 3)).alias("_n123")))
-    w = Window.partitionBy("track_id", "year", "month")
-    g = g.withColumns({
-        "excess": F.col("max_exposure") - F.col("last_limit"),
-        "section_mix": R.SECTION_MIX.column(n_zero=F.sum("_n0").over(w), n_main=F.sum("_n123").over(w)),
-        "n_approved": F.sum(F.when(d == "1", F.col("n_events")).otherwise(0)).over(w),
-        "n_declined": F.sum(F.when(d == "2", F.col("n_events")).otherwise(0)).over(w),
-    }).drop("_n0", "_n123")
-    return g.where(d == "1")
+              F.count(F.lit(1)).alias("n_events")))
+    g = g.join(month, k, "inner")
+    return g.withColumn("excess", F.col("max_exposure") - F.col("last_limit"))
 
 
 def merge_manual(auto: DataFrame, manual_monthly: DataFrame) -> DataFrame:

@@ -35,10 +35,15 @@ def latest_by_aggregate(df: DataFrame, keys: Sequence[str], order: Column, paylo
 
 def latest_ties_kept(df: DataFrame, keys: Sequence[str], date_col: str) -> DataFrame:
     """Rows whose ``date_col`` equals the group's maximum (ties kept),
-    then DISTINCT -- one windowed scan instead of a self-join to MAX."""
-    w = Window.partitionBy(*keys)
-    return (df.withColumn("__mx", F.max(date_col).over(w)).where(F.col(date_col) == F.col("__mx"))
-            .drop("__mx").distinct())
+    then DISTINCT.  The maximum is an aggregate (map-side combined, one row
+    per key) joined back on (keys, date): a hot key is never one window
+    partition, and AQE can split its side of the join."""
+    mx = df.groupBy(*keys).agg(F.max(date_col).alias("__mx"))
+    mx = mx.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__mx")
+    cond = F.col(date_col) == F.col("__mx")
+    for k in keys:
+        cond = cond & (F.col(k) == F.col(f"__k_{k}"))
+    return df.join(mx, cond, "inner").drop("__mx", *[f"__k_{k}" for k in keys]).distinct()
 
 
 def first_value(value: Column, keys: Sequence[str | Column], order: Sequence[Column]) -> Column:

@@ -385,17 +385,15 @@ FROM vp GROUP BY vintage_offset
 
 
 def initial_state(spark, sf_dir):
+    """State of each vintage at its first observation month, as
+    ``first_observation`` (an aggregate over a narrow panel, no window)."""
     s = panel.prepare_snapshot(A.snapshots(spark, sf_dir)).select(
         "account_id", "year", "month", "level", "score", "limit_band", "util_ratio")
-    p = panel.vintage_panel(_base_origins(spark, sf_dir), s)
-    keys = ["account_id", "origin_year", "origin_month"]
-    order = [F.col("year").asc(), F.col("month").asc()]
-    return p.select(*keys,
-                    windows.first_value(F.col("level"), keys, order).alias("initial_level"),
-                    windows.first_value(F.col("score"), keys, order).alias("initial_score"),
-                    windows.first_value(F.col("limit_band"), keys, order).alias("initial_limit_band"),
-                    windows.first_value(R.UTILISATION_BAND.column(ratio="util_ratio"), keys, order)
-                    .alias("initial_util_band")).distinct()
+    f = panel.first_observation(_base_origins(spark, sf_dir), s,
+                                ["year", "month", "level", "score", "limit_band", "util_ratio"])
+    return f.select("account_id", "origin_year", "origin_month", F.col("first_level").alias("initial_level"),
+                    F.col("first_score").alias("initial_score"), F.col("first_limit_band").alias("initial_limit_band"),
+                    R.UTILISATION_BAND.column(ratio="first_util_ratio").alias("initial_util_band"))
 
 
 _UTIL_RATIO_SQL = ("CASE WHEN s.credit_limit IS NULL OR s.credit_limit = 0 THEN -1.0 "
@@ -488,7 +486,7 @@ _MRG_COLS = """account_id, CAST(origin_year AS BIGINT) AS origin_year, CAST(orig
 
 
 def events_first_conditional(spark, sf_dir):
-    return _events(spark, sf_dir).select("track_id", "year", "month", "last_limit").distinct()
+    return overdraft.month_attributes(_events(spark, sf_dir)).select("track_id", "year", "month", "last_limit")
 
 
 register("events_first_conditional", OD_SQL_WITH + """
@@ -498,7 +496,7 @@ SELECT DISTINCT track_id, CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS
 
 
 def events_last_full_frame(spark, sf_dir):
-    return _events(spark, sf_dir).select("track_id", "year", "month", "last_spid").distinct()
+    return overdraft.month_attributes(_events(spark, sf_dir)).select("track_id", "year", "month", "last_spid")
 
 
 register("events_last_full_frame", OD_SQL_WITH + """
