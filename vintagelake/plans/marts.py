@@ -10,7 +10,7 @@
 * ``cohort_mart`` -- E3: new-account cohort x monthly snapshots.
 
 Each returns a lazy DataFrame; writing (window rewrite, publish, control
-totals) is done by :func:`run_dispositions` with the sinks module.
+totals) is done by :mod:`vintagelake.plans.jobs` with the sinks module.
 
 Plan shape: every enrichment dimension is aggregated to its join key
 before the join (no fan-out, map-side combine); account-month dimensions
@@ -264,20 +264,6 @@ def dispositions_stages(inp: Inputs, start: _dt.date, end: _dt.date, load_date:
     }
 
 
-def run_dispositions(spark: SparkSession, inp: Inputs, run_date: _dt.date, history: bool, fact_path: str,
-                     control_path: str, history_start: _dt.date = _dt.date(2017, 1, 1)) -> list[int]:
-    """E1 end to end: build for the window, control totals, then the window
-    rewrite of the partitioned fact (K29, K30).  The fact is written once to
-    the sink; counts are aggregates, nothing is collected."""
-    start, end = P.period_window(run_date, history, history_start)
-    stages = dispositions_stages(inp, start, end, run_date)
-    ts = _dt.datetime.combine(run_date, _dt.time(0, 0))
-    sinks.append(sinks.control_totals(spark, stages, "DISPOSITIONS", ts), control_path)
-    # the monthly run rewrites the closing month only
-    m_start, m_end = P.period_window(run_date, False, history_start)
-    return sinks.rewrite_window(spark, stages["TMP_6_FACT"], fact_path, m_start, m_end)
-
-
 # ---------------------------------------------------------------------------
 # E2 overdraft
 # ---------------------------------------------------------------------------
