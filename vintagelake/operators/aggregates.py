@@ -19,11 +19,27 @@ from vintagelake.functions.periods import yyyymm
 from vintagelake.operators.keys import resolve_key
 
 
+AM_KEYS = ["account_id", "year", "month"]
+
+
 def _in(col: str | Column, values) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return c.isin(list(values))
 
 
+def resolve_and_sum(partial: DataFrame, successor_map: DataFrame, mode: str, keys: Sequence[str],
+                    sums: Sequence[str]) -> DataFrame:
+    """Successor-key resolution AFTER a partial aggregate by the own id.
+
+    Sums and counts are decomposable: aggregating by the own account first
+    (map-side combined), resolving the much smaller result and summing again
+    by the resolved account gives the same totals as resolving every raw row
+    -- but only account-month-sized data meets the account-sized map.
+    """
+    r = resolve_key(partial, successor_map, mode=mode)
+    return r.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
 def conditional_sum(amount: Column, cond: Column) -> Column:
     """A3: ``SUM(CASE WHEN cond THEN amount ELSE 0 END)``."""
     return F.sum(F.when(cond, amount).otherwise(F.lit(0)))
@@ -81,13 +97,14 @@ def code_sets_monthly(ledger: DataFrame, successor_map: DataFrame, start: _dt.da
     the ledger for both code sets, aggregated to the join key."""
     led = ledger.where(F.col("txn_date").between(F.lit(start), F.lit(end))
                        & _in("code", tuple(write_off) + tuple(forgiveness)))
-    led = resolve_key(led.select("account_id", "txn_date", "code", "amount"), successor_map, mode="zero")
     code, amt = F.col("code"), F.col("amount")
     wo, fg = _in(code, write_off), _in(code, forgiveness)
-    return (led.groupBy("account_id", F.year("txn_date").alias("year"), F.month("txn_date").alias("month"))
+    part = (led.groupBy("account_id", F.year("txn_date").alias("year"), F.month("txn_date").alias("month"))
             .agg(conditional_sum(amt, wo).alias("write_off_amount"), F.count(F.when(wo, 1)).alias("write_off_rows"),
                  conditional_sum(amt, fg).alias("forgiveness_amount"),
                  F.count(F.when(fg, 1)).alias("forgiveness_rows")))
+    return resolve_and_sum(part, successor_map, "zero", AM_KEYS,
+                           ["write_off_amount", "write_off_rows", "forgiveness_amount", "forgiveness_rows"])
 
 
 def signed_amount(code: Column, amount: Column, product: Column, plan: Column) -> Column:
@@ -110,16 +127,16 @@ def signed_monthly_base(ledger: DataFrame, successor_map: DataFrame, accounts: D
     led = ledger.where(F.col("txn_date").between(F.lit(start), F.lit(end))
                        & _in("code", R.LEDGER_FILTER_CODES) & _in("product", R.LEDGER_FILTER_FAMILIES)
                        & _in("plan", R.LEDGER_FILTER_PLANS))
-    led = resolve_key(led.select("account_id", "product", "txn_date", "code", "amount", "plan"),
-                      successor_map, mode="zero")
     led = led.withColumns({
         "n_flag": R.QUALIFYING_TXN.column(code="code", product="product", plan="plan"),
         "signed": signed_amount(F.col("code"), F.col("amount"), F.col("product"), F.col("plan")),
     })
     acc = accounts.select(F.col("account_id").alias("a_id"), "open_date")
-    g = (led.groupBy("account_id", "product", F.year("txn_date").alias("origin_year"),
-                     F.month("txn_date").alias("origin_month"), "plan")
-         .agg(F.sum("n_flag").cast("long").alias("n_txn"), F.sum("signed").alias("amount")))
+    part = (led.groupBy("account_id", "product", F.year("txn_date").alias("origin_year"),
+                        F.month("txn_date").alias("origin_month"), "plan")
+            .agg(F.sum("n_flag").cast("long").alias("n_txn"), F.sum("signed").alias("amount")))
+    g = resolve_and_sum(part, successor_map, "zero",
+                        ["account_id", "product", "origin_year", "origin_month", "plan"], ["n_txn", "amount"])
     # the open date is a function of the account: attach after aggregating
     g = g.join(acc, g.account_id == acc.a_id, "left").drop("a_id")
     return g.withColumn("channel", R.CHANNEL.column(plan="plan"))
@@ -137,21 +154,22 @@ def ledger_monthly_facts(ledger: DataFrame, successor_map: DataFrame, start: _dt
                  & _in(plan, R.LEDGER_FILTER_PLANS))
     sets = _in(code, tuple(write_off) + tuple(forgiveness))
     led = ledger.where(F.col("txn_date").between(F.lit(start), F.lit(end)) & (base_rows | sets))
-    led = resolve_key(led.select("account_id", "product", "txn_date", "code", "amount", "plan"),
-                      successor_map, mode="zero")
     amt = F.col("amount")
     in_base = (_in(code, R.LEDGER_FILTER_CODES) & _in(product, R.LEDGER_FILTER_FAMILIES)
                & _in(plan, R.LEDGER_FILTER_PLANS))
     wo, fg = _in(code, write_off), _in(code, forgiveness)
     qual = R.QUALIFYING_TXN.column(code="code", product="product", plan="plan")
-    return (led.groupBy("account_id", "product", F.year("txn_date").alias("year"), F.month("txn_date").alias("month"),
-                        "plan")
+    part = (led.groupBy("account_id", "product", F.year("txn_date").alias("year"),
+                        F.month("txn_date").alias("month"), "plan")
             .agg(F.count(F.when(in_base, 1)).alias("base_rows"),
                  F.sum(F.when(in_base, qual)).cast("long").alias("n_txn"),
                  F.sum(F.when(in_base, signed_amount(code, amt, product, plan))).alias("amount"),
                  conditional_sum(amt, wo).alias("write_off_amount"), F.count(F.when(wo, 1)).alias("write_off_rows"),
                  conditional_sum(amt, fg).alias("forgiveness_amount"),
                  F.count(F.when(fg, 1)).alias("forgiveness_rows")))
+    return resolve_and_sum(part, successor_map, "zero", ["account_id", "product", "year", "month", "plan"],
+                           ["base_rows", "n_txn", "amount", "write_off_amount", "write_off_rows",
+                            "forgiveness_amount", "forgiveness_rows"])
 
 
 def cash_advance_base(facts: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -189,8 +207,6 @@ def net_monthly_base(ledger: DataFrame, successor_map: DataFrame, start: _dt.dat
     codes = R.NET_BASE_CODES + R.NET_BASE_REVERSALS
     led = ledger.where(F.col("txn_date").between(F.lit(start), F.lit(end)) & _in("plan", R.LEDGER_FILTER_PLANS)
                        & _in("code", codes) & _in("product", (110, 100, 210, 200)))
-    led = resolve_key(led.select("account_id", "product", "txn_date", "code", "amount", "plan", "store_id"),
-                      successor_map, mode="null")
     code, amt = F.col("code"), F.col("amount")
     led = led.withColumns({
         "year": F.year("txn_date"), "month": F.month("txn_date"),
@@ -199,6 +215,11 @@ def net_monthly_base(ledger: DataFrame, successor_map: DataFrame, start: _dt.dat
         "sgn_n": F.when(_in(code, R.NET_BASE_REVERSALS), F.lit(-1)).when(_in(code, R.NET_BASE_CODES), F.lit(1))
         .otherwise(F.lit(0)),
     })
+    # partial sums by the own id, then resolution (null mode) on the small result
+    part = (led.groupBy("account_id", "product", "year", "month", "plan", "code", "store_id")
+            .agg(F.sum("sgn_amt").alias("sgn_amt"), F.sum("sgn_n").alias("sgn_n")))
+    led = resolve_and_sum(part, successor_map, "null",
+                          ["account_id", "product", "year", "month", "plan", "code", "store_id"], ["sgn_amt", "sgn_n"])
     media = (led.groupBy("plan", "year", "month", "product", "account_id", "store_id")
              .agg(F.sum("sgn_n").alias("n"), F.sum("sgn_amt").alias("net")))
     cells = media.where(F.col("net") > 0).select("year", "month", "product", "account_id", "store_id").distinct()
@@ -259,6 +280,6 @@ def manual_auth_monthly(manual: DataFrame, successor_map: DataFrame, month_start
                         next_month: _dt.date) -> DataFrame:
     """Manual limit releases of one closed month per resolved account."""
     m = manual.where((F.col("auth_date") >= F.lit(month_start)) & (F.col("auth_date") < F.lit(next_month)))
-    m = resolve_key(m, successor_map, mode="null")
-    return (m.groupBy("account_id", F.year("auth_date").alias("year"), F.month("auth_date").alias("month"))
+    part = (m.groupBy("account_id", F.year("auth_date").alias("year"), F.month("auth_date").alias("month"))
             .agg(F.sum("released_amount").alias("manual_amount"), F.count(F.lit(1)).alias("manual_count")))
+    return resolve_and_sum(part, successor_map, "null", AM_KEYS, ["manual_amount", "manual_count"])

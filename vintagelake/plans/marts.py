@@ -163,9 +163,10 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
     acc_on = {"account_id": "account_id"}
     months = (F.col("year") * 100 + F.col("month")).between(start.year * 100 + start.month,
                                                              end.year * 100 + end.month)
-    ind = keys.resolve_key(inp.indicators.where(months), inp.successor_map, mode="zero")
-    pivot = G.indicator_pivot(ind, with_total=False).select(
-        *AM, "int_fin", "int_mor", F.col("int_msi_any").alias("int_msi"))
+    pivot = G.resolve_and_sum(
+        G.indicator_pivot(inp.indicators.where(months), with_total=False).select(
+            *AM, "int_fin", "int_mor", F.col("int_msi_any").alias("int_msi")),
+        inp.successor_map, "zero", AM, ["int_fin", "int_mor", "int_msi"])
     codes = G.code_sets_from_facts(facts)
     fees = G.commissions(inp.indicators)
     seg = enrich.segment_history(inp.macro_old, inp.macro_new).select(*AM, "segment_official")
