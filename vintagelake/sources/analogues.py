@@ -238,7 +238,7 @@ def zone_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def macro_segments(spark: SparkSession, sf_dir: str, generation: str) -> DataFrame:
     """Macro-segment source, two generations split at 1998-01-01."""
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    cond = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")
+    cond = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
     o = o.where(cond if generation == "old" else ~cond)
     return o.select(F.col("o_custkey").alias("account_id"), F.col("o_orderdate").cast("date").alias("segment_date"),
                     ((F.col("o_orderkey") % 7) * 33).cast("int").alias("segment_official"),
