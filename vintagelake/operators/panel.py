@@ -121,9 +121,10 @@ def vintage_panel(origins: DataFrame, snaps: DataFrame, key: str = "account_id",
     explodes inside one task -- a blow-up in the join *output* that AQE's
     input-size skew detection cannot see.  Keys with at least ``hot_rows``
     snapshot rows are salted: their snapshot rows are spread over
-    ``salt_buckets`` buckets by observation month and only their origin rows
-    are replicated per bucket; every (origin, snapshot) pair is still
-    produced exactly once.  The hot-key table comes from an aggregate with
+    ``salt_buckets`` buckets by a hash of the whole row (deterministic, so a
+    retried task rebuilds the same buckets; it also splits one hot month)
+    and only their origin rows are replicated per bucket; every (origin,
+    snapshot) pair is still produced exactly once.  The hot-key table comes from an aggregate with
     map-side combine and holds at most rows / ``hot_rows`` keys; pass ``hot``
     (from ``hot_keys`` on the plain snapshots) when ``snaps`` carries joined
     enrichment, so the count does not drag the enrichment joins along.
@@ -136,7 +137,8 @@ def vintage_panel(origins: DataFrame, snaps: DataFrame, key: str = "account_id",
         if hot is None:
             hot = hot_keys(snaps, key, t)
         s = (snaps.join(hot, snaps[key] == hot["__hot_key"], "left").drop("__hot_key")
-             .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.hash(obs_year, obs_month), F.lit(k)))
+             .withColumn("__salt", F.when(F.col("__hot"),
+                                          F.pmod(F.hash(*[F.col(c) for c in snaps.columns]), F.lit(k)))
                          .otherwise(F.lit(0))).drop("__hot").alias("s"))
         o = (origins.join(hot, origins[key] == hot["__hot_key"], "left").drop("__hot_key")
              .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(k - 1)))
