@@ -439,13 +439,34 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
         inp.successor_map, mode="null").distinct()
     is110 = F.col("product").isin(110)
     keep = (is110 & ~F.col("state").isin("T")) | ~is110
-    # initial state of each vintage (first observation month; ties -- two old
+    # Initial state of each vintage (first observation month; ties -- two old
     # ids resolved onto one account -- broken by the values themselves),
-    # computed on a narrow panel and attached to the base before expansion
-    order = ["year", "month", "product", "plan", "code", "score", "level", "state", "brand", "totalero_flag"]
-    first = panel.first_observation(base.select("account_id", "origin_year", "origin_month", "product", "plan", "code"),
-                                    snap.select("account_id", "year", "month", "score", "level", "state", "brand",
-                                                "totalero_flag"), order, where=keep)
+    # attached to the base before the expansion.  The order's prefix (month, then the origin's product/plan/code) is fixed
+    # per origin and month, so only the smallest snapshot tail of each
+    # account-month can win -- per eligibility class (family 110 skips state
+    # 'T' and NULL).  Reducing the snapshots to <= 2 rows per account-month
+    # first keeps the first-observation join small even for a key that
+    # collects many accounts.
+    tail = ["score", "level", "state", "brand", "totalero_flag"]
+
+    def _reduced(df, cls):
+        return (df.groupBy("account_id", "year", "month").agg(F.min(F.struct(*tail)).alias("__t"))
+                .select("account_id", "year", "month", F.lit(cls).alias("__cls"),
+                        *[F.col(f"__t.{c}").alias(c) for c in tail]))
+
+    s_red = _reduced(snap, "other").unionByName(_reduced(snap.where(~F.col("state").isin("T")), "110"))
+    o_cls = base.select("account_id", "origin_year", "origin_month", "product", "plan", "code").withColumn(
+        "__cls", F.when(F.col("product") == 110, F.lit("110")).when(F.col("product").isNotNull(), F.lit("other")))
+    order = ["year", "month", "product", "plan", "code"] + tail
+    o_, r_ = o_cls.alias("o"), s_red.alias("r")
+    j = o_.join(r_, (F.col("o.account_id") == F.col("r.account_id")) & (F.col("o.__cls") == F.col("r.__cls"))
+                & (P.month_offset("o.origin_year", "o.origin_month", "r.year", "r.month") >= 0), "inner")
+    first = (j.groupBy(F.col("o.account_id").alias("account_id"), F.col("o.origin_year").alias("origin_year"),
+                       F.col("o.origin_month").alias("origin_month"))
+             .agg(F.min(F.struct(*[F.col(f"r.{c}") if c in ("year", "month") or c in tail else F.col(f"o.{c}")
+                                   for c in order])).alias("__first")))
+    first = first.select("account_id", "origin_year", "origin_month",
+                         *[F.col(f"__first.{c}").alias(f"first_{c}") for c in order])
     seg = enrich.segment_history(inp.macro_old, inp.macro_new).select(*AM, "segment_official")
     fseg = seg.select(F.col("account_id").alias("__a"), F.col("year").alias("__y"), F.col("month").alias("__m"),
                       "segment_official")
