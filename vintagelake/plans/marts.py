@@ -35,7 +35,6 @@ from vintagelake.operators import enrich, keys, overdraft, panel, windows
 from vintagelake.operators.enrich import Dim
 from vintagelake.sources import analogues as A
 from vintagelake.session import stage
-from vintagelake.sources import sinks
 
 AM = ["account_id", "year", "month"]
 

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from vintagelake.functions import periods as P
 from vintagelake.functions import ruleset as R
-from vintagelake.operators import keys, panel
-from vintagelake.plans.registry import HISTORY_START, register
+from vintagelake.operators import panel
+from vintagelake.plans.registry import register
 from vintagelake.sources import analogues as A
 
 _F30_SQL = R.FLAG_30.sql(level="s.level")

@@ -10,10 +10,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from vintagelake.functions import ruleset as R
-from vintagelake.operators import aggregates as G
 from vintagelake.plans import marts as M
 from vintagelake.plans.registry import OVERDRAFT_RUN_DATE, RUN_DATE_HISTORY, register
-from vintagelake.plans.queries_aggs import (COHORT_BRAND, COHORT_CTE, COHORT_PRODUCT, COHORT_SINCE, COHORT_STORES,
+from vintagelake.plans.queries_aggs import (COHORT_BRAND, COHORT_PRODUCT, COHORT_SINCE, COHORT_STORES,
                                             EXCLUDED_ACCOUNTS, NET_BASE_CTES, OD_CTES, OD_CLOSING_CTES, SIGNED_BASE_CTES,
                                             WEB_STORES,
                                             WINDOW_END, WINDOW_START, _d, _sql_in)
