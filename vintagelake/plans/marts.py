@@ -119,7 +119,7 @@ def enriched_snapshot(inp: Inputs, run_date: _dt.date) -> DataFrame:
         Dim(enrich.demographics(inp.clients, run_date), acc_on, ["gender", "age"], unique=True),
         Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit("1")), acc_on, ["digital_flag"],
             {"digital_flag": "0"}, unique=True),
-        Dim(inp.stores, {"store_id": "store_id"}, ["zone_code"]),
+        Dim(inp.stores, {"store_id": "store_id"}, ["zone_code"], unique=True),
         Dim(enrich.zone_normalise(inp.zone_history), {"store_id": "store_id"}, ["zone", "zone_id"], unique=True),
     ]
     out = enrich.star_join(base, dims)
@@ -178,7 +178,7 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
             unique=True),
         Dim(fees, ym, ["fee_amount"], {"fee_amount": 0}, unique=True),
         Dim(seg, ym, ["segment_official"], unique=True),
-        Dim(inp.stores, {"store_id": "store_id"}, ["zone_code"]),
+        Dim(inp.stores, {"store_id": "store_id"}, ["zone_code"], unique=True),
         Dim(enrich.zone_normalise(inp.zone_history), {"store_id": "store_id"}, ["zone"], unique=True),
     ])
     base = enrich.star_join(base, [
@@ -379,7 +379,7 @@ def cohort_mart(inp: Inputs, product: int, brand: int, since: _dt.date, stores:
         Dim(monthly_income(inp.income), ym, ["income"], unique=True),
         Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit(1)), {"account_id": "account_id"},
             ["digital_flag"], {"digital_flag": 0}, unique=True),
-        Dim(inp.stores, {"open_store": "store_id"}, ["zone_code"]),
+        Dim(inp.stores, {"open_store": "store_id"}, ["zone_code"], unique=True),
     ]
     e = enrich.star_join(p, dims)
     e = e.withColumns({
@@ -485,7 +485,7 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
         "store_id", F.col("zone_desc").alias("zone_name"))
     snap = enrich.star_join(snap, [
         Dim(seg, {"account_id": "account_id", "year": "year", "month": "month"}, ["segment_official"], unique=True),
-        Dim(inp.stores, {"store_id": "store_id"}, ["zone_code"]),
+        Dim(inp.stores, {"store_id": "store_id"}, ["zone_code"], unique=True),
         Dim(zraw, {"store_id": "store_id"}, ["zone_name"], unique=True),
     ])
     base = enrich.star_join(base, [
