@@ -273,8 +273,10 @@ def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = ()
     from that month on, with overdraft-form labels."""
     ep = overdraft.overdraft_episodes(inp.auth_events, inp.manual_auths, inp.snapshots, inp.successor_map,
                                       run_date, excluded)
-    ep = ep.select(F.col("account_id"), F.col("origin_year"), F.col("origin_month"), "origin_class",
-                   "overdraft_amount", "total_amount", "total_approved", "section").distinct()
+    # the month's episodes feed the panel and every dimension's key filter:
+    # staged once (a small table) so the episode chain runs once
+    ep = stage(ep.select(F.col("account_id"), F.col("origin_year"), F.col("origin_month"), "origin_class",
+                         "overdraft_amount", "total_amount", "total_approved", "section").distinct())
     snap = keys.resolve_key(inp.snapshots, inp.successor_map, mode="zero")
     snap = panel.prepare_snapshot(snap)
     acc = inp.accounts.select(F.col("account_id").alias("a_id"), "open_date")
@@ -312,16 +314,22 @@ def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = ()
                        "mob_band_numbered": R.MOB_BAND_NUMBERED.column(mob="mob_origin")})
     ym = {"account_id": "account_id", "year": "year", "month": "month"}
     acc_on = {"account_id": "account_id"}
-    demo = windows.latest(inp.clients, ["account_id"], [F.col("client_open_date").asc_nulls_last()],
+    # The panel covers one month's episodes: restrict every dimension source
+    # to its accounts (left-semi join on a small key set) before aggregating,
+    # instead of aggregating the whole ledger to enrich a few accounts.
+    keys_ = ep.select("account_id").distinct()
+    led = inp.ledger.join(keys_, "account_id", "left_semi")
+    demo = windows.latest(inp.clients.join(keys_, "account_id", "left_semi"), ["account_id"],
+                          [F.col("client_open_date").asc_nulls_last()],
                           [F.col("logo").asc()]).select("account_id", "birth_date", "gender_code")
     dims = [
-        Dim(G.indicator_pivot(inp.indicators, with_total=False), ym, ["int_fin", "int_mor", "int_msi"],
-            {"int_fin": 0, "int_mor": 0, "int_msi": 0}, unique=True),
-        Dim(G.txn_monthly(inp.ledger), ym, ["write_off_amount", "write_off_count", "forgiveness_amount",
-                                            "forgiveness_count"],
+        Dim(G.indicator_pivot(inp.indicators.join(keys_, "account_id", "left_semi"), with_total=False), ym,
+            ["int_fin", "int_mor", "int_msi"], {"int_fin": 0, "int_mor": 0, "int_msi": 0}, unique=True),
+        Dim(G.txn_monthly(led), ym, ["write_off_amount", "write_off_count", "forgiveness_amount",
+                                     "forgiveness_count"],
             {"write_off_amount": 0, "write_off_count": 0, "forgiveness_amount": 0, "forgiveness_count": 0},
             unique=True),
-        Dim(G.online_months(inp.ledger, web_stores).withColumn("web_flag", F.lit(1)), ym, ["web_flag"],
+        Dim(G.online_months(led, web_stores).withColumn("web_flag", F.lit(1)), ym, ["web_flag"],
             {"web_flag": 0}, unique=True),
         Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit("1")), acc_on, ["digital_flag"],
             {"digital_flag": "0"}, unique=True),
@@ -365,8 +373,11 @@ def cohort_mart(inp: Inputs, product: int, brand: int, since: _dt.date, stores:
     snap = panel.prepare_snapshot(inp.snapshots.where(F.col("brand") == brand), since_yyyymm,
                                   R.AMOUNT_BAND_COHORT, R.AMOUNT_BAND_COHORT)
     p = panel.vintage_panel(coh, snap.where(~F.col("state").isin("T")))
-    pivot = G.indicator_pivot(inp.indicators, since_yyyymm=since_yyyymm, with_total=False)
-    txn = G.txn_monthly(inp.ledger, since=_dt.date(since.year, since.month, 1))
+    # dimension sources restricted to the cohort's accounts before aggregating
+    keys_ = coh.select("account_id").distinct()
+    pivot = G.indicator_pivot(inp.indicators.join(keys_, "account_id", "left_semi"), since_yyyymm=since_yyyymm,
+                              with_total=False)
+    txn = G.txn_monthly(inp.ledger.join(keys_, "account_id", "left_semi"), since=_dt.date(since.year, since.month, 1))
     ym = {"account_id": "account_id", "year": "year", "month": "month"}
     dims = [
         Dim(pivot, ym, ["int_fin", "int_mor", "int_msi"], {"int_fin": 0, "int_mor": 0, "int_msi": 0}, unique=True),
