@@ -11,9 +11,10 @@ document with its set size and its connected component.
 * Light sets (fewer than ``x`` shingles) enumerate all 2-subsets of their
   prefix: linked sets share at least one.
 * Heavy sets scan the inverted lists of the shingles in their prefix.
-* ``x`` minimises the estimated rows of both paths, from the measured size
-  histogram and the sketch's mean list length.  Sets near ``x`` are also listed.
-* Each list is compared with its smallest member only (a star, not all pairs).
+* ``x`` minimises the estimated rows of both paths, from the sizes of all sets
+  and the sketch's list lengths.  Sets near ``x`` are also listed.
+* A list of a few rows gives all its pairs; every longer one is compared with
+  its smallest member only (a star, not all pairs).
   A cluster, the members around one such pivot, that verification did not
   unite is then compared across its components, in blocks of bounded bytes
   that find links without emitting pairs.  Thus no link between different
@@ -34,7 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintagelake.llm import sketch
@@ -44,11 +45,14 @@ SKETCH_BITS = 20
 TOKEN_BYTES = 5
 MAX_LIGHT = 64
 HOT_LIST = 65536
+FEW = 4
 BLOCK_BYTES = 16 << 20
 FILTER_BUCKETS = 1 << 20
 
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                   0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+SEGMENT = 1 << 21
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -57,34 +61,104 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-class _Words(dict):
-    """Word -> 64-bit hash, kept for a task and emptied when large."""
+class Hasher:
+    """64-bit hashes of the words of UTF-8 text, many texts at once.
 
-    def __missing__(self, word):
-        if len(self) > 1_000_000:
-            self.clear()
-        v = self[word] = xxhash.xxh3_64_intdigest(word)
-        return v
-
-
-def shingle_hashes(text: str | None, k: int, words: _Words) -> np.ndarray:
-    """64-bit hashes of the word ``k``-grams of a text, repeats included.
+    A word's hash is a polynomial over random numbers of its A-Z lower-cased
+    bytes; words are split at the bytes 0x20 and 0x09-0x0D.
+    """
 
-    bytes.lower() and bytes.split() are A-Z lower-casing and splitting on
-    [\\x20\\x09-\\x0D] exactly.
+    def __init__(self):
+        table = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+        table[65:91] = table[97:123]
+        space = np.zeros(256, bool)
+        space[[9, 10, 11, 12, 13, 32]] = True
+        self.table, self.space = table, space
+        inverse = pow(_BASE, -1, 1 << 64)
+        self.up = np.full(2 * SEGMENT, _BASE, np.uint64)
+        self.down = np.full(2 * SEGMENT, inverse, np.uint64)
+        self.up[0] = self.down[0] = 1
+        np.cumprod(self.up, out=self.up)
+        np.cumprod(self.down, out=self.down)
+
+    def words(self, data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, first byte) of each word; no word spans a position of ``cuts``."""
+        full = ~self.space[data]
+        edge = np.empty(len(data) + 1, bool)
+        edge[0] = edge[-1] = True
+        np.not_equal(full[1:], full[:-1], out=edge[1:-1])
+        edge[cuts] = True
+        at = np.flatnonzero(edge)
+        lo, hi = at[:-1], at[1:]
+        word = full[lo]
+        lo, hi = lo[word], hi[word]
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.table[data] * self.up[:len(data)], out=total[1:])
+        return _mix((total[hi] - total[lo]) * self.down[lo]), lo
+
+
+def batch_words(column: pa.Array, hasher: Hasher):
+    """Yield (row numbers, number of words of each, word hashes) for the texts of an Arrow column.
+
+    Short texts go together, long ones in segments cut at a space (or, inside
+    a word over SEGMENT bytes, at a fixed length).
+    """
+    if not len(column):
+        return
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    row = 0
+    while row < len(column):
+        last = max(row + 1, int(np.searchsorted(offsets, offsets[row] + SEGMENT, "right")) - 1)
+        lo, hi = int(offsets[row]), int(offsets[last])
+        if hi - lo <= SEGMENT or last > row + 1:
+            h, at = hasher.words(data[lo:hi], offsets[row:last] - lo)
+            n = np.diff(np.searchsorted(at, offsets[row:last + 1] - lo))
+        else:
+            parts = []
+            while lo < hi:
+                end = min(hi, lo + SEGMENT)
+                if end < hi:
+                    gaps = np.flatnonzero(hasher.space[data[lo:end]])
+                    end = lo + int(gaps[-1]) + 1 if len(gaps) else end
+                parts.append(hasher.words(data[lo:end], np.zeros(1, np.int64))[0])
+                lo = end
+            h = np.concatenate(parts)
+            n = np.array([len(h)])
+        yield np.arange(row, last), n, h
+        row = last
+
+
+def batch_shingles(column: pa.Array, k: int, hasher: Hasher):
+    """Yield (row numbers, number of shingles of each, shingle hashes), repeats included.
+
+    A text of 1 to k - 1 words has one shingle, the whole sequence.
     """
-    ws = text.encode().lower().split() if text else ()
-    n = len(ws)
-    if not n:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(words.__getitem__, ws), np.uint64, n)
-    width = min(k, n)
-    m = n - width + 1
-    out = np.full(m, width, np.uint64)
-    for j in range(width):
-        out = (out ^ (h[j:j + m] * _MULT[j % 8])) * _MULT[(j + 3) % 8]
-        out ^= out >> np.uint64(29)
-    return _mix(out)
+    for rows, n, h in batch_words(column, hasher):
+        end = np.cumsum(n)
+        start, out = end - n, np.empty(0, np.uint64)
+        if len(h) >= k:
+            out = np.full(len(h) - k + 1, k, np.uint64)
+            for j in range(k):
+                out = (out ^ (h[j:j + len(out)] * _MULT[j % 8])) * _MULT[(j + 3) % 8]
+                out ^= out >> np.uint64(29)
+            out = _mix(out)
+        made = np.maximum(n - k + 1, 0)
+        short = np.flatnonzero((n > 0) & (n < k))
+        owner = np.repeat(np.arange(len(n)), n)[:len(out)]
+        keep = np.arange(len(out)) < (start + made)[owner]
+        out = out[keep]
+        if len(short):
+            whole = np.empty(len(short), np.uint64)
+            for i, r in enumerate(short):
+                v = np.full(1, n[r], np.uint64)
+                for j, x in enumerate(h[start[r]:end[r]]):
+                    v = (v ^ (x * _MULT[j % 8])) * _MULT[(j + 3) % 8]
+                    v ^= v >> np.uint64(29)
+                whole[i] = _mix(v)[0]
+            out = np.insert(out, np.cumsum(made)[short], whole)
+            made[short] = 1
+        yield rows, made, out
 
 
 def _needed(n: int, percent: int) -> int:
@@ -100,53 +174,38 @@ def _size(n: int, percent: int, x: int) -> tuple[int, int]:
     return scanned, light
 
 
-def boundary(sizes: np.ndarray, rest: int, list_rows: float, percent: int) -> int:
+def boundary(sizes: dict[int, tuple[int, float]], percent: int) -> int:
     """The size from which sets scan lists: the cheapest of 1..MAX_LIGHT.
 
-    ``sizes[n]`` counts sets of n shingles.  Enumerating costs a row for each
-    2-subset of the prefix; scanning costs, for each prefix shingle, a row and
-    the mean number of other rows in its list.
+    ``sizes[n]``: how many sets have n shingles, and the sketch's estimate of
+    the other rows in the lists of their prefix shingles.  Enumerating costs a
+    row for each 2-subset of the prefix; scanning costs a row for each prefix
+    shingle and the other rows of its list.
     """
     def cost(x):
         total = 0.0
-        for n in range(1, len(sizes)):
+        for n, (count, others) in sizes.items():
             scanned, light = _size(n, percent, x)
-            total += sizes[n] * (scanned * (1 + list_rows) + light * (light - 1) / 2)
+            total += count * (scanned + light * (light - 1) / 2) + (others if scanned else 0)
         return total
     return min(range(1, MAX_LIGHT + 1), key=lambda x: (cost(x), x))
 
 
-def _statistics(docs: DataFrame, k: int, percent: int) -> tuple[np.ndarray, int]:
-    """Order code of each sketch bucket, and the light/heavy boundary."""
+def _order(docs: DataFrame, k: int) -> tuple[np.ndarray, float]:
+    """Order code of each sketch bucket (twice the log of its count), and the mean count."""
     buckets = 1 << SKETCH_BITS
 
     def count(batches):
-        words, acc = _Words(), np.zeros(buckets + MAX_LIGHT + 2, np.int64)
-        held, n_held = [], 0
+        hasher, acc = Hasher(), np.zeros(buckets, np.int64)
         for b in batches:
-            for t in b.column(0):
-                h = shingle_hashes(t.as_py(), k, words)
-                if len(h):
-                    n = len(np.unique(h)) if len(h) <= 2 * MAX_LIGHT else len(h)
-                    acc[buckets + min(n, MAX_LIGHT + 1)] += 1
-                    held.append(h)
-                    n_held += len(h)
-                if n_held > 2_000_000:
-                    acc[:buckets] += np.bincount(np.concatenate(held) >> np.uint64(64 - SKETCH_BITS), minlength=buckets)
-                    held, n_held = [], 0
-        if held:
-            acc[:buckets] += np.bincount(np.concatenate(held) >> np.uint64(64 - SKETCH_BITS), minlength=buckets)
+            for _, _, h in batch_shingles(b.column(0), k, hasher):
+                acc += np.bincount(h >> np.uint64(64 - SKETCH_BITS), minlength=buckets)
         chunks = list(sketch.pack(acc))
         yield pa.RecordBatch.from_arrays([pa.array([c[0] for c in chunks], pa.int32()),
                                           pa.array([c[1] for c in chunks], pa.binary())], ["chunk", "counts"])
 
-    both = sketch.total(docs.select("text").mapInArrow(count, sketch.SCHEMA), buckets + MAX_LIGHT + 2)
-    counts, sizes = both[:buckets], both[buckets:]
-    total = max(1, int(counts.sum()))
-    noise = total / buckets
-    list_rows = max(0.0, float((counts.astype(float) ** 2).sum()) / total - noise - 1)
-    code = np.floor(2 * np.log2(counts + 1)).astype(np.uint8)
-    return code, boundary(sizes[:MAX_LIGHT + 1], int(sizes[MAX_LIGHT + 1]), list_rows, percent)
+    counts = sketch.total(docs.select("text").mapInArrow(count, sketch.SCHEMA), buckets)
+    return np.floor(2 * np.log2(counts + 1)).astype(np.uint8), float(counts.mean())
 
 
 def _unpack(blob: bytes) -> np.ndarray:
@@ -155,28 +214,35 @@ def _unpack(blob: bytes) -> np.ndarray:
     return raw.view("<u8").ravel()
 
 
-def shingle_sets(docs: DataFrame, code: np.ndarray, k: int) -> DataFrame:
-    """(doc_id, th, n, sid, toks): hash of the text, the set's size, id, and its shingles in order as 40-bit numbers."""
+def shingle_sets(docs: DataFrame, code: np.ndarray, mean: float, k: int, percent: int) -> DataFrame:
+    """(doc_id, th, n, sid, others, toks): hash of the text, the set's size, id, the estimated
+    other rows in its prefix lists, and its shingles in order as 40-bit numbers."""
+    other_rows = np.maximum(0, 2.0 ** (np.arange(256) / 2) - 1 - mean - 4 * mean ** 0.5)
+
     def build(batches):
-        words = _Words()
+        hasher = Hasher()
         for b in batches:
-            n, sid, toks = [], [], []
-            for t in b.column(1):
-                h = shingle_hashes(t.as_py(), k, words)
-                if not len(h):
-                    n.append(0), sid.append(None), toks.append(None)
-                    continue
+            n, sid, toks, others = [], [], [], []
+            for _, made, h in batch_shingles(b.column(1), k, hasher):
                 order = code[h >> np.uint64(64 - SKETCH_BITS)].astype(np.uint64)
-                keys = np.unique((order << np.uint64(56)) | (h >> np.uint64(8)))
-                packed = ((keys >> np.uint64(16)) & np.uint64((1 << 40) - 1)).view(np.uint8).reshape(-1, 8)
-                n.append(len(keys))
-                sid.append(xxhash.xxh3_64_intdigest(keys.tobytes()) - (1 << 63))
-                toks.append(np.ascontiguousarray(packed[:, :TOKEN_BYTES]).tobytes())
+                keys, at = (order << np.uint64(56)) | (h >> np.uint64(8)), 0
+                for m in made.tolist():
+                    if not m:
+                        n.append(0), sid.append(None), toks.append(None), others.append(0.0)
+                        continue
+                    own = np.unique(keys[at:at + m])
+                    at += m
+                    packed = ((own >> np.uint64(16)) & np.uint64((1 << 40) - 1)).view(np.uint8).reshape(-1, 8)
+                    n.append(len(own))
+                    sid.append(xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63))
+                    toks.append(np.ascontiguousarray(packed[:, :TOKEN_BYTES]).tobytes())
+                    prefix = len(own) - _needed(len(own), percent) + 1
+                    others.append(float(other_rows[own[:prefix] >> np.uint64(56)].sum()) if len(own) <= MAX_LIGHT else 0.0)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(sid, pa.int64()),
-                 pa.array(toks, pa.binary())], ["doc_id", "th", "n", "sid", "toks"])
+                 pa.array(others, pa.float64()), pa.array(toks, pa.binary())], ["doc_id", "th", "n", "sid", "others", "toks"])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th")).mapInArrow(
-        build, "doc_id long, th long, n long, sid long, toks binary")
+        build, "doc_id long, th long, n long, sid long, others double, toks binary")
 
 
 def signatures(sets: DataFrame, code: np.ndarray, x: int, percent: int, hot_list: int) -> DataFrame:
@@ -216,24 +282,40 @@ def signatures(sets: DataFrame, code: np.ndarray, x: int, percent: int, hot_list
         emit, "sig long, sid long, n int, pos int, hot boolean")
 
 
-def _pivot_pairs(sigs: DataFrame, percent: int) -> DataFrame:
-    """(p, m, ok): each list's smallest set id with every other member of the list.
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """False where the sizes or the places of the shared signature rule a link out."""
+    size = lambda x: F.col(f"{x}.n")
+    reach = F.least(size(a) - F.col(f"{a}.pos"), size(b) - F.col(f"{b}.pos"))
+    return (100 * F.least(size(a), size(b)) >= percent * F.greatest(size(a), size(b))) \
+        & (reach * (100 + percent) >= percent * (size(a) + size(b)))
+
+
+def _candidates(sigs: DataFrame, percent: int) -> DataFrame:
+    """(p, m, ok, far): pairs of set ids that share a signature.
 
-    ``ok`` is false where size or prefix positions rule a link out.  Lists that
-    the sketch calls hot are reduced map-side and joined back, so that the
-    join can split them; the others are read in one window.
+    Lists of at most FEW rows give all their pairs.  In longer ones (``far``)
+    every member is paired with the smallest set id only; ``ok`` is then false
+    where a link is ruled out.  Lists that the sketch calls hot are reduced
+    map-side and joined back, so that the join can split them; the others are
+    read in one window.
     """
-    pivot = F.min(F.struct("sid", "n", "pos"))
-    calm = sigs.filter(~F.col("hot")).withColumn("p", pivot.over(Window.partitionBy("sig")))
+    row = F.struct("sid", "n", "pos")
+    calm = sigs.filter(~F.col("hot")).select("sig", row.alias("m"))
+    by = Window.partitionBy("sig")
+    calm = calm.withColumn("rows", F.count(F.lit(1)).over(by))
+    calm = calm.filter("rows > 1")
+    by_id = by.orderBy("m.sid")
+    calm = calm.withColumns({"p": F.first("m").over(by_id), **{
+        f"b{i}": F.lag("m", i).over(by_id) for i in range(1, FEW)}})
     hot = sigs.filter("hot")
-    hot = hot.join(hot.groupBy("sig").agg(pivot.alias("p")), "sig")
-    rows = calm.select("sid", "n", "pos", "p").union(hot.select("sid", "n", "pos", "p"))
-    rows = rows.filter(F.col("sid") != F.col("p.sid"))
-    small, large = F.least("n", "p.n"), F.greatest("n", "p.n")
-    reach = 1 + F.least(F.col("n") - F.col("pos"), F.col("p.n") - F.col("p.pos")) - 1
-    ok = (100 * small >= percent * large) & (reach * (100 + percent) >= percent * (small + large))
-    return rows.select(F.col("p.sid").alias("p"), F.col("sid").alias("m"), ok.alias("ok")) \
-        .groupBy("p", "m").agg(F.max("ok").alias("ok"))
+    hot = hot.join(hot.groupBy("sig").agg(F.min(row).alias("p")), "sig").select("p", row.alias("m"))
+    far = calm.filter(F.col("rows") > FEW).select("p", "m").union(hot).filter("p.sid != m.sid").select(
+        F.col("p.sid").alias("p"), F.col("m.sid").alias("m"), _may_link("p", "m", percent).alias("ok"), F.lit(True).alias("far"))
+    back = F.explode(F.array(*[F.col(f"b{i}") for i in range(1, FEW)]))
+    near = calm.filter(F.col("rows") <= FEW).select("m", back.alias("p")).filter("p.sid != m.sid") \
+        .filter(_may_link("p", "m", percent)).select(
+        F.col("p.sid").alias("p"), F.col("m.sid").alias("m"), F.lit(True).alias("ok"), F.lit(False).alias("far"))
+    return far.union(near).groupBy("p", "m").agg(F.max("ok").alias("ok"), F.max("far").alias("far"))
 
 
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -322,28 +404,28 @@ def _across(key, xs: pd.DataFrame, ys: pd.DataFrame, percent: int) -> pd.DataFra
 
 def _residual(pairs: DataFrame, comps: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
     """Links inside clusters that the stars left in several components."""
-    members = pairs.select("p", F.col("m").alias("sid")).union(
-        pairs.groupBy("p").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("p", F.col("p").alias("sid")))
+    pairs = pairs.filter("far")
+    members = pairs.select("p", F.col("m").alias("sid")).union(pairs.select("p", F.col("p").alias("sid")).distinct())
     members = members.join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    home = comps.select(F.col("sid").alias("p"), F.col("comp").alias("home"))
-    open_ = members.groupBy("p").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                     F.max(F.col("p") == F.col("sid")).alias("whole"))
-    open_ = open_.filter("whole and c > 2 and lo != hi").select("p").join(home, "p", "left") \
-        .select("p", F.coalesce("home", "p").alias("home"))
-    rows = members.join(open_, "p").join(blobs.select("sid", "toks"), "sid")
-    rows = rows.withColumn("far", F.col("comp") != F.col("home"))
-    rows = stage(rows, "clusters")
-    weigh = F.octet_length("toks").cast("long")
+    members = members.join(blobs.select("sid", "n"), "sid")
+    home = F.max(F.when(F.col("p") == F.col("sid"), F.col("comp"))).alias("home")
+    clusters = members.groupBy("p").agg(
+        F.count(F.lit(1)).alias("c"), home, F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("c > 2 and lo != hi")
+    rows = members.join(clusters.select("p", "home"), "p").withColumn("apart", F.col("comp") != F.col("home"))
+    rows = stage(rows.select("p", "sid", "comp", "n", "apart"), "clusters")
+    weight = TOKEN_BYTES * F.col("n")
     plan = rows.groupBy("p").agg(
-        F.ceil(F.sum(weigh) / BLOCK_BYTES).alias("yb"),
-        F.ceil(F.sum(F.when(F.col("far"), weigh).otherwise(0)) / BLOCK_BYTES).alias("xb"))
+        F.ceil(F.sum(weight) / BLOCK_BYTES).alias("yb"),
+        F.ceil(F.sum(F.when(F.col("apart"), weight).otherwise(0)) / BLOCK_BYTES).alias("xb"))
     rows = rows.join(plan, "p")
     slot = F.xxhash64("sid", F.lit("block"))
-    xs = rows.filter("far").select("p", "sid", "comp", "toks", F.pmod(slot, "xb").alias("i"),
-                                   F.explode(F.sequence(F.lit(0).cast("long"), F.col("yb") - 1)).alias("j"))
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    xs = rows.filter("apart").select("p", "sid", "comp", F.pmod(slot, "xb").alias("i"), upto("yb").alias("j"))
     ys = rows.select(F.col("p").alias("yp"), F.col("sid").alias("ysid"), F.col("comp").alias("ycomp"),
-                     F.col("toks").alias("ytoks"), F.pmod(slot, "yb").alias("yj"),
-                     F.explode(F.sequence(F.lit(0).cast("long"), F.col("xb") - 1)).alias("yi"))
+                     F.pmod(slot, "yb").alias("yj"), upto("xb").alias("yi"))
+    toks = blobs.select(F.col("sid").alias("bsid"), "toks")
+    xs = xs.join(toks, F.col("sid") == F.col("bsid")).drop("bsid")
+    ys = ys.join(toks, F.col("ysid") == F.col("bsid")).drop("bsid").withColumnRenamed("toks", "ytoks")
 
     def across(key, a, b):
         return _across(key, a, b, percent)
@@ -353,15 +435,19 @@ def _residual(pairs: DataFrame, comps: DataFrame, blobs: DataFrame, percent: int
 def _labelled(docs: DataFrame, k: int, percent: int, hot_list: int) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, th, n, sid), and (sid, comp) for every set that has a link."""
     docs = docs.select("doc_id", "text")
-    code, x = _statistics(docs, k, percent)
-    sets = stage(shingle_sets(docs, code, k), "sets")
-    pairs = stage(_pivot_pairs(signatures(sets, code, x, percent, hot_list), percent), "pairs")
+    code, mean = _order(docs, k)
+    sets = stage(shingle_sets(docs, code, mean, k, percent), "sets")
+    small = sets.filter((F.col("n") > 0) & (F.col("n") <= MAX_LIGHT)).groupBy("n").agg(
+        F.count(F.lit(1)).alias("count"), F.sum("others").alias("others")).collect()
+    x = boundary({r["n"]: (r["count"], r["others"]) for r in small}, percent)
+    pairs = stage(_candidates(signatures(sets, code, x, percent, hot_list), percent), "pairs")
     # one bit per hash bucket of the wanted ids: at most FILTER_BUCKETS rows
     bucket = F.pmod(F.xxhash64("sid"), F.lit(FILTER_BUCKETS))
-    wanted = pairs.select(F.col("p").alias("sid")).union(pairs.select(F.col("m").alias("sid"))).select(
+    some = pairs.filter("ok or far")
+    wanted = some.select(F.col("p").alias("sid")).union(some.select(F.col("m").alias("sid"))).select(
         bucket.alias("bucket")).distinct()
     blobs = stage(sets.filter("n > 0").withColumn("bucket", bucket).join(F.broadcast(wanted), "bucket", "left_semi")
-                  .groupBy("sid").agg(F.first("toks").alias("toks")), "blobs")
+                  .groupBy("sid").agg(F.first("n").alias("n"), F.first("toks").alias("toks")), "blobs")
     links = stage(_verify(pairs.filter("ok").select("p", "m"), blobs, percent), "links")
     comps = components(links)
     more = stage(_residual(pairs, comps, blobs, percent), "more")
