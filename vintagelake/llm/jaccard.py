@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from vintagelake.llm import sketch
 from vintagelake.llm.common import attach, stage
 
-SKETCH_BITS = 20
+MIN_BITS, MAX_BITS = 20, 24
 TOKEN_BYTES = 5
 MAX_LIGHT = 64
 HOT_LIST = 65536
@@ -151,9 +151,9 @@ def batch_shingles(column: pa.Array, k: int, hasher: Hasher):
         if len(short):
             whole = np.empty(len(short), np.uint64)
             for i, r in enumerate(short):
-                v = np.full(1, n[r], np.uint64)
-                for j, x in enumerate(h[start[r]:end[r]]):
-                    v = (v ^ (x * _MULT[j % 8])) * _MULT[(j + 3) % 8]
+                v = n[r:r + 1].astype(np.uint64)
+                for j in range(int(n[r])):
+                    v = (v ^ (h[start[r] + j:start[r] + j + 1] * _MULT[j % 8])) * _MULT[(j + 3) % 8]
                     v ^= v >> np.uint64(29)
                 whole[i] = _mix(v)[0]
             out = np.insert(out, np.cumsum(made)[short], whole)
@@ -191,21 +191,20 @@ def boundary(sizes: dict[int, tuple[int, float]], percent: int) -> int:
     return min(range(1, MAX_LIGHT + 1), key=lambda x: (cost(x), x))
 
 
-def _order(docs: DataFrame, k: int) -> tuple[np.ndarray, float]:
-    """Order code of each sketch bucket (twice the log of its count), and the mean count."""
-    buckets = 1 << SKETCH_BITS
+def sketch_bits(rows: int) -> int:
+    """Log size of the sketch: a few shingles per bucket, within fixed bounds."""
+    return min(MAX_BITS, max(MIN_BITS, math.ceil(math.log2(rows * 64 + 1))))
+
 
+def _order(docs: DataFrame, k: int, bits: int) -> tuple[np.ndarray, float]:
+    """Order code of each sketch bucket (twice the log of its count), and the mean count."""
     def count(batches):
-        hasher, acc = Hasher(), np.zeros(buckets, np.int64)
+        hasher, counter = Hasher(), sketch.Counter()
         for b in batches:
             for _, _, h in batch_shingles(b.column(0), k, hasher):
-                acc += np.bincount(h >> np.uint64(64 - SKETCH_BITS), minlength=buckets)
-        chunks = list(sketch.pack(acc))
-        yield pa.RecordBatch.from_arrays([pa.array([c[0] for c in chunks], pa.int32()),
-                                          pa.array([c[1] for c in chunks], pa.binary())], ["chunk", "counts"])
-
-    counts = sketch.total(docs.select("text").mapInArrow(count, sketch.SCHEMA), buckets)
-    return np.floor(2 * np.log2(counts + 1)).astype(np.uint8), float(counts.mean())
+                counter.add(h >> np.uint64(64 - bits))
+        yield counter.batch()
+    return sketch.codes(docs.select("text").mapInArrow(count, sketch.SCHEMA), 1 << bits)
 
 
 def _unpack(blob: bytes) -> np.ndarray:
@@ -217,6 +216,7 @@ def _unpack(blob: bytes) -> np.ndarray:
 def shingle_sets(docs: DataFrame, code: np.ndarray, mean: float, k: int, percent: int) -> DataFrame:
     """(doc_id, th, n, sid, others, toks): hash of the text, the set's size, id, the estimated
     other rows in its prefix lists, and its shingles in order as 40-bit numbers."""
+    top = np.uint64(64 - (len(code).bit_length() - 1))
     other_rows = np.maximum(0, 2.0 ** (np.arange(256) / 2) - 1 - mean - 4 * mean ** 0.5)
 
     def build(batches):
@@ -224,7 +224,7 @@ def shingle_sets(docs: DataFrame, code: np.ndarray, mean: float, k: int, percent
         for b in batches:
             n, sid, toks, others = [], [], [], []
             for _, made, h in batch_shingles(b.column(1), k, hasher):
-                order = code[h >> np.uint64(64 - SKETCH_BITS)].astype(np.uint64)
+                order = code[h >> top].astype(np.uint64)
                 keys, at = (order << np.uint64(56)) | (h >> np.uint64(8)), 0
                 for m in made.tolist():
                     if not m:
@@ -248,7 +248,7 @@ def shingle_sets(docs: DataFrame, code: np.ndarray, mean: float, k: int, percent
 def signatures(sets: DataFrame, code: np.ndarray, x: int, percent: int, hot_list: int) -> DataFrame:
     """(sig, sid, n, pos, hot): prefix shingles of heavy sets, 2-subsets of light ones."""
     hot_code = math.floor(2 * math.log2(hot_list + 1))
-    shift = np.uint64(40 - SKETCH_BITS)
+    shift = np.uint64(40 - (len(code).bit_length() - 1))
 
     def emit(batches):
         out, rows = [], 0
@@ -435,7 +435,7 @@ def _residual(pairs: DataFrame, comps: DataFrame, blobs: DataFrame, percent: int
 def _labelled(docs: DataFrame, k: int, percent: int, hot_list: int) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, th, n, sid), and (sid, comp) for every set that has a link."""
     docs = docs.select("doc_id", "text")
-    code, mean = _order(docs, k)
+    code, mean = _order(docs, k, sketch_bits(docs.count()))
     sets = stage(shingle_sets(docs, code, mean, k, percent), "sets")
     small = sets.filter((F.col("n") > 0) & (F.col("n") <= MAX_LIGHT)).groupBy("n").agg(
         F.count(F.lit(1)).alias("count"), F.sum("others").alias("others")).collect()

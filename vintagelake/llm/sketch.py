@@ -1,4 +1,4 @@
-"""Fixed-size count sketches: built in tasks, summed by chunk, bounded in size."""
+"""Count sketches of hashed items: counted in tasks, summed by chunk, bounded in size."""
 
 from __future__ import annotations
 
@@ -6,33 +6,72 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-CHUNK_BITS = 14
-SCHEMA = "chunk int, counts binary"
-
-
-def pack(counts: np.ndarray):
-    """Rows (chunk, counts) of one task's sketch; empty chunks are left out."""
-    step = 1 << CHUNK_BITS
-    for k in range(0, len(counts), step):
-        part = counts[k:k + step]
-        if part.any():
-            yield k // step, zlib.compress(part.astype("<i8").tobytes(), 1)
-
-
-def total(parts: DataFrame, size: int) -> np.ndarray:
-    """Sum packed sketches; the result has ``size`` numbers whatever the input."""
-    def add(key, pdf):
-        acc = np.zeros(1 << CHUNK_BITS, np.int64)
-        for c in pdf["counts"]:
-            part = np.frombuffer(zlib.decompress(c), "<i8")
-            acc[:len(part)] += part
-        return pd.DataFrame({"chunk": [key[0]], "counts": [zlib.compress(acc.tobytes(), 1)]})
-
-    rows = parts.groupBy("chunk").applyInPandas(add, SCHEMA).collect()
-    out = np.zeros(size, np.int64)
-    for r in rows:
-        at = r["chunk"] << CHUNK_BITS
-        out[at:at + (1 << CHUNK_BITS)] = np.frombuffer(zlib.decompress(r["counts"]), "<i8")[:size - at]
-    return out
+CHUNK = 1 << 16
+SCHEMA = "chunk int, at binary, counts binary"
+SLOTS = 64
+_HELD = 4_000_000
+
+
+class Counter:
+    """Counts of one task, kept as sorted ids with their counts."""
+
+    def __init__(self):
+        self.ids, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64)
+        self.new, self.n = [], 0
+
+    def add(self, ids: np.ndarray) -> None:
+        self.new.append(ids.astype(np.uint32))
+        self.n += len(ids)
+        if self.n > _HELD:
+            self.merge()
+
+    def merge(self) -> None:
+        ids = np.concatenate([self.ids, *self.new])
+        weight = np.concatenate([self.counts, np.ones(self.n, np.int64)])
+        order = np.argsort(ids, kind="stable")
+        ids, weight = ids[order], weight[order]
+        first = np.flatnonzero(np.diff(ids, prepend=ids[:1] + np.uint32(1))) if len(ids) else np.empty(0, np.int64)
+        self.ids, self.counts = ids[first], np.add.reduceat(weight, first) if len(ids) else weight
+        self.new, self.n = [], 0
+
+    def batch(self) -> pa.RecordBatch:
+        """Rows (chunk, at, counts): places within a chunk and their counts."""
+        self.merge()
+        chunk = self.ids // CHUNK
+        cuts = np.flatnonzero(np.diff(chunk)) + 1
+        at = [x.astype("<u2").tobytes() for x in np.split(self.ids % CHUNK, cuts)]
+        counts = [x.astype("<i8").tobytes() for x in np.split(self.counts, cuts)]
+        some = bool(len(self.ids))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(chunk[np.r_[0, cuts]] if some else [], pa.int32()), pa.array(at if some else [], pa.binary()),
+             pa.array(counts if some else [], pa.binary())], ["chunk", "at", "counts"])
+
+
+def codes(parts: DataFrame, size: int) -> tuple[np.ndarray, float]:
+    """For each of ``size`` buckets twice the log of its count (a byte), and the mean count.
+
+    The parts of a chunk are summed in SLOTS groups first, then these.
+    """
+    def part(key, pdf):
+        acc = np.zeros(CHUNK, np.int64)
+        for at, counts in zip(pdf["at"], pdf["counts"]):
+            acc[np.frombuffer(at, "<u2")] += np.frombuffer(counts, "<i8")
+        return pd.DataFrame({"chunk": [key[0]], "dense": [zlib.compress(acc.tobytes(), 1)]})
+
+    def code(key, pdf):
+        acc = sum(np.frombuffer(zlib.decompress(x), "<i8") for x in pdf["dense"])
+        byte = np.floor(2 * np.log2(acc + 1)).astype(np.uint8)
+        return pd.DataFrame({"chunk": [key[0]], "code": [zlib.compress(byte.tobytes(), 1)], "total": [int(acc.sum())]})
+
+    slots = parts.withColumn("slot", F.pmod(F.spark_partition_id(), F.lit(SLOTS)))
+    dense = slots.groupBy("chunk", "slot").applyInPandas(part, "chunk int, dense binary")
+    out, total = np.zeros(size, np.uint8), 0
+    for r in dense.groupBy("chunk").applyInPandas(code, "chunk int, code binary, total long").collect():
+        at = r["chunk"] * CHUNK
+        out[at:at + CHUNK] = np.frombuffer(zlib.decompress(r["code"]), np.uint8)
+        total += r["total"]
+    return out, total / size
