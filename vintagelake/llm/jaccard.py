@@ -52,7 +52,7 @@ FILTER_BUCKETS = 1 << 20
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                   0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 _BASE = 0x9E3779B97F4A7C15
-SEGMENT = 1 << 21
+SEGMENT = 1 << 20
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -309,13 +309,13 @@ def _candidates(sigs: DataFrame, percent: int) -> DataFrame:
         f"b{i}": F.lag("m", i).over(by_id) for i in range(1, FEW)}})
     hot = sigs.filter("hot")
     hot = hot.join(hot.groupBy("sig").agg(F.min(row).alias("p")), "sig").select("p", row.alias("m"))
-    far = calm.filter(F.col("rows") > FEW).select("p", "m").union(hot).filter("p.sid != m.sid").select(
-        F.col("p.sid").alias("p"), F.col("m.sid").alias("m"), _may_link("p", "m", percent).alias("ok"), F.lit(True).alias("far"))
-    back = F.explode(F.array(*[F.col(f"b{i}") for i in range(1, FEW)]))
-    near = calm.filter(F.col("rows") <= FEW).select("m", back.alias("p")).filter("p.sid != m.sid") \
-        .filter(_may_link("p", "m", percent)).select(
-        F.col("p.sid").alias("p"), F.col("m.sid").alias("m"), F.lit(True).alias("ok"), F.lit(False).alias("far"))
-    return far.union(near).groupBy("p", "m").agg(F.max("ok").alias("ok"), F.max("far").alias("far"))
+    # the pairs of a row: with its list's first member, or with the few before it
+    first, few = F.array(F.col("p")), F.array(*[F.col(f"b{i}") for i in range(1, FEW)])
+    far = F.col("rows") > FEW
+    calm = calm.select("m", far.alias("far"), F.explode(F.when(far, first).otherwise(few)).alias("p"))
+    both = calm.select("p", "m", "far").union(hot.select("p", "m", F.lit(True))).filter("p.sid != m.sid")
+    both = both.select(F.col("p.sid").alias("p"), F.col("m.sid").alias("m"), _may_link("p", "m", percent).alias("ok"), "far")
+    return both.filter("ok or far").groupBy("p", "m").agg(F.max("ok").alias("ok"), F.max("far").alias("far"))
 
 
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -325,6 +325,7 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def _verify(pairs: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
     """The pairs (p, m) whose sets link."""
+    blobs = _only(blobs, pairs.select(F.col("p").alias("sid")).union(pairs.select(F.col("m").alias("sid"))))
     left = pairs.join(blobs.select(F.col("sid").alias("m"), F.col("toks").alias("mt")), "m")
     both = left.join(blobs.select(F.col("sid").alias("p"), F.col("toks").alias("pt")), "p")
 
@@ -402,6 +403,17 @@ def _across(key, xs: pd.DataFrame, ys: pd.DataFrame, percent: int) -> pd.DataFra
     return pd.DataFrame(found, columns=["p", "m"], dtype="int64")
 
 
+def _only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose sid is not among ``wanted``, before any exchange.
+
+    Ids are compared by hash bucket; the broadcast side has at most
+    FILTER_BUCKETS rows, whatever the input.
+    """
+    bucket = F.pmod(F.xxhash64("sid"), F.lit(FILTER_BUCKETS))
+    buckets = wanted.select(bucket.alias("bucket")).distinct()
+    return rows.withColumn("bucket", bucket).join(F.broadcast(buckets), "bucket", "left_semi").drop("bucket")
+
+
 def _residual(pairs: DataFrame, comps: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
     """Links inside clusters that the stars left in several components."""
     pairs = pairs.filter("far")
@@ -423,7 +435,7 @@ def _residual(pairs: DataFrame, comps: DataFrame, blobs: DataFrame, percent: int
     xs = rows.filter("apart").select("p", "sid", "comp", F.pmod(slot, "xb").alias("i"), upto("yb").alias("j"))
     ys = rows.select(F.col("p").alias("yp"), F.col("sid").alias("ysid"), F.col("comp").alias("ycomp"),
                      F.pmod(slot, "yb").alias("yj"), upto("xb").alias("yi"))
-    toks = blobs.select(F.col("sid").alias("bsid"), "toks")
+    toks = _only(blobs, rows).select(F.col("sid").alias("bsid"), "toks")
     xs = xs.join(toks, F.col("sid") == F.col("bsid")).drop("bsid")
     ys = ys.join(toks, F.col("ysid") == F.col("bsid")).drop("bsid").withColumnRenamed("toks", "ytoks")
 
@@ -441,13 +453,9 @@ def _labelled(docs: DataFrame, k: int, percent: int, hot_list: int) -> tuple[Dat
         F.count(F.lit(1)).alias("count"), F.sum("others").alias("others")).collect()
     x = boundary({r["n"]: (r["count"], r["others"]) for r in small}, percent)
     pairs = stage(_candidates(signatures(sets, code, x, percent, hot_list), percent), "pairs")
-    # one bit per hash bucket of the wanted ids: at most FILTER_BUCKETS rows
-    bucket = F.pmod(F.xxhash64("sid"), F.lit(FILTER_BUCKETS))
-    some = pairs.filter("ok or far")
-    wanted = some.select(F.col("p").alias("sid")).union(some.select(F.col("m").alias("sid"))).select(
-        bucket.alias("bucket")).distinct()
-    blobs = stage(sets.filter("n > 0").withColumn("bucket", bucket).join(F.broadcast(wanted), "bucket", "left_semi")
-                  .groupBy("sid").agg(F.first("n").alias("n"), F.first("toks").alias("toks")), "blobs")
+    wanted = pairs.select(F.col("p").alias("sid")).union(pairs.select(F.col("m").alias("sid")))
+    blobs = stage(_only(sets.filter("n > 0"), wanted).groupBy("sid").agg(
+        F.first("n").alias("n"), F.first("toks").alias("toks")), "blobs")
     links = stage(_verify(pairs.filter("ok").select("p", "m"), blobs, percent), "links")
     comps = components(links)
     more = stage(_residual(pairs, comps, blobs, percent), "more")

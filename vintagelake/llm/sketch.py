@@ -11,9 +11,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 1 << 16
-SCHEMA = "chunk int, at binary, counts binary"
-SLOTS = 64
-_HELD = 4_000_000
+SCHEMA = "chunk int, low binary, at binary, counts binary"
+SLOTS = 8
+_HELD = 2_000_000
+
+
+def _pack(chunk: int, acc: np.ndarray) -> tuple:
+    """A chunk's counts: low ones as compressed bytes, those from 255 apart."""
+    at = np.flatnonzero(acc >= 255)
+    return (int(chunk), zlib.compress(np.minimum(acc, 255).astype(np.uint8).tobytes(), 1),
+            at.astype("<u2").tobytes(), acc[at].astype("<i8").tobytes())
+
+
+def _unpack(low: bytes, at: bytes, counts: bytes) -> np.ndarray:
+    acc = np.frombuffer(zlib.decompress(low), np.uint8).astype(np.int64)
+    acc[np.frombuffer(at, "<u2")] = np.frombuffer(counts, "<i8")
+    return acc
+
+
+def _sum(pdf: pd.DataFrame) -> np.ndarray:
+    acc = np.zeros(CHUNK, np.int64)
+    for row in zip(pdf["low"], pdf["at"], pdf["counts"]):
+        acc += _unpack(*row)
+    return acc
 
 
 class Counter:
@@ -39,16 +59,18 @@ class Counter:
         self.new, self.n = [], 0
 
     def batch(self) -> pa.RecordBatch:
-        """Rows (chunk, at, counts): places within a chunk and their counts."""
+        """Rows of SCHEMA for the chunks that hold any count."""
         self.merge()
-        chunk = self.ids // CHUNK
-        cuts = np.flatnonzero(np.diff(chunk)) + 1
-        at = [x.astype("<u2").tobytes() for x in np.split(self.ids % CHUNK, cuts)]
-        counts = [x.astype("<i8").tobytes() for x in np.split(self.counts, cuts)]
-        some = bool(len(self.ids))
+        rows, chunk = [], self.ids // CHUNK
+        for part in np.split(np.arange(len(self.ids)), np.flatnonzero(np.diff(chunk)) + 1):
+            if len(part):
+                acc = np.zeros(CHUNK, np.int64)
+                acc[self.ids[part] % CHUNK] = self.counts[part]
+                rows.append(_pack(chunk[part[0]], acc))
+        cols = list(zip(*rows)) or [[], [], [], []]
         return pa.RecordBatch.from_arrays(
-            [pa.array(chunk[np.r_[0, cuts]] if some else [], pa.int32()), pa.array(at if some else [], pa.binary()),
-             pa.array(counts if some else [], pa.binary())], ["chunk", "at", "counts"])
+            [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
+            ["chunk", "low", "at", "counts"])
 
 
 def codes(parts: DataFrame, size: int) -> tuple[np.ndarray, float]:
@@ -57,18 +79,15 @@ def codes(parts: DataFrame, size: int) -> tuple[np.ndarray, float]:
     The parts of a chunk are summed in SLOTS groups first, then these.
     """
     def part(key, pdf):
-        acc = np.zeros(CHUNK, np.int64)
-        for at, counts in zip(pdf["at"], pdf["counts"]):
-            acc[np.frombuffer(at, "<u2")] += np.frombuffer(counts, "<i8")
-        return pd.DataFrame({"chunk": [key[0]], "dense": [zlib.compress(acc.tobytes(), 1)]})
+        return pd.DataFrame([_pack(key[0], _sum(pdf))], columns=["chunk", "low", "at", "counts"])
 
     def code(key, pdf):
-        acc = sum(np.frombuffer(zlib.decompress(x), "<i8") for x in pdf["dense"])
+        acc = _sum(pdf)
         byte = np.floor(2 * np.log2(acc + 1)).astype(np.uint8)
         return pd.DataFrame({"chunk": [key[0]], "code": [zlib.compress(byte.tobytes(), 1)], "total": [int(acc.sum())]})
 
     slots = parts.withColumn("slot", F.pmod(F.spark_partition_id(), F.lit(SLOTS)))
-    dense = slots.groupBy("chunk", "slot").applyInPandas(part, "chunk int, dense binary")
+    dense = slots.groupBy("chunk", "slot").applyInPandas(part, SCHEMA)
     out, total = np.zeros(size, np.uint8), 0
     for r in dense.groupBy("chunk").applyInPandas(code, "chunk int, code binary, total long").collect():
         at = r["chunk"] * CHUNK
