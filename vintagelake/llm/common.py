@@ -28,7 +28,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: after a lost executor only the reading is repeated.
     """
     path = stage_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

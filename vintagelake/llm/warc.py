@@ -256,7 +256,7 @@ def read_archives(manifest: DataFrame, payload: bool = True, chunk: int = CHUNK)
 
     def _batch(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
-    tasks = manifest.repartition("archive").select("archive")
+    tasks = manifest.select("archive").repartition(max(1, manifest.count()), "archive")
     return tasks.mapInArrow(run, "archive string, rid long, page_id long, record_type string, refers long, chunk_no int, "
                                  "chunk binary, bytes long, digest string, last boolean")
 
