@@ -1,0 +1,285 @@
+"""The training-data operators on small tables, against brute force and exact round trips."""
+
+import base64
+import hashlib
+import io
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+import corpus_pipeline
+from oracle_harness import compare, duck_connect, duck_rows, spark_rows
+from vintagelake.llm import bpe, html, jaccard, langid, lines, mixing, outliers, vptree, warc, zclass
+from vintagelake.llm.common import read
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, rank long"
+rng = np.random.default_rng(5)
+
+
+def prose(n, words=60):
+    return " ".join(f"w{rng.integers(words)}" for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """Nulls in every column, empty and blank texts, ties, repeated rows, copies and near copies, an extra column."""
+    base = prose(80)
+    edited = base.split()
+    edited[40] = "other"
+    long = prose(6000, 4000)
+    rows = [(1, base, "en", "a"), (2, base, "en", "b"), (3, " ".join(edited), "de", "a"), (3, " ".join(edited), "de", "a"),
+            (4, "", "en", "a"), (5, None, "en", None), (6, " \n\t ", None, "b"), (7, "One two", "de", "b"),
+            (8, "one TWO", "de", "b"), (None, prose(70), None, None), (None, None, None, None), (9, long, "en", "a"),
+            (10, long + " tail", "en", "b"), (11, "x" * 5000, "en", "c"), (12, "\n".join([prose(9), base, prose(9)]), "en", "c")]
+    return spark.createDataFrame([(*r, 0, 0) for r in rows], DOCS)
+
+
+def shingles(text, k=5):
+    w = (text or "").encode().lower().split()
+    return frozenset(b" ".join(w[i:i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
+
+
+def brute_components(rows):
+    sets = [shingles(t) for _, t in rows]
+    comp = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if a and b and 100 * len(a & b) >= 75 * len(a | b) and comp[i] != comp[j]:
+                old, new = comp[i], comp[j]
+                comp = [new if c == old else c for c in comp]
+    low = {}
+    for c, (d, _) in zip(comp, rows):
+        low[c] = min((x for x in (low.get(c), d) if x is not None), default=None)
+    return sorted(((d, len(s), low[c]) for (d, _), s, c in zip(rows, sets, comp)), key=str)
+
+
+@pytest.mark.parametrize("hot", [jaccard.HOT_LIST, 1])
+def test_jaccard_edge_cases(docs, hot):
+    want = brute_components([(r["doc_id"], r["text"]) for r in docs.collect()])
+    got = sorted((tuple(r) for r in jaccard.jaccard_components(docs, hot_list=hot).collect()), key=str)
+    assert got == want
+
+
+def test_jaccard_chains_and_small_sets(spark):
+    base = prose(60, 500).split()
+    rows = [(i, " ".join(base[i:i + 40 - i % 3])) for i in range(12)]
+    rows += [(100 + i, prose(int(rng.integers(1, 12)), 3)) for i in range(80)]
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_components(rows)
+
+
+def test_jaccard_whole_table(spark):
+    rows = [tuple(r) for r in read(spark, SF, "documents").select("doc_id", "text").collect()]
+    got = E.queries()["op1_ngram_jaccard_join"](spark, SF)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_components(rows)
+
+
+def test_first_of_groups_keeps_every_column(docs):
+    kept = jaccard.first_of_groups(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([1, 4, 5, 6, 7, None, None, 9, 11], key=str)
+
+
+def test_hasher_cuts_long_texts(monkeypatch):
+    import pyarrow as pa
+    texts = ["a b c d e f g", "", None, "Z" * 40, prose(50), "é É x y z w"]
+    hasher = jaccard.Hasher()
+    whole = [h for _, _, h in jaccard.batch_shingles(pa.array(texts), 5, hasher)]
+    monkeypatch.setattr(jaccard, "SEGMENT", 64)
+    parts = [h for _, _, h in jaccard.batch_shingles(pa.array(texts), 5, hasher)]
+    assert np.array_equal(np.concatenate(whole), np.concatenate(parts))
+
+
+def test_boundary_follows_cost():
+    assert jaccard.boundary({8: (100, 0.0)}, 75) <= 8
+    assert jaccard.boundary({8: (100, 1e9)}, 75) > 8
+
+
+def test_patience_and_blocks():
+    assert lines.patience([1, 2, 3, 4], [9, 2, 3, 8]) == [(1, 1), (2, 2)]
+    assert lines.patience([5, 2, 1, 3], [9, 5, 2, 3]) == [(0, 1), (1, 2), (3, 3)]
+    assert lines.common_blocks([1, 2, 3], [7, 2, 3], [5, 2, 1], 3) == [1, 2]
+    assert lines.common_blocks([1, 2, 3], [7, 2, 3], [5, 1, 1], 3) == []
+
+
+def test_line_dedup(spark):
+    a, b, c, d = (prose(12) for _ in range(4))
+    rows = [(1, f"{a}\n{b}\n{c}"), (2, f"{d}\n\n{b}\n{c}\nshort"), (3, f"{a}\n{b}\n{c}"), (4, None), (5, ""), (None, f"{d}\nown"),
+            (2, f"{d}\n\n{b}\n{c}\nshort")]
+    df = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, gone long")
+    got = {(r["doc_id"], r["text"], r["n_removed"]) for r in lines.line_dedup(df).collect()}
+    assert got == {(1, f"{a}\n{b}\n{c}", 0), (2, f"{d}\n\nshort", 2), (3, "", 3), (4, None, 0), (5, "", 0), (None, "own", 1)}
+
+
+def test_bpe_matches_the_library_and_decodes(docs):
+    import sentencepiece
+    from vintagelake.llm import pieces
+    model = bpe.default_model()
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.default_path())
+    plain = bpe.encode(docs, model, dropout=0.0).collect()
+    for r in plain:
+        assert r["piece_ids"] == (None if r["text"] is None else sp.encode(r["text"]))
+    for p in (0.1, 0.9):
+        out = bpe.round_trip(docs, model, dropout=p)
+        assert out.count() == docs.count() and out.filter("NOT lossless").count() == 0
+    text = "▁ odd ▁▁ marks 😀\u0000 \n\n end "
+    enc = bpe.Encoder(model, 0.3, 1)
+    todo = [(c, v) for c in bpe.chunks(prose(50) + " Wörter" * 3) for v in range(3)]
+    assert enc.encode_all(todo) == [enc.agenda(*t) for t in todo]
+    odd = docs.sparkSession.createDataFrame([(1, text)], "doc_id long, text string")
+    assert bpe.decode(bpe.encode(odd, model), model).first()["decoded"] == text
+
+
+def test_language_id(spark, docs):
+    r = E.queries()["op4_language_id"](spark, SF).join(read(spark, SF, "documents").select("doc_id", "lang"), "doc_id")
+    held = r.filter("held_out")
+    assert held.filter("lang = lang_pred").count() >= 0.9 * held.count()
+    probs = np.array([[.5], [.3], [.2], [1e-7], [0]])
+    seg = langid.Segmenter(["a", "b", "ab"], probs)
+    assert np.exp(seg.forward(["ab", "aa"])).ravel() == pytest.approx([.5 * .3 + .2, .25])
+    odd = docs.sparkSession.createDataFrame([(1, None), (2, ""), (3, "12 !"), (4, "e" * 3000)], "doc_id long, text string")
+    got = langid.predict(odd, ["a", "b", "ab"], ["x", "y"], np.repeat(probs, 2, 1)).collect()
+    assert [r["lang_pred"] for r in got] == ["und", "und", "und", "x"] and all(0 <= r["score"] <= 1 for r in got)
+    assert [r["lang_pred"] for r in langid.predict(odd, ["a"], [], np.zeros((3, 0))).collect()] == ["und"] * 4
+
+
+def base_row(text):
+    ws = [w.decode() for w in (text or "").encode().split()]
+    seen, dup = set(), 0
+    for ln in (text or "").split("\n"):
+        if ln.encode().split():
+            dup += ln in seen
+            seen.add(ln)
+    tri = [tuple(ws[i:i + 3]) for i in range(len(ws) - 2)]
+    hit = {j for i, t in enumerate(tri) if tri.count(t) > 1 for j in (i, i + 1, i + 2)}
+    return len(ws), sum(map(len, ws)), sum((text or "").count(c) for c in "#*$%&|<>"), dup, len(hit)
+
+
+def test_quality_rules(spark, docs):
+    extra = [(20, "a b c a b c\nx y z\nx y z\n\n# | <é>"), (21, "a a a a"), (22, "a b"), (23, "a b c d a b c\na")]
+    all_ = docs.filter("doc_id IS NULL OR doc_id != 9").select("doc_id", "text", "lang", "source").union(
+        docs.sparkSession.createDataFrame([(*r, None, "s") for r in extra], "doc_id long, text string, lang string, source string"))
+    got = outliers.quality_rules(all_).collect()
+    cols = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    want = sorted(((r["doc_id"], *base_row(r["text"])) for r in all_.collect()), key=str)
+    assert sorted(((r["doc_id"], *(r[c] for c in cols)) for r in got), key=str) == want
+    assert all(r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]) for r in got)
+    assert not any(r["kept"] for r in got if r["base_failed"])
+    assert outliers.quality_rules(docs.limit(0)).count() == 0
+    full = E.queries()["op5_quality_rules"](spark, "/root/testdata/sf0.01").join(read(spark, "/root/testdata/sf0.01", "labels"), "doc_id")
+    full = full.filter("NOT base_failed")
+    assert full.filter("quality = 1 AND kept").count() >= 0.98 * full.filter("quality = 1").count()
+    assert full.filter("quality = 0 AND NOT kept").count() >= 0.8 * full.filter("quality = 0").count()
+
+
+def test_quality_classifier(spark, docs):
+    sf = "/root/testdata/sf0.01"
+    r = E.queries()["op6_quality_classifier"](spark, sf).join(read(spark, sf, "labels"), "doc_id").filter("held_out")
+    assert r.filter("quality = 1 AND predicted = 1").count() >= 0.95 * r.filter("quality = 1").count()
+    assert r.filter("quality = 0 AND predicted = 0").count() >= 0.7 * r.filter("quality = 0").count()
+    odd = zclass.quality_query(docs, read(spark, sf, "labels"))
+    assert odd.count() == docs.count() and odd.filter("score IS NULL OR score < 0 OR score > 1").count() == 0
+    none = zclass.quality_query(docs, read(spark, sf, "labels").limit(0))
+    assert {x["score"] for x in none.collect()} == {0.5}
+
+
+def test_mixing(spark, docs):
+    res = compare(spark_rows(E.queries()["op7_mixing"](spark, SF)), duck_rows(duck_connect(SF), E.oracle_sql()["op7_mixing"]))
+    assert res["ok"], res
+    got = mixing.mix(docs).collect()
+    assert len(got) == docs.count() and all(r["taken"] <= 2 * r["size"] for r in got)
+    total = sum(r["size"] for r in got)
+    targets = {r["source"]: r["target"] for r in got}
+    assert sum(targets.values()) == pytest.approx(1.5 * total)
+    out = mixing.repeat_rows(docs)
+    assert out.columns == docs.columns and out.count() == sum(r["copies"] for r in got)
+    assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_nearest_neighbours(spark):
+    x = rng.normal(size=(700, 8)).astype("float32")
+    x[100:160] = x[100]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(900, None), (901, [0.0] * 8), (902, [float("nan")] * 8), (903, [None] * 8), (1000, [1.0, 2.0]), (None, x[0].tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = vptree.search(df, F.col("vec_id") % 100 == 0, factor=1.0, shard_rows=256, block_rows=3).collect()
+    assert len(got) == 70 and {r["query_id"] for r in got} == set(range(0, 700, 100))
+    for q in range(0, 700, 100):
+        d = np.sqrt(((x.astype(float) - x[q].astype(float)) ** 2).sum(1))
+        d[q] = np.inf
+        want = np.lexsort((np.arange(len(d)), d))[:10]
+        mine = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
+        assert [m[1] for m in mine] == want.tolist()
+        assert [m[2] for m in mine] == pytest.approx(d[want].tolist())
+
+
+def test_recall_of_the_query(spark):
+    sf = "/root/testdata/sf0.1"
+    e = read(spark, sf, "embeddings").toPandas()
+    x, ids = np.array(e["embedding"].tolist(), float), e["vec_id"].to_numpy()
+    got = E.queries()["op8_nearest_neighbours"](spark, sf).toPandas()
+    hits = 0
+    for q, g in got.groupby("query_id"):
+        d = np.sqrt(((x - x[ids == q][0]) ** 2).sum(1))
+        d[ids == q] = np.inf
+        hits += len(set(ids[np.lexsort((ids, d))[:10]]) & set(g["vec_id"]))
+    assert hits >= 0.9 * len(got)
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
+<nav><ul><li><a href="/a">Menu one</a></li></ul></nav><!-- x --><div class="ad">Buy this now, it is a long advert text</div>
+<article><h1>Heading &amp; more</h1><p><b>First  paragraph&nbsp;is here, with
+ enough text.<br><p>Second one, &lt;quoted&gt; and long enough to count as text.</p><p>Ok.</p>
+<aside>Side bar text that does not belong</aside><p>Last paragraph after the side bar.</p>
+<div class="comments"><p>Reader says something long here, very long indeed.</p></div></article>
+<form><input name="q">Search all of it</form><footer>&copy; nobody in particular, all rights reserved</footer>"""
+
+
+def test_html(spark):
+    assert html.main_text(PAGE) == ("Heading & more\nFirst paragraph is here, with enough text.\n"
+                                    "Second one, <quoted> and long enough to count as text.\nOk.\n"
+                                    "Last paragraph after the side bar.")
+    assert [html.main_text(x) for x in (None, "", "<p></p>", "just text", "a < b")] == ["", "", "", "just text", "a < b"]
+    rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None)]
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 3 and all(r["n_chars"] == len(r["text"]) for r in got)
+
+
+def test_warc(spark):
+    rows = [(3, "http://a/\r\nx", "same é"), (2, None, "same é"), (2, "u", "same é"), (7, "u", None), (8, "u", ""),
+            (9, "u", "big é " * 5000), (None, "u", "big é " * 5000), (None, None, "lone")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((tuple(r) for r in warc.archive_query(pages, chunk=1000).collect()), key=str)
+    want = []
+    for (p, _, h), (kind, to) in zip(rows, [("revisit", 2), ("response", None), ("revisit", 2), ("response", None), ("revisit", 7),
+                                           ("response", None), ("revisit", 9), ("response", None)]):
+        raw = (h or "").encode()
+        want.append((p, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), kind, to))
+    assert got == sorted(want, key=str)
+    assert warc.archive_query(pages.limit(0)).count() == 0
+
+
+def test_warc_chunks_carry_running_digests(spark, tmp_path):
+    text = "abc é" * 3000
+    pages = spark.createDataFrame([(1, "u", text)], "page_id long, url string, html string")
+    manifest = warc.write_archives(warc.plan_chunks(pages, chunk=500), str(tmp_path))
+    rows = sorted(warc.read_archives(manifest, chunk=700).collect(), key=lambda r: r["chunk_no"])
+    assert b"".join(bytes(r["chunk"]) for r in rows).decode() == text and max(len(r["chunk"]) for r in rows) <= 700
+    done = b""
+    for r in rows:
+        done += bytes(r["chunk"])
+        assert r["bytes"] == len(done) and r["digest"] == base64.b32encode(hashlib.sha1(done).digest()).decode()
+    with pytest.raises(ValueError):
+        list(warc.read_records(io.BytesIO(open(manifest.first()["archive"], "rb").read()[:60]), True))
+
+
+def test_pipeline(spark, docs):
+    out = corpus_pipeline.run(spark, SF)
+    assert out.columns == ["doc_id", "n_pieces", "piece_ids"] and out.count() > 0
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        assert step(spark, docs, SF).columns == docs.columns, name
+        assert step(spark, docs.limit(0), SF).count() == 0, name

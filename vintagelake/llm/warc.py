@@ -157,18 +157,21 @@ class _Stream:
     """Decompressed bytes of a gzip file of many members, a buffer at a time."""
 
     def __init__(self, source):
-        self.source, self.gz, self.held = source, zlib.decompressobj(31), bytearray()
+        self.source, self.gz, self.held, self.inside = source, zlib.decompressobj(31), bytearray(), False
 
     def fill(self) -> bool:
         while True:
             if self.gz.eof:
                 rest = self.gz.unused_data
-                self.gz = zlib.decompressobj(31)
+                self.gz, self.inside = zlib.decompressobj(31), False
             else:
                 rest = self.gz.unconsumed_tail
             rest = rest or self.source.read(BUFFER)
             if not rest:
+                if self.inside:
+                    raise ValueError("a WARC archive is cut short")
                 return False
+            self.inside = True
             if got := self.gz.decompress(rest, BUFFER):
                 self.held += got
                 return True
