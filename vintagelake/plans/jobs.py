@@ -72,7 +72,15 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--run-date", type=_dt.date.fromisoformat)
-    ap.add_argument("--history", action="store_true")
+    # full history by default: with the closing month's origins only, the rewrite would drop older vintages
+    ap.add_argument("--history", action=argparse.BooleanOptionalAction, default=True)
+    ap.add_argument("--exclude-account", type=int, nargs="*", default=[])
+    ap.add_argument("--web-store", nargs="*", default=[])
+    ap.add_argument("--store", nargs="*", help="stores of the cohort (all if absent)")
+    ap.add_argument("--product", type=int, default=110)
+    ap.add_argument("--brand", type=int, default=200)
+    ap.add_argument("--with-applications", action="store_true")
+    ap.add_argument("--name", default="cohort")
     ap.add_argument("--history-start", type=_dt.date.fromisoformat, default=_dt.date(2017, 1, 1))
     ap.add_argument("--month", type=int)
     a = ap.parse_args(argv)
@@ -84,9 +92,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     if a.job == "dispositions":
         print(run_dispositions(spark, inp, a.run_date, a.history, a.out, a.history_start))
     elif a.job == "overdraft":
-        print(run_overdraft(spark, inp, a.run_date, a.out))
+        print(run_overdraft(spark, inp, a.run_date, a.out, a.exclude_account, a.web_store))
     else:
-        run_cohort(spark, inp, a.run_date, a.out, 110, 200, a.history_start, None, False, "cohort")
+        run_cohort(spark, inp, a.run_date, a.out, a.product, a.brand, a.history_start, a.store, a.with_applications, a.name)
 
 
 if __name__ == "__main__":
