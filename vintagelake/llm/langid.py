@@ -44,33 +44,69 @@ _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 class Segmenter:
-    """Forward and backward sums over the segmentations of many words at once."""
+    """Forward and backward sums over the segmentations of many words at once.
+
+    The pieces form a trie; from every start, the words still on a path of it
+    step down together.
+    """
 
     def __init__(self, vocabulary: list[str], probs: np.ndarray):
         """``probs``: one row per piece, then one for characters outside the vocabulary and one of zeros."""
-        self.ids = {p: i for i, p in enumerate(vocabulary) if p}
-        self.longest = max(map(len, self.ids), default=1)
-        self.probs = probs
-        self.none = len(vocabulary) + 1
+        self.probs, self.none = probs, len(vocabulary) + 1
+        states, steps, letters, piece = {"": 0}, {}, {}, [self.none]
+        for i, p in enumerate(vocabulary):
+            for e in range(1, len(p) + 1):
+                if p[:e] not in states:
+                    letter = letters.setdefault(p[e - 1], len(letters) + 1)
+                    steps[states[p[:e - 1]], letter] = states[p[:e]] = len(states)
+                    piece.append(self.none)
+            if p:
+                piece[states[p]] = i
+        self.piece = np.array(piece, np.int64)
+        # letter 0 is any character that no piece holds
+        self.letter = np.zeros(0x110000, np.int64)
+        for c, x in letters.items():
+            self.letter[ord(c)] = x
+        self.width = len(letters) + 1
+        self.first = np.zeros(self.width, np.int64)
+        for (state, x), to in steps.items():
+            if state == 0:
+                self.first[x] = to
+        known = sorted((state * self.width + x, to) for (state, x), to in steps.items())
+        self.keys = np.array([k for k, _ in known] + [np.iinfo(np.int64).max], np.int64)
+        self.to = np.array([t for _, t in known] + [0], np.int64)
 
     def spans(self, words: list[str]):
-        """For words of one length: (start, end, piece id of each word)."""
-        size, get, none = len(words[0]), self.ids.get, self.none
-        for e in range(1, size + 1):
-            for s in range(max(0, e - self.longest), e):
-                ids = np.fromiter((get(w[s:e], none) for w in words), np.int64, len(words))
-                if e - s == 1:
-                    ids[ids == none] = none - 1
-                elif (ids == none).all():
-                    continue
-                yield s, e, ids
+        """For words of one length: (start, end, rows, piece id of each row), by start and end."""
+        n, size = len(words), len(words[0])
+        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size)
+        letters = self.letter[chars.T]
+        for s in range(size):
+            state = self.first[letters[s]]
+            ids = self.piece[state]
+            ids[ids == self.none] = self.none - 1
+            rows = np.arange(n)
+            yield s, s + 1, rows, ids
+            rows = np.flatnonzero(state)
+            state = state[rows]
+            for e in range(s + 1, size):
+                want = state * self.width + letters[e][rows]
+                at = np.searchsorted(self.keys, want)
+                on = self.keys[at] == want
+                rows, state = rows[on], self.to[at[on]]
+                if not len(rows):
+                    break
+                ids = self.piece[state]
+                ends = ids != self.none
+                if ends.any():
+                    yield s, e + 1, rows[ends], ids[ends]
 
     def forward(self, words: list[str]) -> np.ndarray:
         """Log probability of each word (of one length) in each language."""
         alpha = np.zeros((len(words[0]) + 1, len(words), self.probs.shape[1]))
         alpha[0] = 1
-        for s, e, ids in self.spans(words):
-            alpha[e] += alpha[s] * self.probs[ids]
+        for s, e, rows, ids in self.spans(words):
+            alpha[e][rows] += alpha[s][rows] * self.probs[ids]
         return np.log(alpha[-1])
 
     def expected(self, words: list[str], weight: np.ndarray, out: np.ndarray) -> None:
@@ -79,13 +115,13 @@ class Segmenter:
         alpha = np.zeros((size + 1, *weight.shape))
         beta = np.zeros_like(alpha)
         alpha[0] = beta[-1] = 1
-        for s, e, ids in spans:
-            alpha[e] += alpha[s] * self.probs[ids]
-        for s, e, ids in sorted(spans, key=lambda x: -x[0]):
-            beta[s] += beta[e] * self.probs[ids]
+        for s, e, rows, ids in spans:
+            alpha[e][rows] += alpha[s][rows] * self.probs[ids]
+        for s, e, rows, ids in sorted(spans, key=lambda x: -x[0]):
+            beta[s][rows] += beta[e][rows] * self.probs[ids]
         scale = weight / alpha[-1]
-        for s, e, ids in spans:
-            np.add.at(out, ids, alpha[s] * self.probs[ids] * beta[e] * scale)
+        for s, e, rows, ids in spans:
+            np.add.at(out, ids, alpha[s][rows] * self.probs[ids] * beta[e][rows] * scale[rows])
 
 
 def cuts(word: str) -> list[str]:
