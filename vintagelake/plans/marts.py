@@ -141,12 +141,11 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
     if facts is None:
         facts = stage(G.ledger_monthly_facts(inp.ledger, inp.successor_map, start, end))
     base = G.cash_advance_base(facts, inp.accounts)
+    # the window bounds the ledger only: every observation month on or after the origin counts
     snap = keys.resolve_key(
-        inp.snapshots.where(F.col("year").between(start.year, end.year)
-                            & P.yyyymm("year", "month").between(start.year * 100 + start.month,
-                                                                end.year * 100 + end.month)).select(
-            "account_id", "year", "month", "brand", "state", "store_id", "balance", "credit_limit", "rate",
-            "level", "score", "stmt_flag"),
+        inp.snapshots.select(
+            "account_id", "year", "month", F.col("product").alias("obs_product"), "brand", "state", "store_id",
+            "balance", "credit_limit", "rate", "level", "score", "stmt_flag", "totalero_flag"),
         inp.successor_map, mode="inverse")
     bal, lim = F.col("balance"), F.col("credit_limit")
     snap = snap.withColumns({
@@ -169,21 +168,24 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
     codes = G.code_sets_from_facts(facts)
     fees = G.commissions(inp.indicators)
     seg = enrich.segment_history(inp.macro_old, inp.macro_new).select(*AM, "segment_official")
+    # the zone name as it stands in the latest load, not cleaned
+    zones = windows.latest_load(inp.zone_history, "load_date").select("store_id", F.col("zone_desc").alias("zone"))
     demo = windows.latest(inp.clients, ["account_id"], [F.col("client_open_date").asc_nulls_last()],
                           [F.col("logo").asc()]).select(
         "account_id", "birth_date", R.SEX_FROM_CODE.column(gen="gender_code").alias("sex"))
     snap = enrich.star_join(snap, [
-        Dim(pivot, ym, ["int_fin", "int_mor", "int_msi"], {"int_fin": 0, "int_mor": 0, "int_msi": 0}, unique=True),
+        # absent amounts and counts stay NULL
+        Dim(pivot, ym, ["int_fin", "int_mor", "int_msi"], unique=True),
         Dim(codes, ym, ["write_off_amount", "write_off_rows", "forgiveness_amount", "forgiveness_rows"],
             unique=True),
-        Dim(fees, ym, ["fee_amount"], {"fee_amount": 0}, unique=True),
+        Dim(fees, ym, ["fee_amount"], unique=True),
         Dim(seg, ym, ["segment_official"], unique=True),
+        Dim(latest_client_segment(inp.client_segments), ym, ["segment_client"], unique=True),
         Dim(inp.stores, {"store_id": "store_id"}, ["zone_code"], unique=True),
-        Dim(enrich.zone_normalise(inp.zone_history), {"store_id": "store_id"}, ["zone"], unique=True),
+        Dim(zones, {"store_id": "store_id"}, ["zone"], unique=True),
     ])
     base = enrich.star_join(base, [
-        Dim(G.card_counts(inp.cards), acc_on, ["n_addon", "n_primary"], {"n_addon": 0, "n_primary": 0},
-            unique=True),
+        Dim(G.card_counts(inp.cards), acc_on, ["n_addon", "n_primary"], unique=True),
         Dim(G.unified_customer(inp.cards), acc_on, ["client_uid"], unique=True),
         Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit("1")), acc_on, ["digital_flag"],
             {"digital_flag": "0"}, unique=True),
@@ -204,14 +206,15 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
         "horizon": P.horizon_bucket("vintage_offset", 4),
         "util_band": R.UTILISATION_BAND.column(ratio="util_ratio"),
         "limit_band": R.LIMIT_BAND_PUBLISHED.column(product="product", amount=lim),
-        "balance_band": R.AMOUNT_BAND.column(product="product", amount=bal),
+        # the snapshot's own product rules its balance, risk, node and rate; the ledger's rules the rest
+        "balance_band": R.AMOUNT_BAND.column(product="obs_product", amount=bal),
         "delinquency": R.DELINQUENCY_LABEL.column(level="level"),
         "flag_30": R.FLAG_30.column(level="level"),
         "flag_90": R.FLAG_90.column(level="level"),
-        "risk_level": R.RISK_EFFECTIVE.column(product="product", period="obs_yyyymm", score="score"),
-        "node": R.SCORE_TREE_NODE.column(period="obs_yyyymm", product="product", brand="brand",
+        "risk_level": R.RISK_EFFECTIVE.column(product="obs_product", period="obs_yyyymm", score="score"),
+        "node": R.SCORE_TREE_NODE.column(period="obs_yyyymm", product="obs_product", brand="brand",
                                          mob="mob_origin", score="score"),
-        "rate_tier": R.RATE_TIER_SINGLE.column(product="product", rate="rate"),
+        "rate_tier": R.RATE_TIER_SINGLE.column(product="obs_product", rate="rate"),
         "paper_channel": R.STATEMENT_CHANNEL_SHORT.column(flag="stmt_flag"),
         "cosecha": F.when(F.col("origin_year") < 2009, F.lit(2009)).otherwise(F.col("origin_yyyymm")),
         "has_balance": F.when(bal > 0, 1).otherwise(0),
@@ -222,13 +225,25 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
     e = p.withColumn("node_label", R.NODE_LABEL.column(product="product", period="obs_yyyymm", node="node"))
     age = P.age_from_yyyymm("obs_yyyymm", P.yyyymm(F.year("birth_date"), F.month("birth_date")))
     zone_in = F.when(F.col("product").isin(100, 110), F.col("zone_code")).otherwise(F.col("zone"))
+    wo, fg, interest = F.col("write_off_rows") > 0, F.col("forgiveness_rows") > 0, F.col("int_fin").isNotNull()
+    horizon = P.horizon_bucket("vintage_offset", 3)
     e = e.withColumns({
         "int_total": F.col("int_fin") + F.col("int_mor"),
-        "write_off_flag": F.when(F.col("write_off_rows") > 0, 1).otherwise(0),
-        "forgiveness_flag": F.when(F.col("forgiveness_rows") > 0, 1).otherwise(0),
+        "write_off_flag": F.when(wo, 1).otherwise(0),
+        "forgiveness_flag": F.when(fg, 1).otherwise(0),
+        "write_off_horizon": F.when(wo, horizon).otherwise(F.lit("OTRO")),
+        "write_off_offset": F.when(wo, F.col("vintage_offset")),
+        "interest_horizon": F.when(interest, horizon).otherwise(F.lit("OTRO")),
+        "instalment_horizon": F.when(interest, horizon).otherwise(F.lit("OTRO")),
         "macro_segment": enrich.macro_segment_label(F.col("segment_official")),
+        "zone_raw": zone_in,
         "age": age,
     })
+    # a set without a row of its codes is absent, also where the other set has some
+    e = e.withColumns({**{c: F.when(F.col("write_off_flag") == 1, F.col(c))
+                          for c in ("write_off_amount", "write_off_rows")},
+                       **{c: F.when(F.col("forgiveness_flag") == 1, F.col(c))
+                          for c in ("forgiveness_amount", "forgiveness_rows")}})
     e = e.withColumns({
         "age_band": R.AGE_BAND_FACT.column(age="age"),
         "zone_label": R.ZONE_LABEL_FACT.column(product="product", zone=zone_in, store="store_id"),
@@ -248,7 +263,9 @@ DISPOSITIONS_COLUMNS = [
     "delinquency", "flag_30", "flag_90", "score", "risk_level", "node", "node_label", "rate", "rate_tier",
     "paper_channel", "cosecha", "has_balance", "opening_band", "n_addon", "n_primary", "client_uid", "int_fin",
     "int_mor", "int_total", "int_msi", "fee_amount", "digital_flag", "macro_segment", "write_off_flag",
-    "write_off_amount", "write_off_rows", "forgiveness_flag", "forgiveness_amount", "forgiveness_rows", "age", "age_band", "sex", "zone_label", "load_date",
+    "write_off_amount", "write_off_rows", "forgiveness_flag", "forgiveness_amount", "forgiveness_rows",
+    "age", "age_band", "sex", "zone_label", "brand", "store_id", "zone_raw", "totalero_flag", "segment_client",
+    "write_off_horizon", "write_off_offset", "interest_horizon", "instalment_horizon", "load_date",
 ]
 
 
@@ -441,9 +458,8 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
     acc = inp.accounts.select(F.col("account_id").alias("a_id"), "open_date")
     base = base.join(acc, base.account_id == acc.a_id, "left").drop("a_id")
     base = base.withColumn("channel", R.CHANNEL.column(plan="plan"))
-    months = P.yyyymm("year", "month").between(start.year * 100 + start.month, end.year * 100 + end.month)
     snap = keys.resolve_key(
-        inp.snapshots.where(F.col("year").between(start.year, end.year) & months).select(
+        inp.snapshots.select(
             "account_id", "year", "month", "brand", "state", "store_id", "balance", "credit_limit", "level",
             "score", "stmt_flag", "totalero_flag"),
         inp.successor_map, mode="null").distinct()
@@ -471,11 +487,17 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
     o_, r_ = o_cls.alias("o"), s_red.alias("r")
     j = o_.join(r_, (F.col("o.account_id") == F.col("r.account_id")) & (F.col("o.__cls") == F.col("r.__cls"))
                 & (P.month_offset("o.origin_year", "o.origin_month", "r.year", "r.month") >= 0), "inner")
+    # brand, state, flag and segment start per account, origin month and product;
+    # the risk starts per account and origin month, from the smallest of them
     first = (j.groupBy(F.col("o.account_id").alias("account_id"), F.col("o.origin_year").alias("origin_year"),
-                       F.col("o.origin_month").alias("origin_month"))
+                       F.col("o.origin_month").alias("origin_month"), F.col("o.product").alias("product"))
              .agg(F.min(F.struct(*[F.col(f"r.{c}") if c in ("year", "month") or c in tail else F.col(f"o.{c}")
                                    for c in order])).alias("__first")))
-    first = first.select("account_id", "origin_year", "origin_month",
+    risk = (first.groupBy("account_id", "origin_year", "origin_month").agg(F.min("__first").alias("__risk"))
+            .select("account_id", "origin_year", "origin_month",
+                    R.RISK_LEGACY.column(product="__risk.product", period=P.yyyymm("__risk.year", "__risk.month"),
+                                         score="__risk.score").alias("initial_risk")))
+    first = first.select("account_id", "origin_year", "origin_month", "product",
                          *[F.col(f"__first.{c}").alias(f"first_{c}") for c in order])
     seg = enrich.segment_history(inp.macro_old, inp.macro_new).select(*AM, "segment_official")
     fseg = seg.select(F.col("account_id").alias("__a"), F.col("year").alias("__y"), F.col("month").alias("__m"),
@@ -483,13 +505,12 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
     first = first.join(fseg, (first.account_id == fseg.__a) & (first.first_year == fseg.__y)
                        & (first.first_month == fseg.__m), "left")
     first = first.select(
-        "account_id", "origin_year", "origin_month",
-        R.RISK_LEGACY.column(product="first_product", period=P.yyyymm("first_year", "first_month"),
-                             score="first_score").alias("initial_risk"),
+        "account_id", "origin_year", "origin_month", "product",
         F.col("first_brand").alias("initial_brand"), F.col("first_state").alias("initial_state"),
         F.col("first_totalero_flag").alias("initial_totalero_flag"),
         enrich.macro_segment_label(F.col("segment_official")).alias("initial_macro_segment"))
-    base = base.join(first, ["account_id", "origin_year", "origin_month"], "left")
+    base = (base.join(first, ["account_id", "origin_year", "origin_month", "product"], "left")
+            .join(risk, ["account_id", "origin_year", "origin_month"], "left"))
     hot = panel.hot_keys(snap)
     # enrichment before the expansion (see dispositions_mart)
     zraw = windows.latest(inp.zone_history, ["store_id"], [F.col("year").desc(), F.col("month").desc()]).select(

@@ -126,22 +126,20 @@ _WIN_YM = (WINDOW_START.year * 100 + WINDOW_START.month, WINDOW_END.year * 100 +
 _DISPO_CTES = {
     **SIGNED_BASE_CTES, **_DIM_CTES,
     "snapr": f"""SELECT CASE WHEN s.account_id IS NULL OR s.account_id = 0 THEN m.successor_id ELSE s.account_id END
-                          AS account_id, s.year, s.month, s.brand, s.state, s.store_id, s.balance, s.credit_limit,
-                        s.rate, s.level, s.score, s.stmt_flag,
+                          AS account_id, s.year, s.month, s.product AS obs_product, s.brand, s.state, s.store_id,
+                        s.balance, s.credit_limit, s.rate, s.level, s.score, s.stmt_flag, s.totalero_flag,
                         CASE WHEN s.credit_limit <= 0 THEN -1.0
                              ELSE CAST(s.balance AS DOUBLE) / CAST(s.credit_limit AS DOUBLE) END AS util_ratio
-                 FROM snapshots s LEFT JOIN successor_map m ON m.account_id = s.account_id
-                 WHERE s.year BETWEEN {WINDOW_START.year} AND {WINDOW_END.year}
-                   AND s.year * 100 + s.month BETWEEN {_WIN_YM[0]} AND {_WIN_YM[1]}""",
-    "p1": """SELECT b.*, s.year, s.month, s.brand, s.state, s.store_id, s.balance, s.credit_limit, s.rate, s.level,
-                    s.score, s.stmt_flag, s.util_ratio,
+                 FROM snapshots s LEFT JOIN successor_map m ON m.account_id = s.account_id""",
+    "p1": """SELECT b.*, s.year, s.month, s.obs_product, s.brand, s.state, s.store_id, s.balance, s.credit_limit,
+                    s.rate, s.level, s.score, s.stmt_flag, s.totalero_flag, s.util_ratio,
                     (s.year - b.origin_year) * 12 + (s.month - b.origin_month) AS vintage_offset,
                     s.year * 100 + s.month AS obs_yyyymm, b.origin_year * 100 + b.origin_month AS origin_yyyymm,
                     (s.year - year(b.open_date)) * 12 + (s.month - month(b.open_date)) AS mob,
                     (b.origin_year - year(b.open_date)) * 12 + (b.origin_month - month(b.open_date)) AS mob_origin
              FROM sb b JOIN snapr s ON s.account_id = b.account_id
              WHERE (s.year - b.origin_year) * 12 + (s.month - b.origin_month) >= 0""",
-    "p2": f"""SELECT *, {R.SCORE_TREE_NODE.sql(period='obs_yyyymm', product='product', brand='brand',
+    "p2": f"""SELECT *, {R.SCORE_TREE_NODE.sql(period='obs_yyyymm', product='obs_product', brand='brand',
                                                   mob='mob_origin', score='score')} AS node
               FROM p1""",
     "pvr": f"""SELECT CASE WHEN m.successor_id IS NULL OR m.successor_id = 0 THEN i.account_id ELSE m.successor_id END
@@ -152,29 +150,38 @@ _DISPO_CTES = {
                FROM indicators i LEFT JOIN successor_map m ON m.account_id = i.account_id
                WHERE i.year * 100 + i.month BETWEEN {_WIN_YM[0]} AND {_WIN_YM[1]}
                GROUP BY 1, 2, 3""",
-    "cs": f"""SELECT CASE WHEN m.successor_id IS NULL OR m.successor_id = 0 THEN l.account_id ELSE m.successor_id END
+    "castigo": f"""SELECT CASE WHEN m.successor_id IS NULL OR m.successor_id = 0 THEN l.account_id ELSE m.successor_id END
                        AS account_id, year(l.txn_date) AS year, month(l.txn_date) AS month,
-                     sum(CASE WHEN l.code IN {_WO} THEN l.amount ELSE 0 END) AS write_off_amount,
-                     count(CASE WHEN l.code IN {_WO} THEN 1 END) AS write_off_rows,
-                     sum(CASE WHEN l.code IN {_FG} THEN l.amount ELSE 0 END) AS forgiveness_amount,
-                     count(CASE WHEN l.code IN {_FG} THEN 1 END) AS forgiveness_rows
+                     sum(l.amount) AS write_off_amount, count(*) AS write_off_rows
               FROM ledger l LEFT JOIN successor_map m ON m.account_id = l.account_id
-              WHERE l.txn_date BETWEEN {_d(WINDOW_START)} AND {_d(WINDOW_END)}
-                AND l.code IN {_sql_in(R.WRITE_OFF_CODES + R.FORGIVENESS_CODES)}
+              WHERE l.txn_date BETWEEN {_d(WINDOW_START)} AND {_d(WINDOW_END)} AND l.code IN {_WO}
               GROUP BY 1, 2, 3""",
+    "quita": f"""SELECT CASE WHEN m.successor_id IS NULL OR m.successor_id = 0 THEN l.account_id ELSE m.successor_id END
+                          AS account_id, year(l.txn_date) AS year, month(l.txn_date) AS month,
+                        sum(l.amount) AS forgiveness_amount, count(*) AS forgiveness_rows
+                 FROM ledger l LEFT JOIN successor_map m ON m.account_id = l.account_id
+                 WHERE l.txn_date BETWEEN {_d(WINDOW_START)} AND {_d(WINDOW_END)} AND l.code IN {_FG}
+                 GROUP BY 1, 2, 3""",
+    "zl": "SELECT store_id, zone_desc AS zone FROM zone_history WHERE load_date = (SELECT max(load_date) FROM zone_history)",
     "fee": """SELECT account_id, year, month, sum(amount) AS fee_amount FROM indicators WHERE indicator = 'COMISION'
               GROUP BY ALL""",
-    "j": """SELECT p2.*, pvr.int_fin, pvr.int_mor, pvr.int_msi, cs.write_off_amount, cs.write_off_rows,
-                   cs.forgiveness_amount, cs.forgiveness_rows, fee.fee_amount, msg.segment_official,
-                   cc.n_addon, cc.n_primary, uc.client_uid, dig.account_id AS dig_id, cli1.birth_date,
-                   cli1.gender_code, st.zone_code, zn.zone,
+    "j": """SELECT p2.*, pvr.int_fin, pvr.int_mor, pvr.int_msi, pvr.year AS int_year, castigo.write_off_amount,
+                   castigo.write_off_rows, castigo.year AS wo_year,
+                   (castigo.year - p2.origin_year) * 12 + (castigo.month - p2.origin_month) AS wo_offset,
+                   (pvr.year - p2.origin_year) * 12 + (pvr.month - p2.origin_month) AS int_offset,
+                   quita.forgiveness_amount, quita.forgiveness_rows, quita.year AS fg_year, fee.fee_amount,
+                   msg.segment_official, csg.segment_client, cc.n_addon, cc.n_primary, uc.client_uid, dig.account_id AS dig_id, cli1.birth_date,
+                   cli1.gender_code, st.zone_code, zl.zone,
                    CASE WHEN floor((p2.obs_yyyymm - (year(cli1.birth_date) * 100 + month(cli1.birth_date))) / 100) < 0
                         THEN 0
                         ELSE floor((p2.obs_yyyymm - (year(cli1.birth_date) * 100 + month(cli1.birth_date))) / 100)
                    END AS age
             FROM p2
             LEFT JOIN pvr ON pvr.account_id = p2.account_id AND pvr.year = p2.year AND pvr.month = p2.month
-            LEFT JOIN cs ON cs.account_id = p2.account_id AND cs.year = p2.year AND cs.month = p2.month
+            LEFT JOIN castigo ON castigo.account_id = p2.account_id AND castigo.year = p2.year
+              AND castigo.month = p2.month
+            LEFT JOIN quita ON quita.account_id = p2.account_id AND quita.year = p2.year AND quita.month = p2.month
+            LEFT JOIN csg ON csg.account_id = p2.account_id AND csg.year = p2.year AND csg.month = p2.month
             LEFT JOIN fee ON fee.account_id = p2.account_id AND fee.year = p2.year AND fee.month = p2.month
             LEFT JOIN msg ON msg.account_id = p2.account_id AND msg.year = p2.year AND msg.month = p2.month
             LEFT JOIN cc ON cc.account_id = p2.account_id
@@ -182,8 +189,15 @@ _DISPO_CTES = {
             LEFT JOIN dig ON dig.account_id = p2.account_id
             LEFT JOIN cli1 ON cli1.account_id = p2.account_id
             LEFT JOIN stores st ON st.store_id = p2.store_id
-            LEFT JOIN zn ON zn.store_id = p2.store_id""",
+            LEFT JOIN zl ON zl.store_id = p2.store_id""",
 }
+
+
+def _horizon3(offset: str) -> str:
+    return (f"CASE WHEN {offset} <= 12 THEN 'Y1' WHEN {offset} <= 24 THEN 'Y2' WHEN {offset} <= 36 THEN 'Y3' "
+            "ELSE 'OTRO' END")
+
+
 _ZONE_IN = "CASE WHEN product IN (100, 110) THEN zone_code ELSE zone END"
 _OPENING = (f"CASE WHEN product IN (110, 100) THEN "
             f"{R.OPENING_YEAR_BAND.sql(product='product', open_year='year(open_date)')} "
@@ -192,7 +206,7 @@ _OPENING = (f"CASE WHEN product IN (110, 100) THEN "
 
 register("dispositions_mart", A.sql_with(
     "accounts", "ledger", "successor_map", "snapshots", "cards", "indicators", "clients", "stores", "zone_history",
-    "macro_old", "macro_new", extra=_DISPO_CTES) + f"""
+    "macro_old", "macro_new", "client_segments", extra=_DISPO_CTES) + f"""
 SELECT account_id, CAST(product AS BIGINT) AS product, CAST(origin_year AS BIGINT) AS origin_year,
        CAST(origin_month AS BIGINT) AS origin_month, CAST(origin_yyyymm AS BIGINT) AS origin_yyyymm,
        CAST(plan AS BIGINT) AS plan, channel, CAST(n_txn AS BIGINT) AS n_txn, CAST(amount AS DOUBLE) AS amount,
@@ -204,31 +218,34 @@ SELECT account_id, CAST(product AS BIGINT) AS product, CAST(origin_year AS BIGIN
        state, CAST(balance AS DOUBLE) AS balance, CAST(credit_limit AS DOUBLE) AS credit_limit, util_ratio,
        {R.UTILISATION_BAND.sql(ratio='util_ratio')} AS util_band,
        {R.LIMIT_BAND_PUBLISHED.sql(product='product', amount='credit_limit')} AS limit_band,
-       {R.AMOUNT_BAND.sql(product='product', amount='balance')} AS balance_band,
+       {R.AMOUNT_BAND.sql(product='obs_product', amount='balance')} AS balance_band,
        CAST(level AS BIGINT) AS level, {R.DELINQUENCY_LABEL.sql(level='level')} AS delinquency,
        CAST({R.FLAG_30.sql(level='level')} AS BIGINT) AS flag_30, CAST({R.FLAG_90.sql(level='level')} AS BIGINT) AS flag_90,
        CAST(score AS BIGINT) AS score,
-       {R.RISK_EFFECTIVE.sql(product='product', period='obs_yyyymm', score='score')} AS risk_level,
+       {R.RISK_EFFECTIVE.sql(product='obs_product', period='obs_yyyymm', score='score')} AS risk_level,
        CAST(node AS BIGINT) AS node, {R.NODE_LABEL.sql(product='product', period='obs_yyyymm', node='node')} AS node_label,
-       CAST(rate AS DOUBLE) AS rate, {R.RATE_TIER_SINGLE.sql(product='product', rate='rate')} AS rate_tier,
+       CAST(rate AS DOUBLE) AS rate, {R.RATE_TIER_SINGLE.sql(product='obs_product', rate='rate')} AS rate_tier,
        {R.STATEMENT_CHANNEL_SHORT.sql(flag='stmt_flag')} AS paper_channel,
        CAST(CASE WHEN origin_year < 2009 THEN 2009 ELSE origin_yyyymm END AS BIGINT) AS cosecha,
        CAST(CASE WHEN balance > 0 THEN 1 ELSE 0 END AS BIGINT) AS has_balance,
        {_OPENING} AS opening_band,
-       CAST(COALESCE(n_addon, 0) AS BIGINT) AS n_addon, CAST(COALESCE(n_primary, 0) AS BIGINT) AS n_primary, client_uid,
-       CAST(COALESCE(int_fin, 0) AS DOUBLE) AS int_fin, CAST(COALESCE(int_mor, 0) AS DOUBLE) AS int_mor,
-       CAST(COALESCE(int_fin, 0) + COALESCE(int_mor, 0) AS DOUBLE) AS int_total,
-       CAST(COALESCE(int_msi, 0) AS DOUBLE) AS int_msi, CAST(COALESCE(fee_amount, 0) AS DOUBLE) AS fee_amount,
+       CAST(n_addon AS BIGINT) AS n_addon, CAST(n_primary AS BIGINT) AS n_primary, client_uid,
+       CAST(int_fin AS DOUBLE) AS int_fin, CAST(int_mor AS DOUBLE) AS int_mor,
+       CAST(int_fin + int_mor AS DOUBLE) AS int_total,
+       CAST(int_msi AS DOUBLE) AS int_msi, CAST(fee_amount AS DOUBLE) AS fee_amount,
        CASE WHEN dig_id IS NULL THEN '0' ELSE '1' END AS digital_flag,
        CASE WHEN segment_official IN (0, 99) OR segment_official IS NULL THEN 'No clasificado'
             ELSE CAST(segment_official AS VARCHAR) END AS macro_segment,
-       CAST(CASE WHEN write_off_rows > 0 THEN 1 ELSE 0 END AS BIGINT) AS write_off_flag,
+       CAST(CASE WHEN wo_year IS NULL THEN 0 ELSE 1 END AS BIGINT) AS write_off_flag,
        CAST(write_off_amount AS DOUBLE) AS write_off_amount, CAST(write_off_rows AS BIGINT) AS write_off_rows,
-       CAST(CASE WHEN forgiveness_rows > 0 THEN 1 ELSE 0 END AS BIGINT) AS forgiveness_flag,
+       CAST(CASE WHEN fg_year IS NULL THEN 0 ELSE 1 END AS BIGINT) AS forgiveness_flag,
        CAST(forgiveness_amount AS DOUBLE) AS forgiveness_amount, CAST(forgiveness_rows AS BIGINT) AS forgiveness_rows,
        CAST(age AS BIGINT) AS age, {R.AGE_BAND_FACT.sql(age='age')} AS age_band,
        {R.SEX_FROM_CODE.sql(gen='gender_code')} AS sex,
        {R.ZONE_LABEL_FACT.sql(product='product', zone=_ZONE_IN, store='store_id')} AS zone_label,
+       CAST(brand AS BIGINT) AS brand, store_id, {_ZONE_IN} AS zone_raw, CAST(totalero_flag AS BIGINT) AS totalero_flag,
+       segment_client, {_horizon3('wo_offset')} AS write_off_horizon, CAST(wo_offset AS BIGINT) AS write_off_offset,
+       {_horizon3('int_offset')} AS interest_horizon, {_horizon3('int_offset')} AS instalment_horizon,
        {_d(LOAD_DATE)} AS load_date
 FROM j
 """)(dispositions_mart)
@@ -473,7 +490,7 @@ def _control_sql() -> str:
         f"CAST((SELECT count(*) FROM {c}) AS BIGINT) AS row_count, {_d(LOAD_DATE)} AS load_date, "
         f"'06:30:00' AS load_time" for step, t, c in rows)
     return A.sql_with("accounts", "ledger", "successor_map", "snapshots", "cards", "indicators", "clients", "stores",
-                      "zone_history", "macro_old", "macro_new", extra=_DISPO_CTES) + sel
+                      "zone_history", "macro_old", "macro_new", "client_segments", extra=_DISPO_CTES) + sel
 
 
 register("control_totals", _control_sql())(control_totals)
@@ -531,9 +548,7 @@ register("dispositions_net_mart", A.sql_with(
                    FROM nb LEFT JOIN accounts a ON a.account_id = nb.account_id""",
         "sn": f"""SELECT DISTINCT COALESCE(m.successor_id, s.account_id) AS account_id, s.year, s.month, s.brand,
                          s.state, s.store_id, s.balance, s.credit_limit, s.level, s.score, s.stmt_flag, s.totalero_flag
-                  FROM snapshots s LEFT JOIN successor_map m ON m.account_id = s.account_id
-                  WHERE s.year BETWEEN {WINDOW_START.year} AND {WINDOW_END.year}
-                    AND s.year * 100 + s.month BETWEEN {_WIN_YM[0]} AND {_WIN_YM[1]}""",
+                  FROM snapshots s LEFT JOIN successor_map m ON m.account_id = s.account_id""",
         "np": """SELECT nb2.*, sn.year, sn.month, sn.brand, sn.state, sn.store_id, sn.balance, sn.credit_limit, sn.level,
                         sn.score, sn.stmt_flag, sn.totalero_flag,
                         (sn.year - nb2.origin_year) * 12 + (sn.month - nb2.origin_month) AS vintage_offset,
@@ -576,10 +591,11 @@ SELECT account_id, CAST(product AS BIGINT) AS product, CAST(plan AS BIGINT) AS p
        CAST(score AS BIGINT) AS score, risk_level, CAST(node AS BIGINT) AS node,
        {R.NODE_LABEL.sql(product='product', period='obs_yyyymm', node='node')} AS node_label,
        {R.STATEMENT_CHANNEL_SHORT.sql(flag='stmt_flag')} AS paper_channel, zone_label, macro_segment, digital_flag,
-       first_value(risk_level) OVER w AS initial_risk, CAST(first_value(brand) OVER w AS BIGINT) AS initial_brand,
-       first_value(state) OVER w AS initial_state,
-       CAST(first_value(totalero_flag) OVER w AS BIGINT) AS initial_totalero_flag,
-       first_value(macro_segment) OVER w AS initial_macro_segment, {_d(LOAD_DATE)} AS load_date
+       first_value(risk_level) OVER w AS initial_risk, CAST(first_value(brand) OVER wp AS BIGINT) AS initial_brand,
+       first_value(state) OVER wp AS initial_state,
+       CAST(first_value(totalero_flag) OVER wp AS BIGINT) AS initial_totalero_flag,
+       first_value(macro_segment) OVER wp AS initial_macro_segment, {_d(LOAD_DATE)} AS load_date
 FROM nj
-WINDOW w AS (PARTITION BY account_id, origin_year, origin_month ORDER BY {_NET_ORDER})
+WINDOW w AS (PARTITION BY account_id, origin_year, origin_month ORDER BY {_NET_ORDER}),
+       wp AS (PARTITION BY account_id, origin_year, origin_month, product ORDER BY {_NET_ORDER})
 """)(dispositions_net_mart)
