@@ -36,6 +36,14 @@ def test_overdraft_and_cohort_jobs(spark):
         jobs.run_overdraft(spark, inp, dt.date(2001, 2, 15), out)
     od = spark.read.parquet(os.path.join(out, "overdraft"))
     assert od.count() == M.overdraft_mart(inp, dt.date(2001, 2, 15)).count()
+    # the next months' runs add later observations of the stored episodes, as one backfill would
+    for run in (dt.date(2001, 3, 15), dt.date(2001, 4, 15), dt.date(2001, 5, 15), dt.date(2001, 6, 15)):
+        jobs.run_overdraft(spark, inp, run, out)
+    od = spark.read.parquet(os.path.join(out, "overdraft"))
+    back = M.overdraft_mart(inp, dt.date(2001, 6, 15), since=dt.date(2001, 1, 1)).select(od.columns)
+    rows = sorted(map(str, od.collect()))
+    assert rows == sorted(map(str, back.collect()))
+    assert od.where("vintage_offset >= 1").count() > 0
     jobs.run_cohort(spark, inp, dt.date(2001, 9, 1), out, 110, 200, dt.date(1995, 2, 1), None, False, "cohort")
     assert spark.sql("SELECT count(*) FROM v_cohort").first()[0] == M.cohort_mart(
         inp, 110, 200, dt.date(1995, 2, 1), None, dt.date(2001, 9, 1)).count()

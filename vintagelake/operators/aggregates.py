@@ -237,8 +237,12 @@ def _live_cards(cards: DataFrame) -> DataFrame:
     return cards.where(~_in("card_state", R.CARD_DEAD_STATES))
 
 
-def card_counts(cards: DataFrame) -> DataFrame:
-    """K12 / A11 in one pass: add-on and primary live-card counts per account."""
+def card_counts(cards: DataFrame, distinct: bool = False) -> DataFrame:
+    """K12 / A11 in one pass: add-on and primary live-card counts per account
+    (``distinct``: every card number once)."""
+    if distinct:
+        cards = _live_cards(cards).select("account_id", "holder_flag", "card_state", "card_no") \
+            .dropDuplicates(["account_id", "holder_flag", "card_no"])
     c = _live_cards(cards).where(_in("holder_flag", R.CARD_ADDON_FLAGS + R.CARD_PRIMARY_FLAGS))
     h = F.col("holder_flag")
     return c.groupBy("account_id").agg(
@@ -270,8 +274,13 @@ def commissions(fees: DataFrame, indicator: str = "COMISION") -> DataFrame:
             .agg(F.sum("amount").alias("fee_amount")))
 
 
-def online_months(ledger: DataFrame, web_stores: Sequence[str]) -> DataFrame:
-    """Distinct account-months with a purchase at a web store."""
+def online_months(ledger: DataFrame, web_stores: Sequence[str], codes: Sequence[int] | None = None,
+                  since: _dt.date | None = None) -> DataFrame:
+    """Distinct account-months with a purchase (``codes``) at a web store from ``since`` on."""
+    if codes is not None:
+        ledger = ledger.where(_in("code", codes))
+    if since is not None:
+        ledger = ledger.where(F.col("txn_date") >= F.lit(since))
     return (ledger.where(_in("store_id", web_stores))
             .select("account_id", F.year("txn_date").alias("year"), F.month("txn_date").alias("month")).distinct())
 

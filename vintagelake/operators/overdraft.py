@@ -18,7 +18,7 @@ from __future__ import annotations
 import datetime as _dt
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintagelake.functions import ruleset as R
@@ -30,12 +30,20 @@ from vintagelake.operators.windows import first_value, last_value_full
 KEYS = ["account_id", "year", "month"]
 
 
+def in_months(first: _dt.date, last: _dt.date) -> Column:
+    """Rows whose (year, month) lies between the months of two dates; the year bound reaches the scan."""
+    return (F.col("year").between(first.year, last.year)
+            & (F.col("year") * 100 + F.col("month")).between(first.year * 100 + first.month, last.year * 100 + last.month))
+
+
 def closed_month_events(events: DataFrame, successor_map: DataFrame, run_date: _dt.date,
-                        excluded: Sequence[int] = ()) -> DataFrame:
+                        excluded: Sequence[int] = (), since: _dt.date | None = None) -> DataFrame:
     """K18 part 1: the previous month's decided events (decision 1/2, unit
     amounts and excluded accounts removed), resolved to the current account
-    (``track_id``), with year, month and exposure (balance + amount)."""
+    (``track_id``), with year, month and exposure (balance + amount).
+    ``since`` starts earlier, for a backfill of several months."""
     start, end = previous_month(run_date)
+    start = since or start
     e = events.where(F.col("decision").isin("1", "2") & (F.col("auth_amount") != 1)
                      & (F.col("proc_date") >= F.lit(start)) & (F.col("proc_date") <= F.lit(end)))
     if excluded:
@@ -149,12 +157,11 @@ def merge_manual(auto: DataFrame, manual_monthly: DataFrame) -> DataFrame:
 
 
 def closing_snapshot(snapshots: DataFrame, successor_map: DataFrame, run_date: _dt.date,
-                     families: Sequence[int] = R.FAMILIES_ALL) -> DataFrame:
+                     families: Sequence[int] = R.FAMILIES_ALL, since: _dt.date | None = None) -> DataFrame:
     """K21 part 1: the closed month's snapshot, resolved ids, open states only
     (``NOT IN ('T')`` also drops NULL states)."""
-    start, _ = previous_month(run_date)
-    s = snapshots.where((F.col("year") == start.year) & (F.col("month") == start.month)
-                        & F.col("product").isin(list(families)) & ~F.col("state").isin("T"))
+    closed, _ = previous_month(run_date)
+    s = snapshots.where(in_months(since or closed, closed) & F.col("product").isin(list(families)) & ~F.col("state").isin("T"))
     s = resolve_key(s.select("account_id", "year", "month", "product", "balance", "credit_limit"),
                     successor_map, mode="null")
     return s.select("account_id", "year", "month", "product",
@@ -172,10 +179,11 @@ def attach_closing(merged: DataFrame, closing: DataFrame) -> DataFrame:
 
 
 def overdraft_episodes(events: DataFrame, manual: DataFrame, snapshots: DataFrame, successor_map: DataFrame,
-                       run_date: _dt.date, excluded: Sequence[int] = ()) -> DataFrame:
-    """K18-K21 end to end: overdraft episodes of the month before ``run_date``."""
-    ev = closed_month_events(events, successor_map, run_date, excluded)
+                       run_date: _dt.date, excluded: Sequence[int] = (), since: _dt.date | None = None) -> DataFrame:
+    """K18-K21 end to end: overdraft episodes of the month before ``run_date``
+    (of every month from ``since`` to it: the same rows as a run per month)."""
+    ev = closed_month_events(events, successor_map, run_date, excluded, since)
     start, _ = previous_month(run_date)
     nxt = (start.replace(day=28) + _dt.timedelta(days=4)).replace(day=1)
-    merged = merge_manual(auto_overdrafts(ev), manual_auth_monthly(manual, successor_map, start, nxt))
-    return attach_closing(merged, closing_snapshot(snapshots, successor_map, run_date))
+    merged = merge_manual(auto_overdrafts(ev), manual_auth_monthly(manual, successor_map, since or start, nxt))
+    return attach_closing(merged, closing_snapshot(snapshots, successor_map, run_date, since=since))

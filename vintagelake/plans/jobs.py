@@ -20,6 +20,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from vintagelake.functions import periods as P
+from vintagelake.operators import overdraft
 from vintagelake.plans import marts as M
 from vintagelake.session import get_session, stage
 from vintagelake.sources import sinks
@@ -48,13 +49,21 @@ def publish_dispositions(spark: SparkSession, out_dir: str, yyyymm: int) -> list
 
 def run_overdraft(spark: SparkSession, inp: M.Inputs, run_date: _dt.date, out_dir: str,
                   excluded: Sequence[int] = (), web_stores: Sequence[str] = ()) -> list[int]:
-    """The source appends (a re-run duplicates, Q4); here the episodes'
-    origin month is rewritten instead, partitioned by observation month."""
-    fact = stage(M.overdraft_mart(inp, run_date, excluded, web_stores))
+    """The closed month's episodes join the stored ones, and all stored
+    episodes meet that month's snapshot.  The source appends (a re-run
+    duplicates, Q4); here the origin month of the episodes and the
+    observation month of the fact are rewritten instead."""
     start, _ = P.previous_month(run_date)
-    origin = start.year * 100 + start.month
-    path = os.path.join(out_dir, "overdraft", f"origin_yyyymm={origin}")
-    return sinks.rewrite_window(spark, fact, path, start, _dt.date(9999, 12, 1))
+    month = start.year * 100 + start.month
+    path = os.path.join(out_dir, "overdraft_episodes")
+    new = overdraft.overdraft_episodes(inp.auth_events, inp.manual_auths, inp.snapshots, inp.successor_map, run_date,
+                                       excluded)
+    new = new.withColumn("origin_yyyymm", F.col("origin_year") * 100 + F.col("origin_month"))
+    schema = new.schema
+    sinks.rewrite_window(spark, stage(new), path, start, start, "origin_yyyymm")
+    stored = sinks.read_sink(spark, path, schema).where(F.col("origin_yyyymm") <= month)
+    fact = stage(M.overdraft_mart(inp, run_date, excluded, web_stores, stored))
+    return sinks.rewrite_window(spark, fact, os.path.join(out_dir, "overdraft"), start, start)
 
 
 def run_cohort(spark: SparkSession, inp: M.Inputs, run_date: _dt.date, out_dir: str, product: int, brand: int,

@@ -284,20 +284,59 @@ def dispositions_stages(inp: Inputs, start: _dt.date, end: _dt.date, load_date:
 # ---------------------------------------------------------------------------
 # E2 overdraft
 # ---------------------------------------------------------------------------
-def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = (),
-                   web_stores: Sequence[str] = ()) -> DataFrame:
-    """Overdraft episodes of the closed month x the account's snapshots
-    from that month on, with overdraft-form labels."""
-    ep = overdraft.overdraft_episodes(inp.auth_events, inp.manual_auths, inp.snapshots, inp.successor_map,
-                                      run_date, excluded)
-    # the month's episodes feed the panel and every dimension's key filter:
+# FIXED VALUES: the overdraft fact's zone labels and its store exceptions.
+OVERDRAFT_ZONES = (("VAD", "Canal Digital"), ("1", "1. Metro Sur"), ("2", "2. Metro Norte"), ("3", "3. Centro"),
+                   ("4", "4. Occidente"), ("5", "5. Golfo"), ("6", "6. Noreste"), ("7", "7. Bajio"),
+                   ("8", "8. Noroeste"), ("9", "9. Sureste"))
+OVERDRAFT_DIGITAL_STORES = ("0782", "0039")
+OVERDRAFT_OTHER_STORES = ("0687", "0024", "0329", "0778")
+WEB_PURCHASE_CODES = (1, 101)
+
+
+def overdraft_zone(product, store, zone_name, zone_code):
+    """Zone label of the overdraft fact: zone name for the bank-card families, zone code for the store cards."""
+    card, by_code = product.isin(210, 200, 220), F.create_map(*[F.lit(x) for pair in OVERDRAFT_ZONES for x in pair])
+    return (F.when(card & store.isin(*OVERDRAFT_DIGITAL_STORES), "Canal Digital")
+            .when(card & store.isin(*OVERDRAFT_OTHER_STORES), "Otro").when(card, zone_name)
+            .when(product.isin(100, 110), F.coalesce(F.try_element_at(by_code, zone_code), F.lit("Otro")))
+            .otherwise("Otro"))
+
+
+def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = (), web_stores: Sequence[str] = (),
+                   episodes: DataFrame | None = None, since: _dt.date | None = None,
+                   web_codes: Sequence[int] = WEB_PURCHASE_CODES, web_since: _dt.date | None = None) -> DataFrame:
+    """Every stored overdraft episode x its account's snapshot of the
+    closed month, with overdraft-form labels.
+
+    ``episodes`` is the stored episode table (all origin months); absent, the
+    episodes are built from the events.  ``since`` starts a backfill: it gives
+    the rows that a run for each month from then on would have appended.
+    """
+    closed, last = P.previous_month(run_date)
+    first = since or closed
+    if episodes is None:
+        episodes = overdraft.overdraft_episodes(inp.auth_events, inp.manual_auths, inp.snapshots, inp.successor_map,
+                                                run_date, excluded, since)
+    # the episodes feed the panel and every dimension's key filter:
     # staged once (a small table) so the episode chain runs once
-    ep = stage(ep.select(F.col("account_id"), F.col("origin_year"), F.col("origin_month"), "origin_class",
-                         "overdraft_amount", "total_amount", "total_approved", "section").distinct())
-    snap = keys.resolve_key(inp.snapshots, inp.successor_map, mode="zero")
-    snap = panel.prepare_snapshot(snap)
+    ep = stage(episodes.select("account_id", "origin_year", "origin_month", "product", "origin_class",
+                               "overdraft_amount", "total_amount", "total_approved", "section").distinct())
+    keys_ = ep.select("account_id").distinct()
+    seen = overdraft.in_months(first, last)
+
+    def resolved(df):
+        """Rows of the episodes' accounts, by resolved id: resolved first, so that old ids count too."""
+        return keys.resolve_key(df, inp.successor_map, mode="zero").join(keys_, "account_id", "left_semi")
+
+    # One snapshot per resolved account-month; the state filter comes after the pick
+    snap = windows.latest(resolved(inp.snapshots.where(seen)), AM,
+                          [F.col("state").asc_nulls_first(), F.col("product").desc_nulls_last(),
+                           F.col("brand").desc_nulls_last()],
+                          [F.col(c).asc_nulls_first() for c in SNAPSHOT_TIES])
+    snap = panel.prepare_snapshot(snap).withColumnRenamed("product", "obs_product")
     acc = inp.accounts.select(F.col("account_id").alias("a_id"), "open_date")
-    p = panel.vintage_panel(ep, snap.where(~F.col("state").isin("T")))
+    # one snapshot per account-month and one episode per account-month: no key is hot
+    p = panel.vintage_panel(ep, snap.where(~F.col("state").isin("T")), salt_buckets=1)
     p = p.join(acc, p.account_id == acc.a_id, "left").drop("a_id")
     mob_origin = P.month_offset(F.year("open_date"), F.month("open_date"), F.col("origin_year"), F.col("origin_month"))
     p = p.withColumns({
@@ -309,7 +348,7 @@ def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = ()
         "util_band": R.UTILISATION_BAND.column(ratio="util_ratio"),
         "delinquency": R.DELINQUENCY_LABEL.column(level="level"),
         "statement": R.STATEMENT_CHANNEL.column(flag=F.trim("stmt_flag")),
-        "rate_tier": R.RATE_TIER.column(product="product", rate="rate"),
+        "rate_tier": R.RATE_TIER.column(product="obs_product", rate="rate"),
         "vintage_text": F.when((F.col("origin_year") < 2009) | F.col("origin_year").isNull(), F.lit("<2009"))
         .otherwise(F.concat(F.col("origin_year").cast("string"), F.lpad(F.col("origin_month").cast("string"), 2, "0"))),
         "has_balance": F.when(F.col("balance") > 0, F.lit("0")).otherwise(F.lit("1")),
@@ -331,37 +370,50 @@ def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = ()
                        "mob_band_numbered": R.MOB_BAND_NUMBERED.column(mob="mob_origin")})
     ym = {"account_id": "account_id", "year": "year", "month": "month"}
     acc_on = {"account_id": "account_id"}
-    # The panel covers one month's episodes: restrict every dimension source
-    # to its accounts (left-semi join on a small key set) before aggregating,
-    # instead of aggregating the whole ledger to enrich a few accounts.
-    keys_ = ep.select("account_id").distinct()
-    led = inp.ledger.join(keys_, "account_id", "left_semi")
+    led = inp.ledger.where(F.col("txn_date").between(F.lit(first), F.lit(last)))
+    pivot = resolved(G.indicator_pivot(inp.indicators.where(seen), with_total=False)).groupBy(*AM).agg(
+        *[F.sum(c).alias(c) for c in ("int_fin", "int_mor", "int_msi")])
+    sums = ["write_off_amount", "write_off_count", "forgiveness_amount", "forgiveness_count"]
+    txn = resolved(G.txn_monthly(led).drop("write_off_date")).groupBy(*AM).agg(*[F.sum(c).alias(c) for c in sums])
+    rfm = resolved(inp.rfm.where(seen)).groupBy(*AM).agg(F.max("rfm").alias("rfm"))
+    macro = enrich.segment_history(inp.macro_old, inp.macro_new).select(
+        *AM, F.col("segment_official").alias("macro_segment_code"))
     demo = windows.latest(inp.clients.join(keys_, "account_id", "left_semi"), ["account_id"],
                           [F.col("client_open_date").asc_nulls_last()],
                           [F.col("logo").asc()]).select("account_id", "birth_date", "gender_code")
+    web = G.online_months(inp.ledger.join(keys_, "account_id", "left_semi"), web_stores, web_codes, web_since)
     dims = [
-        Dim(G.indicator_pivot(inp.indicators.join(keys_, "account_id", "left_semi"), with_total=False), ym,
-            ["int_fin", "int_mor", "int_msi"], {"int_fin": 0, "int_mor": 0, "int_msi": 0}, unique=True),
-        Dim(G.txn_monthly(led), ym, ["write_off_amount", "write_off_count", "forgiveness_amount",
-                                     "forgiveness_count"],
-            {"write_off_amount": 0, "write_off_count": 0, "forgiveness_amount": 0, "forgiveness_count": 0},
-            unique=True),
-        Dim(G.online_months(led, web_stores).withColumn("web_flag", F.lit(1)), ym, ["web_flag"],
+        Dim(pivot, ym, ["int_fin", "int_mor", "int_msi"], {"int_fin": 0, "int_mor": 0, "int_msi": 0}, unique=True),
+        Dim(txn, ym, sums, dict.fromkeys(sums, 0), unique=True),
+        Dim(latest_client_segment(resolved(inp.client_segments.where(seen))), ym, ["segment_client"], unique=True),
+        Dim(rfm, ym, ["rfm"], unique=True),
+        Dim(macro, ym, ["macro_segment_code"], unique=True),
+        Dim(monthly_income(inp.income), ym, ["income"], unique=True),
+        # the web purchase counts in the month of the overdraft
+        Dim(web.withColumn("web_flag", F.lit(1)),
+            {"account_id": "account_id", "origin_year": "year", "origin_month": "month"}, ["web_flag"],
             {"web_flag": 0}, unique=True),
         Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit("1")), acc_on, ["digital_flag"],
             {"digital_flag": "0"}, unique=True),
+        Dim(G.card_counts(inp.cards, distinct=True), acc_on, ["n_addon", "n_primary"],
+            {"n_addon": 0, "n_primary": 0}, unique=True),
         Dim(demo, acc_on, ["birth_date", "gender_code"], unique=True),
         Dim(enrich.zone_normalise(inp.zone_history), {"store_id": "store_id"}, ["zone", "zone_id"], unique=True),
+        Dim(inp.stores, {"store_id": "store_id"}, ["zone_code", "state_code"], unique=True),
     ]
     p = enrich.star_join(p, dims)
     p = p.withColumns({
         "gender": R.GENDER_FROM_CODE.column(gen="gender_code"),
         "age_band": R.AGE_BAND_OVERDRAFT.column(age=F.col("origin_year") - F.year("birth_date")),
         "int_total": F.col("int_fin") + F.col("int_mor"),
+        "zone_label": overdraft_zone(F.col("product"), F.col("store_id"), F.col("zone"), F.col("zone_code")),
     })
     return p.select(*OVERDRAFT_COLUMNS)
 
 
+SNAPSHOT_TIES = ["store_id", "balance", "credit_limit", "rate", "level", "score", "stmt_flag", "pay_history"]
+
+
 OVERDRAFT_COLUMNS = [
     "account_id", "origin_year", "origin_month", "origin_class", "overdraft_amount", "total_amount",
     "total_approved", "section", "year", "month", "obs_yyyymm", "vintage_offset", "horizon", "product", "balance",
@@ -370,6 +422,8 @@ OVERDRAFT_COLUMNS = [
     "vintage_text", "has_balance", "zone", "zone_id", "mob", "risk_level", "flag_30", "flag_90", "mob_band",
     "mob_band_numbered", "int_fin", "int_mor", "int_total", "int_msi", "write_off_amount", "write_off_count",
     "forgiveness_amount", "forgiveness_count", "web_flag", "digital_flag", "gender", "age_band",
+    "obs_product", "state", "brand", "store_id", "headroom", "segment_client", "rfm", "macro_segment_code", "income",
+    "n_addon", "n_primary", "zone_label", "state_code",
 ]
 
 

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from vintagelake.functions import ruleset as R
 from vintagelake.plans import marts as M
-from vintagelake.plans.registry import OVERDRAFT_RUN_DATE, RUN_DATE_HISTORY, register
+from vintagelake.plans.registry import RUN_DATE_HISTORY, register
 from vintagelake.plans.queries_aggs import (COHORT_BRAND, COHORT_PRODUCT, COHORT_SINCE, COHORT_STORES,
-                                            EXCLUDED_ACCOUNTS, NET_BASE_CTES, OD_CTES, OD_CLOSING_CTES, SIGNED_BASE_CTES,
+                                            EXCLUDED_ACCOUNTS, NET_BASE_CTES, OD_CTES, OD_CLOSING_CTES, OD_START,
+                                            SIGNED_BASE_CTES,
                                             WEB_STORES,
                                             WINDOW_END, WINDOW_START, _d, _sql_in)
 from vintagelake.plans.queries_rules import _ZONE_CLEAN_SQL
@@ -255,50 +256,80 @@ FROM j
 # E2 overdraft mart
 # ---------------------------------------------------------------------------
 def overdraft_mart(spark, sf_dir):
-    return M.overdraft_mart(M.Inputs.load(spark, sf_dir), OVERDRAFT_RUN_DATE, EXCLUDED_ACCOUNTS, WEB_STORES)
+    """The stored episodes against every closed month from the first episodes to the run."""
+    inp = M.Inputs.load(spark, sf_dir)
+    return M.overdraft_mart(inp, OVERDRAFT_LAST_RUN, EXCLUDED_ACCOUNTS, WEB_STORES, since=OD_START,
+                            web_codes=WEB_CODES)
+
 
+# purchase codes of the derived ledger, which holds none of the fixed ones
+OVERDRAFT_LAST_RUN, WEB_CODES = _dt.date(2001, 9, 1), (2, 102, 62, 262, 502, 307)
+_SEEN = "year * 100 + month BETWEEN 200101 AND 200108"
+_OWNER = "CASE WHEN m.successor_id IS NULL OR m.successor_id = 0 THEN x.account_id ELSE m.successor_id END"
 
 register("overdraft_mart", A.sql_with(
     "auth_events", "manual_auths", "successor_map", "accounts", "snapshots", "zone_history", "indicators", "ledger",
-    "cards", "clients", extra={
-        **OD_CTES, **OD_CLOSING_CTES, **{k: _DIM_CTES[k] for k in ("zn", "dig", "cli1")},
-        "pv": """SELECT account_id, year, month,
+    "cards", "clients", "client_segments", "rfm_segments", "macro_old", "macro_new", "inferred_income", "stores", extra={
+        **OD_CTES, **OD_CLOSING_CTES, **{k: _DIM_CTES[k] for k in ("zn", "dig", "cli1", "msg", "inc")},
+        "cc": f"""SELECT account_id, count(DISTINCT CASE WHEN holder_flag IN ('1', ' ') THEN card_no END) AS n_addon,
+                         count(DISTINCT CASE WHEN holder_flag = '0' THEN card_no END) AS n_primary
+                  FROM cards WHERE card_state NOT IN {_sql_in(R.CARD_DEAD_STATES)} GROUP BY account_id""",
+        "csr": f"""SELECT {_OWNER} AS account_id, x.year, x.month, max(x.segment_client) AS segment_client
+                   FROM client_segments x LEFT JOIN successor_map m ON m.account_id = x.account_id GROUP BY ALL""",
+        "rfr": f"""SELECT {_OWNER} AS account_id, x.year, x.month, max(x.rfm) AS rfm
+                   FROM rfm_segments x LEFT JOIN successor_map m ON m.account_id = x.account_id GROUP BY ALL""",
+        "pv": f"""SELECT {_OWNER} AS account_id, year, month,
                         sum(CASE WHEN indicator = 'INTERESES_FIN' THEN amount ELSE 0 END) AS int_fin,
                         sum(CASE WHEN indicator = 'INTERESES_MOR' THEN amount ELSE 0 END) AS int_mor,
                         sum(CASE WHEN indicator LIKE 'MSI%' THEN amount ELSE 0 END) AS int_msi
-                 FROM indicators GROUP BY account_id, year, month""",
-        "tx": f"""SELECT account_id, year(txn_date) AS year, month(txn_date) AS month,
+                 FROM indicators x LEFT JOIN successor_map m ON m.account_id = x.account_id GROUP BY 1, 2, 3""",
+        "tx": f"""SELECT {_OWNER} AS account_id, year(txn_date) AS year, month(txn_date) AS month,
                          sum(CASE WHEN code IN {_WO} THEN amount ELSE 0 END) AS write_off_amount,
                          count(CASE WHEN code IN {_WO} AND amount > 0 THEN 1 END) AS write_off_count,
                          sum(CASE WHEN code IN {_FG} THEN amount ELSE 0 END) AS forgiveness_amount,
                          count(CASE WHEN code IN {_FG} AND amount > 0 THEN 1 END) AS forgiveness_count
-                  FROM ledger GROUP BY ALL""",
+                  FROM ledger x LEFT JOIN successor_map m ON m.account_id = x.account_id GROUP BY 1, 2, 3""",
         "web": f"""SELECT DISTINCT account_id, year(txn_date) AS year, month(txn_date) AS month FROM ledger
-                   WHERE store_id IN {_sql_in(WEB_STORES)}""",
-        "epd": """SELECT DISTINCT account_id, origin_year, origin_month, origin_class, overdraft_amount, total_amount,
+                   WHERE store_id IN {_sql_in(WEB_STORES)} AND code IN {_sql_in(WEB_CODES)}""",
+        "epd": """SELECT DISTINCT account_id, origin_year, origin_month, product, origin_class, overdraft_amount, total_amount,
                          total_approved, section FROM ep""",
         "sz": f"""SELECT CASE WHEN m.successor_id IS NULL OR m.successor_id = 0 THEN s.account_id ELSE m.successor_id END
-                           AS account_id, s.year, s.month, s.product, s.state, s.store_id, s.balance, s.credit_limit,
+                           AS account_id, s.year, s.month, s.product AS obs_product, s.state, s.brand, s.store_id,
+                         s.balance, s.credit_limit, s.credit_limit - s.balance AS headroom,
                          s.rate, s.level, s.score, s.stmt_flag, s.pay_history,
                          CASE WHEN s.credit_limit IS NULL OR s.credit_limit = 0 THEN -1.0
                               ELSE CAST(s.balance AS DOUBLE) / CAST(s.credit_limit AS DOUBLE) END AS util_ratio
                   FROM snapshots s LEFT JOIN successor_map m ON m.account_id = s.account_id
-                  WHERE s.state NOT IN ('T')""",
-        "op": """SELECT e.*, s.year, s.month, s.product, s.store_id, s.balance, s.credit_limit, s.rate, s.level, s.score,
+                  WHERE {_SEEN}
+                  QUALIFY row_number() OVER (
+                    PARTITION BY CASE WHEN m.successor_id IS NULL OR m.successor_id = 0 THEN s.account_id
+                                      ELSE m.successor_id END, s.year, s.month
+                    ORDER BY s.state ASC NULLS FIRST, s.product DESC NULLS LAST, s.brand DESC NULLS LAST,
+                      s.store_id NULLS FIRST, s.balance NULLS FIRST, s.credit_limit NULLS FIRST, s.rate NULLS FIRST,
+                      s.level NULLS FIRST, s.score NULLS FIRST, s.stmt_flag NULLS FIRST, s.pay_history NULLS FIRST) = 1""",
+        "op": """SELECT e.*, s.year, s.month, s.obs_product, s.state, s.brand, s.headroom, s.store_id, s.balance, s.credit_limit, s.rate, s.level, s.score,
                         s.stmt_flag, s.pay_history, s.util_ratio, a.open_date,
                         (s.year - year(a.open_date)) * 12 + (s.month - month(a.open_date)) AS mob,
                         (s.year - e.origin_year) * 12 + (s.month - e.origin_month) AS vintage_offset,
                         (e.origin_year - year(a.open_date)) * 12 + (e.origin_month - month(a.open_date)) AS mob_origin
                  FROM epd e JOIN sz s ON s.account_id = e.account_id
                  LEFT JOIN accounts a ON a.account_id = e.account_id
-                 WHERE (s.year - e.origin_year) * 12 + (s.month - e.origin_month) >= 0""",
-        "opj": """SELECT op.*, zn.zone, zn.zone_id, pv.int_fin, pv.int_mor, pv.int_msi, tx.write_off_amount,
+                 WHERE s.state NOT IN ('T') AND (s.year - e.origin_year) * 12 + (s.month - e.origin_month) >= 0""",
+        "opj": """SELECT op.*, zn.zone, zn.zone_id, st.zone_code, st.state_code, csr.segment_client, rfr.rfm,
+                         msg.segment_official AS macro_segment_code, inc.income, cc.n_addon, cc.n_primary, pv.int_fin, pv.int_mor, pv.int_msi, tx.write_off_amount,
                          tx.write_off_count, tx.forgiveness_amount, tx.forgiveness_count, web.account_id AS web_id,
                          dig.account_id AS dig_id, cli1.gender_code, cli1.birth_date
                   FROM op LEFT JOIN zn ON zn.store_id = op.store_id
                   LEFT JOIN pv ON pv.account_id = op.account_id AND pv.year = op.year AND pv.month = op.month
                   LEFT JOIN tx ON tx.account_id = op.account_id AND tx.year = op.year AND tx.month = op.month
-                  LEFT JOIN web ON web.account_id = op.account_id AND web.year = op.year AND web.month = op.month
+                  LEFT JOIN web ON web.account_id = op.account_id AND web.year = op.origin_year
+                    AND web.month = op.origin_month
+                  LEFT JOIN csr ON csr.account_id = op.account_id AND csr.year = op.year AND csr.month = op.month
+                  LEFT JOIN rfr ON rfr.account_id = op.account_id AND rfr.year = op.year AND rfr.month = op.month
+                  LEFT JOIN msg ON msg.account_id = op.account_id AND msg.year = op.year AND msg.month = op.month
+                  LEFT JOIN inc ON inc.account_id = op.account_id AND inc.year = op.year AND inc.month = op.month
+                  LEFT JOIN cc ON cc.account_id = op.account_id
+                  LEFT JOIN stores st ON st.store_id = op.store_id
                   LEFT JOIN dig ON dig.account_id = op.account_id
                   LEFT JOIN cli1 ON cli1.account_id = op.account_id"""}) + f"""
 SELECT account_id, CAST(origin_year AS BIGINT) AS origin_year, CAST(origin_month AS BIGINT) AS origin_month,
@@ -310,8 +341,8 @@ SELECT account_id, CAST(origin_year AS BIGINT) AS origin_year, CAST(origin_month
             ELSE 'OTRO' END AS horizon,
        CAST(product AS BIGINT) AS product, CAST(balance AS DOUBLE) AS balance,
        CAST(credit_limit AS DOUBLE) AS credit_limit, util_ratio, {R.UTILISATION_BAND.sql(ratio='util_ratio')} AS util_band,
-       {R.AMOUNT_BAND.sql(product='product', amount='credit_limit')} AS limit_band,
-       {R.AMOUNT_BAND.sql(product='product', amount='balance')} AS balance_band,
+       {R.AMOUNT_BAND.sql(product='obs_product', amount='credit_limit')} AS limit_band,
+       {R.AMOUNT_BAND.sql(product='obs_product', amount='balance')} AS balance_band,
        CAST(level AS BIGINT) AS level, {R.DELINQUENCY_LABEL.sql(level='level')} AS delinquency,
        CAST({R.CD2_FLAG.sql(level='level')} AS BIGINT) AS cd2, CAST({R.ENTRY_FLAG.sql(level='level')} AS BIGINT) AS cd2_plus,
        CAST(CASE WHEN level = 2 THEN vintage_offset ELSE 0 END AS BIGINT) AS mob_cd2,
@@ -324,7 +355,7 @@ SELECT account_id, CAST(origin_year AS BIGINT) AS origin_year, CAST(origin_month
                       TRY_CAST(substr(pay_history, 5, 1) AS INTEGER), TRY_CAST(substr(pay_history, 6, 1) AS INTEGER)])
             AS BIGINT) AS pay_max,
        {R.STATEMENT_CHANNEL.sql(flag='trim(stmt_flag)')} AS statement,
-       {R.RATE_TIER.sql(product='product', rate='rate')} AS rate_tier,
+       {R.RATE_TIER.sql(product='obs_product', rate='rate')} AS rate_tier,
        CASE WHEN origin_year < 2009 OR origin_year IS NULL THEN '<2009'
             ELSE CAST(origin_year AS VARCHAR) || right('0' || CAST(origin_month AS VARCHAR), 2) END AS vintage_text,
        CASE WHEN balance > 0 THEN '0' ELSE '1' END AS has_balance, zone, zone_id,
@@ -343,7 +374,24 @@ SELECT account_id, CAST(origin_year AS BIGINT) AS origin_year, CAST(origin_month
        CAST(CASE WHEN web_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS web_flag,
        CASE WHEN dig_id IS NULL THEN '0' ELSE '1' END AS digital_flag,
        {R.GENDER_FROM_CODE.sql(gen='gender_code')} AS gender,
-       {R.AGE_BAND_OVERDRAFT.sql(age='(origin_year - year(birth_date))')} AS age_band
+       {R.AGE_BAND_OVERDRAFT.sql(age='(origin_year - year(birth_date))')} AS age_band,
+       CAST(obs_product AS BIGINT) AS obs_product, state, CAST(brand AS BIGINT) AS brand, store_id,
+       CAST(headroom AS DOUBLE) AS headroom, segment_client, rfm, CAST(macro_segment_code AS BIGINT) AS macro_segment_code,
+       CAST(income AS DOUBLE) AS income, CAST(COALESCE(n_addon, 0) AS BIGINT) AS n_addon,
+       CAST(COALESCE(n_primary, 0) AS BIGINT) AS n_primary, state_code,
+       CASE WHEN product IN (210, 200, 220) AND store_id IN ('0782', '0039') THEN 'Canal Digital'
+            WHEN product IN (210, 200, 220) AND store_id IN ('0687', '0024', '0329', '0778') THEN 'Otro'
+            WHEN product IN (210, 200, 220) THEN zone
+            WHEN product IN (100, 110) AND zone_code = 'VAD' THEN 'Canal Digital'
+            WHEN product IN (100, 110) AND zone_code = '1' THEN '1. Metro Sur'
+            WHEN product IN (100, 110) AND zone_code = '2' THEN '2. Metro Norte'
+            WHEN product IN (100, 110) AND zone_code = '3' THEN '3. Centro'
+            WHEN product IN (100, 110) AND zone_code = '4' THEN '4. Occidente'
+            WHEN product IN (100, 110) AND zone_code = '5' THEN '5. Golfo'
+            WHEN product IN (100, 110) AND zone_code = '6' THEN '6. Noreste'
+            WHEN product IN (100, 110) AND zone_code = '7' THEN '7. Bajio'
+            WHEN product IN (100, 110) AND zone_code = '8' THEN '8. Noroeste'
+            WHEN product IN (100, 110) AND zone_code = '9' THEN '9. Sureste' ELSE 'Otro' END AS zone_label
 FROM opj
 """)(overdraft_mart)
 
