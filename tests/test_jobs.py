@@ -6,6 +6,7 @@ import uuid
 
 from vintagelake.plans import jobs
 from vintagelake.plans import marts as M
+from vintagelake.plans import schemas
 from vintagelake.session import checkpoint_dir
 
 SF = "/root/testdata/sf0.001"
@@ -24,7 +25,11 @@ def test_dispositions_job_is_idempotent_and_publishes(spark):
               .distinct().collect()}
     assert months == {200107}
     ct = spark.read.parquet(os.path.join(out, "control_totals"))
-    assert ct.count() == 8                    # 4 stages x 2 runs (control rows are appended, as in the source)
+    assert ct.count() == 16                   # 8 rows x 2 runs (control rows are appended, as in the source)
+    targets = sorted(r.row_count for r in ct.where("table_name = 'DISPOSITIONS'").collect())
+    assert targets == [0, len(first)]         # the target is counted before its window is rewritten
+    assert spark.read.parquet(os.path.join(out, "dispositions")).schema["amount"].dataType == \
+        schemas.dispositions()["amount"].dataType
     jobs.publish_dispositions(spark, out, 200107)
     assert spark.read.parquet(os.path.join(out, "dispositions_master")).count() == len(first)
 

@@ -53,7 +53,11 @@ def payment_code_max(history: Column, positions: int = 6) -> Column:
 def segment_history(old: DataFrame, new: DataFrame) -> DataFrame:
     """K23 / U1 + W2: union two generations of the macro-segment source, then
     the latest row per account-month (ties by a stable reference id)."""
-    u = old.unionByName(new)
+    return segment_latest(old.unionByName(new))
+
+
+def segment_latest(u: DataFrame) -> DataFrame:
+    """The latest macro-segment row per account-month."""
     u = u.withColumns({"year": F.year("segment_date"), "month": F.month("segment_date")})
     return latest(u, ["account_id", "year", "month"], [F.col("segment_date").desc()], [F.col("ref_id").asc()])
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from vintagelake.functions import periods as P
 from vintagelake.operators import overdraft
 from vintagelake.plans import marts as M
+from vintagelake.plans import schemas
 from vintagelake.session import get_session, stage
 from vintagelake.sources import sinks
 
@@ -34,16 +35,21 @@ def run_dispositions(spark: SparkSession, inp: M.Inputs, run_date: _dt.date, his
     Returns the months cleared without replacement.
     """
     start, end = P.period_window(run_date, history, history_start)
-    stages = M.dispositions_stages(inp, start, end, run_date)
+    path, schema = os.path.join(out_dir, "dispositions"), schemas.dispositions()
+    fact, stages = M.dispositions_stages(inp, start, end, run_date)
+    sinks.ensure_table(spark, path, schema)
+    stages.append(M.target_step(sinks.read_sink(spark, path, schema), start, end))
     ts = _dt.datetime.combine(run_date, _dt.time(0, 0))
     sinks.append(sinks.control_totals(spark, stages, "DISPOSITIONS", ts), os.path.join(out_dir, "control_totals"))
     m_start, m_end = P.period_window(run_date, False, history_start)
-    return sinks.rewrite_window(spark, stages["TMP_6_FACT"], os.path.join(out_dir, "dispositions"), m_start, m_end)
+    return sinks.rewrite_window(spark, sinks.conform(fact, schema), path, m_start, m_end)
 
 
 def publish_dispositions(spark: SparkSession, out_dir: str, yyyymm: int) -> list[int]:
-    """Publish one month of the fact to the master table."""
-    fact = spark.read.parquet(os.path.join(out_dir, "dispositions")).where(F.col(sinks.PARTITION_COL) == yyyymm)
+    """Publish one month of the fact to the master table, by the sink's column list."""
+    schema = schemas.dispositions()
+    fact = sinks.read_sink(spark, os.path.join(out_dir, "dispositions"), schema)
+    fact = sinks.conform(fact.where(F.col(sinks.PARTITION_COL) == yyyymm), schema)
     return sinks.publish_month(spark, fact, os.path.join(out_dir, "dispositions_master"), yyyymm)
 
 

@@ -85,6 +85,12 @@ def latest_client_segment(segments: DataFrame) -> DataFrame:
     return windows.latest_by_aggregate(segments, AM, F.col("segment_client"), ["segment_client"])
 
 
+def segment_and_client(segments: DataFrame) -> DataFrame:
+    """W1 with the unified client id of the picked row; ties by the larger id."""
+    return windows.latest_by_aggregate(segments, AM, F.struct("segment_client", "client_uid"),
+                                       ["segment_client", "client_uid"])
+
+
 def monthly_income(income: DataFrame) -> DataFrame:
     """Inferred income aggregated to the account-month join key (the
     source can hold several observations per month -- joining it raw would
@@ -269,16 +275,32 @@ DISPOSITIONS_COLUMNS = [
 ]
 
 
-def dispositions_stages(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _dt.date) -> dict[str, DataFrame]:
-    """The staged tables of E1, named as in the control totals."""
+def dispositions_stages(inp: Inputs, start: _dt.date, end: _dt.date,
+                        load_date: _dt.date) -> tuple[DataFrame, list[tuple[str, str, DataFrame]]]:
+    """The staged fact of E1 and the (step, table, frame) rows of its control totals.
+
+    The fact is evaluated once, into its staged table.  Its enrichment joins
+    are unique on their keys and its last step only projects, so the panel, the
+    enriched panel and the fact have the same rows.
+    """
     facts = stage(G.ledger_monthly_facts(inp.ledger, inp.successor_map, start, end))
-    fact = dispositions_mart(inp, start, end, load_date, facts)
-    return {
-        "TMP_1_CARD_COUNTS": G.card_counts(inp.cards),
-        "TMP_2_UNIFIED_CLIENT": G.unified_customer(inp.cards),
-        "TMP_3_BASE": G.cash_advance_base(facts, inp.accounts),
-        "TMP_6_FACT": fact,
-    }
+    fact = stage(dispositions_mart(inp, start, end, load_date, facts))
+    base = G.cash_advance_base(facts, inp.accounts)
+    return fact, [
+        ("01 TMP_1_CARD_COUNTS", "TMP_1_CARD_COUNTS", G.card_counts(inp.cards)),
+        ("02 TMP_2_UNIFIED_CLIENT", "TMP_2_UNIFIED_CLIENT", G.unified_customer(inp.cards)),
+        ("02 TMP_3_BASE", "TMP_3_BASE", base),
+        ("03 TMP_3_BASE", "TMP_3_BASE", base),
+        ("04 TMP_4_PANEL", "TMP_4_PANEL", fact),
+        ("05 TMP_5_ENRICHED", "TMP_5_ENRICHED", fact),
+        ("06 TMP_6_FACT", "TMP_6_FACT", fact),
+    ]
+
+
+def target_step(target: DataFrame, start: _dt.date, end: _dt.date) -> tuple[str, str, DataFrame]:
+    """The last control row: what the target holds of the window before the rewrite."""
+    months = F.col("obs_yyyymm").between(start.year * 100 + start.month, end.year * 100 + end.month)
+    return "07 DISPOSITIONS", "DISPOSITIONS", target.where(months)
 
 
 # ---------------------------------------------------------------------------
@@ -449,6 +471,9 @@ def cohort_mart(inp: Inputs, product: int, brand: int, since: _dt.date, stores:
     pivot = G.indicator_pivot(inp.indicators.join(keys_, "account_id", "left_semi"), since_yyyymm=since_yyyymm,
                               with_total=False)
     txn = G.txn_monthly(inp.ledger.join(keys_, "account_id", "left_semi"), since=_dt.date(since.year, since.month, 1))
+    # the cohorts read one generation of the macro segments, their code as it stands
+    macro = enrich.segment_latest(inp.macro_old.join(keys_, "account_id", "left_semi")).select(
+        *AM, F.col("segment_official").alias("macro_segment_code"))
     ym = {"account_id": "account_id", "year": "year", "month": "month"}
     dims = [
         Dim(pivot, ym, ["int_fin", "int_mor", "int_msi"], {"int_fin": 0, "int_mor": 0, "int_msi": 0}, unique=True),
@@ -456,7 +481,9 @@ def cohort_mart(inp: Inputs, product: int, brand: int, since: _dt.date, stores:
                       "forgiveness_count"],
             {"write_off_amount": 0, "write_off_count": 0, "forgiveness_amount": 0, "forgiveness_count": 0},
             unique=True),
-        Dim(latest_client_segment(inp.client_segments), ym, ["segment_client"], unique=True),
+        Dim(segment_and_client(inp.client_segments.join(keys_, "account_id", "left_semi")), ym,
+            ["segment_client", "client_uid"], unique=True),
+        Dim(macro, ym, ["macro_segment_code"], unique=True),
         Dim(inp.rfm, ym, ["rfm"], unique=True),
         Dim(monthly_income(inp.income), ym, ["income"], unique=True),
         Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit(1)), {"account_id": "account_id"},
@@ -489,7 +516,7 @@ COHORT_COLUMNS = [
     "balance_band", "level", "entry_flag", "delinquency", "flag_30", "flag_90", "score", "risk_letter", "rate",
     "rate_tier", "zone_label", "segment_client", "rfm", "income", "gender", "age", "age_band", "digital_flag",
     "int_fin", "int_mor", "int_total", "int_msi", "write_off_amount", "write_off_count", "write_off_date",
-    "forgiveness_amount", "forgiveness_count",
+    "forgiveness_amount", "forgiveness_count", "client_uid", "macro_segment_code",
 ]
 
 

@@ -414,14 +414,21 @@ def _cohort_mart_sql(product: int, brand: int, since: _dt.date, stores, with_app
     extra_cols = (f", app.app_status, app.app_status_desc, {_d(RUN_DATE_HISTORY)} AS load_date" if with_apps else "")
     extra_join = "LEFT JOIN app ON app.account_id = cp.account_id" if with_apps else ""
     names = ["accounts", "clients", "snapshots", "ledger", "cards", "indicators", "stores", "client_segments",
-             "rfm_segments", "inferred_income"] + (["applications"] if with_apps else [])
+             "rfm_segments", "inferred_income", "macro_old"] + (["applications"] if with_apps else [])
     return A.sql_with(*names, extra={
         "coh": f"""SELECT a.account_id, a.product, a.brand, a.open_date, a.store_id, year(a.open_date) AS open_year,
                           month(a.open_date) AS open_month, c.sex, c.birth_date
                    FROM accounts a LEFT JOIN clients c
                      ON a.account_id = c.account_id AND a.brand = c.logo AND a.open_date = c.client_open_date
                    WHERE a.brand = {brand} AND a.product = {product} AND a.open_date >= {_d(since)} {store_filter}""",
-        **{k: _DIM_CTES[k] for k in ("dig", "csg", "inc")}, **apps,
+        **{k: _DIM_CTES[k] for k in ("dig", "inc")}, **apps,
+        "csg": """SELECT account_id, year, month, segment_client, client_uid FROM client_segments
+                  QUALIFY row_number() OVER (PARTITION BY account_id, year, month
+                                             ORDER BY segment_client DESC NULLS LAST, client_uid DESC) = 1""",
+        "mac": """SELECT account_id, year(segment_date) AS year, month(segment_date) AS month, segment_official
+                  FROM macro_old
+                  QUALIFY row_number() OVER (PARTITION BY account_id, year(segment_date), month(segment_date)
+                                             ORDER BY segment_date DESC, ref_id ASC) = 1""",
         "sc": f"""SELECT *, year * 100 + month AS obs_yyyymm, credit_limit - balance AS headroom,
                          CASE WHEN credit_limit IS NULL OR credit_limit = 0 THEN -1.0
                               ELSE CAST(balance AS DOUBLE) / CAST(credit_limit AS DOUBLE) END AS util_ratio
@@ -470,11 +477,13 @@ SELECT cp.account_id, CAST(origin_year AS BIGINT) AS origin_year, CAST(origin_mo
        CAST(COALESCE(tx.write_off_amount, 0) AS DOUBLE) AS write_off_amount,
        CAST(COALESCE(tx.write_off_count, 0) AS BIGINT) AS write_off_count, tx.write_off_date,
        CAST(COALESCE(tx.forgiveness_amount, 0) AS DOUBLE) AS forgiveness_amount,
-       CAST(COALESCE(tx.forgiveness_count, 0) AS BIGINT) AS forgiveness_count{extra_cols}
+       CAST(COALESCE(tx.forgiveness_count, 0) AS BIGINT) AS forgiveness_count,
+       CAST(csg.client_uid AS BIGINT) AS client_uid, CAST(mac.segment_official AS BIGINT) AS macro_segment_code{extra_cols}
 FROM cp
 LEFT JOIN pv ON pv.account_id = cp.account_id AND pv.year = cp.year AND pv.month = cp.month
 LEFT JOIN tx ON tx.account_id = cp.account_id AND tx.year = cp.year AND tx.month = cp.month
 LEFT JOIN csg ON csg.account_id = cp.account_id AND csg.year = cp.year AND csg.month = cp.month
+LEFT JOIN mac ON mac.account_id = cp.account_id AND mac.year = cp.year AND mac.month = cp.month
 LEFT JOIN rfm_segments r ON r.account_id = cp.account_id AND r.year = cp.year AND r.month = cp.month
 LEFT JOIN inc ON inc.account_id = cp.account_id AND inc.year = cp.year AND inc.month = cp.month
 LEFT JOIN dig ON dig.account_id = cp.account_id
@@ -526,13 +535,18 @@ WHERE a.brand = {COHORT2_BRAND} AND a.product = {COHORT2_PRODUCT} AND a.open_dat
 # ---------------------------------------------------------------------------
 def control_totals(spark, sf_dir):
     inp = M.Inputs.load(spark, sf_dir)
-    stages = M.dispositions_stages(inp, WINDOW_START, WINDOW_END, LOAD_DATE)
+    fact, stages = M.dispositions_stages(inp, WINDOW_START, WINDOW_END, LOAD_DATE)
+    # as a re-run would find it: the target already holds the fact
+    stages.append(M.target_step(fact, WINDOW_START, WINDOW_END))
     return sinks.control_totals(spark, stages, "DISPOSITIONS", _dt.datetime.combine(LOAD_DATE, _dt.time(6, 30)))
 
 
 def _control_sql() -> str:
     rows = [("01 TMP_1_CARD_COUNTS", "TMP_1_CARD_COUNTS", "cc"), ("02 TMP_2_UNIFIED_CLIENT", "TMP_2_UNIFIED_CLIENT", "uc"),
-            ("03 TMP_3_BASE", "TMP_3_BASE", "sb"), ("04 TMP_6_FACT", "TMP_6_FACT", "j")]
+            ("02 TMP_3_BASE", "TMP_3_BASE", "sb"), ("03 TMP_3_BASE", "TMP_3_BASE", "sb"),
+            ("04 TMP_4_PANEL", "TMP_4_PANEL", "p2"), ("05 TMP_5_ENRICHED", "TMP_5_ENRICHED", "j"),
+            ("06 TMP_6_FACT", "TMP_6_FACT", "j"),
+            ("07 DISPOSITIONS", "DISPOSITIONS", f"j WHERE obs_yyyymm BETWEEN {_WIN_YM[0]} AND {_WIN_YM[1]}")]
     sel = "\nUNION ALL\n".join(
         f"SELECT 'DISPOSITIONS' AS strategy, '{step}' AS step, '{t}' AS table_name, "
         f"CAST((SELECT count(*) FROM {c}) AS BIGINT) AS row_count, {_d(LOAD_DATE)} AS load_date, "

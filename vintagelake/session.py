@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -71,8 +72,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def stage(df):
     """Materialise a DataFrame consumed by several branches of one plan
-    (S3 staged tables): a reliable, eager ``checkpoint`` into the shared
-    ``spark.checkpoint.dir``.  Survives executor loss (unlike a local
-    checkpoint) and cuts the lineage so the source is scanned once."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    (S3 staged tables): written as parquet below the shared
+    ``spark.checkpoint.dir`` and read back.  Survives executor loss, cuts the
+    lineage so the source is scanned once, and later filters and projections
+    reach the staged scan."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -250,10 +250,11 @@ STATUS_SEGMENT = (("F", "GOLD"), ("O", "SILVER"))     # else 'BRONZE'
 
 def client_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Client segment rows per account-month (several per month possible)."""
-    o = read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderstatus", "o_orderdate"])
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
     return o.select(F.col("o_custkey").alias("account_id"), F.year("o_orderdate").cast("int").alias("year"),
                     F.month("o_orderdate").cast("int").alias("month"),
-                    _case(F.col("o_orderstatus"), STATUS_SEGMENT, "BRONZE").alias("segment_client"))
+                    _case(F.col("o_orderstatus"), STATUS_SEGMENT, "BRONZE").alias("segment_client"),
+                    (F.col("o_custkey") * 1000 + F.col("o_orderkey") % 1000).alias("client_uid"))
 
 
 def rfm_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -404,7 +405,8 @@ SQL = {
     "client_segments": f"""
       SELECT o_custkey AS account_id, CAST(year(o_orderdate) AS INTEGER) AS year,
              CAST(month(o_orderdate) AS INTEGER) AS month,
-             {_sql_case('o_orderstatus', STATUS_SEGMENT, "'BRONZE'")} AS segment_client
+             {_sql_case('o_orderstatus', STATUS_SEGMENT, "'BRONZE'")} AS segment_client,
+             o_custkey * 1000 + o_orderkey % 1000 AS client_uid
       FROM orders""",
     "rfm_segments": """
       SELECT o_custkey AS account_id, CAST(year(o_orderdate) AS INTEGER) AS year,
