@@ -136,6 +136,68 @@ def enriched_snapshot(inp: Inputs, run_date: _dt.date) -> DataFrame:
 # ---------------------------------------------------------------------------
 # E1 dispositions
 # ---------------------------------------------------------------------------
+def fact_labels(p: DataFrame, risk: R.RuleTable, load_date: _dt.date) -> DataFrame:
+    """Offsets, bands, labels and flags of the dispositions facts over their enriched panel."""
+    open_y, open_m = F.year("open_date"), F.month("open_date")
+    obs = P.yyyymm("year", "month")
+    p = p.withColumns({
+        "obs_yyyymm": obs,
+        "origin_yyyymm": P.yyyymm("origin_year", "origin_month"),
+        "mob": P.month_offset(open_y, open_m, F.col("year"), F.col("month")),
+        "mob_origin": P.month_offset(open_y, open_m, F.col("origin_year"), F.col("origin_month")),
+    })
+    p = p.withColumns({
+        "mob_band": R.MOB_BAND.column(mob="mob"),
+        "horizon": P.horizon_bucket("vintage_offset", 4),
+        "util_band": R.UTILISATION_BAND.column(ratio="util_ratio"),
+        "limit_band": R.LIMIT_BAND_PUBLISHED.column(product="product", amount="credit_limit"),
+        # the snapshot's own product rules its balance, risk, node and rate; the ledger's rules the rest
+        "balance_band": R.AMOUNT_BAND.column(product="obs_product", amount="balance"),
+        "delinquency": R.DELINQUENCY_LABEL.column(level="level"),
+        "flag_30": R.FLAG_30.column(level="level"),
+        "flag_90": R.FLAG_90.column(level="level"),
+        "risk_level": risk.column(product="obs_product", period="obs_yyyymm", score="score"),
+        "node": R.SCORE_TREE_NODE.column(period="obs_yyyymm", product="obs_product", brand="brand",
+                                         mob="mob_origin", score="score"),
+        "rate_tier": R.RATE_TIER_SINGLE.column(product="obs_product", rate="rate"),
+        "paper_channel": R.STATEMENT_CHANNEL_SHORT.column(flag="stmt_flag"),
+        "cosecha": F.when(F.col("origin_year") < 2009, F.lit(2009)).otherwise(F.col("origin_yyyymm")),
+        "has_balance": F.when(F.col("balance") > 0, 1).otherwise(0),
+        "opening_band": F.when(F.col("product").isin(110, 100),
+                               R.OPENING_YEAR_BAND.column(product="product", open_year=open_y))
+        .when(F.col("product").isin(210, 200) & (open_y >= 2018), open_y.cast("string")).otherwise(F.lit("NO")),
+    })
+    e = p.withColumn("node_label", R.NODE_LABEL.column(product="product", period="obs_yyyymm", node="node"))
+    age = P.age_from_yyyymm("obs_yyyymm", P.yyyymm(F.year("birth_date"), F.month("birth_date")))
+    zone_in = F.when(F.col("product").isin(100, 110), F.col("zone_code")).otherwise(F.col("zone"))
+    wo, fg, interest = F.col("write_off_rows") > 0, F.col("forgiveness_rows") > 0, F.col("int_fin").isNotNull()
+    horizon = P.horizon_bucket("vintage_offset", 3)
+    e = e.withColumns({
+        "int_total": F.col("int_fin") + F.col("int_mor"),
+        # account 0 (no account) never counts as one with a write-off
+        "write_off_flag": F.when(wo & (F.col("account_id") != 0), 1).otherwise(0),
+        "forgiveness_flag": F.when(fg & (F.col("account_id") != 0), 1).otherwise(0),
+        "write_off_horizon": F.when(wo, horizon).otherwise(F.lit("OTRO")),
+        "write_off_offset": F.when(wo, F.col("vintage_offset")),
+        "interest_horizon": F.when(interest, horizon).otherwise(F.lit("OTRO")),
+        "instalment_horizon": F.when(interest, horizon).otherwise(F.lit("OTRO")),
+        "macro_segment": enrich.macro_segment_label(F.col("segment_official")),
+        "zone_raw": zone_in,
+        "age": age,
+    })
+    # a set without a row of its codes is absent, also where the other set has some
+    e = e.withColumns({**{c: F.when(wo, F.col(c))
+                          for c in ("write_off_amount", "write_off_rows")},
+                       **{c: F.when(fg, F.col(c))
+                          for c in ("forgiveness_amount", "forgiveness_rows")}})
+    e = e.withColumns({
+        "age_band": R.AGE_BAND_FACT.column(age="age"),
+        "zone_label": R.ZONE_LABEL_FACT.column(product="product", zone=zone_in, store="store_id"),
+        "load_date": F.lit(load_date),
+    })
+    return e
+
+
 def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _dt.date,
                       facts: DataFrame | None = None) -> DataFrame:
     """Cash-advance vintage fact for the window [start, end].
@@ -199,62 +261,7 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
     ])
 
     p = panel.vintage_panel(base, snap, hot=hot)
-    open_y, open_m = F.year("open_date"), F.month("open_date")
-    obs = P.yyyymm("year", "month")
-    p = p.withColumns({
-        "obs_yyyymm": obs,
-        "origin_yyyymm": P.yyyymm("origin_year", "origin_month"),
-        "mob": P.month_offset(open_y, open_m, F.col("year"), F.col("month")),
-        "mob_origin": P.month_offset(open_y, open_m, F.col("origin_year"), F.col("origin_month")),
-    })
-    p = p.withColumns({
-        "mob_band": R.MOB_BAND.column(mob="mob"),
-        "horizon": P.horizon_bucket("vintage_offset", 4),
-        "util_band": R.UTILISATION_BAND.column(ratio="util_ratio"),
-        "limit_band": R.LIMIT_BAND_PUBLISHED.column(product="product", amount=lim),
-        # the snapshot's own product rules its balance, risk, node and rate; the ledger's rules the rest
-        "balance_band": R.AMOUNT_BAND.column(product="obs_product", amount=bal),
-        "delinquency": R.DELINQUENCY_LABEL.column(level="level"),
-        "flag_30": R.FLAG_30.column(level="level"),
-        "flag_90": R.FLAG_90.column(level="level"),
-        "risk_level": R.RISK_EFFECTIVE.column(product="obs_product", period="obs_yyyymm", score="score"),
-        "node": R.SCORE_TREE_NODE.column(period="obs_yyyymm", product="obs_product", brand="brand",
-                                         mob="mob_origin", score="score"),
-        "rate_tier": R.RATE_TIER_SINGLE.column(product="obs_product", rate="rate"),
-        "paper_channel": R.STATEMENT_CHANNEL_SHORT.column(flag="stmt_flag"),
-        "cosecha": F.when(F.col("origin_year") < 2009, F.lit(2009)).otherwise(F.col("origin_yyyymm")),
-        "has_balance": F.when(bal > 0, 1).otherwise(0),
-        "opening_band": F.when(F.col("product").isin(110, 100),
-                               R.OPENING_YEAR_BAND.column(product="product", open_year=open_y))
-        .when(F.col("product").isin(210, 200) & (open_y >= 2018), open_y.cast("string")).otherwise(F.lit("NO")),
-    })
-    e = p.withColumn("node_label", R.NODE_LABEL.column(product="product", period="obs_yyyymm", node="node"))
-    age = P.age_from_yyyymm("obs_yyyymm", P.yyyymm(F.year("birth_date"), F.month("birth_date")))
-    zone_in = F.when(F.col("product").isin(100, 110), F.col("zone_code")).otherwise(F.col("zone"))
-    wo, fg, interest = F.col("write_off_rows") > 0, F.col("forgiveness_rows") > 0, F.col("int_fin").isNotNull()
-    horizon = P.horizon_bucket("vintage_offset", 3)
-    e = e.withColumns({
-        "int_total": F.col("int_fin") + F.col("int_mor"),
-        "write_off_flag": F.when(wo, 1).otherwise(0),
-        "forgiveness_flag": F.when(fg, 1).otherwise(0),
-        "write_off_horizon": F.when(wo, horizon).otherwise(F.lit("OTRO")),
-        "write_off_offset": F.when(wo, F.col("vintage_offset")),
-        "interest_horizon": F.when(interest, horizon).otherwise(F.lit("OTRO")),
-        "instalment_horizon": F.when(interest, horizon).otherwise(F.lit("OTRO")),
-        "macro_segment": enrich.macro_segment_label(F.col("segment_official")),
-        "zone_raw": zone_in,
-        "age": age,
-    })
-    # a set without a row of its codes is absent, also where the other set has some
-    e = e.withColumns({**{c: F.when(F.col("write_off_flag") == 1, F.col(c))
-                          for c in ("write_off_amount", "write_off_rows")},
-                       **{c: F.when(F.col("forgiveness_flag") == 1, F.col(c))
-                          for c in ("forgiveness_amount", "forgiveness_rows")}})
-    e = e.withColumns({
-        "age_band": R.AGE_BAND_FACT.column(age="age"),
-        "zone_label": R.ZONE_LABEL_FACT.column(product="product", zone=zone_in, store="store_id"),
-        "load_date": F.lit(load_date),
-    })
+    e = fact_labels(p, R.RISK_EFFECTIVE, load_date)
     # The reference ends with SELECT DISTINCT; here every input is unique on its
     # key (base per account/product/origin/plan, resolved snapshot per
     # account-month, dimensions per key), so the rows are already distinct and
@@ -541,9 +548,10 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
     base = base.withColumn("channel", R.CHANNEL.column(plan="plan"))
     snap = keys.resolve_key(
         inp.snapshots.select(
-            "account_id", "year", "month", "brand", "state", "store_id", "balance", "credit_limit", "level",
-            "score", "stmt_flag", "totalero_flag"),
+            "account_id", "year", "month", F.col("product").alias("obs_product"), "brand", "state", "store_id",
+            "balance", "credit_limit", "rate", "level", "score", "stmt_flag", "totalero_flag"),
         inp.successor_map, mode="null").distinct()
+    snap = snap.withColumn("util_ratio", panel.utilisation_nonpositive(F.col("balance"), F.col("credit_limit")))
     is110 = F.col("product").isin(110)
     keep = (is110 & ~F.col("state").isin("T")) | ~is110
     # Initial state of each vintage (first observation month; ties -- two old
@@ -554,7 +562,7 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
     # 'T' and NULL).  Reducing the snapshots to <= 2 rows per account-month
     # first keeps the first-observation join small even for a key that
     # collects many accounts.
-    tail = ["score", "level", "state", "brand", "totalero_flag"]
+    tail = ["score", "level", "state", "brand", "totalero_flag", "obs_product"]
 
     def _reduced(df, cls):
         return (df.groupBy("account_id", "year", "month").agg(F.min(F.struct(*tail)).alias("__t"))
@@ -576,7 +584,7 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
                                    for c in order])).alias("__first")))
     risk = (first.groupBy("account_id", "origin_year", "origin_month").agg(F.min("__first").alias("__risk"))
             .select("account_id", "origin_year", "origin_month",
-                    R.RISK_LEGACY.column(product="__risk.product", period=P.yyyymm("__risk.year", "__risk.month"),
+                    R.RISK_LEGACY.column(product="__risk.obs_product", period=P.yyyymm("__risk.year", "__risk.month"),
                                          score="__risk.score").alias("initial_risk")))
     first = first.select("account_id", "origin_year", "origin_month", "product",
                          *[F.col(f"__first.{c}").alias(f"first_{c}") for c in order])
@@ -594,43 +602,37 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
             .join(risk, ["account_id", "origin_year", "origin_month"], "left"))
     hot = panel.hot_keys(snap)
     # enrichment before the expansion (see dispositions_mart)
-    zraw = windows.latest(inp.zone_history, ["store_id"], [F.col("year").desc(), F.col("month").desc()]).select(
-        "store_id", F.col("zone_desc").alias("zone_name"))
+    ym = {"account_id": "account_id", "year": "year", "month": "month"}
+    acc_on = {"account_id": "account_id"}
+    # the interest of this variant is the closing month's only
+    pivot = G.resolve_and_sum(
+        G.indicator_pivot(inp.indicators.where((F.col("year") == end.year) & (F.col("month") == end.month)),
+                          with_total=False).select(*AM, "int_fin", "int_mor", F.col("int_msi_any").alias("int_msi")),
+        inp.successor_map, "zero", AM, ["int_fin", "int_mor", "int_msi"])
+    codes = G.code_sets_from_facts(G.ledger_monthly_facts(inp.ledger, inp.successor_map, start, end))
+    zones = windows.latest_load(inp.zone_history, "load_date").select("store_id", F.col("zone_desc").alias("zone"))
+    demo = windows.latest(inp.clients, ["account_id"], [F.col("client_open_date").asc_nulls_last()],
+                          [F.col("logo").asc()]).select(
+        "account_id", "birth_date", R.SEX_FROM_CODE.column(gen="gender_code").alias("sex"))
     snap = enrich.star_join(snap, [
-        Dim(seg, {"account_id": "account_id", "year": "year", "month": "month"}, ["segment_official"], unique=True),
+        Dim(pivot, ym, ["int_fin", "int_mor", "int_msi"], unique=True),
+        Dim(codes, ym, ["write_off_amount", "write_off_rows", "forgiveness_amount", "forgiveness_rows"],
+            unique=True),
+        Dim(G.commissions(inp.indicators), ym, ["fee_amount"], unique=True),
+        Dim(seg, ym, ["segment_official"], unique=True),
+        Dim(latest_client_segment(inp.client_segments), ym, ["segment_client"], unique=True),
         Dim(inp.stores, {"store_id": "store_id"}, ["zone_code"], unique=True),
-        Dim(zraw, {"store_id": "store_id"}, ["zone_name"], unique=True),
+        Dim(zones, {"store_id": "store_id"}, ["zone"], unique=True),
     ])
     base = enrich.star_join(base, [
-        Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit("1")), {"account_id": "account_id"},
-            ["digital_flag"], {"digital_flag": "0"}, unique=True)])
+        Dim(G.card_counts(inp.cards), acc_on, ["n_addon", "n_primary"], unique=True),
+        Dim(G.unified_customer(inp.cards), acc_on, ["client_uid"], unique=True),
+        Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit("1")), acc_on, ["digital_flag"],
+            {"digital_flag": "0"}, unique=True),
+        Dim(demo, acc_on, ["birth_date", "sex"], unique=True),
+    ])
     p = panel.vintage_panel(base, snap, hot=hot).where(keep)
-    bal, lim = F.col("balance"), F.col("credit_limit")
-    p = p.withColumns({
-        "obs_yyyymm": P.yyyymm("year", "month"),
-        "origin_yyyymm": P.yyyymm("origin_year", "origin_month"),
-        "mob_origin": P.month_offset(F.year("open_date"), F.month("open_date"), F.col("origin_year"),
-                                     F.col("origin_month")),
-        "util_ratio": panel.utilisation_nonpositive(bal, lim),
-    })
-    p = p.withColumns({
-        "util_band": R.UTILISATION_BAND.column(ratio="util_ratio"),
-        "balance_band": R.AMOUNT_BAND.column(product="product", amount=bal),
-        "delinquency": R.DELINQUENCY_LABEL.column(level="level"),
-        "flag_30": R.FLAG_30.column(level="level"),
-        "flag_90": R.FLAG_90.column(level="level"),
-        "risk_level": R.RISK_LEGACY.column(product="product", period="obs_yyyymm", score="score"),
-        "node": R.SCORE_TREE_NODE.column(period="obs_yyyymm", product="product", brand="brand",
-                                         mob="mob_origin", score="score"),
-        "paper_channel": R.STATEMENT_CHANNEL_SHORT.column(flag="stmt_flag"),
-    })
-    e = p.withColumn("node_label", R.NODE_LABEL.column(product="product", period="obs_yyyymm", node="node"))
-    zone_in = F.when(F.col("product").isin(100, 110), F.col("zone_code")).otherwise(F.col("zone_name"))
-    e = e.withColumns({
-        "macro_segment": enrich.macro_segment_label(F.col("segment_official")),
-        "zone_label": R.ZONE_LABEL_FACT.column(product="product", zone=zone_in, store="store_id"),
-        "load_date": F.lit(load_date),
-    })
+    e = fact_labels(p, R.RISK_LEGACY, load_date)
     return e.select(*NET_COLUMNS)
 
 
@@ -640,4 +642,9 @@ NET_COLUMNS = [
     "credit_limit", "util_ratio", "util_band", "balance_band", "level", "delinquency", "flag_30", "flag_90", "score",
     "risk_level", "node", "node_label", "paper_channel", "zone_label", "macro_segment", "digital_flag",
     "initial_risk", "initial_brand", "initial_state", "initial_totalero_flag", "initial_macro_segment", "load_date",
+    "mob", "mob_band", "horizon", "limit_band", "rate", "rate_tier", "cosecha", "has_balance", "opening_band", "brand",
+    "store_id", "totalero_flag", "n_addon", "n_primary", "client_uid", "int_fin", "int_mor", "int_total", "int_msi",
+    "fee_amount", "segment_client", "write_off_flag", "write_off_amount", "write_off_rows", "forgiveness_flag",
+    "forgiveness_amount", "forgiveness_rows", "write_off_horizon", "write_off_offset", "interest_horizon",
+    "instalment_horizon", "age", "age_band", "sex", "zone_raw",
 ]

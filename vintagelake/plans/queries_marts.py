@@ -237,9 +237,9 @@ SELECT account_id, CAST(product AS BIGINT) AS product, CAST(origin_year AS BIGIN
        CASE WHEN dig_id IS NULL THEN '0' ELSE '1' END AS digital_flag,
        CASE WHEN segment_official IN (0, 99) OR segment_official IS NULL THEN 'No clasificado'
             ELSE CAST(segment_official AS VARCHAR) END AS macro_segment,
-       CAST(CASE WHEN wo_year IS NULL THEN 0 ELSE 1 END AS BIGINT) AS write_off_flag,
+       CAST(CASE WHEN wo_year IS NULL OR account_id = 0 THEN 0 ELSE 1 END AS BIGINT) AS write_off_flag,
        CAST(write_off_amount AS DOUBLE) AS write_off_amount, CAST(write_off_rows AS BIGINT) AS write_off_rows,
-       CAST(CASE WHEN fg_year IS NULL THEN 0 ELSE 1 END AS BIGINT) AS forgiveness_flag,
+       CAST(CASE WHEN fg_year IS NULL OR account_id = 0 THEN 0 ELSE 1 END AS BIGINT) AS forgiveness_flag,
        CAST(forgiveness_amount AS DOUBLE) AS forgiveness_amount, CAST(forgiveness_rows AS BIGINT) AS forgiveness_rows,
        CAST(age AS BIGINT) AS age, {R.AGE_BAND_FACT.sql(age='age')} AS age_band,
        {R.SEX_FROM_CODE.sql(gen='gender_code')} AS sex,
@@ -598,20 +598,32 @@ def dispositions_net_mart(spark, sf_dir):
 
 
 _NET_ORDER = ("year, month, product NULLS FIRST, plan NULLS FIRST, code NULLS FIRST, score NULLS FIRST, "
-              "level NULLS FIRST, state NULLS FIRST, brand NULLS FIRST, totalero_flag NULLS FIRST")
+              "level NULLS FIRST, state NULLS FIRST, brand NULLS FIRST, totalero_flag NULLS FIRST, "
+              "obs_product NULLS FIRST")
 register("dispositions_net_mart", A.sql_with(
     "accounts", "ledger", "successor_map", "snapshots", "cards", "stores", "zone_history", "macro_old", "macro_new",
-    extra={
-        **NET_BASE_CTES, **{k: _DIM_CTES[k] for k in ("dig", "msg")},
+    "clients", "client_segments", "indicators", extra={
+        **NET_BASE_CTES, **{k: _DIM_CTES[k] for k in ("cc", "uc", "dig", "msg", "csg", "cli1")},
+        **{k: _DISPO_CTES[k] for k in ("castigo", "quita", "zl", "fee")},
+        "pvr": f"""SELECT CASE WHEN m.successor_id IS NULL OR m.successor_id = 0 THEN i.account_id ELSE m.successor_id END
+                            AS account_id, i.year, i.month,
+                          sum(CASE WHEN indicator = 'INTERESES_FIN' THEN amount ELSE 0 END) AS int_fin,
+                          sum(CASE WHEN indicator = 'INTERESES_MOR' THEN amount ELSE 0 END) AS int_mor,
+                          sum(CASE WHEN indicator LIKE '%MSI%' THEN amount ELSE 0 END) AS int_msi
+                   FROM indicators i LEFT JOIN successor_map m ON m.account_id = i.account_id
+                   WHERE i.year = {WINDOW_END.year} AND i.month = {WINDOW_END.month} GROUP BY 1, 2, 3""",
         "nb": f"""SELECT DISTINCT agg.track AS account_id, agg.product, pick.plan, pick.code, agg.y AS origin_year,
                          agg.mo AS origin_month, agg.monto AS amount, agg.trn AS n_txn
                   FROM agg JOIN pick ON pick.track = agg.track AND pick.y = agg.y AND pick.mo = agg.mo""",
         "nb2": f"""SELECT nb.*, a.open_date, {R.CHANNEL.sql(plan='nb.plan')} AS channel
                    FROM nb LEFT JOIN accounts a ON a.account_id = nb.account_id""",
-        "sn": f"""SELECT DISTINCT COALESCE(m.successor_id, s.account_id) AS account_id, s.year, s.month, s.brand,
-                         s.state, s.store_id, s.balance, s.credit_limit, s.level, s.score, s.stmt_flag, s.totalero_flag
+        "sn": f"""SELECT DISTINCT COALESCE(m.successor_id, s.account_id) AS account_id, s.year, s.month,
+                         s.product AS obs_product, s.brand, s.state, s.store_id, s.balance, s.credit_limit, s.rate,
+                         s.level, s.score, s.stmt_flag, s.totalero_flag
                   FROM snapshots s LEFT JOIN successor_map m ON m.account_id = s.account_id""",
-        "np": """SELECT nb2.*, sn.year, sn.month, sn.brand, sn.state, sn.store_id, sn.balance, sn.credit_limit, sn.level,
+        "np": """SELECT nb2.*, sn.year, sn.month, sn.obs_product, sn.brand, sn.state, sn.store_id, sn.balance,
+                        sn.credit_limit, sn.rate, sn.level,
+                        (sn.year - year(nb2.open_date)) * 12 + (sn.month - month(nb2.open_date)) AS mob,
                         sn.score, sn.stmt_flag, sn.totalero_flag,
                         (sn.year - nb2.origin_year) * 12 + (sn.month - nb2.origin_month) AS vintage_offset,
                         sn.year * 100 + sn.month AS obs_yyyymm, nb2.origin_year * 100 + nb2.origin_month AS origin_yyyymm,
@@ -622,24 +634,43 @@ register("dispositions_net_mart", A.sql_with(
                  FROM nb2 JOIN sn ON sn.account_id = nb2.account_id
                  WHERE (sn.year - nb2.origin_year) * 12 + (sn.month - nb2.origin_month) >= 0
                    AND ((nb2.product IN (110) AND sn.state NOT IN ('T')) OR nb2.product NOT IN (110))""",
-        "np2": f"""SELECT *, {R.RISK_LEGACY.sql(product='product', period='obs_yyyymm', score='score')} AS risk_level,
-                          {R.SCORE_TREE_NODE.sql(period='obs_yyyymm', product='product', brand='brand',
+        "np2": f"""SELECT *, {R.RISK_LEGACY.sql(product='obs_product', period='obs_yyyymm', score='score')} AS risk_level,
+                          {R.SCORE_TREE_NODE.sql(period='obs_yyyymm', product='obs_product', brand='brand',
                                                  mob='mob_origin', score='score')} AS node
                    FROM np""",
-        "zr": """SELECT store_id, zone_desc AS zone_name FROM (
-                   SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY year DESC, month DESC) AS rn
-                   FROM zone_history) WHERE rn = 1""",
         "nj": f"""SELECT np2.*, CASE WHEN msg.segment_official IN (0, 99) OR msg.segment_official IS NULL
                                     THEN 'No clasificado' ELSE CAST(msg.segment_official AS VARCHAR) END AS macro_segment,
                          CASE WHEN dig.account_id IS NULL THEN '0' ELSE '1' END AS digital_flag,
                          {R.ZONE_LABEL_FACT.sql(product='np2.product', store='np2.store_id',
                                                 zone='(CASE WHEN np2.product IN (100, 110) THEN st.zone_code '
-                                                     'ELSE zr.zone_name END)')} AS zone_label
+                                                     'ELSE zl.zone END)')} AS zone_label,
+                         CASE WHEN np2.product IN (100, 110) THEN st.zone_code ELSE zl.zone END AS zone_raw,
+                         pvr.int_fin, pvr.int_mor, pvr.int_msi, castigo.write_off_amount, castigo.write_off_rows,
+                         CASE WHEN castigo.account_id IS NULL OR castigo.account_id = 0 THEN 0 ELSE 1 END AS write_off_flag,
+                         (castigo.year - np2.origin_year) * 12 + (castigo.month - np2.origin_month) AS wo_offset,
+                         (pvr.year - np2.origin_year) * 12 + (pvr.month - np2.origin_month) AS int_offset,
+                         CASE WHEN quita.account_id IS NULL OR quita.account_id = 0 THEN 0 ELSE 1 END AS forgiveness_flag,
+                         quita.forgiveness_amount, quita.forgiveness_rows, fee.fee_amount, csg.segment_client,
+                         cc.n_addon, cc.n_primary, uc.client_uid, cli1.gender_code,
+                         CASE WHEN floor((np2.obs_yyyymm - (year(cli1.birth_date) * 100 + month(cli1.birth_date))) / 100) < 0
+                              THEN 0
+                              ELSE floor((np2.obs_yyyymm - (year(cli1.birth_date) * 100 + month(cli1.birth_date))) / 100)
+                         END AS age
                   FROM np2
+                  LEFT JOIN pvr ON pvr.account_id = np2.account_id AND pvr.year = np2.year AND pvr.month = np2.month
+                  LEFT JOIN castigo ON castigo.account_id = np2.account_id AND castigo.year = np2.year
+                    AND castigo.month = np2.month
+                  LEFT JOIN quita ON quita.account_id = np2.account_id AND quita.year = np2.year
+                    AND quita.month = np2.month
+                  LEFT JOIN fee ON fee.account_id = np2.account_id AND fee.year = np2.year AND fee.month = np2.month
+                  LEFT JOIN csg ON csg.account_id = np2.account_id AND csg.year = np2.year AND csg.month = np2.month
+                  LEFT JOIN cc ON cc.account_id = np2.account_id
+                  LEFT JOIN uc ON uc.account_id = np2.account_id
+                  LEFT JOIN cli1 ON cli1.account_id = np2.account_id
                   LEFT JOIN msg ON msg.account_id = np2.account_id AND msg.year = np2.year AND msg.month = np2.month
                   LEFT JOIN dig ON dig.account_id = np2.account_id
                   LEFT JOIN stores st ON st.store_id = np2.store_id
-                  LEFT JOIN zr ON zr.store_id = np2.store_id"""}) + f"""
+                  LEFT JOIN zl ON zl.store_id = np2.store_id"""}) + f"""
 SELECT account_id, CAST(product AS BIGINT) AS product, CAST(plan AS BIGINT) AS plan, CAST(code AS BIGINT) AS code,
        CAST(origin_year AS BIGINT) AS origin_year, CAST(origin_month AS BIGINT) AS origin_month,
        CAST(origin_yyyymm AS BIGINT) AS origin_yyyymm, channel, CAST(amount AS DOUBLE) AS amount,
@@ -647,7 +678,7 @@ SELECT account_id, CAST(product AS BIGINT) AS product, CAST(plan AS BIGINT) AS p
        CAST(obs_yyyymm AS BIGINT) AS obs_yyyymm, CAST(vintage_offset AS BIGINT) AS vintage_offset,
        CAST(mob_origin AS BIGINT) AS mob_origin, state, CAST(balance AS DOUBLE) AS balance,
        CAST(credit_limit AS DOUBLE) AS credit_limit, util_ratio, {R.UTILISATION_BAND.sql(ratio='util_ratio')} AS util_band,
-       {R.AMOUNT_BAND.sql(product='product', amount='balance')} AS balance_band, CAST(level AS BIGINT) AS level,
+       {R.AMOUNT_BAND.sql(product='obs_product', amount='balance')} AS balance_band, CAST(level AS BIGINT) AS level,
        {R.DELINQUENCY_LABEL.sql(level='level')} AS delinquency,
        CAST({R.FLAG_30.sql(level='level')} AS BIGINT) AS flag_30, CAST({R.FLAG_90.sql(level='level')} AS BIGINT) AS flag_90,
        CAST(score AS BIGINT) AS score, risk_level, CAST(node AS BIGINT) AS node,
@@ -656,7 +687,25 @@ SELECT account_id, CAST(product AS BIGINT) AS product, CAST(plan AS BIGINT) AS p
        first_value(risk_level) OVER w AS initial_risk, CAST(first_value(brand) OVER wp AS BIGINT) AS initial_brand,
        first_value(state) OVER wp AS initial_state,
        CAST(first_value(totalero_flag) OVER wp AS BIGINT) AS initial_totalero_flag,
-       first_value(macro_segment) OVER wp AS initial_macro_segment, {_d(LOAD_DATE)} AS load_date
+       first_value(macro_segment) OVER wp AS initial_macro_segment, {_d(LOAD_DATE)} AS load_date,
+       CAST(mob AS BIGINT) AS mob, {R.MOB_BAND.sql(mob='mob')} AS mob_band,
+       CASE WHEN vintage_offset <= 12 THEN 'Y1' WHEN vintage_offset <= 24 THEN 'Y2' WHEN vintage_offset <= 36 THEN 'Y3'
+            WHEN vintage_offset <= 48 THEN 'Y4' ELSE 'OTRO' END AS horizon,
+       {R.LIMIT_BAND_PUBLISHED.sql(product='product', amount='credit_limit')} AS limit_band,
+       CAST(rate AS DOUBLE) AS rate, {R.RATE_TIER_SINGLE.sql(product='obs_product', rate='rate')} AS rate_tier,
+       CAST(CASE WHEN origin_year < 2009 THEN 2009 ELSE origin_yyyymm END AS BIGINT) AS cosecha,
+       CAST(CASE WHEN balance > 0 THEN 1 ELSE 0 END AS BIGINT) AS has_balance, {_OPENING} AS opening_band,
+       CAST(brand AS BIGINT) AS brand, store_id, CAST(totalero_flag AS BIGINT) AS totalero_flag,
+       CAST(n_addon AS BIGINT) AS n_addon, CAST(n_primary AS BIGINT) AS n_primary, client_uid,
+       CAST(int_fin AS DOUBLE) AS int_fin, CAST(int_mor AS DOUBLE) AS int_mor,
+       CAST(int_fin + int_mor AS DOUBLE) AS int_total, CAST(int_msi AS DOUBLE) AS int_msi,
+       CAST(fee_amount AS DOUBLE) AS fee_amount, segment_client, CAST(write_off_flag AS BIGINT) AS write_off_flag,
+       CAST(write_off_amount AS DOUBLE) AS write_off_amount, CAST(write_off_rows AS BIGINT) AS write_off_rows,
+       CAST(forgiveness_flag AS BIGINT) AS forgiveness_flag, CAST(forgiveness_amount AS DOUBLE) AS forgiveness_amount,
+       CAST(forgiveness_rows AS BIGINT) AS forgiveness_rows, {_horizon3('wo_offset')} AS write_off_horizon,
+       CAST(wo_offset AS BIGINT) AS write_off_offset, {_horizon3('int_offset')} AS interest_horizon,
+       {_horizon3('int_offset')} AS instalment_horizon, CAST(age AS BIGINT) AS age,
+       {R.AGE_BAND_FACT.sql(age='age')} AS age_band, {R.SEX_FROM_CODE.sql(gen='gender_code')} AS sex, zone_raw
 FROM nj
 WINDOW w AS (PARTITION BY account_id, origin_year, origin_month ORDER BY {_NET_ORDER}),
        wp AS (PARTITION BY account_id, origin_year, origin_month, product ORDER BY {_NET_ORDER})
