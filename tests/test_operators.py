@@ -217,6 +217,18 @@ def test_salted_vintage_panel_equals_plain(spark):
     assert salted_df.columns == ["account_id", "origin_year", "origin_month", "year", "month", "v", "vintage_offset"]
 
 
+def test_hot_keys_from_both_sides(spark):
+    origins = spark.createDataFrame([(7, 2023, 1 + i % 12, i) for i in range(300)] + [(8, 2023, 1, 0)],
+                                    "account_id long, origin_year int, origin_month int, o int")
+    snaps = spark.createDataFrame([(7, 2024, 1, 0), (7, 2024, 2, 0)] + [(8, 2024, 1, i) for i in range(90)],
+                                  "account_id long, year int, month int, s int")
+    hot = panel.hot_keys(origins, snaps, hot_rows=100).collect()
+    assert [tuple(r) for r in hot] == [(7, 6, "o")]        # many origins, few snapshots: the origins are split
+    plain = panel.vintage_panel(origins, snaps, salt_buckets=1).collect()
+    assert sorted(plain) == sorted(panel.vintage_panel(origins, snaps, hot_rows=100).collect())
+    assert len(plain) == 690
+
+
 def test_latest_load_keeps_ties(spark):
     df = spark.createDataFrame([("a", dt.date(2024, 1, 1)), ("b", dt.date(2024, 2, 1)), ("c", dt.date(2024, 2, 1))],
                                "k string, load date")

@@ -81,35 +81,49 @@ def origins_from_accounts(accounts: DataFrame, date_col: str = "open_date") -> D
             .select("account_id", F.year(date_col).alias("origin_year"), F.month(date_col).alias("origin_month")))
 
 
-# Hot-key salting of the vintage join (see ``vintage_panel``): keys with at
-# least HOT_KEY_ROWS snapshot rows are spread over SALT_BUCKETS tasks.  Both
-# can be overridden per session with the conf keys below.
-SALT_BUCKETS = 16
-HOT_KEY_ROWS = 5000
+# Hot-key salting of the vintage join (see ``vintage_panel``): a key whose
+# origins x snapshots come to HOT_KEY_ROWS or more is spread over as many
+# tasks as keep each below that.  CONF_HOT_KEY_ROWS sets another size per
+# session, CONF_SALT_BUCKETS a fixed number of tasks.
+HOT_KEY_ROWS = 200_000
 CONF_SALT_BUCKETS = "vintagelake.panel.saltBuckets"
 CONF_HOT_KEY_ROWS = "vintagelake.panel.hotKeyRows"
 
 
-def _skew_settings(df: DataFrame, salt_buckets: int | None, hot_rows: int | None) -> tuple[int, int]:
-    conf = df.sparkSession.conf
-    k = salt_buckets if salt_buckets is not None else int(conf.get(CONF_SALT_BUCKETS, str(SALT_BUCKETS)))
+def hot_keys(origins: DataFrame, snaps: DataFrame, key: str = "account_id", salt_buckets: int | None = None,
+             hot_rows: int | None = None) -> DataFrame:
+    """(__hot_key, __buckets, __split): the keys with ``hot_rows`` panel rows or
+    more, the tasks to spread them over, and the side to split (the longer one,
+    'o' or 's').  Two counts with map-side combine, joined on the key."""
+    conf = origins.sparkSession.conf
+    fixed = salt_buckets if salt_buckets is not None else conf.get(CONF_SALT_BUCKETS, None)
     t = hot_rows if hot_rows is not None else int(conf.get(CONF_HOT_KEY_ROWS, str(HOT_KEY_ROWS)))
-    return k, t
-
-
-def hot_keys(snaps: DataFrame, key: str = "account_id", hot_rows: int | None = None) -> DataFrame:
-    """Keys holding at least ``hot_rows`` rows (at most rows / hot_rows keys),
-    from an aggregate with map-side combine."""
-    _, t = _skew_settings(snaps, None, hot_rows)
-    return (snaps.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= t)
-            .select(F.col(key).alias("__hot_key"), F.lit(True).alias("__hot")))
+    n_o = origins.groupBy(F.col(key).alias("__hot_key")).agg(F.count(F.lit(1)).alias("__o"))
+    n_s = snaps.groupBy(F.col(key).alias("__k")).agg(F.count(F.lit(1)).alias("__s"))
+    both = n_o.join(n_s, F.col("__hot_key") == F.col("__k")).where(F.col("__o") * F.col("__s") >= t)
+    # no more buckets than rows to spread
+    sized = F.least(F.ceil(F.col("__o") * F.col("__s") / F.lit(t)), F.greatest("__o", "__s"))
+    return both.select("__hot_key", (F.lit(int(fixed)) if fixed is not None else sized).cast("int").alias("__buckets"),
+                       F.when(F.col("__o") > F.col("__s"), "o").otherwise("s").alias("__split"))
+
+
+def _salted(df: DataFrame, hot: DataFrame, key: str, side: str) -> DataFrame:
+    """``df`` with __salt: one bucket per row of the split side, every bucket
+    for the rows of the other, 0 for keys that are not hot.  The bucket is a
+    hash of the row, so a retried task rebuilds the same ones."""
+    bucket = F.array(F.pmod(F.hash(*[F.col(c) for c in df.columns]), F.col("__buckets")))
+    salts = (F.when(F.col("__split") == side, bucket)
+             .when(F.col("__split").isNotNull(), F.sequence(F.lit(0), F.col("__buckets") - 1))
+             .otherwise(F.array(F.lit(0))))
+    return (df.join(hot, df[key] == hot["__hot_key"], "left").withColumn("__salt", F.explode(salts))
+            .drop("__hot_key", "__buckets", "__split"))
 
 
 def vintage_panel(origins: DataFrame, snaps: DataFrame, key: str = "account_id",
                   origin_year: str = "origin_year", origin_month: str = "origin_month",
                   obs_year: str = "year", obs_month: str = "month",
                   salt_buckets: int | None = None, hot_rows: int | None = None,
-                  hot: DataFrame | None = None) -> DataFrame:
+                  hot: DataFrame | None = None, unique_origins: bool = False) -> DataFrame:
     """Origins x later snapshots of the same account.
 
     Written as an inner equi-join on ``key`` with the offset predicate in the
@@ -119,31 +133,21 @@ def vintage_panel(origins: DataFrame, snaps: DataFrame, key: str = "account_id",
     Skew: the output of one key is (its origins) x (its snapshots), so a key
     that collects many accounts (e.g. every old id resolved to successor 0)
     explodes inside one task -- a blow-up in the join *output* that AQE's
-    input-size skew detection cannot see.  Keys with at least ``hot_rows``
-    snapshot rows are salted: their snapshot rows are spread over
-    ``salt_buckets`` buckets by a hash of the whole row (deterministic, so a
-    retried task rebuilds the same buckets; it also splits one hot month)
-    and only their origin rows are replicated per bucket; every (origin,
-    snapshot) pair is still produced exactly once.  The hot-key table comes from an aggregate with
-    map-side combine and holds at most rows / ``hot_rows`` keys; pass ``hot``
-    (from ``hot_keys`` on the plain snapshots) when ``snaps`` carries joined
-    enrichment, so the count does not drag the enrichment joins along.
+    input-size skew detection cannot see.  Hot keys (``hot_keys``) are salted:
+    the rows of their longer side are spread over the key's buckets and those
+    of the other side replicated per bucket; every (origin, snapshot) pair is
+    still produced exactly once.  Pass ``hot`` (from the plain inputs) when a
+    side carries joined enrichment, so the counts do not drag the joins along;
+    pass ``unique_origins`` when no key has a second origin: nothing multiplies
+    then, and no counts are taken.
     """
-    k, t = _skew_settings(snaps, salt_buckets, hot_rows)
-    o = origins.alias("o")
-    s = snaps.alias("s")
-    cond_extra = None
-    if k > 1:
+    o, s, cond_extra = origins, snaps, None
+    if not unique_origins and salt_buckets != 1:
         if hot is None:
-            hot = hot_keys(snaps, key, t)
-        s = (snaps.join(hot, snaps[key] == hot["__hot_key"], "left").drop("__hot_key")
-             .withColumn("__salt", F.when(F.col("__hot"),
-                                          F.pmod(F.hash(*[F.col(c) for c in snaps.columns]), F.lit(k)))
-                         .otherwise(F.lit(0))).drop("__hot").alias("s"))
-        o = (origins.join(hot, origins[key] == hot["__hot_key"], "left").drop("__hot_key")
-             .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(k - 1)))
-                                             .otherwise(F.array(F.lit(0))))).drop("__hot").alias("o"))
+            hot = hot_keys(origins, snaps, key, salt_buckets, hot_rows)
+        o, s = _salted(origins, hot, key, "o"), _salted(snaps, hot, key, "s")
         cond_extra = F.col("o.__salt") == F.col("s.__salt")
+    o, s = o.alias("o"), s.alias("s")
     off = month_offset(F.col(f"o.{origin_year}"), F.col(f"o.{origin_month}"),
                        F.col(f"s.{obs_year}"), F.col(f"s.{obs_month}"))
     cond = (F.col(f"o.{key}") == F.col(f"s.{key}")) & (off >= 0)
@@ -173,14 +177,15 @@ def first_observation(origins: DataFrame, snaps: DataFrame, order: Sequence[str]
     return g.select(key, origin_year, origin_month, *[F.col(f"__first.{c}").alias(f"first_{c}") for c in order])
 
 
-def vintage_delinquency(origins: DataFrame, snaps: DataFrame, years: int = 4) -> DataFrame:
+def vintage_delinquency(origins: DataFrame, snaps: DataFrame, years: int = 4,
+                        unique_origins: bool = False) -> DataFrame:
     """Flagship: 30+/90+ delinquency rate by vintage (origin YYYYMM) and offset.
 
     The panel is aggregated straight away; the group key (vintage, offset)
     has a small cardinality, so the partial (map-side) aggregate shrinks the
     expansion to a few rows per task before the shuffle.
     """
-    p = vintage_panel(origins, snaps.select("account_id", "year", "month", "level"))
+    p = vintage_panel(origins, snaps.select("account_id", "year", "month", "level"), unique_origins=unique_origins)
     p = p.withColumns({
         "vintage": yyyymm("origin_year", "origin_month").cast("long"),
         "f30": R.FLAG_30.column(level="level"),

@@ -219,7 +219,7 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
     snap = snap.withColumns({
         "util_ratio": panel.utilisation_nonpositive(bal, lim),
     })
-    hot = panel.hot_keys(snap)
+    hot = panel.hot_keys(base, snap)
 
     # Enrichment BEFORE the vintage expansion: account-month dimensions are
     # keyed like the snapshot rows (account, observation month) and join
@@ -364,7 +364,7 @@ def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = ()
                           [F.col(c).asc_nulls_first() for c in SNAPSHOT_TIES])
     snap = panel.prepare_snapshot(snap).withColumnRenamed("product", "obs_product")
     acc = inp.accounts.select(F.col("account_id").alias("a_id"), "open_date")
-    # one snapshot per account-month and one episode per account-month: no key is hot
+    # one snapshot and one episode per account-month: no key is hot
     p = panel.vintage_panel(ep, snap.where(~F.col("state").isin("T")), salt_buckets=1)
     p = p.join(acc, p.account_id == acc.a_id, "left").drop("a_id")
     mob_origin = P.month_offset(F.year("open_date"), F.month("open_date"), F.col("origin_year"), F.col("origin_month"))
@@ -472,7 +472,7 @@ def cohort_mart(inp: Inputs, product: int, brand: int, since: _dt.date, stores:
     since_yyyymm = since.year * 100 + since.month
     snap = panel.prepare_snapshot(inp.snapshots.where(F.col("brand") == brand), since_yyyymm,
                                   R.AMOUNT_BAND_COHORT, R.AMOUNT_BAND_COHORT)
-    p = panel.vintage_panel(coh, snap.where(~F.col("state").isin("T")))
+    p = panel.vintage_panel(coh, snap.where(~F.col("state").isin("T")), unique_origins=True)
     # dimension sources restricted to the cohort's accounts before aggregating
     keys_ = coh.select("account_id").distinct()
     pivot = G.indicator_pivot(inp.indicators.join(keys_, "account_id", "left_semi"), since_yyyymm=since_yyyymm,
@@ -551,6 +551,8 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
             "account_id", "year", "month", F.col("product").alias("obs_product"), "brand", "state", "store_id",
             "balance", "credit_limit", "rate", "level", "score", "stmt_flag", "totalero_flag"),
         inp.successor_map, mode="null").distinct()
+    # both feed the counts of hot keys, the initial state and the panel: derived once
+    base, snap = stage(base), stage(snap)
     snap = snap.withColumn("util_ratio", panel.utilisation_nonpositive(F.col("balance"), F.col("credit_limit")))
     is110 = F.col("product").isin(110)
     keep = (is110 & ~F.col("state").isin("T")) | ~is110
@@ -600,7 +602,7 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
         enrich.macro_segment_label(F.col("segment_official")).alias("initial_macro_segment"))
     base = (base.join(first, ["account_id", "origin_year", "origin_month", "product"], "left")
             .join(risk, ["account_id", "origin_year", "origin_month"], "left"))
-    hot = panel.hot_keys(snap)
+    hot = panel.hot_keys(base, snap)
     # enrichment before the expansion (see dispositions_mart)
     ym = {"account_id": "account_id", "year": "year", "month": "month"}
     acc_on = {"account_id": "account_id"}

@@ -34,7 +34,7 @@ FROM panel GROUP BY vintage, mob
 def vintage_delinquency(spark, sf_dir):
     acc = A.accounts(spark, sf_dir)
     snaps = A.snapshots(spark, sf_dir, acc)
-    return panel.vintage_delinquency(panel.origins_from_accounts(acc), snaps)
+    return panel.vintage_delinquency(panel.origins_from_accounts(acc), snaps, unique_origins=True)
 
 
 register("vintage_delinquency", VINTAGE_DELINQUENCY_SQL)(vintage_delinquency)
