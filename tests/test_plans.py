@@ -1,11 +1,19 @@
 """Plan shape: no cartesian products, filters and projections reach the
 parquet scans, the ledger is scanned once per mart."""
 
+import datetime as dt
+import os
 import re
+import uuid
 
 import pytest
 
 import __spark_entry__ as E
+from vintagelake.operators import aggregates as G
+from vintagelake.operators import panel
+from vintagelake.plans import marts as M
+from vintagelake.session import checkpoint_dir
+from vintagelake.sources import analogues as A
 
 SF = "/root/testdata/sf0.01"
 
@@ -30,13 +38,28 @@ def test_ledger_window_filter_pushed_and_columns_pruned(spark):
         assert "l_quantity" not in cols and "l_tax" not in cols and "l_discount" not in cols
 
 
+def _scans(plan: str, table: str) -> list[str]:
+    return [l for l in plan.splitlines() if "FileScan parquet" in l and table in l]
+
+
 def test_dispositions_scans_ledger_once(spark):
+    inp = M.Inputs.load(spark, SF)
+    facts = G.ledger_monthly_facts(inp.ledger, inp.successor_map, dt.date(1995, 1, 1), dt.date(2001, 8, 31))
+    assert len(_scans(_plan(facts), "lineitem")) == 1
     p = _plan(E.queries()["dispositions_mart"](spark, SF))
-    scans = {re.search(r"FileScan parquet \[([^\]]*)\]", l).group(1)
-             for l in p.splitlines() if "FileScan parquet" in l and "lineitem" in l}
-    assert len(scans) == 0   # staged: the plan reads the checkpointed facts, not the ledger
+    assert not _scans(p, "lineitem") and _scans(p, "stage-")     # the facts come from their staged table
+
+
+def test_year_bound_reaches_a_stored_table(spark):
+    path = os.path.join(checkpoint_dir(spark), "test_plans", uuid.uuid4().hex)
+    A.indicators(spark, "/root/testdata/sf0.001").write.parquet(path)
+    p = _plan(G.indicator_pivot(spark.read.parquet(path), since_yyyymm=199801))
+    assert "GreaterThanOrEqual(year,1998)" in p
 
 
-def test_snapshot_year_bound_pushed(spark):
-    p = _plan(E.queries()["conditional_pivot"](spark, SF))
-    assert "PushedFilters" in p
+def test_unique_origins_take_no_counts(spark):
+    acc = A.accounts(spark, SF)
+    origins, snaps = panel.origins_from_accounts(acc), A.snapshots(spark, SF, acc)
+    once, counted = (_plan(panel.vintage_delinquency(origins, snaps, unique_origins=u)).count("Exchange")
+                     for u in (True, False))
+    assert once < counted
