@@ -52,7 +52,7 @@ def age_from_yyyymm(obs_yyyymm: ColLike, birth_yyyymm: ColLike) -> Column:
 
 def parse_yyyymmdd(s: ColLike) -> Column:
     """F8: ``PARSE_DATE('%Y%m%d', s)``; unparsable text gives NULL."""
-    return F.try_to_date(_c(s), F.lit("yyyyMMdd"))
+    return F.try_to_date(_c(s), "yyyyMMdd")
 
 
 def closed_month_filter(date_col: ColLike, run_date: _dt.date) -> Column:

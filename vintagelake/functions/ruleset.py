@@ -194,26 +194,26 @@ RISK_LEGACY = RuleTable("risk_legacy", tuple(
 # R8 rate tier (decimal membership; 80.00 sits in T4 and T5 -> T4 wins)
 # ---------------------------------------------------------------------------
 _RATES_REV = [
-    ("T1", "36.39 33.89 32.89 32.39 31.39 29.49 27.99 25.99"),
-    ("T2", "49.54 47.04 46.04 45.54 42.04 39.49 37.99 33.99"),
-    ("T3", "58.86 56.36 55.36 54.86 53.11 55 49.89 48.39 44.39"),
-    ("T4", "66.20 63.70 62.70 62.20 61.2 57.49 55.99 51.99"),
-    ("T5", "68 65.5 64.5 64 66 65.49 63.99 59.99"),
-    ("TASA EMPL", "29.43 28.18 27.68 27.43 26.55 24.95 24.20 22.20"),
-    ("T0", "14.99 15.49 16.49 18.99"),
+    ("T1", (36.39, 33.89, 32.89, 32.39, 31.39, 29.49, 27.99, 25.99)),
+    ("T2", (49.54, 47.04, 46.04, 45.54, 42.04, 39.49, 37.99, 33.99)),
+    ("T3", (58.86, 56.36, 55.36, 54.86, 53.11, 55, 49.89, 48.39, 44.39)),
+    ("T4", (66.20, 63.70, 62.70, 62.20, 61.2, 57.49, 55.99, 51.99)),
+    ("T5", (68, 65.5, 64.5, 64, 66, 65.49, 63.99, 59.99)),
+    ("TASA EMPL", (29.43, 28.18, 27.68, 27.43, 26.55, 24.95, 24.20, 22.20)),
+    ("T0", (14.99, 15.49, 16.49, 18.99)),
 ]
 _RATES_STORE = [
-    ("T1", "48.99 56.70 60.36 60.86 61.86"),
-    ("T2", "55.99 65.60 69.83 70.33 71.33"),
-    ("T3", "63.99 75.00 77.42 77.60 78.10 79.10"),
-    ("T4", "72.00 80.00 80.50 81.50"),
-    ("T5", "80.00 85.00 84.00 84.50 85.50"),
-    ("TASA EMPL", "32.00 37.50 38.71 38.80 39.05 39.55 29.43"),
+    ("T1", (48.99, 56.70, 60.36, 60.86, 61.86)),
+    ("T2", (55.99, 65.60, 69.83, 70.33, 71.33)),
+    ("T3", (63.99, 75.00, 77.42, 77.60, 78.10, 79.10)),
+    ("T4", (72.00, 80.00, 80.50, 81.50)),
+    ("T5", (80.00, 85.00, 84.00, 84.50, 85.50)),
+    ("TASA EMPL", (32.00, 37.50, 38.71, 38.80, 39.05, 39.55, 29.43)),
 ]
 
 
 def _rate_rules(families, table):
-    return [Rule((("product", "in", families), ("rate", "in", tuple(D(x) for x in vals.split()))), tier)
+    return [Rule((("product", "in", families), ("rate", "in", tuple(D(str(x)) for x in vals))), tier)
             for tier, vals in table]
 
 

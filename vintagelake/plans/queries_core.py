@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from vintagelake.functions import periods as P
 from vintagelake.functions import ruleset as R
 from vintagelake.operators import panel
 from vintagelake.plans.registry import register
 from vintagelake.sources import analogues as A
+from vintagelake.sources.tables import read_table
 
 _F30_SQL = R.FLAG_30.sql(level="s.level")
 _F90_SQL = R.FLAG_90.sql(level="s.level")
@@ -38,3 +42,20 @@ def vintage_delinquency(spark, sf_dir):
 
 
 register("vintage_delinquency", VINTAGE_DELINQUENCY_SQL)(vintage_delinquency)
+
+
+def parse_dates(spark, sf_dir):
+    """Eight-digit dates parsed from text, one in ten unreadable, and the month's first day."""
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
+    digits = F.date_format(F.col("o_orderdate").cast("date"), "yyyyMMdd")
+    text = F.when(F.col("o_orderkey") % 10 == 0, F.concat(F.lit("x"), digits)).otherwise(digits)
+    parsed = o.select(F.col("o_orderkey").cast("long").alias("order_id"), P.parse_yyyymmdd(text).alias("order_date"))
+    return parsed.withColumn("order_month", P.month_start("order_date"))
+
+
+register("parse_dates", """
+SELECT CAST(o_orderkey AS BIGINT) AS order_id,
+       CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS order_date,
+       CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE CAST(date_trunc('month', o_orderdate) AS DATE) END AS order_month
+FROM orders
+""")(parse_dates)
