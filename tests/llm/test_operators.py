@@ -115,6 +115,37 @@ def test_line_dedup(spark):
     assert got == {(1, f"{a}\n{b}\n{c}", 0), (2, f"{d}\n\nshort", 2), (3, "", 3), (4, None, 0), (5, "", 0), (None, "own", 1)}
 
 
+def test_patience_without_unique_lines(monkeypatch):
+    assert lines.patience([7, 1, 8, 1, 9], [5, 1, 6]) == [(1, 1)]
+    for size in (1 << 26, 8):
+        monkeypatch.setattr(lines, "CELLS", size)
+        for _ in range(60):
+            a, b = (rng.integers(0, 4, rng.integers(1, 14)).tolist() for _ in range(2))
+            table = np.zeros((len(a) + 1, len(b) + 1), int)
+            for i, x in enumerate(a):
+                for j, y in enumerate(b):
+                    table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
+            got = lines.longest_common(a, b)
+            assert len(got) == table[-1, -1] and all(a[i] == b[j] for i, j in got)
+            assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:]))
+
+
+def test_line_dedup_equals_all_pairs(spark):
+    """Passages that many documents share: repeated, in other orders, and of lines too short alone."""
+    vocabulary = [prose(int(n), 900) for n in rng.integers(1, 7, 12)]
+    texts = [[vocabulary[i] for i in rng.integers(0, 12, rng.integers(2, 9))] + [f"own {d}"] for d in range(60)]
+    first, second = prose(6, 900), prose(6, 900)
+    texts += [[first, "own a", first]] + [["own b", second, first, "c"]] + [[f"own {k}", first, second] for k in "defghij"]
+    want = {}
+    for d, b in enumerate(texts):
+        gone = set()
+        for a in texts[:d]:
+            gone |= set(lines.common_blocks(a, b, [len(x.split()) for x in b], lines.MIN_WORDS))
+        want[d] = "\n".join(x for i, x in enumerate(b) if i not in gone)
+    df = spark.createDataFrame([(d, "\n".join(x)) for d, x in enumerate(texts)], "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in lines.line_dedup(df).collect()} == want
+
+
 def test_bpe_matches_the_library_and_decodes(docs):
     import sentencepiece
     from vintagelake.llm import pieces
