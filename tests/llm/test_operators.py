@@ -280,6 +280,25 @@ def test_html(spark):
     assert len(got) == 3 and all(r["n_chars"] == len(r["text"]) for r in got)
 
 
+def test_html_surge_and_dive():
+    first, second, last = (f"{w} paragraph, long enough to surge on its own here." for w in ("First", "Second", "Last"))
+    links = "".join(f"<div>Link {i}</div>" for i in range(6))
+    apart = "<div></div><div></div>"
+    # short divs before the surge and after a dive are no text
+    assert html.main_text(f"<div>{links}{apart}<p>{first}</p>{apart}{links}</div>") == first
+    assert html.main_text(f"<article>{links}{apart}<p>{first}</p>{apart}{links}</article>") == first
+    assert html.main_text(f"<article>{links}<h1>Title</h1><p>By me</p><p>Now</p><p>{first}</p></article>") == f"Title\nBy me\nNow\n{first}"
+    # a stripped list is no distance, and a later part of the article stays whatever its share
+    items = "<ul class='sidebar'>" + "<li>item</li>" * 40 + "</ul>"
+    long = f"<p>{second * 30}</p>"
+    assert html.main_text(f"<article>{long}{items}<p>Ok.</p></article>") == f"{second * 30}\nOk."
+    assert html.main_text(f"<article>{long}{apart * 20}<p>{last}</p></article>") == f"{second * 30}\n{last}"
+    # a word that may be a topic strips nothing alone
+    for mark in ("section id='legal'", "div class='discussion'", "section id='related-work'", "section id='cookies'"):
+        assert html.main_text(f"<article><p>{first}</p><{mark}><p>{last}</p></{mark.split()[0]}></article>") == f"{first}\n{last}"
+    assert html.main_text(f"<article><p>{first}</p><div class='search-form'><p>{last}</p></div></article>") == first
+
+
 def test_warc(spark):
     rows = [(3, "http://a/\r\nx", "same é"), (2, None, "same é"), (2, "u", "same é"), (7, "u", None), (8, "u", ""),
             (9, "u", "big é " * 5000), (None, "u", "big é " * 5000), (None, None, "lone")]

@@ -3,12 +3,16 @@
 Markup is stripped so that every block element becomes one line; parts that
 are not article text (scripts, styles, menus, headers, footers, sidebars,
 notices, adverts, forms, comments, by tag, role, or class and id words) leave
-empty lines.  Over the line lengths a window of ``WINDOW`` lines is summed.
-Text surges where a window reaches ``SURGE`` characters and dives where the
-lines of a whole window are empty; the lines from the start of the run that
-holds a surge to its dive are kept.  If nothing surges, the longest run is
-kept.  Runs much shorter than the longest one (under ``SHARE`` of it) go.
-A page with article or main elements only counts the text in them.
+no line, so they are no distance.  A word that also names a topic counts only
+with a second one; headings are not stripped by words.  Over the line lengths
+a window of ``WINDOW`` lines is summed.  Text surges where a window reaches
+``SURGE`` characters and dives where the lines of a whole window are empty;
+the lines from each surge to its dive are kept, with those before it back to
+the first heading or paragraph since the last dive.  If nothing surges, all runs
+between dives stand for them.  A page with article or main elements only
+counts the text in them, and keeps every such part.  On other pages, parts
+more than ``WINDOW * 8`` empty lines from the rest go if they are much shorter
+than the longest (under ``SHARE`` of it).
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined by one newline in page order.  A null or
@@ -36,12 +40,17 @@ _BLOCK = {"p", "div", "section", "article", "main", "h1", "h2", "h3", "h4", "h5"
           "br", "address", "details", "summary", "center", "body", "html"} | _ASIDE
 _VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr", "param"}
 _MAIN = {"article", "main"}
+_PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"}
+# class and id words of parts without article text; _TOPICS may as well name what a section is about
 _WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "sponsor", "sponsored",
           "promo", "promotion", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal",
           "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "sidebar", "aside", "widget",
           "comment", "comments", "reply", "replies", "respond", "discussion", "disqus", "menu", "nav", "navbar",
           "navigation", "breadcrumb", "breadcrumbs", "pagination", "pager", "header", "masthead", "footer", "copyright",
           "share", "sharing", "social", "related", "recommended", "toolbar", "search", "form", "skip", "legal", "tags"}
+_TOPICS = {"header", "notice", "notices", "alert", "modal", "overlay", "consent", "subscription", "promotion", "widget",
+           "comment", "reply", "replies", "respond", "discussion", "aside", "related", "recommended", "search", "form",
+           "skip", "legal", "tags", "share", "social", "banner", "login", "signup"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|"
@@ -57,6 +66,7 @@ def _aside(name: str, attrs: str) -> bool:
         return True
     if not attrs or name in ("body", "html", "article", "main") and "class" not in attrs and "id" not in attrs:
         return False
+    found = set()
     for key, value in _ATTR.findall(attrs):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value == "true":
@@ -65,26 +75,33 @@ def _aside(name: str, attrs: str) -> bool:
             return True
         if key == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if key in ("class", "id") and name not in ("body", "html", "main") \
-                and any(w.lower() in _WORDS for w in _PART.findall(value)):
-            return True
-    return False
-
-
-def blocks(page: str) -> list[str]:
-    """One line per block; empty lines for the parts that are stripped."""
+        if key in ("class", "id") and name not in ("body", "html", "main", "h1", "h2", "h3", "h4", "h5", "h6"):
+            words = _WORDS.intersection(w.lower() for w in _PART.findall(value))
+            # ids of sections come from their titles
+            if words - _TOPICS and (key == "class" or name != "section"):
+                return True
+            found |= words
+    return len(found) > 1
+
+
+def blocks(page: str) -> tuple[list[str], list[bool], bool]:
+    """One line per block, whether it is of a heading or paragraph, and whether only article or main elements count;
+    no line for a stripped part."""
     lines: list[str] = []
     held: list[str] = []
     inside: list[bool] = []
+    prose: list[bool] = []
     stack: list[tuple[str, bool]] = []
     skip = mains = 0
     raw = None
 
-    def flush():
+    def flush(stripped: bool):
         text = _SPACE.sub(" ", entities.unescape("".join(held))).strip()
-        lines.append(text)
-        inside.append(mains > 0)
         held.clear()
+        if text or not stripped:
+            lines.append(text)
+            inside.append(mains > 0)
+            prose.append(next((n for n, _ in reversed(stack) if n in _BLOCK), "") in _PROSE)
 
     for m in _TOKEN.finditer(page):
         name = m[2]
@@ -107,14 +124,14 @@ def blocks(page: str) -> list[str]:
             if not closing and name != "head" and not m[3].endswith("/"):
                 raw = name
             continue
+        off = not closing and name not in _VOID and _aside(name, m[3])
         if name in _BLOCK:
-            flush()
+            flush(off or skip > 0)
         if name in _VOID:
             continue
         if not closing:
             if name == "p" and stack and stack[-1][0] == "p":
                 skip -= stack.pop()[1]
-            off = _aside(name, m[3])
             if m[3].endswith("/") and name not in _BLOCK:
                 continue
             stack.append((name, off))
@@ -128,29 +145,43 @@ def blocks(page: str) -> list[str]:
                     if n in _MAIN and not skip and not off:
                         mains = max(0, mains - 1)
                 del stack[at:]
-    flush()
-    if any(i and t for i, t in zip(inside, lines)):
+    flush(skip > 0)
+    if marked := any(i and t for i, t in zip(inside, lines)):
         lines = [t if i else "" for i, t in zip(inside, lines)]
-    return lines
+    return lines, prose, marked
 
 
 def main_text(page: str | None) -> str:
     """The text between surge and dive points."""
-    lines = blocks(page) if page else []
+    lines, prose, marked = blocks(page) if page else ([], [], False)
     size = [len(t) for t in lines]
-    full = [i for i, n in enumerate(size) if n]
-    if not full:
-        return ""
-    runs, gap = [[full[0]]], WINDOW * 8
-    for i in full[1:]:
-        if i - runs[-1][-1] > gap:
-            runs.append([])
-        runs[-1].append(i)
-    weight = [sum(size[i] for i in r) for r in runs]
-    surges = [any(sum(size[j] for j in r[a:a + WINDOW]) >= SURGE for a in range(len(r))) for r in runs]
-    least = SHARE * max(weight)
-    keep = [r for r, w, s in zip(runs, weight, surges) if w >= least and (s or not any(surges))]
-    return "\n".join(lines[i] for r in keep for i in r)
+    window = [sum(size[i:i + WINDOW]) for i in range(len(size))]
+    for least in (SURGE, 1):
+        parts: list[list[int]] = []
+        before: list[int] = []
+        on = False
+        for i, n in enumerate(window):
+            if not on and n >= least:
+                parts.append(before)
+                on = True
+            if not n:
+                on, before = False, []
+            elif size[i]:
+                if on:
+                    parts[-1].append(i)
+                elif before or prose[i]:
+                    before.append(i)
+        if parts:
+            break
+    if not marked:
+        near: list[list[int]] = []
+        for part in parts:
+            if not near or part[0] - near[-1][-1] > WINDOW * 8:
+                near.append([])
+            near[-1] += part
+        weight = [sum(size[i] for i in part) for part in near]
+        parts = [part for part, w in zip(near, weight) if w >= SHARE * max(weight)]
+    return "\n".join(lines[i] for part in parts for i in part)
 
 
 def extract(pages: DataFrame) -> DataFrame:
