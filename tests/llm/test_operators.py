@@ -218,6 +218,20 @@ def test_quality_classifier(spark, docs):
     assert {x["score"] for x in none.collect()} == {0.5}
 
 
+def test_dictionaries_hold_all_of_the_sample(spark):
+    """Text behind a long opening, and documents of every id, when the sample exceeds the budget."""
+    opening = prose(900, 3000)
+    rows = [(i, f"{opening} doc{i}good {prose(60, 3000)}" if i % 2 else f"{opening} {prose(60, 3000)} junk{i} " + "spam! " * 20)
+            for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, quality int")
+    model = zclass.fit(docs, labels, dict_docs=200, dict_bytes=64 << 10, fit_docs=80)
+    assert 32 << 10 < len(model["bad"]) <= 64 << 10 and model["bad"].count(b"spam!") > 50
+    import re
+    ids = [int(x) for x in re.findall(rb"doc([0-9]+)good", model["good"])]
+    assert min(ids) < 200 and max(ids) >= 400
+
+
 def test_mixing(spark, docs):
     res = compare(spark_rows(E.queries()["op7_mixing"](spark, SF)), duck_rows(duck_connect(SF), E.oracle_sql()["op7_mixing"]))
     assert res["ok"], res

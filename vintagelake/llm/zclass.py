@@ -8,8 +8,10 @@ join the difference in a logistic calibration, fitted on labelled rows that
 are not in the dictionaries.
 
 Fitting uses a bounded sample of the learning rows: about ``dict_docs``
-documents of each label (up to ``dict_bytes`` of each) for the dictionaries,
-``fit_docs`` of each for the calibration.  Every text is scored whole, in
+documents of each label for the dictionaries, ``fit_docs`` of each for the
+calibration.  The dictionary texts are cut into segments of ``SEGMENT``
+characters; where they exceed ``dict_bytes``, a hash of document and place
+chooses segments from all of every text until the budget is full.  Every text is scored whole, in
 pieces of ``PIECE`` bytes so that memory stays bounded.  A null or empty text
 gets the calibrated score of zero sizes.  Labels, lang, source and doc_id
 never enter a score.  Conflicting or repeated labels count one by one; null
@@ -22,15 +24,16 @@ import math
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from vintagelake.llm.common import fold, sample_rows
+from vintagelake.llm.common import fold, sample_rows, stage
 
 DICT_DOCS, DICT_BYTES, FIT_DOCS = 800, 256 << 10, 3000
-DOC_BYTES = 1500
+SEGMENT = 512
 LEVEL = 3
 PIECE = 1 << 20
 THRESHOLD = 0.3
@@ -82,6 +85,35 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return w
 
 
+def dictionaries(texts: DataFrame, dict_bytes: int) -> dict[int, bytes]:
+    """Raw dictionary of each label from ``texts`` (doc_id, y, text): hash-chosen segments from everywhere in them."""
+    total = {r["y"]: r["n"] for r in texts.groupBy("y").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+    # a little more than fits, so that the budget is filled
+    limit = {y: int(min(1.0, 1.2 * dict_bytes / max(1, n)) * (1 << 63)) for y, n in total.items()}
+
+    def choose(batches):
+        for b in batches:
+            out = []
+            for doc_id, y, text in zip(b["doc_id"], b["y"], b["text"]):
+                for at in range(0, len(text), SEGMENT):
+                    h = xxhash.xxh3_64_intdigest(f"{doc_id} {at}".encode()) >> 1
+                    if h < limit[y]:
+                        out.append((y, h, text[at:at + SEGMENT]))
+            yield pd.DataFrame(out, columns=["y", "h", "text"])
+    parts = texts.select("doc_id", "y", "text").mapInPandas(choose, "y int, h long, text string").toPandas()
+    found = {}
+    for y in (0, 1):
+        mine, size = [], 0
+        for text in parts[parts["y"] == y].sort_values(["h", "text"])["text"]:
+            raw = text.encode()
+            if size + len(raw) + 1 > dict_bytes:
+                break
+            mine.append(raw)
+            size += len(raw) + 1
+        found[y] = b"\n".join(mine) or b"        "
+    return found
+
+
 def fit(docs: DataFrame, labels: DataFrame, dict_docs: int = DICT_DOCS, dict_bytes: int = DICT_BYTES,
         fit_docs: int = FIT_DOCS) -> dict:
     """The model: dictionaries and calibration weights (a few hundred KB)."""
@@ -96,10 +128,8 @@ def fit(docs: DataFrame, labels: DataFrame, dict_docs: int = DICT_DOCS, dict_byt
                                                F.col("doc_id") == F.col("lid"))
     part = dict_docs / (dict_docs + fit_docs)
     use = F.pmod(F.xxhash64("doc_id", F.lit("dictionary")), F.lit(1 << 20)) < int(part * (1 << 20))
-    texts = texts.select("doc_id", "y", F.coalesce("text", F.lit("")).alias("text"), use.alias("use"))
-    raw = texts.filter("use").select("doc_id", "y", F.substring("text", 1, DOC_BYTES).alias("text")).toPandas()
-    raw = raw.sort_values("doc_id")
-    dictionary = {y: "\n".join(raw.loc[raw["y"] == y, "text"]).encode()[-dict_bytes:] or b"        " for y in (0, 1)}
+    texts = stage(texts.select("doc_id", "y", F.coalesce("text", F.lit("")).alias("text"), use.alias("use")), "sample")
+    dictionary = dictionaries(texts.filter("use"), dict_bytes)
 
     @pandas_udf("array<double>")
     def sizes(t: pd.Series) -> pd.Series:
