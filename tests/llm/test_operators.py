@@ -178,6 +178,22 @@ def test_language_id(spark, docs):
     assert [r["lang_pred"] for r in langid.predict(odd, ["a"], [], np.zeros((3, 0))).collect()] == ["und"] * 4
 
 
+def test_languages_of_single_words_are_learned(spark):
+    """More words than the bound: a late name whose words all occur once stays in the model."""
+    from vintagelake.llm import pieces
+    word = lambda letters: "".join(rng.choice(list(letters), 7))
+    often = [word("abcde") for _ in range(150)]
+    rows = [(i, " ".join(often * 2), "aa") for i in range(12)] + [(20 + i, " ".join(word("vwxyz") for _ in range(60)), "zz") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    vocabulary = pieces.load(pieces.default_path()).pieces
+    langs, probs = langid.learn(docs, vocabulary, fit_words=100)
+    assert langs == ["aa", "zz"]
+    asked = spark.createDataFrame([(1, word("vwxyz") + " " + word("vwxyz")), (2, word("abcde"))], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(asked, vocabulary, langs, probs).collect()}
+    assert got == {1: "zz", 2: "aa"}
+    assert langid.learn(docs.limit(0), vocabulary)[0] == []
+
+
 def base_row(text):
     ws = [w.decode() for w in (text or "").encode().split()]
     seen, dup = set(), 0

@@ -9,9 +9,11 @@ posterior under equal priors.
 
 Piece probabilities are fitted by expectation-maximisation (forward-backward
 counts) over the words of a bounded sample: about ``fit_docs`` documents of
-each learned language, whole texts, at most ``fit_words`` distinct (language,
-word) rows, the most frequent first.  Learning reads only text and a non-null
-lang of rows outside the held-out fold; predictions read only text.
+each learned language, whole texts.  Of a language with more than ``fit_words``
+distinct words there, a hash chooses about that many, each with its count.
+Every language with a word in a sampled document is learned.  Learning reads
+only text and a non-null lang of rows outside the held-out fold; predictions
+read only text.
 
 Characters outside the vocabulary get a small fixed probability.  Words over
 ``CUT`` characters are scored in cuts of that length, so that memory and
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vintagelake.llm import pieces
-from vintagelake.llm.common import SPACES, fold, sample_rows
+from vintagelake.llm.common import SPACES, fold, sample_rows, stage
 
 FIT_DOCS = 80
 FIT_WORDS = 80_000
@@ -137,9 +139,8 @@ def _by_length(words) -> dict[int, list]:
     return out
 
 
-def fit_pieces(rows: list[tuple[str, str, int]], vocabulary: list[str], steps: int = EM_STEPS):
-    """(languages, probabilities) from (language, word, count) rows."""
-    langs = sorted({r[0] for r in rows})
+def fit_pieces(rows: list[tuple[str, str, int]], vocabulary: list[str], langs: list[str], steps: int = EM_STEPS):
+    """Piece probabilities of ``langs`` from (language, word, count) rows."""
     at = {x: i for i, x in enumerate(langs)}
     counts: dict[str, np.ndarray] = {}
     for lang, word, n in rows:
@@ -161,17 +162,18 @@ def fit_pieces(rows: list[tuple[str, str, int]], vocabulary: list[str], steps: i
         probs = total / total.sum(0)
         probs[-2] = UNSEEN
         probs[-1] = 0
-    return langs, probs
+    return probs
 
 
 def learn(docs: DataFrame, vocabulary: list[str], fit_docs: int = FIT_DOCS, fit_words: int = FIT_WORDS):
     """Fit on rows outside the held-out fold (crc32 of the id mod 4 is 2)."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), 4) != 2))
     rows = sample_rows(rows.select("doc_id", "lang", "text"), "lang", fit_docs, "language")
-    words = rows.select("lang", F.explode(F.split("text", SPACES)).alias("w")).filter("w != ''") \
-        .groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")) \
-        .orderBy(F.desc("n"), "lang", "w").limit(fit_words).collect()
-    return fit_pieces([(r["lang"], r["w"], r["n"]) for r in words], vocabulary)
+    words = stage(rows.select("lang", F.explode(F.split("text", SPACES)).alias("w")).filter("w != ''")
+                  .groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")), "words")
+    langs = sorted(r["lang"] for r in words.select("lang").distinct().collect())
+    got = [(r["lang"], r["w"], r["n"]) for r in sample_rows(words, "lang", fit_words, "word", "w").collect()]
+    return langs, fit_pieces(sorted(got, key=lambda r: (-r[2], r[0], r[1])), vocabulary, langs)
 
 
 def has_letter(text: str) -> bool:
