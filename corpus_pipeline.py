@@ -11,7 +11,8 @@ written as parquet in the shared folder and read again as the next one's
    smallest doc_id stays (one row, if it is repeated); documents without words
    stay, being in no group.
 4. mixing: every document appears as often as its source's target weight asks.
-5. SentencePiece: the pieces of every text, with merge-dropout.
+5. SentencePiece: the pieces of every text, with merge-dropout drawn anew for
+   each copy.
 
 Null texts have no words; null ids and repeated rows are treated as each
 operator says; empty tables give empty results.  Extra columns are kept by
@@ -20,7 +21,7 @@ stages 1 to 4.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vintagelake.llm import bpe, jaccard, lines, mixing, zclass
@@ -52,7 +53,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = bpe.encode(docs, bpe.default_model())
+    # copies of a row differ in nothing but this number
+    copies = Window.partitionBy("doc_id", "key").orderBy("key")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("key")).withColumn("copy", F.row_number().over(copies))
+    out = bpe.encode(docs, bpe.default_model(), copy="copy")
     return out.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids")
 
 

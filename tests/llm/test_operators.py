@@ -165,6 +165,29 @@ def test_bpe_matches_the_library_and_decodes(docs):
     assert bpe.decode(bpe.encode(odd, model), model).first()["decoded"] == text
 
 
+def test_dropout_varies_by_document_position_and_copy(spark):
+    """More than four segmentations of a word, and other pieces for each copy that mixing makes."""
+    model = bpe.default_model()
+    word = "international"
+    rows = [(i, " ".join([word] * 40)) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = bpe.encode(docs, model, dropout=0.3).collect()
+    ways = set()
+    for r in out:
+        at, part = [model.pieces[x] for x in r["piece_ids"]], []
+        for p in at + ["\u2581"]:
+            if p.startswith("\u2581") and part:
+                ways.add(tuple(part))
+                part = []
+            part.append(p)
+    assert len(ways) > 4
+    assert len({tuple(r["piece_ids"]) for r in out}) == 20
+    assert out == bpe.encode(docs, model, dropout=0.3).collect()
+    twice = docs.limit(1).union(docs.limit(1)).union(docs.limit(1))
+    got = corpus_pipeline.sentencepiece(spark, twice, SF).collect()
+    assert len({tuple(r["piece_ids"]) for r in got}) == 3
+
+
 def test_language_id(spark, docs):
     r = E.queries()["op4_language_id"](spark, SF).join(read(spark, SF, "documents").select("doc_id", "lang"), "doc_id")
     held = r.filter("held_out")

@@ -4,11 +4,12 @@ Merge-type segmentation: an agenda of candidate merges, best piece first and
 leftmost among equals, as in a SentencePiece BPE model; with ``dropout`` 0 the
 pieces are the model's own.  Each candidate (its place, its merged piece) is
 skipped when a keyed hash of it falls below ``dropout``; the key holds the
-seed, the chunk and a variant number.  Chunks are a run of spaces with the
-characters up to the next space or newline (no piece crosses one; checked when
-the model is read).  The variants 0..``variants``-1 take turns along a text
-from a start given by its doc_id, so equal chunks get varied pieces while each
-is worked out once per task and variant.  Reruns agree.
+seed, doc_id, copy number, text and the chunk's position.  Chunks are a run of
+spaces with the characters up to the next space or newline (no piece crosses
+one; checked when the model is read).  So every occurrence of a chunk is drawn
+anew, also in another copy of its document; only with ``dropout`` 0 is a chunk
+worked out once per task.  Reruns agree, and rows equal in doc_id, text and
+copy number get the same pieces.
 
 Characters outside the vocabulary, and the space mark itself where the text
 holds it, become byte pieces: decoding returns the exact text.  A null text
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from vintagelake.llm.pieces import SPACE, default_path, load
 
-DROPOUT, SEED, VARIANTS = 0.1, 20, 4
+DROPOUT, SEED = 0.1, 20
 # chunks longer than this are merged one by one with a heap
 WIDE = 96
 CACHE = 250_000
@@ -85,8 +86,14 @@ class Encoder:
         self.m, self.size = model, len(model.pieces)
         self.limit, self.seed = int(dropout * (1 << 64)), seed
 
-    def key(self, chunk: str, variant: int) -> int:
-        return xxhash.xxh3_64_intdigest(chunk.encode(), seed=(self.seed << 8) + variant)
+    def keys(self, doc_id: int | None, copy: int, text: str, n: int) -> list[int]:
+        """The keys of the ``n`` chunks of a text."""
+        row = xxhash.xxh3_64_intdigest(f"{doc_id} {copy}".encode(), seed=self.seed)
+        row = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"), seed=row)
+        h = np.uint64(row) + np.arange(n, dtype=np.uint64) * np.uint64(_A)
+        for shift in (30, 27):
+            h = (h ^ (h >> np.uint64(shift))) * np.uint64(_B)
+        return (h ^ (h >> np.uint64(31))).tolist()
 
     def merge_rank(self, a, b, start, key):
         """Ranks of candidate merges (arrays); _NEVER where there is none or it is skipped."""
@@ -101,7 +108,7 @@ class Encoder:
         return rank
 
     def encode_all(self, todo: list[tuple[str, int]]) -> list[bytes]:
-        """Piece ids (as uint16 bytes) of (chunk, variant) pairs."""
+        """Piece ids (as uint16 bytes) of (chunk, key) pairs."""
         out: list[bytes | None] = [None] * len(todo)
         groups: dict[int, list[int]] = {}
         for i, (c, _) in enumerate(todo):
@@ -120,7 +127,7 @@ class Encoder:
         n, size = len(todo), len(todo[0][0])
         cps = np.frombuffer("".join(c for c, _ in todo).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size)
         sym = self.m.letters[cps].astype(np.int64)
-        key = np.fromiter((self.key(c, v) for c, v in todo), np.uint64, n)
+        key = np.fromiter((k for _, k in todo), np.uint64, n)
         start = np.broadcast_to(np.arange(size), (n, size)).copy()
         live = np.arange(n)
         rank = self.merge_rank(sym[:, :-1], sym[:, 1:], start[:, :-1], key[:, None])
@@ -167,10 +174,10 @@ class Encoder:
             ids += [s] if s >= 0 else [self.m.byte_ids[x] for x in c.encode("utf-8", "surrogatepass")]
         return np.array(ids, "<u2").tobytes()
 
-    def agenda(self, chunk: str, variant: int) -> bytes:
+    def agenda(self, chunk: str, key: int) -> bytes:
         """The same for one chunk of any length, with a heap of (rank, place, ids)."""
         sym = [int(self.m.letters[ord(c)]) for c in chunk]
-        key, n = self.key(chunk, variant), len(chunk)
+        n = len(chunk)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap: list[tuple[int, int, int, int]] = []
 
@@ -199,53 +206,46 @@ class Encoder:
         return self._bytes((sym[p], chunk[p]) for p in range(n) if not gone[p])
 
 
-def encode(docs: DataFrame, model: Model, dropout: float = DROPOUT, seed: int = SEED,
-           variants: int = VARIANTS) -> DataFrame:
-    """(doc_id, text, piece_ids array<int>) for the rows of ``docs`` (doc_id, text)."""
-    turns = variants if dropout > 0 else 1
-
+def encode(docs: DataFrame, model: Model, dropout: float = DROPOUT, seed: int = SEED, copy: str | None = None) -> DataFrame:
+    """(doc_id, text, piece_ids array<int>) for the rows of ``docs`` (doc_id, text); ``copy`` names a column of copy numbers."""
     def run(batches):
         enc = Encoder(model, dropout, seed)
-        known: list[dict[str, bytes]] = [{} for _ in range(turns)]
+        known: dict[str, bytes] = {}
         mark = np.array([model.byte_ids[x] for x in SPACE.encode()], "<u2").tobytes()
 
         def work(items):
-            """items: (start variant, list of chunk lists, joined by literal space marks)"""
+            """items: (doc_id, copy, text, list of chunk lists, joined by literal space marks)"""
             nonlocal known
-            if sum(map(len, known)) > CACHE:
-                known = [{} for _ in range(turns)]
-            for v in range(turns):
-                new = set()
-                for first, parts in items:
-                    for cs in parts:
-                        new.update(cs[(v - first) % turns::turns])
-                new = [(c, v) for c in new.difference(known[v])]
-                known[v].update(zip((c for c, _ in new), enc.encode_all(new)))
-            for first, parts in items:
-                texts = []
-                for cs in parts:
-                    ids: list = [None] * len(cs)
-                    for v in range(turns):
-                        at = (v - first) % turns
-                        ids[at::turns] = map(known[v].__getitem__, cs[at::turns])
-                    texts.append(b"".join(ids))
+            if dropout > 0:
+                todo = []
+                for doc_id, no, text, parts in items:
+                    cs = [c for part in parts for c in part]
+                    todo += zip(cs, enc.keys(doc_id, no, text, len(cs)))
+                done = iter(enc.encode_all(todo))
+            else:
+                if len(known) > CACHE:
+                    known = {}
+                new = list({c for *_, parts in items for cs in parts for c in cs}.difference(known))
+                known.update(zip(new, enc.encode_all([(c, 0) for c in new])))
+                done = (known[c] for *_, parts in items for cs in parts for c in cs)
+            for *_, parts in items:
+                texts = [b"".join(next(done) for _ in cs) for cs in parts]
                 yield np.frombuffer(mark.join(texts), "<u2").astype(np.int32)
 
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            ids, texts, copies = (b.column(c).to_pylist() for c in range(3))
             at = 0
             while at < len(texts):
                 first, items, many, lists = at, [], 0, []
                 while at < len(texts) and many < ROUND:
                     t = texts[at]
                     if t:
-                        start = xxhash.xxh3_64_intdigest(str(ids[at]).encode(), seed=seed) % turns
                         if SPACE in t:
                             segs = t.split(SPACE)
                             parts = [chunks(segs[0])] + [_CHUNKS.findall(s.replace(" ", SPACE)) for s in segs[1:]]
                         else:
                             parts = [chunks(t)]
-                        items.append((start, parts))
+                        items.append((ids[at], copies[at], t, parts))
                         many += sum(map(len, parts))
                     at += 1
                 done = work(items)
@@ -256,7 +256,8 @@ def encode(docs: DataFrame, model: Model, dropout: float = DROPOUT, seed: int =
                                                mask=pa.array([x is None for x in lists]))
                 part = b.slice(first, at - first)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), arr], ["doc_id", "text", "piece_ids"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    no = (F.col(copy) if copy else F.lit(0)).cast("long").alias("copy")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", no).mapInArrow(
         run, "doc_id long, text string, piece_ids array<int>")
 
 
