@@ -12,7 +12,7 @@ written as parquet in the shared folder and read again as the next one's
    stay, being in no group.
 4. mixing: every document appears as often as its source's target weight asks.
 5. SentencePiece: the pieces of every text, with merge-dropout drawn anew for
-   each copy.
+   each copy.  They are decoded again; a text that does not come back fails the run.
 
 Null texts have no words; null ids and repeated rows are treated as each
 operator says; empty tables give empty results.  Extra columns are kept by
@@ -56,8 +56,12 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     # copies of a row differ in nothing but this number
     copies = Window.partitionBy("doc_id", "key").orderBy("key")
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("key")).withColumn("copy", F.row_number().over(copies))
-    out = bpe.encode(docs, bpe.default_model(), copy="copy")
-    return out.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids")
+    model = bpe.default_model()
+    out = bpe.decode(bpe.encode(docs, model, copy="copy"), model)
+    lossy = F.raise_error(F.concat(F.lit("pieces do not decode to the text of document "),
+                                   F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    pieces = F.when(F.col("text").eqNullSafe(F.col("decoded")), F.col("piece_ids")).otherwise(lossy).alias("piece_ids")
+    return out.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), pieces)
 
 
 STAGES = [

@@ -386,3 +386,41 @@ def test_pipeline(spark, docs):
     for name, step in corpus_pipeline.STAGES[:-1]:
         assert step(spark, docs, SF).columns == docs.columns, name
         assert step(spark, docs.limit(0), SF).count() == 0, name
+
+
+def test_pipeline_equals_a_plain_version(spark, tmp_path):
+    """The five stages in plain Python; labels of one kind let every document pass the first."""
+    lines_ = [prose(int(n), 900) for n in rng.integers(3, 30, 30)]
+    rows = [(d, "\n".join([lines_[i] for i in rng.integers(0, 30, 3)] + [prose(int(rng.integers(10, 60)), 900)])) for d in range(40)]
+    base = prose(70, 900)
+    rows += [(50, rows[5][1]), (51, base), (52, base.replace(" ", "  ") + " t1 t2")]
+    docs = spark.createDataFrame([(*r, "en", "a", len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(d, 1) for d, _ in rows], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    left = []
+    for k, (d, text) in enumerate(rows):
+        b, gone = text.split("\n"), set()
+        for _, a in rows[:k]:
+            gone |= set(lines.common_blocks(a.split("\n"), b, [len(x.split()) for x in b], lines.MIN_WORDS))
+        text = "\n".join(x for i, x in enumerate(b) if i not in gone)
+        if not gone or text.split():
+            left.append((d, text))
+    firsts = {d for d, n, low in brute_components(left) if d == low or not n}
+    kept = sorted(((d, t) for d, t in left if d in firsts), key=lambda r: (-len(r[1].split()), r[0]))
+    assert len(kept) < len(left) < len(rows)
+    # one source: 1.5 times its size, rounded along the ranks
+    model = bpe.default_model()
+    enc, want = bpe.Encoder(model, bpe.DROPOUT, bpe.SEED), []
+    for rank, (d, t) in enumerate(kept):
+        for copy in range(1, 2 + int((rank + 1) * 0.5 + 0.5) - int(rank * 0.5 + 0.5)):
+            cs = bpe.chunks(t)
+            want.append((d, np.frombuffer(b"".join(map(enc.agenda, cs, enc.keys(d, copy, t, len(cs)))), "<u2").tolist()))
+    got = sorted((r["doc_id"], r["piece_ids"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    assert got == sorted(want)
+
+
+def test_pipeline_fails_on_lossy_pieces(spark, docs, monkeypatch):
+    whole = bpe.encode
+    monkeypatch.setattr(bpe, "encode", lambda *a, **b: whole(*a, **b).withColumn("piece_ids", F.slice("piece_ids", 1, 3)))
+    with pytest.raises(Exception, match="do not decode"):
+        corpus_pipeline.sentencepiece(spark, docs.select("doc_id", "text"), SF).collect()
