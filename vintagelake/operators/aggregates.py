@@ -274,9 +274,15 @@ def commissions(fees: DataFrame, indicator: str = "COMISION") -> DataFrame:
             .agg(F.sum("amount").alias("fee_amount")))
 
 
+ONLINE_OTHER_SECTION = "0936"   # FIXED VALUE
+
+
 def online_months(ledger: DataFrame, web_stores: Sequence[str], codes: Sequence[int] | None = None,
-                  since: _dt.date | None = None) -> DataFrame:
-    """Distinct account-months with a purchase (``codes``) at a web store from ``since`` on."""
+                  since: _dt.date | None = None, other_section: str | None = ONLINE_OTHER_SECTION) -> DataFrame:
+    """Distinct account-months with a purchase (``codes``) at a web store from ``since`` on, outside one section
+    (a purchase without a section is left out, as ``<>`` does)."""
+    if other_section is not None:
+        ledger = ledger.where(F.col("section") != other_section)
     if codes is not None:
         ledger = ledger.where(_in("code", codes))
     if since is not None:

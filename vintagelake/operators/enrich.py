@@ -11,6 +11,7 @@ size-checked planner (AQE) decides per join at runtime.
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -50,10 +51,34 @@ def payment_code_max(history: Column, positions: int = 6) -> Column:
     return F.array_max(F.transform(arr, lambda x: x.try_cast("int")))
 
 
-def segment_history(old: DataFrame, new: DataFrame) -> DataFrame:
-    """K23 / U1 + W2: union two generations of the macro-segment source, then
-    the latest row per account-month (ties by a stable reference id)."""
-    return segment_latest(old.unionByName(new))
+# FIXED VALUES: the first day read of each generation of the macro segments
+MACRO_FIRST, MACRO_SECOND = _dt.date(2019, 1, 1), _dt.date(2023, 1, 1)
+
+
+def segment_history(old: DataFrame, new: DataFrame, first: _dt.date | None = MACRO_FIRST,
+                    second: _dt.date = MACRO_SECOND) -> DataFrame:
+    """K23 / U1 + W2: the older generation of the macro segments before ``second`` (and from ``first``), the newer
+    from then on; per account-month the latest row of its source (ties by a stable reference id).
+
+    The dates do not overlap and months do not cross ``second`` (the first of a month), so the two picks are united
+    without another exchange and no account-month comes from both."""
+    if second.day != 1:
+        raise ValueError("the generations change on the first of a month")
+    day = F.col("segment_date")
+    older = old.where(day < F.lit(second))
+    if first is not None:
+        older = older.where(day >= F.lit(first))
+    return segment_latest(older).unionByName(segment_latest(new.where(day >= F.lit(second))))
+
+
+def segment_of_latest_date(source: DataFrame) -> DataFrame:
+    """J10 on one source without date bounds: the rows of the latest date of each account-month.
+
+    The source keeps ties of that date, which would multiply the fact (Q7); here the smallest code of the tied ones
+    stays.  One aggregate with map-side combine in place of the self-join."""
+    keys = ["account_id", F.year("segment_date").alias("year"), F.month("segment_date").alias("month")]
+    top = source.groupBy(*keys).agg(F.max(F.struct("segment_date", -F.col("segment_official"), "segment_official")).alias("s"))
+    return top.select("account_id", "year", "month", F.col("s.segment_official").alias("segment_official"))
 
 
 def segment_latest(u: DataFrame) -> DataFrame:
@@ -82,12 +107,32 @@ def zone_normalise(history: DataFrame) -> DataFrame:
     return z.select("store_id", "store_desc", clean.alias("zone"), zid.alias("zone_id"))
 
 
-def demographics(clients: DataFrame, run_date) -> DataFrame:
-    """One client row per account (earliest open date, ties by id) with
-    gender label and age at the run date."""
-    c = latest(clients, ["account_id"], [F.col("client_open_date").asc_nulls_last()], [F.col("logo").asc()])
-    return c.select("account_id", R.GENDER_FROM_LETTER.column(sex="sex").alias("gender"),
-                    (F.year(F.lit(run_date)) - F.year("birth_date")).alias("age"))
+def demographic_labels(joined: DataFrame, run_date) -> DataFrame:
+    """Gender label and age at the run date, from sex and birth date of the joined client version.
+
+    The label is set after the join: an account without a client row gets the label of an unknown sex."""
+    return joined.withColumns({"gender": R.GENDER_FROM_LETTER.column(sex="sex"),
+                               "age": F.year(F.lit(run_date)) - F.year("birth_date")}).drop("sex", "birth_date")
+
+
+# FIXED VALUES: what counts as an insured account
+INSURED_LINE = "Polizas Internas"
+INSURED_STATES = ("Activado", "Activado por migracion", "Reactivado")
+
+
+def insured_ids(policies: DataFrame, line: str = INSURED_LINE, states: Sequence[str] = INSURED_STATES,
+                accounts: DataFrame | None = None) -> DataFrame:
+    """Accounts with a policy in force of the internal line, parsed from free text.
+
+    Line and state reach the scan as pushed filters.  With ``accounts`` (the few accounts of a panel) the policies are
+    reduced by a semi join before the DISTINCT; where the session enables runtime filters, Spark builds its Bloom filter
+    from the accounts and applies it at the policies' scan, so other accounts' rows are never shuffled."""
+    ids = policies.where((F.col("business_line") == line) & F.col("policy_state").isin(*states)) \
+        .select(F.expr("try_cast(external_id AS DECIMAL(38,0))").cast("long").alias("account_id"))
+    ids = ids.where(F.col("account_id").isNotNull())
+    if accounts is not None:
+        ids = ids.join(accounts, "account_id", "left_semi")
+    return ids.distinct()
 
 
 def attach_application(base: DataFrame, apps: DataFrame, org: int, logo: int, since) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from vintagelake.functions import periods as P
 from vintagelake.functions import ruleset as R
 from vintagelake.operators import aggregates as G
-from vintagelake.operators import enrich, keys, overdraft, panel, windows
+from vintagelake.operators import clients, enrich, keys, overdraft, panel, windows
 from vintagelake.operators.enrich import Dim
 from vintagelake.sources import analogues as A
 from vintagelake.session import stage
@@ -60,6 +60,8 @@ class Inputs:
     auth_events: DataFrame
     manual_auths: DataFrame
     applications: DataFrame
+    client_history: DataFrame
+    policies: DataFrame
 
     @staticmethod
     def load(spark: SparkSession, sf_dir: str) -> "Inputs":
@@ -70,7 +72,7 @@ class Inputs:
                       A.macro_segments(spark, sf_dir, "old"), A.macro_segments(spark, sf_dir, "new"),
                       A.client_segments(spark, sf_dir), A.rfm_segments(spark, sf_dir), A.inferred_income(spark, sf_dir),
                       A.auth_events(spark, sf_dir), A.manual_auths(spark, sf_dir),
-                      A.applications(spark, sf_dir, acc))
+                      A.applications(spark, sf_dir, acc), A.client_history(spark, sf_dir), A.policies(spark, sf_dir))
 
 
 def digital_ids(cards: DataFrame) -> DataFrame:
@@ -99,7 +101,10 @@ def monthly_income(income: DataFrame) -> DataFrame:
             .agg(F.max("income").alias("income")))
 
 
-def enriched_snapshot(inp: Inputs, run_date: _dt.date) -> DataFrame:
+MACRO_SPLIT = (enrich.MACRO_FIRST, enrich.MACRO_SECOND)
+
+
+def enriched_snapshot(inp: Inputs, run_date: _dt.date, macro_split: tuple = MACRO_SPLIT) -> DataFrame:
     """Prepared snapshot plus twelve left-joined dimensions."""
     base = panel.prepare_snapshot(inp.snapshots).select(
         "account_id", "year", "month", "product", "store_id", "balance", "credit_limit", "util_ratio",
@@ -108,7 +113,7 @@ def enriched_snapshot(inp: Inputs, run_date: _dt.date) -> DataFrame:
     acc_on = {"account_id": "account_id"}
     pivot = G.indicator_pivot(inp.indicators, with_total=False)
     txn = G.txn_monthly(inp.ledger)
-    seg = enrich.segment_history(inp.macro_old, inp.macro_new).select(*AM, "segment_official")
+    seg = enrich.segment_history(inp.macro_old, inp.macro_new, *macro_split).select(*AM, "segment_official")
     dims = [
         Dim(pivot, ym, ["int_fin", "int_mor", "int_msi"], {"int_fin": 0, "int_mor": 0, "int_msi": 0}, unique=True),
         Dim(txn, ym, ["write_off_amount", "write_off_count", "write_off_date", "forgiveness_amount",
@@ -122,13 +127,14 @@ def enriched_snapshot(inp: Inputs, run_date: _dt.date) -> DataFrame:
         Dim(G.card_counts(inp.cards), acc_on, ["n_addon", "n_primary"], {"n_addon": 0, "n_primary": 0},
             unique=True),
         Dim(G.unified_customer(inp.cards), acc_on, ["client_uid"], unique=True),
-        Dim(enrich.demographics(inp.clients, run_date), acc_on, ["gender", "age"], unique=True),
+        Dim(clients.by_load_date(clients.visible(inp.client_history)).select("account_id", "sex", "birth_date"), acc_on,
+            ["sex", "birth_date"], unique=True),
         Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit("1")), acc_on, ["digital_flag"],
             {"digital_flag": "0"}, unique=True),
         Dim(inp.stores, {"store_id": "store_id"}, ["zone_code"], unique=True),
         Dim(enrich.zone_normalise(inp.zone_history), {"store_id": "store_id"}, ["zone", "zone_id"], unique=True),
     ]
-    out = enrich.star_join(base, dims)
+    out = enrich.demographic_labels(enrich.star_join(base, dims), run_date)
     return out.withColumn("macro_segment", enrich.macro_segment_label(F.col("segment_official"))).drop(
         "segment_official")
 
@@ -184,6 +190,8 @@ def fact_labels(p: DataFrame, risk: R.RuleTable, load_date: _dt.date) -> DataFra
         "macro_segment": enrich.macro_segment_label(F.col("segment_official")),
         "zone_raw": zone_in,
         "age": age,
+        # after the join: an account without a client row of the source system has the label of no code
+        "sex": R.SEX_FROM_CODE.column(gen="gender_code"),
     })
     # a set without a row of its codes is absent, also where the other set has some
     e = e.withColumns({**{c: F.when(wo, F.col(c))
@@ -235,12 +243,11 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
         inp.successor_map, "zero", AM, ["int_fin", "int_mor", "int_msi"])
     codes = G.code_sets_from_facts(facts)
     fees = G.commissions(inp.indicators)
-    seg = enrich.segment_history(inp.macro_old, inp.macro_new).select(*AM, "segment_official")
+    seg = enrich.segment_of_latest_date(inp.macro_old)
     # the zone name as it stands in the latest load, not cleaned
     zones = windows.latest_load(inp.zone_history, "load_date").select("store_id", F.col("zone_desc").alias("zone"))
-    demo = windows.latest(inp.clients, ["account_id"], [F.col("client_open_date").asc_nulls_last()],
-                          [F.col("logo").asc()]).select(
-        "account_id", "birth_date", R.SEX_FROM_CODE.column(gen="gender_code").alias("sex"))
+    demo = clients.by_load_date(clients.visible(inp.client_history)).select(
+        "account_id", "birth_date", "gender_code")
     snap = enrich.star_join(snap, [
         # absent amounts and counts stay NULL
         Dim(pivot, ym, ["int_fin", "int_mor", "int_msi"], unique=True),
@@ -257,7 +264,7 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
         Dim(G.unified_customer(inp.cards), acc_on, ["client_uid"], unique=True),
         Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit("1")), acc_on, ["digital_flag"],
             {"digital_flag": "0"}, unique=True),
-        Dim(demo, acc_on, ["birth_date", "sex"], unique=True),
+        Dim(demo, acc_on, ["birth_date", "gender_code"], unique=True),
     ])
 
     p = panel.vintage_panel(base, snap, hot=hot)
@@ -333,7 +340,8 @@ def overdraft_zone(product, store, zone_name, zone_code):
 
 def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = (), web_stores: Sequence[str] = (),
                    episodes: DataFrame | None = None, since: _dt.date | None = None,
-                   web_codes: Sequence[int] = WEB_PURCHASE_CODES, web_since: _dt.date | None = None) -> DataFrame:
+                   web_codes: Sequence[int] = WEB_PURCHASE_CODES, web_since: _dt.date | None = None,
+                   macro_split: tuple = MACRO_SPLIT) -> DataFrame:
     """Every stored overdraft episode x its account's snapshot of the
     closed month, with overdraft-form labels.
 
@@ -405,11 +413,10 @@ def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = ()
     sums = ["write_off_amount", "write_off_count", "forgiveness_amount", "forgiveness_count"]
     txn = resolved(G.txn_monthly(led).drop("write_off_date")).groupBy(*AM).agg(*[F.sum(c).alias(c) for c in sums])
     rfm = resolved(inp.rfm.where(seen)).groupBy(*AM).agg(F.max("rfm").alias("rfm"))
-    macro = enrich.segment_history(inp.macro_old, inp.macro_new).select(
+    macro = enrich.segment_history(inp.macro_old, inp.macro_new, *macro_split).select(
         *AM, F.col("segment_official").alias("macro_segment_code"))
-    demo = windows.latest(inp.clients.join(keys_, "account_id", "left_semi"), ["account_id"],
-                          [F.col("client_open_date").asc_nulls_last()],
-                          [F.col("logo").asc()]).select("account_id", "birth_date", "gender_code")
+    demo = clients.by_previous_id(clients.visible(inp.client_history).join(keys_, "account_id", "left_semi")).select(
+        "account_id", "birth_date", "gender_code")
     web = G.online_months(inp.ledger.join(keys_, "account_id", "left_semi"), web_stores, web_codes, web_since)
     dims = [
         Dim(pivot, ym, ["int_fin", "int_mor", "int_msi"], {"int_fin": 0, "int_mor": 0, "int_msi": 0}, unique=True),
@@ -427,6 +434,8 @@ def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = ()
         Dim(G.card_counts(inp.cards, distinct=True), acc_on, ["n_addon", "n_primary"],
             {"n_addon": 0, "n_primary": 0}, unique=True),
         Dim(demo, acc_on, ["birth_date", "gender_code"], unique=True),
+        Dim(enrich.insured_ids(inp.policies, accounts=keys_).withColumn("insured_flag", F.lit(1)), acc_on, ["insured_flag"],
+            {"insured_flag": 0}, unique=True),
         Dim(enrich.zone_normalise(inp.zone_history), {"store_id": "store_id"}, ["zone", "zone_id"], unique=True),
         Dim(inp.stores, {"store_id": "store_id"}, ["zone_code", "state_code"], unique=True),
     ]
@@ -452,7 +461,7 @@ OVERDRAFT_COLUMNS = [
     "mob_band_numbered", "int_fin", "int_mor", "int_total", "int_msi", "write_off_amount", "write_off_count",
     "forgiveness_amount", "forgiveness_count", "web_flag", "digital_flag", "gender", "age_band",
     "obs_product", "state", "brand", "store_id", "headroom", "segment_client", "rfm", "macro_segment_code", "income",
-    "n_addon", "n_primary", "zone_label", "state_code",
+    "n_addon", "n_primary", "zone_label", "state_code", "insured_flag",
 ]
 
 
@@ -590,7 +599,7 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
                                          score="__risk.score").alias("initial_risk")))
     first = first.select("account_id", "origin_year", "origin_month", "product",
                          *[F.col(f"__first.{c}").alias(f"first_{c}") for c in order])
-    seg = enrich.segment_history(inp.macro_old, inp.macro_new).select(*AM, "segment_official")
+    seg = enrich.segment_of_latest_date(inp.macro_old)
     fseg = seg.select(F.col("account_id").alias("__a"), F.col("year").alias("__y"), F.col("month").alias("__m"),
                       "segment_official")
     first = first.join(fseg, (first.account_id == fseg.__a) & (first.first_year == fseg.__y)
@@ -613,9 +622,8 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
         inp.successor_map, "zero", AM, ["int_fin", "int_mor", "int_msi"])
     codes = G.code_sets_from_facts(G.ledger_monthly_facts(inp.ledger, inp.successor_map, start, end))
     zones = windows.latest_load(inp.zone_history, "load_date").select("store_id", F.col("zone_desc").alias("zone"))
-    demo = windows.latest(inp.clients, ["account_id"], [F.col("client_open_date").asc_nulls_last()],
-                          [F.col("logo").asc()]).select(
-        "account_id", "birth_date", R.SEX_FROM_CODE.column(gen="gender_code").alias("sex"))
+    demo = clients.by_load_date(clients.visible(inp.client_history)).select(
+        "account_id", "birth_date", "gender_code")
     snap = enrich.star_join(snap, [
         Dim(pivot, ym, ["int_fin", "int_mor", "int_msi"], unique=True),
         Dim(codes, ym, ["write_off_amount", "write_off_rows", "forgiveness_amount", "forgiveness_rows"],
@@ -631,7 +639,7 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
         Dim(G.unified_customer(inp.cards), acc_on, ["client_uid"], unique=True),
         Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit("1")), acc_on, ["digital_flag"],
             {"digital_flag": "0"}, unique=True),
-        Dim(demo, acc_on, ["birth_date", "sex"], unique=True),
+        Dim(demo, acc_on, ["birth_date", "gender_code"], unique=True),
     ])
     p = panel.vintage_panel(base, snap, hot=hot).where(keep)
     e = fact_labels(p, R.RISK_LEGACY, load_date)

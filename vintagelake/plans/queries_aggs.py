@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,8 +11,9 @@ from vintagelake.functions import periods as P
 from vintagelake.functions import ruleset as R
 from vintagelake.functions.rules import sql_literal
 from vintagelake.operators import aggregates as G
-from vintagelake.operators import enrich, overdraft, panel, windows
+from vintagelake.operators import clients, enrich, overdraft, panel, windows
 from vintagelake.plans.registry import HISTORY_START, OVERDRAFT_RUN_DATE, RUN_DATE_HISTORY, register
+from vintagelake.session import checkpoint_dir
 from vintagelake.sources import analogues as A
 
 WINDOW_START, WINDOW_END = P.period_window(RUN_DATE_HISTORY, True, HISTORY_START)
@@ -222,7 +224,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY card_no) AS
 # ---------------------------------------------------------------------------
 register("online_months", A.sql_with("accounts", "ledger") + f"""
 SELECT DISTINCT account_id, CAST(year(txn_date) AS BIGINT) AS year, CAST(month(txn_date) AS BIGINT) AS month
-FROM ledger WHERE store_id IN {_sql_in(WEB_STORES)}
+FROM ledger WHERE store_id IN {_sql_in(WEB_STORES)} AND section <> '0936'
 """)(lambda spark, d: G.online_months(A.ledger(spark, d), WEB_STORES))
 
 
@@ -248,7 +250,7 @@ register("membership_flags", A.sql_with("accounts", "snapshots", "ledger", "card
     "wo": f"""SELECT DISTINCT account_id, year(txn_date) AS year, month(txn_date) AS month FROM ledger
               WHERE code IN {_sql_in(R.WRITE_OFF_CODES)}""",
     "web": f"""SELECT DISTINCT account_id, year(txn_date) AS year, month(txn_date) AS month FROM ledger
-               WHERE store_id IN {_sql_in(WEB_STORES)}""",
+               WHERE store_id IN {_sql_in(WEB_STORES)} AND section <> '0936'""",
     "dig": """SELECT DISTINCT CAST(TRY_CAST(CASE WHEN card_no % 4 = 0 THEN CAST(account_id AS VARCHAR)
                                                ELSE 'X' || CAST(account_id AS VARCHAR) END AS DECIMAL(38,0)) AS BIGINT)
                 AS account_id FROM cards"""}) + """
@@ -279,20 +281,26 @@ FROM snapshots
 """)(payment_code_max)
 
 
+# the derived generations meet in 1998; SQL of the two, each cut at its own side
+MACRO_SPLIT = (_dt.date(1995, 3, 1), _dt.date(1998, 1, 1))
+MACRO_BOTH = f"""(SELECT * FROM macro_old WHERE segment_date BETWEEN {_d(MACRO_SPLIT[0])} AND {_d(MACRO_SPLIT[1] - _dt.timedelta(days=1))}
+                  UNION ALL SELECT * FROM macro_new WHERE segment_date >= {_d(MACRO_SPLIT[1])})"""
+
+
 def segment_history_union(spark, sf_dir):
-    seg = enrich.segment_history(A.macro_segments(spark, sf_dir, "old"), A.macro_segments(spark, sf_dir, "new"))
+    seg = enrich.segment_history(A.macro_segments(spark, sf_dir, "old"), A.macro_segments(spark, sf_dir, "new"), *MACRO_SPLIT)
     return seg.select("account_id", "year", "month", "segment_date", "segment_official",
                       enrich.macro_segment_label(F.col("segment_official")).alias("macro_segment"))
 
 
-register("segment_history_union", A.sql_with("macro_old", "macro_new") + """
+register("segment_history_union", A.sql_with("macro_old", "macro_new") + f"""
 SELECT account_id, CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month, segment_date,
        CAST(segment_official AS BIGINT) AS segment_official,
        CASE WHEN segment_official IN (0, 99) OR segment_official IS NULL THEN 'No clasificado'
             ELSE CAST(segment_official AS VARCHAR) END AS macro_segment
 FROM (SELECT *, row_number() OVER (PARTITION BY account_id, year, month ORDER BY segment_date DESC, ref_id ASC) AS rn
       FROM (SELECT *, year(segment_date) AS year, month(segment_date) AS month
-            FROM (SELECT * FROM macro_old UNION ALL SELECT * FROM macro_new)))
+            FROM {MACRO_BOTH}))
 WHERE rn = 1
 """)(segment_history_union)
 
@@ -562,3 +570,59 @@ register("zone_latest_load", A.sql_with("zone_history") + """
 SELECT store_id, store_desc, zone_desc, load_date FROM zone_history
 WHERE load_date = (SELECT max(load_date) FROM zone_history)
 """)(zone_latest_load)
+
+
+# ---------------------------------------------------------------------------
+# W4, W7, K25 client history; K16 insured accounts
+# ---------------------------------------------------------------------------
+CLIENTS_AS_OF = _dt.date(1999, 6, 30)
+
+
+def client_picks(spark, sf_dir):
+    """Which version each rule picks, beside the one that opened first."""
+    return clients.picks(A.client_history(spark, sf_dir))
+
+
+_PICK_SQL = """
+SELECT c.account_id, c.n_versions, p.client_id AS previous_client_id, p.birth_date AS previous_birth_date,
+       l.client_id AS load_client_id, l.birth_date AS load_birth_date, o.client_id AS open_client_id,
+       o.birth_date AS open_birth_date
+FROM (SELECT account_id, count(*) AS n_versions FROM h GROUP BY account_id) c
+JOIN (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY previous_id DESC NULLS LAST, client_id) = 1) p
+  USING (account_id)
+JOIN (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY load_date ASC NULLS FIRST, client_id) = 1) l
+  USING (account_id)
+JOIN (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY client_open_date NULLS LAST, client_id) = 1) o
+  USING (account_id)
+"""
+register("client_picks", A.sql_with("client_history", extra={
+    "h": "SELECT * FROM client_history WHERE source_system = 12"}) + _PICK_SQL)(client_picks)
+
+
+def client_store_as_of(spark, sf_dir):
+    """The same picks from the stored history as it stood on a day: folders of other systems and later loads stay closed."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/client-history-{uuid.uuid4().hex}"
+    clients.write_versions(A.client_history(spark, sf_dir), path)
+    return clients.picks(clients.read_versions(spark, path), as_of=CLIENTS_AS_OF)
+
+
+register("client_store_as_of", A.sql_with("client_history", extra={
+    "h": f"""SELECT * FROM client_history
+             WHERE source_system = 12 AND (load_date IS NULL OR load_date <= {_d(CLIENTS_AS_OF)})"""}) + _PICK_SQL)(
+    client_store_as_of)
+
+
+def insured_accounts(spark, sf_dir):
+    """Every account with its insured flag."""
+    acc = A.accounts(spark, sf_dir).select("account_id", "product", "brand")
+    return enrich.membership_flag(acc, enrich.insured_ids(A.policies(spark, sf_dir)), ["account_id"], ["account_id"], "insured_flag")
+
+
+register("insured_accounts", A.sql_with("accounts", "policies") + """
+SELECT a.account_id, CAST(product AS BIGINT) AS product, CAST(brand AS BIGINT) AS brand,
+       CAST(CASE WHEN p.id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS insured_flag
+FROM accounts a LEFT JOIN (
+  SELECT DISTINCT TRY_CAST(external_id AS DECIMAL(38,0)) AS id FROM policies
+  WHERE business_line = 'Polizas Internas' AND policy_state IN ('Activado', 'Activado por migracion', 'Reactivado')) p
+  ON p.id = a.account_id
+""")(insured_accounts)

@@ -13,7 +13,7 @@ from vintagelake.functions import ruleset as R
 from vintagelake.plans import marts as M
 from vintagelake.plans.registry import RUN_DATE_HISTORY, register
 from vintagelake.plans.queries_aggs import (COHORT_BRAND, COHORT_PRODUCT, COHORT_SINCE, COHORT_STORES,
-                                            EXCLUDED_ACCOUNTS, NET_BASE_CTES, OD_CTES, OD_CLOSING_CTES, OD_START,
+                                            EXCLUDED_ACCOUNTS, MACRO_BOTH, MACRO_SPLIT, NET_BASE_CTES, OD_CTES, OD_CLOSING_CTES, OD_START,
                                             SIGNED_BASE_CTES,
                                             WEB_STORES,
                                             WINDOW_END, WINDOW_START, _d, _sql_in)
@@ -39,17 +39,27 @@ _DIM_CTES = {
     "dig": """SELECT DISTINCT CAST(TRY_CAST(CASE WHEN card_no % 4 = 0 THEN CAST(account_id AS VARCHAR)
                                                ELSE 'X' || CAST(account_id AS VARCHAR) END AS DECIMAL(38,0)) AS BIGINT)
                 AS account_id FROM cards""",
-    "msg": """SELECT account_id, year, month, segment_official FROM (
+    "msg": f"""SELECT account_id, year, month, segment_official FROM (
                 SELECT *, row_number() OVER (PARTITION BY account_id, year, month
                                              ORDER BY segment_date DESC, ref_id ASC) AS rn
                 FROM (SELECT *, year(segment_date) AS year, month(segment_date) AS month
-                      FROM (SELECT * FROM macro_old UNION ALL SELECT * FROM macro_new))) WHERE rn = 1""",
+                      FROM {MACRO_BOTH})) WHERE rn = 1""",
+    # the one source of the dispositions facts: rows of the latest date, ties decided by the smallest code
+    "mso": """SELECT a.account_id, year(a.segment_date) AS year, month(a.segment_date) AS month,
+                     min(a.segment_official) AS segment_official
+              FROM macro_old a LEFT JOIN (SELECT account_id, year(segment_date) AS year, month(segment_date) AS month,
+                                                 max(segment_date) AS maxi FROM macro_old GROUP BY 1, 2, 3) b
+                ON a.account_id = b.account_id AND year(a.segment_date) = b.year AND month(a.segment_date) = b.month
+              WHERE a.segment_date = b.maxi GROUP BY 1, 2, 3""",
     "csg": "SELECT account_id, year, month, max(segment_client) AS segment_client FROM client_segments GROUP BY ALL",
     "inc": """SELECT account_id, year(follow_date) AS year, month(follow_date) AS month, max(income) AS income
               FROM inferred_income GROUP BY ALL""",
-    "cli1": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY account_id
-                                                          ORDER BY client_open_date ASC NULLS LAST, logo ASC) AS rn
-                              FROM clients) WHERE rn = 1""",
+    "cli1": """SELECT * FROM client_history WHERE source_system = 12
+               QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY load_date ASC NULLS FIRST, client_id) = 1""",
+    "clip": """SELECT * FROM client_history WHERE source_system = 12
+               QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY previous_id DESC NULLS LAST, client_id) = 1""",
+    "pol": """SELECT DISTINCT CAST(TRY_CAST(external_id AS DECIMAL(38,0)) AS BIGINT) AS account_id FROM policies
+              WHERE business_line = 'Polizas Internas' AND policy_state IN ('Activado', 'Activado por migracion', 'Reactivado')""",
 }
 _MACRO_LABEL = ("CASE WHEN msg.segment_official IN (0, 99) OR msg.segment_official IS NULL THEN 'No clasificado' "
                 "ELSE CAST(msg.segment_official AS VARCHAR) END")
@@ -60,13 +70,13 @@ _WO, _FG = _sql_in(R.WRITE_OFF_CODES), _sql_in(R.FORGIVENESS_CODES)
 # K27 enrichment star
 # ---------------------------------------------------------------------------
 def star_enriched(spark, sf_dir):
-    return M.enriched_snapshot(M.Inputs.load(spark, sf_dir), RUN_DATE_HISTORY)
+    return M.enriched_snapshot(M.Inputs.load(spark, sf_dir), RUN_DATE_HISTORY, MACRO_SPLIT)
 
 
 _UTIL = ("CASE WHEN s.credit_limit IS NULL OR s.credit_limit = 0 THEN -1.0 "
          "ELSE CAST(s.balance AS DOUBLE) / CAST(s.credit_limit AS DOUBLE) END")
 register("star_enriched", A.sql_with(
-    "accounts", "snapshots", "ledger", "cards", "indicators", "clients", "stores", "zone_history", "macro_old",
+    "accounts", "snapshots", "ledger", "cards", "indicators", "client_history", "policies", "stores", "zone_history", "macro_old",
     "macro_new", "client_segments", "rfm_segments", "inferred_income", extra={
         **_DIM_CTES,
         "pv": """SELECT account_id, year, month,
@@ -171,7 +181,7 @@ _DISPO_CTES = {
                    (castigo.year - p2.origin_year) * 12 + (castigo.month - p2.origin_month) AS wo_offset,
                    (pvr.year - p2.origin_year) * 12 + (pvr.month - p2.origin_month) AS int_offset,
                    quita.forgiveness_amount, quita.forgiveness_rows, quita.year AS fg_year, fee.fee_amount,
-                   msg.segment_official, csg.segment_client, cc.n_addon, cc.n_primary, uc.client_uid, dig.account_id AS dig_id, cli1.birth_date,
+                   mso.segment_official, csg.segment_client, cc.n_addon, cc.n_primary, uc.client_uid, dig.account_id AS dig_id, cli1.birth_date,
                    cli1.gender_code, st.zone_code, zl.zone,
                    CASE WHEN floor((p2.obs_yyyymm - (year(cli1.birth_date) * 100 + month(cli1.birth_date))) / 100) < 0
                         THEN 0
@@ -184,7 +194,7 @@ _DISPO_CTES = {
             LEFT JOIN quita ON quita.account_id = p2.account_id AND quita.year = p2.year AND quita.month = p2.month
             LEFT JOIN csg ON csg.account_id = p2.account_id AND csg.year = p2.year AND csg.month = p2.month
             LEFT JOIN fee ON fee.account_id = p2.account_id AND fee.year = p2.year AND fee.month = p2.month
-            LEFT JOIN msg ON msg.account_id = p2.account_id AND msg.year = p2.year AND msg.month = p2.month
+            LEFT JOIN mso ON mso.account_id = p2.account_id AND mso.year = p2.year AND mso.month = p2.month
             LEFT JOIN cc ON cc.account_id = p2.account_id
             LEFT JOIN uc ON uc.account_id = p2.account_id
             LEFT JOIN dig ON dig.account_id = p2.account_id
@@ -206,7 +216,7 @@ _OPENING = (f"CASE WHEN product IN (110, 100) THEN "
             f"ELSE 'NO' END")
 
 register("dispositions_mart", A.sql_with(
-    "accounts", "ledger", "successor_map", "snapshots", "cards", "indicators", "clients", "stores", "zone_history",
+    "accounts", "ledger", "successor_map", "snapshots", "cards", "indicators", "client_history", "policies", "stores", "zone_history",
     "macro_old", "macro_new", "client_segments", extra=_DISPO_CTES) + f"""
 SELECT account_id, CAST(product AS BIGINT) AS product, CAST(origin_year AS BIGINT) AS origin_year,
        CAST(origin_month AS BIGINT) AS origin_month, CAST(origin_yyyymm AS BIGINT) AS origin_yyyymm,
@@ -259,7 +269,7 @@ def overdraft_mart(spark, sf_dir):
     """The stored episodes against every closed month from the first episodes to the run."""
     inp = M.Inputs.load(spark, sf_dir)
     return M.overdraft_mart(inp, OVERDRAFT_LAST_RUN, EXCLUDED_ACCOUNTS, WEB_STORES, since=OD_START,
-                            web_codes=WEB_CODES)
+                            web_codes=WEB_CODES, macro_split=MACRO_SPLIT)
 
 
 # purchase codes of the derived ledger, which holds none of the fixed ones
@@ -269,8 +279,9 @@ _OWNER = "CASE WHEN m.successor_id IS NULL OR m.successor_id = 0 THEN x.account_
 
 register("overdraft_mart", A.sql_with(
     "auth_events", "manual_auths", "successor_map", "accounts", "snapshots", "zone_history", "indicators", "ledger",
-    "cards", "clients", "client_segments", "rfm_segments", "macro_old", "macro_new", "inferred_income", "stores", extra={
-        **OD_CTES, **OD_CLOSING_CTES, **{k: _DIM_CTES[k] for k in ("zn", "dig", "cli1", "msg", "inc")},
+    "cards", "client_history", "policies", "client_segments", "rfm_segments", "macro_old", "macro_new", "inferred_income",
+    "stores", extra={
+        **OD_CTES, **OD_CLOSING_CTES, **{k: _DIM_CTES[k] for k in ("zn", "dig", "clip", "pol", "msg", "inc")},
         "cc": f"""SELECT account_id, count(DISTINCT CASE WHEN holder_flag IN ('1', ' ') THEN card_no END) AS n_addon,
                          count(DISTINCT CASE WHEN holder_flag = '0' THEN card_no END) AS n_primary
                   FROM cards WHERE card_state NOT IN {_sql_in(R.CARD_DEAD_STATES)} GROUP BY account_id""",
@@ -290,7 +301,7 @@ register("overdraft_mart", A.sql_with(
                          count(CASE WHEN code IN {_FG} AND amount > 0 THEN 1 END) AS forgiveness_count
                   FROM ledger x LEFT JOIN successor_map m ON m.account_id = x.account_id GROUP BY 1, 2, 3""",
         "web": f"""SELECT DISTINCT account_id, year(txn_date) AS year, month(txn_date) AS month FROM ledger
-                   WHERE store_id IN {_sql_in(WEB_STORES)} AND code IN {_sql_in(WEB_CODES)}""",
+                   WHERE store_id IN {_sql_in(WEB_STORES)} AND code IN {_sql_in(WEB_CODES)} AND section <> '0936'""",
         "epd": """SELECT DISTINCT account_id, origin_year, origin_month, product, origin_class, overdraft_amount, total_amount,
                          total_approved, section FROM ep""",
         "sz": f"""SELECT CASE WHEN m.successor_id IS NULL OR m.successor_id = 0 THEN s.account_id ELSE m.successor_id END
@@ -318,7 +329,7 @@ register("overdraft_mart", A.sql_with(
         "opj": """SELECT op.*, zn.zone, zn.zone_id, st.zone_code, st.state_code, csr.segment_client, rfr.rfm,
                          msg.segment_official AS macro_segment_code, inc.income, cc.n_addon, cc.n_primary, pv.int_fin, pv.int_mor, pv.int_msi, tx.write_off_amount,
                          tx.write_off_count, tx.forgiveness_amount, tx.forgiveness_count, web.account_id AS web_id,
-                         dig.account_id AS dig_id, cli1.gender_code, cli1.birth_date
+                         dig.account_id AS dig_id, clip.gender_code, clip.birth_date, pol.account_id AS policy_id
                   FROM op LEFT JOIN zn ON zn.store_id = op.store_id
                   LEFT JOIN pv ON pv.account_id = op.account_id AND pv.year = op.year AND pv.month = op.month
                   LEFT JOIN tx ON tx.account_id = op.account_id AND tx.year = op.year AND tx.month = op.month
@@ -331,7 +342,8 @@ register("overdraft_mart", A.sql_with(
                   LEFT JOIN cc ON cc.account_id = op.account_id
                   LEFT JOIN stores st ON st.store_id = op.store_id
                   LEFT JOIN dig ON dig.account_id = op.account_id
-                  LEFT JOIN cli1 ON cli1.account_id = op.account_id"""}) + f"""
+                  LEFT JOIN pol ON pol.account_id = op.account_id
+                  LEFT JOIN clip ON clip.account_id = op.account_id"""}) + f"""
 SELECT account_id, CAST(origin_year AS BIGINT) AS origin_year, CAST(origin_month AS BIGINT) AS origin_month,
        CAST(origin_class AS BIGINT) AS origin_class, CAST(overdraft_amount AS DOUBLE) AS overdraft_amount,
        CAST(total_amount AS DOUBLE) AS total_amount, CAST(total_approved AS BIGINT) AS total_approved,
@@ -379,6 +391,7 @@ SELECT account_id, CAST(origin_year AS BIGINT) AS origin_year, CAST(origin_month
        CAST(headroom AS DOUBLE) AS headroom, segment_client, rfm, CAST(macro_segment_code AS BIGINT) AS macro_segment_code,
        CAST(income AS DOUBLE) AS income, CAST(COALESCE(n_addon, 0) AS BIGINT) AS n_addon,
        CAST(COALESCE(n_primary, 0) AS BIGINT) AS n_primary, state_code,
+       CAST(CASE WHEN policy_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS insured_flag,
        CASE WHEN product IN (210, 200, 220) AND store_id IN ('0782', '0039') THEN 'Canal Digital'
             WHEN product IN (210, 200, 220) AND store_id IN ('0687', '0024', '0329', '0778') THEN 'Otro'
             WHEN product IN (210, 200, 220) THEN zone
@@ -551,7 +564,7 @@ def _control_sql() -> str:
         f"SELECT 'DISPOSITIONS' AS strategy, '{step}' AS step, '{t}' AS table_name, "
         f"CAST((SELECT count(*) FROM {c}) AS BIGINT) AS row_count, {_d(LOAD_DATE)} AS load_date, "
         f"'06:30:00' AS load_time" for step, t, c in rows)
-    return A.sql_with("accounts", "ledger", "successor_map", "snapshots", "cards", "indicators", "clients", "stores",
+    return A.sql_with("accounts", "ledger", "successor_map", "snapshots", "cards", "indicators", "client_history", "policies", "stores",
                       "zone_history", "macro_old", "macro_new", "client_segments", extra=_DISPO_CTES) + sel
 
 
@@ -602,8 +615,8 @@ _NET_ORDER = ("year, month, product NULLS FIRST, plan NULLS FIRST, code NULLS FI
               "obs_product NULLS FIRST")
 register("dispositions_net_mart", A.sql_with(
     "accounts", "ledger", "successor_map", "snapshots", "cards", "stores", "zone_history", "macro_old", "macro_new",
-    "clients", "client_segments", "indicators", extra={
-        **NET_BASE_CTES, **{k: _DIM_CTES[k] for k in ("cc", "uc", "dig", "msg", "csg", "cli1")},
+    "client_history", "client_segments", "indicators", extra={
+        **NET_BASE_CTES, **{k: _DIM_CTES[k] for k in ("cc", "uc", "dig", "mso", "csg", "cli1")},
         **{k: _DISPO_CTES[k] for k in ("castigo", "quita", "zl", "fee")},
         "pvr": f"""SELECT CASE WHEN m.successor_id IS NULL OR m.successor_id = 0 THEN i.account_id ELSE m.successor_id END
                             AS account_id, i.year, i.month,
@@ -638,8 +651,8 @@ register("dispositions_net_mart", A.sql_with(
                           {R.SCORE_TREE_NODE.sql(period='obs_yyyymm', product='obs_product', brand='brand',
                                                  mob='mob_origin', score='score')} AS node
                    FROM np""",
-        "nj": f"""SELECT np2.*, CASE WHEN msg.segment_official IN (0, 99) OR msg.segment_official IS NULL
-                                    THEN 'No clasificado' ELSE CAST(msg.segment_official AS VARCHAR) END AS macro_segment,
+        "nj": f"""SELECT np2.*, CASE WHEN mso.segment_official IN (0, 99) OR mso.segment_official IS NULL
+                                    THEN 'No clasificado' ELSE CAST(mso.segment_official AS VARCHAR) END AS macro_segment,
                          CASE WHEN dig.account_id IS NULL THEN '0' ELSE '1' END AS digital_flag,
                          {R.ZONE_LABEL_FACT.sql(product='np2.product', store='np2.store_id',
                                                 zone='(CASE WHEN np2.product IN (100, 110) THEN st.zone_code '
@@ -667,7 +680,7 @@ register("dispositions_net_mart", A.sql_with(
                   LEFT JOIN cc ON cc.account_id = np2.account_id
                   LEFT JOIN uc ON uc.account_id = np2.account_id
                   LEFT JOIN cli1 ON cli1.account_id = np2.account_id
-                  LEFT JOIN msg ON msg.account_id = np2.account_id AND msg.year = np2.year AND msg.month = np2.month
+                  LEFT JOIN mso ON mso.account_id = np2.account_id AND mso.year = np2.year AND mso.month = np2.month
                   LEFT JOIN dig ON dig.account_id = np2.account_id
                   LEFT JOIN stores st ON st.store_id = np2.store_id
                   LEFT JOIN zl ON zl.store_id = np2.store_id"""}) + f"""

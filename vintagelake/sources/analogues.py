@@ -98,6 +98,38 @@ def clients(accounts_df: DataFrame) -> DataFrame:
         (a % 3).cast("int").alias("gender_code"))
 
 
+SECTION_OTHER = "0936"   # FIXED VALUE: the section that web purchases leave out; every fifth part of the derived ledger
+
+
+def client_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Client versions: one per order, with source system, previous id and load date (both absent at times)."""
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    k, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    return o.select(
+        F.col("o_custkey").alias("account_id"), k.alias("client_id"),
+        F.when(k % 4 == 0, 7).otherwise(12).alias("source_system"),
+        F.when(k % 11 != 0, k * 7919 % 1000).alias("previous_id"),
+        F.when(k % 13 != 0, F.date_add(day, (k * 31 % 400).cast("int"))).alias("load_date"),
+        day.alias("client_open_date"),
+        _case(k % 3, ((0, "F"), (1, "M")), "X").alias("sex"),
+        F.date_add(F.lit("1940-01-01").cast("date"), (k * 97 % 20000).cast("int")).alias("birth_date"),
+        (k % 3).cast("int").alias("gender_code"))
+
+
+POLICY_LINES = ("Polizas Externas", "Polizas Internas", "Polizas Internas")              # by o_orderkey % 3
+POLICY_STATES = ("Activado", "Cancelado", "Reactivado", "Vencido", "Activado por migracion")  # by o_orderkey % 5
+
+
+def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insurance policies: the account as free text (not always a number), line of business and state."""
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    k, a = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    return o.select(
+        F.when(k % 6 == 5, F.concat(F.lit("POL-"), a)).when(k % 6 == 4, F.concat(F.lit(" "), a)).otherwise(a).alias("external_id"),
+        _pick(POLICY_LINES, k % 3, "string").alias("business_line"),
+        _pick(POLICY_STATES, (k / 7).cast("long") % 5, "string").alias("policy_state"))
+
+
 def successor_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Old id -> current id: id%10=3 -> id-1, id%10=7 -> 0, id%10=9 -> NULL, others absent."""
     c = read_table(spark, sf_dir, "customer", ["c_custkey"])
@@ -155,6 +187,8 @@ def ledger(spark: SparkSession, sf_dir: str, accounts_df: DataFrame | None = Non
         .otherwise(F.col("l_extendedprice").cast("decimal(18,2)")).alias("amount"),
         _case(ln, PLAN_BY_LINE, F.lit(30000) + ln).cast("int").alias("plan"),
         store_code(F.col("l_suppkey") % 100).alias("store_id"),
+        F.when(F.col("l_partkey") % 5 == 0, F.lit(SECTION_OTHER)).when(F.col("l_partkey") % 7 != 0, store_code(F.col("l_partkey") % 900))
+        .alias("section"),
         F.col("l_orderkey").alias("ref_id"))
 
 
@@ -236,12 +270,13 @@ def zone_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def macro_segments(spark: SparkSession, sf_dir: str, generation: str) -> DataFrame:
-    """Macro-segment source, two generations split at 1998-01-01."""
+    """Macro-segment source, two generations that both hold the half years around 1998-01-01."""
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    cond = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
-    o = o.where(cond if generation == "old" else ~cond)
+    day = F.col("o_orderdate")
+    o = o.where(day < F.lit("1998-07-01").cast("timestamp_ntz") if generation == "old" else
+                day >= F.lit("1997-07-01").cast("timestamp_ntz"))
     return o.select(F.col("o_custkey").alias("account_id"), F.col("o_orderdate").cast("date").alias("segment_date"),
-                    ((F.col("o_orderkey") % 7) * 33).cast("int").alias("segment_official"),
+                    ((F.col("o_orderkey") % 7) * 33 + (0 if generation == "old" else 1)).cast("int").alias("segment_official"),
                     F.col("o_orderkey").alias("ref_id"))
 
 
@@ -313,6 +348,20 @@ SQL = {
              CAST(DATE '1940-01-01' + CAST(account_id * 97 % 20000 AS INTEGER) AS DATE) AS birth_date,
              CAST(account_id % 3 AS INTEGER) AS gender_code
       FROM accounts""",
+    "client_history": """
+      SELECT o_custkey AS account_id, o_orderkey AS client_id, CASE WHEN o_orderkey % 4 = 0 THEN 7 ELSE 12 END AS source_system,
+             CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey * 7919 % 1000 END AS previous_id,
+             CASE WHEN o_orderkey % 13 <> 0 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey * 31 % 400 AS INTEGER) END AS load_date,
+             CAST(o_orderdate AS DATE) AS client_open_date,
+             CASE o_orderkey % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'M' ELSE 'X' END AS sex,
+             CAST(DATE '1940-01-01' + CAST(o_orderkey * 97 % 20000 AS INTEGER) AS DATE) AS birth_date,
+             CAST(o_orderkey % 3 AS INTEGER) AS gender_code
+      FROM orders""",
+    "policies": f"""
+      SELECT CASE o_orderkey % 6 WHEN 5 THEN 'POL-' WHEN 4 THEN ' ' ELSE '' END || CAST(o_custkey AS VARCHAR) AS external_id,
+             {_sql_list(POLICY_LINES)}[o_orderkey % 3 + 1] AS business_line,
+             {_sql_list(POLICY_STATES)}[o_orderkey // 7 % 5 + 1] AS policy_state
+      FROM orders""",
     "successor_map": """
       SELECT c_custkey AS account_id,
              CASE c_custkey % 10 WHEN 3 THEN c_custkey - 1 WHEN 7 THEN CAST(0 AS BIGINT) ELSE NULL END
@@ -346,6 +395,8 @@ SQL = {
                   ELSE CAST(l.l_extendedprice AS DECIMAL(18,2)) END AS amount,
              CAST({_sql_case('l.l_linenumber', PLAN_BY_LINE, '30000 + l.l_linenumber')} AS INTEGER) AS plan,
              lpad(CAST(l.l_suppkey % 100 AS VARCHAR), 4, '0') AS store_id,
+             CASE WHEN l.l_partkey % 5 = 0 THEN '{SECTION_OTHER}'
+                  WHEN l.l_partkey % 7 <> 0 THEN lpad(CAST(l.l_partkey % 900 AS VARCHAR), 4, '0') END AS section,
              l.l_orderkey AS ref_id
       FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
       JOIN accounts a ON a.account_id = o.o_custkey""",
@@ -397,11 +448,11 @@ SQL = {
     "macro_old": """
       SELECT o_custkey AS account_id, CAST(o_orderdate AS DATE) AS segment_date,
              CAST((o_orderkey % 7) * 33 AS INTEGER) AS segment_official, o_orderkey AS ref_id
-      FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'""",
+      FROM orders WHERE o_orderdate < TIMESTAMP '1998-07-01'""",
     "macro_new": """
       SELECT o_custkey AS account_id, CAST(o_orderdate AS DATE) AS segment_date,
-             CAST((o_orderkey % 7) * 33 AS INTEGER) AS segment_official, o_orderkey AS ref_id
-      FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'""",
+             CAST((o_orderkey % 7) * 33 + 1 AS INTEGER) AS segment_official, o_orderkey AS ref_id
+      FROM orders WHERE o_orderdate >= TIMESTAMP '1997-07-01'""",
     "client_segments": f"""
       SELECT o_custkey AS account_id, CAST(year(o_orderdate) AS INTEGER) AS year,
              CAST(month(o_orderdate) AS INTEGER) AS month,
