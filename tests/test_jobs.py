@@ -3,6 +3,9 @@
 import datetime as dt
 import os
 import uuid
+from dataclasses import replace
+
+from pyspark.sql import functions as F
 
 from vintagelake.plans import jobs
 from vintagelake.plans import marts as M
@@ -17,21 +20,43 @@ def test_dispositions_job_is_idempotent_and_publishes(spark):
     inp = M.Inputs.load(spark, SF)
     run = dt.date(2001, 8, 1)          # day 1, monthly: rewrites July 2001
     jobs.run_dispositions(spark, inp, run, True, out, dt.date(1995, 1, 1))
-    first = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "dispositions")).collect())
+    fact = jobs.fact_table(spark, out, "dispositions", schemas.dispositions())
+    staged = {n for n in os.listdir(checkpoint_dir(spark)) if n.startswith("stage-")}
+    first = sorted(map(tuple, fact.read().collect()), key=str)
     jobs.run_dispositions(spark, inp, run, True, out, dt.date(1995, 1, 1))
-    second = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "dispositions")).collect())
+    second = sorted(map(tuple, fact.read().collect()), key=str)
+    # the jobs remove what they stage
+    assert {n for n in os.listdir(checkpoint_dir(spark)) if n.startswith("stage-")} <= staged
     assert first == second and len(first) > 0
-    months = {r.obs_yyyymm for r in spark.read.parquet(os.path.join(out, "dispositions")).select("obs_yyyymm")
-              .distinct().collect()}
+    months = {r.obs_yyyymm for r in fact.read().select("obs_yyyymm").distinct().collect()}
     assert months == {200107}
     ct = spark.read.parquet(os.path.join(out, "control_totals"))
     assert ct.count() == 16                   # 8 rows x 2 runs (control rows are appended, as in the source)
     targets = sorted(r.row_count for r in ct.where("table_name = 'DISPOSITIONS'").collect())
     assert targets == [0, len(first)]         # the target is counted before its window is rewritten
-    assert spark.read.parquet(os.path.join(out, "dispositions")).schema["amount"].dataType == \
-        schemas.dispositions()["amount"].dataType
+    assert fact.read().schema["amount"].dataType == schemas.dispositions()["amount"].dataType
     jobs.publish_dispositions(spark, out, 200107)
-    assert spark.read.parquet(os.path.join(out, "dispositions_master")).count() == len(first)
+    assert jobs.fact_table(spark, out, "dispositions_master", schemas.dispositions()).read().count() == len(first)
+
+
+def control_rows(inp, window=(dt.date(1995, 1, 1), dt.date(2001, 8, 31))):
+    fact, stages = M.dispositions_stages(inp, *window, dt.date(2001, 9, 1))
+    return fact, {step[:2]: rows for step, _, rows in stages}
+
+
+def test_control_totals_find_a_repeated_dimension_key(spark):
+    inp = M.Inputs.load(spark, SF)
+    fact, good = control_rows(inp)
+    assert good["04"] == good["05"] == good["06"] == fact.count() > 0
+    latest = inp.zone_history.where("load_date = '2001-01-31'")
+    # the same stores twice in the latest load, with another name: rows 04 and 05 differ; where the fact shows the
+    # name both rows stay, elsewhere the DISTINCT makes them one
+    other = latest.withColumn("zone_desc", F.lit("Another"))
+    fact, bad = control_rows(replace(inp, zone_history=inp.zone_history.unionByName(other)))
+    assert bad["04"] == good["04"] < bad["06"] < bad["05"] and bad["06"] == fact.count()
+    # an exact repetition: the DISTINCT that it calls for brings the fact back
+    fact, twice = control_rows(replace(inp, zone_history=inp.zone_history.unionByName(latest)))
+    assert twice["05"] > twice["04"] == twice["06"] == good["06"] == fact.count()
 
 
 def test_overdraft_and_cohort_jobs(spark):
@@ -39,12 +64,12 @@ def test_overdraft_and_cohort_jobs(spark):
     inp = M.Inputs.load(spark, "/root/testdata/sf0.01")
     for _ in range(2):
         jobs.run_overdraft(spark, inp, dt.date(2001, 2, 15), out)
-    od = spark.read.parquet(os.path.join(out, "overdraft"))
+    od = jobs.fact_table(spark, out, "overdraft", M.overdraft_mart(inp, dt.date(2001, 2, 15)).schema).read()
     assert od.count() == M.overdraft_mart(inp, dt.date(2001, 2, 15)).count()
     # the next months' runs add later observations of the stored episodes, as one backfill would
     for run in (dt.date(2001, 3, 15), dt.date(2001, 4, 15), dt.date(2001, 5, 15), dt.date(2001, 6, 15)):
         jobs.run_overdraft(spark, inp, run, out)
-    od = spark.read.parquet(os.path.join(out, "overdraft"))
+    od = jobs.fact_table(spark, out, "overdraft", M.overdraft_mart(inp, dt.date(2001, 2, 15)).schema).read()
     back = M.overdraft_mart(inp, dt.date(2001, 6, 15), since=dt.date(2001, 1, 1)).select(od.columns)
     rows = sorted(map(str, od.collect()))
     assert rows == sorted(map(str, back.collect()))

@@ -15,7 +15,7 @@ import datetime as _dt
 from dataclasses import dataclass, field
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintagelake.functions import ruleset as R
@@ -156,25 +156,35 @@ class Dim:
     unique: bool = False   # True when df is already one row per key (e.g. aggregated on it)
 
 
-def star_join(base: DataFrame, dims: Sequence[Dim]) -> DataFrame:
+def star_join(base: DataFrame, dims: Sequence[Dim], first_copy: str | None = None) -> DataFrame:
     """Chained LEFT joins; each dimension not already unique on its
     key is reduced by DISTINCT on key + payload, so the base row count cannot
     grow unless a key carries two different payloads (``assert_unique``).
 
     Order the dimensions by join key: consecutive joins on the same keys
     reuse one shuffle of the base.
+
+    ``first_copy`` names a flag for control totals: true on one of the rows that
+    a base row became, so the flagged rows count the base and all rows count the
+    join.  The rows of a key are numbered behind the exchange that the join
+    needs anyway.
     """
-    out = base
+    out = base if first_copy is None else base.withColumn(first_copy, F.lit(True))
     for i, d in enumerate(dims):
         pref = f"__d{i}_"
         right = d.df.select(*[F.col(v).alias(pref + v) for v in d.on.values()], *d.columns)
         if not d.unique:
             right = right.distinct()
+        if first_copy is not None:
+            on = [pref + v for v in d.on.values()]
+            right = right.withColumn(f"{pref}n", F.row_number().over(Window.partitionBy(*on).orderBy(*d.columns)))
         cond = None
         for bk, dk in d.on.items():
             c = out[bk] == right[pref + dk]
             cond = c if cond is None else cond & c
         out = out.join(right, cond, "left").drop(*[pref + v for v in d.on.values()])
+        if first_copy is not None:
+            out = out.withColumn(first_copy, F.col(first_copy) & F.coalesce(F.col(f"{pref}n") == 1, F.lit(True))).drop(f"{pref}n")
         for col, default in d.defaults.items():
             out = out.withColumn(col, F.coalesce(F.col(col), F.lit(default)))
     return out

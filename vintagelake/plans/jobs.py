@@ -18,13 +18,22 @@ from typing import Sequence
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vintagelake.functions import periods as P
 from vintagelake.operators import overdraft
 from vintagelake.plans import marts as M
 from vintagelake.plans import schemas
-from vintagelake.session import get_session, stage
+from vintagelake.session import get_session, stage, stage_scope
 from vintagelake.sources import sinks
+from vintagelake.sources.versions import VersionedTable
+
+ORIGIN_COL = "origin_yyyymm"
+
+
+def fact_table(spark: SparkSession, out_dir: str, name: str, schema: T.StructType, partition_col: str = sinks.PARTITION_COL) -> VersionedTable:
+    """A published table; readers take it through its manifest (``fact_table(...).read()``)."""
+    return VersionedTable(spark, os.path.join(out_dir, name), schema, partition_col)
 
 
 def run_dispositions(spark: SparkSession, inp: M.Inputs, run_date: _dt.date, history: bool, out_dir: str,
@@ -35,22 +44,21 @@ def run_dispositions(spark: SparkSession, inp: M.Inputs, run_date: _dt.date, his
     Returns the months cleared without replacement.
     """
     start, end = P.period_window(run_date, history, history_start)
-    path, schema = os.path.join(out_dir, "dispositions"), schemas.dispositions()
-    fact, stages = M.dispositions_stages(inp, start, end, run_date)
-    sinks.ensure_table(spark, path, schema)
-    stages.append(M.target_step(sinks.read_sink(spark, path, schema), start, end))
-    ts = _dt.datetime.combine(run_date, _dt.time(0, 0))
-    sinks.append(sinks.control_totals(spark, stages, "DISPOSITIONS", ts), os.path.join(out_dir, "control_totals"))
-    m_start, m_end = P.period_window(run_date, False, history_start)
-    return sinks.rewrite_window(spark, sinks.conform(fact, schema), path, m_start, m_end)
+    target = fact_table(spark, out_dir, "dispositions", schemas.dispositions())
+    target.create()
+    with stage_scope(spark):
+        fact, stages = M.dispositions_stages(inp, start, end, run_date)
+        stages.append(M.target_step(target.read(), start, end))
+        ts = _dt.datetime.combine(run_date, _dt.time(0, 0))
+        sinks.append(sinks.control_totals(spark, stages, "DISPOSITIONS", ts), os.path.join(out_dir, "control_totals"))
+        return target.rewrite(fact, *P.period_window(run_date, False, history_start))
 
 
 def publish_dispositions(spark: SparkSession, out_dir: str, yyyymm: int) -> list[int]:
     """Publish one month of the fact to the master table, by the sink's column list."""
     schema = schemas.dispositions()
-    fact = sinks.read_sink(spark, os.path.join(out_dir, "dispositions"), schema)
-    fact = sinks.conform(fact.where(F.col(sinks.PARTITION_COL) == yyyymm), schema)
-    return sinks.publish_month(spark, fact, os.path.join(out_dir, "dispositions_master"), yyyymm)
+    fact = fact_table(spark, out_dir, "dispositions", schema).read(months=(yyyymm, yyyymm))
+    return fact_table(spark, out_dir, "dispositions_master", schema).publish(fact, yyyymm)
 
 
 def run_overdraft(spark: SparkSession, inp: M.Inputs, run_date: _dt.date, out_dir: str,
@@ -61,15 +69,14 @@ def run_overdraft(spark: SparkSession, inp: M.Inputs, run_date: _dt.date, out_di
     observation month of the fact are rewritten instead."""
     start, _ = P.previous_month(run_date)
     month = start.year * 100 + start.month
-    path = os.path.join(out_dir, "overdraft_episodes")
-    new = overdraft.overdraft_episodes(inp.auth_events, inp.manual_auths, inp.snapshots, inp.successor_map, run_date,
-                                       excluded)
-    new = new.withColumn("origin_yyyymm", F.col("origin_year") * 100 + F.col("origin_month"))
-    schema = new.schema
-    sinks.rewrite_window(spark, stage(new), path, start, start, "origin_yyyymm")
-    stored = sinks.read_sink(spark, path, schema).where(F.col("origin_yyyymm") <= month)
-    fact = stage(M.overdraft_mart(inp, run_date, excluded, web_stores, stored))
-    return sinks.rewrite_window(spark, fact, os.path.join(out_dir, "overdraft"), start, start)
+    with stage_scope(spark):
+        new = overdraft.overdraft_episodes(inp.auth_events, inp.manual_auths, inp.snapshots, inp.successor_map, run_date,
+                                           excluded)
+        new = new.withColumn(ORIGIN_COL, F.col("origin_year") * 100 + F.col("origin_month"))
+        episodes = fact_table(spark, out_dir, "overdraft_episodes", new.schema, ORIGIN_COL)
+        episodes.rewrite(new, start, start)
+        fact = M.overdraft_mart(inp, run_date, excluded, web_stores, episodes.read(months=(0, month)))
+        return fact_table(spark, out_dir, "overdraft", fact.schema).rewrite(fact, start, start)
 
 
 def run_cohort(spark: SparkSession, inp: M.Inputs, run_date: _dt.date, out_dir: str, product: int, brand: int,

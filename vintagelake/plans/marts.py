@@ -25,7 +25,7 @@ import datetime as _dt
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vintagelake.functions import periods as P
@@ -34,7 +34,7 @@ from vintagelake.operators import aggregates as G
 from vintagelake.operators import clients, enrich, keys, overdraft, panel, windows
 from vintagelake.operators.enrich import Dim
 from vintagelake.sources import analogues as A
-from vintagelake.session import stage
+from vintagelake.session import stage, stage_counted
 
 AM = ["account_id", "year", "month"]
 
@@ -206,17 +206,29 @@ def fact_labels(p: DataFrame, risk: R.RuleTable, load_date: _dt.date) -> DataFra
     return e
 
 
+@dataclass
+class DispositionsParts:
+    """Staged inputs of the dispositions fact, where a job has them already, and what it observes of the panel."""
+
+    facts: DataFrame
+    base: DataFrame
+    cards: DataFrame
+    client_uids: DataFrame
+    panel_rows: Observation
+
+
 def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _dt.date,
-                      facts: DataFrame | None = None) -> DataFrame:
+                      parts: DispositionsParts | None = None) -> DataFrame:
     """Cash-advance vintage fact for the window [start, end].
 
     ``facts`` (``ledger_monthly_facts``) feeds both the cash-advance base and
     the write-off/forgiveness dimension; it is staged (checkpointed) so the
     ledger -- the largest input -- is scanned and shuffled once.
     """
-    if facts is None:
-        facts = stage(G.ledger_monthly_facts(inp.ledger, inp.successor_map, start, end))
-    base = G.cash_advance_base(facts, inp.accounts)
+    facts = parts.facts if parts else stage(G.ledger_monthly_facts(inp.ledger, inp.successor_map, start, end))
+    base = parts.base if parts else G.cash_advance_base(facts, inp.accounts)
+    # only a job that observes the panel tells the copies of a row apart
+    copies = ("__snap_first", "__base_first") if parts else (None, None)
     # the window bounds the ledger only: every observation month on or after the origin counts
     snap = keys.resolve_key(
         inp.snapshots.select(
@@ -258,16 +270,19 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
         Dim(latest_client_segment(inp.client_segments), ym, ["segment_client"], unique=True),
         Dim(inp.stores, {"store_id": "store_id"}, ["zone_code"], unique=True),
         Dim(zones, {"store_id": "store_id"}, ["zone"], unique=True),
-    ])
+    ], copies[0])
     base = enrich.star_join(base, [
-        Dim(G.card_counts(inp.cards), acc_on, ["n_addon", "n_primary"], unique=True),
-        Dim(G.unified_customer(inp.cards), acc_on, ["client_uid"], unique=True),
+        Dim(parts.cards if parts else G.card_counts(inp.cards), acc_on, ["n_addon", "n_primary"], unique=True),
+        Dim(parts.client_uids if parts else G.unified_customer(inp.cards), acc_on, ["client_uid"], unique=True),
         Dim(digital_ids(inp.cards).withColumn("digital_flag", F.lit("1")), acc_on, ["digital_flag"],
             {"digital_flag": "0"}, unique=True),
         Dim(demo, acc_on, ["birth_date", "gender_code"], unique=True),
-    ])
+    ], copies[1])
 
     p = panel.vintage_panel(base, snap, hot=hot)
+    if parts:
+        p = p.observe(parts.panel_rows, F.count_if(F.col(copies[0]) & F.col(copies[1])).alias("panel"),
+                      F.count(F.lit(1)).alias("enriched"))
     e = fact_labels(p, R.RISK_EFFECTIVE, load_date)
     # The reference ends with SELECT DISTINCT; here every input is unique on its
     # key (base per account/product/origin/plan, resolved snapshot per
@@ -290,24 +305,30 @@ DISPOSITIONS_COLUMNS = [
 
 
 def dispositions_stages(inp: Inputs, start: _dt.date, end: _dt.date,
-                        load_date: _dt.date) -> tuple[DataFrame, list[tuple[str, str, DataFrame]]]:
-    """The staged fact of E1 and the (step, table, frame) rows of its control totals.
+                        load_date: _dt.date) -> tuple[DataFrame, list[tuple[str, str, DataFrame | int]]]:
+    """The staged fact of E1 and the (step, table, rows) of its control totals.
 
-    The fact is evaluated once, into its staged table.  Its enrichment joins
-    are unique on their keys and its last step only projects, so the panel, the
-    enriched panel and the fact have the same rows.
+    Each staged table is evaluated once and counted while it is written.  The panel is counted in the evaluation of the
+    fact: its rows are those not made by a repeated dimension key, the enriched rows are all.  The two are equal unless a
+    dimension breaks its key; only then is the fact's DISTINCT worth its shuffle, and the last count comes after it.
     """
     facts = stage(G.ledger_monthly_facts(inp.ledger, inp.successor_map, start, end))
-    fact = stage(dispositions_mart(inp, start, end, load_date, facts))
-    base = G.cash_advance_base(facts, inp.accounts)
+    cards, n_cards = stage_counted(G.card_counts(inp.cards))
+    uids, n_uids = stage_counted(G.unified_customer(inp.cards))
+    base, n_base = stage_counted(G.cash_advance_base(facts, inp.accounts))
+    seen = Observation()
+    fact, n_fact = stage_counted(dispositions_mart(inp, start, end, load_date, DispositionsParts(facts, base, cards, uids, seen)))
+    n_panel, n_enriched = seen.get["panel"], seen.get["enriched"]
+    if n_enriched > n_panel:
+        fact, n_fact = stage_counted(fact.distinct())
     return fact, [
-        ("01 TMP_1_CARD_COUNTS", "TMP_1_CARD_COUNTS", G.card_counts(inp.cards)),
-        ("02 TMP_2_UNIFIED_CLIENT", "TMP_2_UNIFIED_CLIENT", G.unified_customer(inp.cards)),
-        ("02 TMP_3_BASE", "TMP_3_BASE", base),
-        ("03 TMP_3_BASE", "TMP_3_BASE", base),
-        ("04 TMP_4_PANEL", "TMP_4_PANEL", fact),
-        ("05 TMP_5_ENRICHED", "TMP_5_ENRICHED", fact),
-        ("06 TMP_6_FACT", "TMP_6_FACT", fact),
+        ("01 TMP_1_CARD_COUNTS", "TMP_1_CARD_COUNTS", n_cards),
+        ("02 TMP_2_UNIFIED_CLIENT", "TMP_2_UNIFIED_CLIENT", n_uids),
+        ("02 TMP_3_BASE", "TMP_3_BASE", n_base),
+        ("03 TMP_3_BASE", "TMP_3_BASE", n_base),
+        ("04 TMP_4_PANEL", "TMP_4_PANEL", n_panel),
+        ("05 TMP_5_ENRICHED", "TMP_5_ENRICHED", n_enriched),
+        ("06 TMP_6_FACT", "TMP_6_FACT", n_fact),
     ]
 
 

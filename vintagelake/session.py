@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from typing import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings that matter at scale: AQE re-plans joins/partition counts from
 # runtime statistics, splits skewed shuffle partitions, and coalesces the
@@ -62,7 +64,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(current)
         return current
     master = spark.sparkContext.master or ""
-    if not master.startswith("local"):
+    if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="vintagelake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
@@ -70,12 +72,45 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def stage(df):
+_SCOPES: list[list[str]] = []   # paths staged in the open scopes, the innermost last
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables staged inside are removed when the job ends, also when it fails.
+
+    For jobs that write their result before they leave; a query that returns a lazy frame has no such end and keeps
+    its tables.  Scopes nest: an inner job removes its own tables only."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.remove(paths)
+        for path in paths:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def stage(df: DataFrame) -> DataFrame:
     """Materialise a DataFrame consumed by several branches of one plan
     (S3 staged tables): written as parquet below the shared
     ``spark.checkpoint.dir`` and read back.  Survives executor loss, cuts the
     lineage so the source is scanned once, and later filters and projections
-    reach the staged scan."""
+    reach the staged scan.  Removed at the end of the enclosing ``stage_scope``."""
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, rows: Column | None = None) -> tuple[DataFrame, int]:
+    """``stage`` with the number of rows written, or another aggregate of them.
+
+    The count is observed while the rows are written, in the tasks that write them: no second job, and a repeated task
+    counts once."""
+    from pyspark.sql import functions as F
+    seen = Observation()
+    out = stage(df.observe(seen, (F.count(F.lit(1)) if rows is None else rows).alias("rows")))
+    return out, seen.get["rows"]
