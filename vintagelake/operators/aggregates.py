@@ -192,7 +192,45 @@ def code_sets_from_facts(facts: DataFrame) -> DataFrame:
         F.sum("forgiveness_rows").alias("forgiveness_rows"))
 
 
+NET_PRODUCTS = (110, 100, 210, 200)   # FIXED VALUES
+
+
+def ledger_cells(ledger: DataFrame, start: _dt.date, end: _dt.date, write_off=R.WRITE_OFF_CODES,
+                 forgiveness=R.FORGIVENESS_CODES) -> DataFrame:
+    """One pass over the ledger window for the netted mart: amount and rows per (own account, product, month, plan,
+    code, store) of the codes that the netted base (K10) or the write-off / forgiveness sets (K7) read.
+
+    Signs and code sets are functions of the cell's key, so both derive from these cells and the ledger, the largest
+    table, is read and shuffled once.  Aggregated before any key is resolved."""
+    code = F.col("code")
+    in_net = _in("plan", R.LEDGER_FILTER_PLANS) & _in("code", R.NET_BASE_CODES + R.NET_BASE_REVERSALS) \
+        & _in("product", NET_PRODUCTS)
+    sets = _in(code, tuple(write_off) + tuple(forgiveness))
+    led = ledger.where(F.col("txn_date").between(F.lit(start), F.lit(end)) & (in_net | sets))
+    return (led.groupBy("account_id", "product", F.year("txn_date").alias("year"), F.month("txn_date").alias("month"),
+                        "plan", "code", "store_id")
+            .agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("n_rows")))
+
+
+def code_sets_from_cells(cells: DataFrame, successor_map: DataFrame, write_off=R.WRITE_OFF_CODES,
+                         forgiveness=R.FORGIVENESS_CODES) -> DataFrame:
+    """K7 two-set form from ``ledger_cells`` (same rows as ``code_sets_monthly``)."""
+    code, wo, fg = F.col("code"), _in("code", write_off), _in("code", forgiveness)
+    part = (cells.where(_in(code, tuple(write_off) + tuple(forgiveness))).groupBy(*AM_KEYS)
+            .agg(conditional_sum(F.col("amount"), wo).alias("write_off_amount"),
+                 conditional_sum(F.col("n_rows"), wo).cast("long").alias("write_off_rows"),
+                 conditional_sum(F.col("amount"), fg).alias("forgiveness_amount"),
+                 conditional_sum(F.col("n_rows"), fg).cast("long").alias("forgiveness_rows")))
+    return resolve_and_sum(part, successor_map, "zero", AM_KEYS,
+                           ["write_off_amount", "write_off_rows", "forgiveness_amount", "forgiveness_rows"])
+
+
 def net_monthly_base(ledger: DataFrame, successor_map: DataFrame, start: _dt.date, end: _dt.date) -> DataFrame:
+    """Netted cash-advance base (``net_base_from_cells``) of the ledger window."""
+    return net_base_from_cells(ledger_cells(ledger, start, end), successor_map)
+
+
+def net_base_from_cells(cells: DataFrame, successor_map: DataFrame) -> DataFrame:
     """Netted cash-advance base.
 
     Net amount and net count (+1 debit, -1 reversal) per (plan, month,
@@ -204,32 +242,26 @@ def net_monthly_base(ledger: DataFrame, successor_map: DataFrame, start: _dt.dat
     The account-month totals are pre-aggregated to one row per key before
     joining, so the join is 1:N on (account, year, month) -- no fan-out.
     """
-    codes = R.NET_BASE_CODES + R.NET_BASE_REVERSALS
-    led = ledger.where(F.col("txn_date").between(F.lit(start), F.lit(end)) & _in("plan", R.LEDGER_FILTER_PLANS)
-                       & _in("code", codes) & _in("product", (110, 100, 210, 200)))
-    code, amt = F.col("code"), F.col("amount")
-    led = led.withColumns({
-        "year": F.year("txn_date"), "month": F.month("txn_date"),
-        "sgn_amt": F.when(_in(code, R.NET_BASE_REVERSALS), -amt).when(_in(code, R.NET_BASE_CODES), amt)
-        .otherwise(F.lit(0)),
-        "sgn_n": F.when(_in(code, R.NET_BASE_REVERSALS), F.lit(-1)).when(_in(code, R.NET_BASE_CODES), F.lit(1))
-        .otherwise(F.lit(0)),
-    })
-    # partial sums by the own id, then resolution (null mode) on the small result
-    part = (led.groupBy("account_id", "product", "year", "month", "plan", "code", "store_id")
-            .agg(F.sum("sgn_amt").alias("sgn_amt"), F.sum("sgn_n").alias("sgn_n")))
+    code = F.col("code")
+    sign = F.when(_in(code, R.NET_BASE_REVERSALS), F.lit(-1)).otherwise(F.lit(1))
+    part = cells.where(_in("plan", R.LEDGER_FILTER_PLANS) & _in("code", R.NET_BASE_CODES + R.NET_BASE_REVERSALS)
+                       & _in("product", NET_PRODUCTS))
+    part = part.select("account_id", "product", "year", "month", "plan", "code", "store_id",
+                       (F.when(_in(code, R.NET_BASE_REVERSALS), -F.col("amount")).otherwise(F.col("amount"))).alias("sgn_amt"),
+                       (sign * F.col("n_rows")).alias("sgn_n"))
+    # resolution (null mode) on the sums by the own id
     led = resolve_and_sum(part, successor_map, "null",
                           ["account_id", "product", "year", "month", "plan", "code", "store_id"], ["sgn_amt", "sgn_n"])
     media = (led.groupBy("plan", "year", "month", "product", "account_id", "store_id")
              .agg(F.sum("sgn_n").alias("n"), F.sum("sgn_amt").alias("net")))
-    cells = media.where(F.col("net") > 0).select("year", "month", "product", "account_id", "store_id").distinct()
+    kept = media.where(F.col("net") > 0).select("year", "month", "product", "account_id", "store_id").distinct()
     # totals of the account-month and its first (plan, code) in one aggregate
     totals = (led.groupBy("account_id", "year", "month")
               .agg(F.sum("sgn_amt").alias("amount"), F.sum("sgn_n").cast("long").alias("n_txn"),
                    F.min(F.struct("plan", "code", "product")).alias("_p"))
               .select("account_id", "year", "month", "amount", "n_txn", F.col("_p.plan").alias("plan"),
                       F.col("_p.code").alias("code")))
-    return (cells.join(totals, ["account_id", "year", "month"], "inner")
+    return (kept.join(totals, ["account_id", "year", "month"], "inner")
             .select("account_id", "product", "plan", "code", "year", "month", "store_id", "amount", "n_txn"))
 
 

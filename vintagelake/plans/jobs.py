@@ -110,7 +110,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     if a.job == "publish":
         print(publish_dispositions(spark, a.out, a.month))
         return
-    inp = M.Inputs.load(spark, a.sf_dir)
+    inp = M.Inputs.load(spark, a.sf_dir, pin=True)
     if a.job == "dispositions":
         print(run_dispositions(spark, inp, a.run_date, a.history, a.out, a.history_start))
     elif a.job == "overdraft":

@@ -64,8 +64,11 @@ class Inputs:
     policies: DataFrame
 
     @staticmethod
-    def load(spark: SparkSession, sf_dir: str) -> "Inputs":
+    def load(spark: SparkSession, sf_dir: str, pin: bool = False) -> "Inputs":
+        """``pin`` stages the account dimension, from which most other shapes derive: for plans that read many of them."""
         acc = A.accounts(spark, sf_dir)
+        if pin:
+            acc = stage(acc)
         return Inputs(acc, A.successor_map(spark, sf_dir), A.snapshots(spark, sf_dir, acc),
                       A.ledger(spark, sf_dir, acc), A.cards(spark, sf_dir), A.indicators(spark, sf_dir, acc),
                       A.clients(acc), A.stores(spark, sf_dir), A.zone_history(spark, sf_dir),
@@ -570,7 +573,9 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
     panel expansion (the source removes them at the end by grouping on every
     column -- same rows, far less data through the join).
     """
-    net = G.net_monthly_base(inp.ledger, inp.successor_map, start, end)
+    # the ledger's one pass: the base and the write-off / forgiveness sets read its cells
+    cells = stage(G.ledger_cells(inp.ledger, start, end))
+    net = G.net_base_from_cells(cells, inp.successor_map)
     base = (net.drop("store_id").distinct()
             .withColumnsRenamed({"year": "origin_year", "month": "origin_month"}))
     acc = inp.accounts.select(F.col("account_id").alias("a_id"), "open_date")
@@ -641,7 +646,7 @@ def dispositions_net_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date
         G.indicator_pivot(inp.indicators.where((F.col("year") == end.year) & (F.col("month") == end.month)),
                           with_total=False).select(*AM, "int_fin", "int_mor", F.col("int_msi_any").alias("int_msi")),
         inp.successor_map, "zero", AM, ["int_fin", "int_mor", "int_msi"])
-    codes = G.code_sets_from_facts(G.ledger_monthly_facts(inp.ledger, inp.successor_map, start, end))
+    codes = G.code_sets_from_cells(cells, inp.successor_map)
     zones = windows.latest_load(inp.zone_history, "load_date").select("store_id", F.col("zone_desc").alias("zone"))
     demo = clients.by_load_date(clients.visible(inp.client_history)).select(
         "account_id", "birth_date", "gender_code")

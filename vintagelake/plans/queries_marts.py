@@ -70,7 +70,7 @@ _WO, _FG = _sql_in(R.WRITE_OFF_CODES), _sql_in(R.FORGIVENESS_CODES)
 # K27 enrichment star
 # ---------------------------------------------------------------------------
 def star_enriched(spark, sf_dir):
-    return M.enriched_snapshot(M.Inputs.load(spark, sf_dir), RUN_DATE_HISTORY, MACRO_SPLIT)
+    return M.enriched_snapshot(M.Inputs.load(spark, sf_dir, pin=True), RUN_DATE_HISTORY, MACRO_SPLIT)
 
 
 _UTIL = ("CASE WHEN s.credit_limit IS NULL OR s.credit_limit = 0 THEN -1.0 "
@@ -130,7 +130,7 @@ LEFT JOIN zn ON zn.store_id = s.store_id
 # E1 dispositions mart
 # ---------------------------------------------------------------------------
 def dispositions_mart(spark, sf_dir):
-    return M.dispositions_mart(M.Inputs.load(spark, sf_dir), WINDOW_START, WINDOW_END, LOAD_DATE)
+    return M.dispositions_mart(M.Inputs.load(spark, sf_dir, pin=True), WINDOW_START, WINDOW_END, LOAD_DATE)
 
 
 _WIN_YM = (WINDOW_START.year * 100 + WINDOW_START.month, WINDOW_END.year * 100 + WINDOW_END.month)
@@ -267,7 +267,7 @@ FROM j
 # ---------------------------------------------------------------------------
 def overdraft_mart(spark, sf_dir):
     """The stored episodes against every closed month from the first episodes to the run."""
-    inp = M.Inputs.load(spark, sf_dir)
+    inp = M.Inputs.load(spark, sf_dir, pin=True)
     return M.overdraft_mart(inp, OVERDRAFT_LAST_RUN, EXCLUDED_ACCOUNTS, WEB_STORES, since=OD_START,
                             web_codes=WEB_CODES, macro_split=MACRO_SPLIT)
 
@@ -413,7 +413,7 @@ FROM opj
 # E3 cohort mart
 # ---------------------------------------------------------------------------
 def cohort_mart(spark, sf_dir):
-    return M.cohort_mart(M.Inputs.load(spark, sf_dir), COHORT_PRODUCT, COHORT_BRAND, COHORT_SINCE, COHORT_STORES,
+    return M.cohort_mart(M.Inputs.load(spark, sf_dir, pin=True), COHORT_PRODUCT, COHORT_BRAND, COHORT_SINCE, COHORT_STORES,
                          RUN_DATE_HISTORY)
 
 
@@ -513,7 +513,7 @@ COHORT2_PRODUCT, COHORT2_BRAND, COHORT2_SINCE = 100, 120, _dt.date(1995, 2, 1)
 
 
 def cohort_mart_applications(spark, sf_dir):
-    return M.cohort_mart(M.Inputs.load(spark, sf_dir), COHORT2_PRODUCT, COHORT2_BRAND, COHORT2_SINCE, None,
+    return M.cohort_mart(M.Inputs.load(spark, sf_dir, pin=True), COHORT2_PRODUCT, COHORT2_BRAND, COHORT2_SINCE, None,
                          RUN_DATE_HISTORY, with_applications=True)
 
 
@@ -547,7 +547,7 @@ WHERE a.brand = {COHORT2_BRAND} AND a.product = {COHORT2_PRODUCT} AND a.open_dat
 # K29 control totals, K30 window rewrite
 # ---------------------------------------------------------------------------
 def control_totals(spark, sf_dir):
-    inp = M.Inputs.load(spark, sf_dir)
+    inp = M.Inputs.load(spark, sf_dir, pin=True)
     fact, stages = M.dispositions_stages(inp, WINDOW_START, WINDOW_END, LOAD_DATE)
     # as a re-run would find it: the target already holds the fact
     stages.append(M.target_step(fact, WINDOW_START, WINDOW_END))
@@ -607,7 +607,7 @@ GROUP BY year * 100 + month
 # E1' dispositions, netted variant
 # ---------------------------------------------------------------------------
 def dispositions_net_mart(spark, sf_dir):
-    return M.dispositions_net_mart(M.Inputs.load(spark, sf_dir), WINDOW_START, WINDOW_END, LOAD_DATE)
+    return M.dispositions_net_mart(M.Inputs.load(spark, sf_dir, pin=True), WINDOW_START, WINDOW_END, LOAD_DATE)
 
 
 _NET_ORDER = ("year, month, product NULLS FIRST, plan NULLS FIRST, code NULLS FIRST, score NULLS FIRST, "
