@@ -431,13 +431,15 @@ def _events(spark, sf_dir):
                                          OVERDRAFT_RUN_DATE, EXCLUDED_ACCOUNTS)
 
 
-OD_CTES = {
+def od_ctes(start: _dt.date, end: _dt.date) -> dict[str, str]:
+    """The overdraft chain over the months from ``start`` to ``end``."""
+    return {
     "e": f"""SELECT ev.*, COALESCE(m.successor_id, ev.account_id) AS track_id,
                     year(ev.proc_date) AS year, month(ev.proc_date) AS month,
                     ev.auth_balance + ev.auth_amount AS exposure
              FROM auth_events ev LEFT JOIN successor_map m ON m.account_id = ev.account_id
              WHERE ev.decision IN ('1', '2') AND ev.auth_amount <> 1
-               AND ev.proc_date >= {_d(OD_START)} AND ev.proc_date <= {_d(OD_END)}
+               AND ev.proc_date >= {_d(start)} AND ev.proc_date <= {_d(end)}
                AND ev.account_id NOT IN {_sql_in(EXCLUDED_ACCOUNTS)}""",
     "w": """SELECT *,
                first_value(CASE WHEN decision = '1' THEN auth_limit END) OVER (
@@ -467,7 +469,7 @@ OD_CTES = {
     "man": f"""SELECT COALESCE(m.successor_id, x.account_id) AS account_id, year(x.auth_date) AS year,
                       month(x.auth_date) AS month, sum(x.released_amount) AS manual_amount, count(*) AS manual_count
                FROM manual_auths x LEFT JOIN successor_map m ON m.account_id = x.account_id
-               WHERE x.auth_date >= {_d(OD_START)} AND x.auth_date < {_d(OD_END + _dt.timedelta(days=1))}
+               WHERE x.auth_date >= {_d(start)} AND x.auth_date < {_d(end + _dt.timedelta(days=1))}
                GROUP BY ALL""",
     "mrg": f"""SELECT CASE WHEN a3.track_id IS NULL THEN man.account_id ELSE a3.track_id END AS account_id,
                       CASE WHEN a3.year IS NULL THEN man.year ELSE a3.year END AS origin_year,
@@ -481,7 +483,10 @@ OD_CTES = {
                       {R.OVERDRAFT_ORIGIN.sql(auto='a3.n_approved', manual='man.manual_count', section='a3.section_mix')}
                         AS origin_class
                FROM a3 FULL JOIN man ON a3.track_id = man.account_id AND a3.year = man.year AND a3.month = man.month""",
-}
+    }
+
+
+OD_CTES = od_ctes(OD_START, OD_END)
 OD_SQL_WITH = A.sql_with("auth_events", "manual_auths", "successor_map", "accounts", "snapshots", extra=OD_CTES)
 _MRG_COLS = """account_id, CAST(origin_year AS BIGINT) AS origin_year, CAST(origin_month AS BIGINT) AS origin_month,
        spid, CAST(limit_auth AS DOUBLE) AS limit_auth, CAST(balance_auth AS DOUBLE) AS balance_auth,
@@ -539,16 +544,20 @@ def overdraft_closing(spark, sf_dir):
                                         OVERDRAFT_RUN_DATE, EXCLUDED_ACCOUNTS)
 
 
-OD_CLOSING_CTES = {"cl": f"""SELECT COALESCE(m.successor_id, s.account_id) AS account_id, s.year, s.month, s.product,
+def od_closing_ctes(start: _dt.date, end: _dt.date) -> dict[str, str]:
+    return {"cl": f"""SELECT COALESCE(m.successor_id, s.account_id) AS account_id, s.year, s.month, s.product,
                            CASE WHEN s.credit_limit < s.balance THEN 1 ELSE 0 END AS over_limit,
                            s.balance AS closing_balance
                     FROM snapshots s LEFT JOIN successor_map m ON m.account_id = s.account_id
-                    WHERE s.year = {OD_START.year} AND s.month = {OD_START.month}
+                    WHERE s.year * 100 + s.month BETWEEN {start.year * 100 + start.month} AND {end.year * 100 + end.month}
                       AND s.product IN {_sql_in(R.FAMILIES_ALL)} AND s.state NOT IN ('T')""",
                    "ep": """SELECT DISTINCT mrg.*, cl.over_limit, cl.product, cl.closing_balance
                     FROM mrg LEFT JOIN cl ON cl.account_id = mrg.account_id AND cl.year = mrg.origin_year
                       AND cl.month = mrg.origin_month
                     WHERE cl.product IS NOT NULL"""}
+
+
+OD_CLOSING_CTES = od_closing_ctes(OD_START, OD_END)
 OD_EPISODES_SQL = A.sql_with("auth_events", "manual_auths", "successor_map", "accounts", "snapshots",
                              extra={**OD_CTES, **OD_CLOSING_CTES})
 register("overdraft_closing", OD_EPISODES_SQL + f"""

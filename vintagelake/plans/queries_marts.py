@@ -13,10 +13,10 @@ from vintagelake.functions import ruleset as R
 from vintagelake.plans import marts as M
 from vintagelake.plans.registry import RUN_DATE_HISTORY, register
 from vintagelake.plans.queries_aggs import (COHORT_BRAND, COHORT_PRODUCT, COHORT_SINCE, COHORT_STORES,
-                                            EXCLUDED_ACCOUNTS, MACRO_BOTH, MACRO_SPLIT, NET_BASE_CTES, OD_CTES, OD_CLOSING_CTES, OD_START,
+                                            EXCLUDED_ACCOUNTS, MACRO_BOTH, MACRO_SPLIT, NET_BASE_CTES, 
                                             SIGNED_BASE_CTES,
                                             WEB_STORES,
-                                            WINDOW_END, WINDOW_START, _d, _sql_in)
+                                            WINDOW_END, WINDOW_START, _d, _sql_in, od_closing_ctes, od_ctes)
 from vintagelake.plans.queries_rules import _ZONE_CLEAN_SQL
 from vintagelake.session import checkpoint_dir
 from vintagelake.sources import analogues as A
@@ -268,20 +268,22 @@ FROM j
 def overdraft_mart(spark, sf_dir):
     """The stored episodes against every closed month from the first episodes to the run."""
     inp = M.Inputs.load(spark, sf_dir, pin=True)
-    return M.overdraft_mart(inp, OVERDRAFT_LAST_RUN, EXCLUDED_ACCOUNTS, WEB_STORES, since=OD_START,
+    return M.overdraft_mart(inp, OVERDRAFT_LAST_RUN, EXCLUDED_ACCOUNTS, WEB_STORES, since=OVERDRAFT_SINCE,
                             web_codes=WEB_CODES, macro_split=MACRO_SPLIT)
 
 
 # purchase codes of the derived ledger, which holds none of the fixed ones
 OVERDRAFT_LAST_RUN, WEB_CODES = _dt.date(2001, 9, 1), (2, 102, 62, 262, 502, 307)
-_SEEN = "year * 100 + month BETWEEN 200101 AND 200108"
+OVERDRAFT_SINCE, OVERDRAFT_UNTIL = _dt.date(1999, 12, 1), _dt.date(2001, 8, 31)
+_SEEN = "year * 100 + month BETWEEN 199912 AND 200108"
 _OWNER = "CASE WHEN m.successor_id IS NULL OR m.successor_id = 0 THEN x.account_id ELSE m.successor_id END"
 
 register("overdraft_mart", A.sql_with(
     "auth_events", "manual_auths", "successor_map", "accounts", "snapshots", "zone_history", "indicators", "ledger",
     "cards", "client_history", "policies", "client_segments", "rfm_segments", "macro_old", "macro_new", "inferred_income",
     "stores", extra={
-        **OD_CTES, **OD_CLOSING_CTES, **{k: _DIM_CTES[k] for k in ("zn", "dig", "clip", "pol", "msg", "inc")},
+        **od_ctes(OVERDRAFT_SINCE, OVERDRAFT_UNTIL), **od_closing_ctes(OVERDRAFT_SINCE, OVERDRAFT_UNTIL),
+        **{k: _DIM_CTES[k] for k in ("zn", "dig", "clip", "pol", "msg", "inc")},
         "cc": f"""SELECT account_id, count(DISTINCT CASE WHEN holder_flag IN ('1', ' ') THEN card_no END) AS n_addon,
                          count(DISTINCT CASE WHEN holder_flag = '0' THEN card_no END) AS n_primary
                   FROM cards WHERE card_state NOT IN {_sql_in(R.CARD_DEAD_STATES)} GROUP BY account_id""",

@@ -32,7 +32,8 @@ ZONE_NAMES = ("Metro Sur", "Metro Oriente", "Metro Norte", "Metro Centro", "Baji
               "Pacifico", "Pacífico", "Centro Norte", "Norte", "Centro Sur", "Golfo", "Sur", "Omnicanal",
               "Cierre", "NULL", "null", "Sin Identificar", "  ", "", "VDA", "Noreste", "Metro Sur ", None)
 EVENT_DECISION = (("purchase", "1"), ("click", "1"), ("view", "2"), ("error", "2"))  # else '3'
-EVENT_YEAR_SHIFT = 23   # auth events are re-dated into the snapshot era (2024 -> 2001)
+# auth events are re-dated into the snapshot era, 2024-01 to 1999-12 ... 2001-07, and dealt over the accounts
+EVENT_YEAR_SHIFT, EVENT_MONTHS, EVENT_MONTHS_BACK = 23, 20, 13
 
 
 def _case(col: Column, pairs, otherwise) -> Column:
@@ -215,7 +216,14 @@ def indicators(spark: SparkSession, sf_dir: str, accounts_df: DataFrame | None =
 
 
 def _event_date() -> Column:
-    return F.add_months(F.to_date("ts"), -12 * EVENT_YEAR_SHIFT)
+    shift = F.col("event_id") % EVENT_MONTHS - (12 * EVENT_YEAR_SHIFT + EVENT_MONTHS_BACK)
+    return F.add_months(F.to_date("ts"), shift.cast("int"))
+
+
+def _event_account() -> Column:
+    """A user's events belong to two of the user's ten accounts."""
+    u = F.col("user_id")
+    return u * 10 + u % 5 + F.floor(F.col("event_id") / EVENT_MONTHS) % 2 * 5
 
 
 def auth_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,7 +232,7 @@ def auth_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     u, ev, day = F.col("user_id"), F.col("event_id"), F.dayofmonth("ts")
     val = F.col("value").cast("decimal(18,2)")
     return e.select(
-        "event_id", u.alias("account_id"), _event_date().alias("proc_date"),
+        "event_id", _event_account().alias("account_id"), _event_date().alias("proc_date"),
         F.concat(F.lit("S"), ((u + day) % 5).cast("string")).alias("spid"),
         (F.lit(1000) + (u % 50) * 100 + day).cast("decimal(18,2)").alias("auth_limit"),
         (val * 10).cast("decimal(18,2)").alias("auth_balance"),
@@ -238,9 +246,9 @@ def auth_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def manual_auths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manual limit releases: the sign-up events."""
-    e = read_table(spark, sf_dir, "events", ["ts", "user_id", "event_type", "value"])
+    e = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     return (e.where(F.col("event_type") == "signup")
-            .select(F.col("user_id").alias("account_id"), _event_date().alias("auth_date"),
+            .select(_event_account().alias("account_id"), _event_date().alias("auth_date"),
                     F.col("value").cast("decimal(18,2)").alias("released_amount")))
 
 
@@ -327,6 +335,9 @@ def applications(spark: SparkSession, sf_dir: str, accounts_df: DataFrame | None
 # ---------------------------------------------------------------------------
 # The same derivations as SQL CTEs for the DuckDB oracle
 # ---------------------------------------------------------------------------
+_EVENT_DATE_SQL = (f"CAST(CAST(ts AS DATE) + to_months(CAST(event_id % {EVENT_MONTHS} - "
+                   f"{12 * EVENT_YEAR_SHIFT + EVENT_MONTHS_BACK} AS INTEGER)) AS DATE)")
+_EVENT_ACCOUNT_SQL = f"user_id * 10 + user_id % 5 + event_id // {EVENT_MONTHS} % 2 * 5"
 _SEG_SQL = _sql_case("c.c_mktsegment", SEGMENT_PRODUCT, "NULL")
 
 SQL = {
@@ -413,8 +424,7 @@ SQL = {
              CAST(o.o_totalprice AS DECIMAL(18,2)) AS amount
       FROM orders o JOIN accounts a ON a.account_id = o.o_custkey""",
     "auth_events": f"""
-      SELECT event_id, user_id AS account_id,
-             CAST(CAST(ts AS DATE) - INTERVAL {EVENT_YEAR_SHIFT} YEAR AS DATE) AS proc_date,
+      SELECT event_id, {_EVENT_ACCOUNT_SQL} AS account_id, {_EVENT_DATE_SQL} AS proc_date,
              'S' || CAST((user_id + day(ts)) % 5 AS VARCHAR) AS spid,
              CAST(1000 + (user_id % 50) * 100 + day(ts) AS DECIMAL(18,2)) AS auth_limit,
              CAST(CAST(value AS DECIMAL(18,2)) * 10 AS DECIMAL(18,2)) AS auth_balance,
@@ -426,8 +436,7 @@ SQL = {
              {_sql_case('event_type', EVENT_DECISION, "'3'")} AS decision
       FROM events""",
     "manual_auths": f"""
-      SELECT user_id AS account_id,
-             CAST(CAST(ts AS DATE) - INTERVAL {EVENT_YEAR_SHIFT} YEAR AS DATE) AS auth_date,
+      SELECT {_EVENT_ACCOUNT_SQL} AS account_id, {_EVENT_DATE_SQL} AS auth_date,
              CAST(value AS DECIMAL(18,2)) AS released_amount
       FROM events WHERE event_type = 'signup'""",
     "stores": """
