@@ -224,6 +224,19 @@ RATE_TIER = RuleTable("rate_tier", tuple(
 RATE_TIER_COHORT = RuleTable("rate_tier_cohort", tuple(
     _rate_rules((100, 110), _RATES_REV) + _rate_rules((200, 210), _RATES_STORE)),
     "Otros", "string", ("product", "rate"))
+# FIXED VALUES: the lettered form, by the rate alone.
+_RATES_LETTERED = [
+    ("F.T5", (66.00, 64.00, 64.50, 65.50, 68.00, 85, 84, 84.5, 85.5)),
+    ("E.T4", (61.20, 62.20, 62.70, 63.70, 66.20, 80, 80.5, 81.5)),
+    ("D.T3", (53.11, 54.86, 55.36, 56.36, 58.86, 77.42, 77.6, 78.1, 79.1)),
+    ("C.T2", (42.04, 45.54, 46.04, 47.04, 49.54, 69.83, 70.33, 71.33)),
+    ("B.T1", (31.39, 32.39, 32.89, 33.89, 36.39, 60.36, 60.86, 61.86)),
+    ("A.T0", (14.99, 15.49, 16.49, 18.99)),
+    ("G.Empleados", (26.56, 27.43, 27.68, 28.18, 29.43, 38.71, 38.8, 39.05, 39.55)),
+]
+RATE_LEVEL = RuleTable("rate_level", tuple(
+    Rule((("rate", "in", tuple(D(str(x)) for x in vals)),), tier) for tier, vals in _RATES_LETTERED),
+    "H.Otros", "string", ("rate",))
 # Single-value form: not in 200/210 (family test is negative), else OTRO.
 RATE_TIER_SINGLE = RuleTable("rate_tier_single", tuple(
     [Rule((("product", "not_in", (200, 210)), ("rate", "=", D(v))), t) for v, t in

@@ -104,6 +104,7 @@ def monthly_income(income: DataFrame) -> DataFrame:
             .agg(F.max("income").alias("income")))
 
 
+CLIENT_COLUMNS = ("client_id", "previous_id", "client_open_date")
 MACRO_SPLIT = (enrich.MACRO_FIRST, enrich.MACRO_SECOND)
 
 
@@ -380,8 +381,7 @@ def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = ()
                                                 run_date, excluded, since)
     # the episodes feed the panel and every dimension's key filter:
     # staged once (a small table) so the episode chain runs once
-    ep = stage(episodes.select("account_id", "origin_year", "origin_month", "product", "origin_class",
-                               "overdraft_amount", "total_amount", "total_approved", "section").distinct())
+    ep = stage(episodes.select("account_id", "origin_year", "origin_month", "product", *EPISODE_COLUMNS).distinct())
     keys_ = ep.select("account_id").distinct()
     seen = overdraft.in_months(first, last)
 
@@ -435,17 +435,20 @@ def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = ()
     pivot = resolved(G.indicator_pivot(inp.indicators.where(seen), with_total=False)).groupBy(*AM).agg(
         *[F.sum(c).alias(c) for c in ("int_fin", "int_mor", "int_msi")])
     sums = ["write_off_amount", "write_off_count", "forgiveness_amount", "forgiveness_count"]
-    txn = resolved(G.txn_monthly(led).drop("write_off_date")).groupBy(*AM).agg(*[F.sum(c).alias(c) for c in sums])
+    txn = resolved(G.txn_monthly(led)).groupBy(*AM).agg(*[F.sum(c).alias(c) for c in sums],
+                                                        F.max("write_off_date").alias("write_off_date"))
     rfm = resolved(inp.rfm.where(seen)).groupBy(*AM).agg(F.max("rfm").alias("rfm"))
     macro = enrich.segment_history(inp.macro_old, inp.macro_new, *macro_split).select(
         *AM, F.col("segment_official").alias("macro_segment_code"))
     demo = clients.by_previous_id(clients.visible(inp.client_history).join(keys_, "account_id", "left_semi")).select(
-        "account_id", "birth_date", "gender_code")
+        "account_id", "birth_date", "gender_code", *CLIENT_COLUMNS)
     web = G.online_months(inp.ledger.join(keys_, "account_id", "left_semi"), web_stores, web_codes, web_since)
     dims = [
         Dim(pivot, ym, ["int_fin", "int_mor", "int_msi"], {"int_fin": 0, "int_mor": 0, "int_msi": 0}, unique=True),
-        Dim(txn, ym, sums, dict.fromkeys(sums, 0), unique=True),
-        Dim(latest_client_segment(resolved(inp.client_segments.where(seen))), ym, ["segment_client"], unique=True),
+        Dim(txn, ym, [*sums, "write_off_date"], dict.fromkeys(sums, 0), unique=True),
+        Dim(segment_and_client(resolved(inp.client_segments.where(seen))).select(
+            *AM, "segment_client", "client_uid", F.col("year").alias("segment_year"), F.col("month").alias("segment_month")),
+            ym, ["segment_client", "client_uid", "segment_year", "segment_month"], unique=True),
         Dim(rfm, ym, ["rfm"], unique=True),
         Dim(macro, ym, ["macro_segment_code"], unique=True),
         Dim(monthly_income(inp.income), ym, ["income"], unique=True),
@@ -457,7 +460,7 @@ def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = ()
             {"digital_flag": "0"}, unique=True),
         Dim(G.card_counts(inp.cards, distinct=True), acc_on, ["n_addon", "n_primary"],
             {"n_addon": 0, "n_primary": 0}, unique=True),
-        Dim(demo, acc_on, ["birth_date", "gender_code"], unique=True),
+        Dim(demo, acc_on, ["birth_date", "gender_code", *CLIENT_COLUMNS], unique=True),
         Dim(enrich.insured_ids(inp.policies, accounts=keys_).withColumn("insured_flag", F.lit(1)), acc_on, ["insured_flag"],
             {"insured_flag": 0}, unique=True),
         Dim(enrich.zone_normalise(inp.zone_history), {"store_id": "store_id"}, ["zone", "zone_id"], unique=True),
@@ -466,13 +469,33 @@ def overdraft_mart(inp: Inputs, run_date: _dt.date, excluded: Sequence[int] = ()
     p = enrich.star_join(p, dims)
     p = p.withColumns({
         "gender": R.GENDER_FROM_CODE.column(gen="gender_code"),
+        "age": F.col("origin_year") - F.year("birth_date"),
         "age_band": R.AGE_BAND_OVERDRAFT.column(age=F.col("origin_year") - F.year("birth_date")),
+        "origin_yyyymm": P.yyyymm("origin_year", "origin_month"),
+        "rate_level": R.RATE_LEVEL.column(rate="rate"),
+        # the write-off counts in the month of the snapshot
+        "write_off_horizon": F.when(F.col("write_off_date").isNotNull(), F.col("horizon")).otherwise(F.lit("OTRO")),
+        "total_label": F.lit("1. TOTAL"),
+        "node_age_label": F.lit("2. 2 AL 5"),
+        "off_flag": F.lit("0"),
+        "load_date": F.lit(run_date),
+        **{c: F.lit(None).cast(kind) for c, kind in OVERDRAFT_NULLS.items()},
         "int_total": F.col("int_fin") + F.col("int_mor"),
         "zone_label": overdraft_zone(F.col("product"), F.col("store_id"), F.col("zone"), F.col("zone_code")),
     })
     return p.select(*OVERDRAFT_COLUMNS)
 
 
+# columns of the stored episode that the fact passes on
+EPISODE_COLUMNS = ["origin_class", "overdraft_amount", "total_amount", "total_approved", "section", "spid", "limit_auth",
+                   "balance_auth", "amount_auth", "n_approved", "n_declined", "n_decided", "manual_count", "manual_amount",
+                   "over_limit", "closing_balance"]
+# columns of the published fact that nothing fills, with their types
+OVERDRAFT_NULLS = {
+    "current_account": "decimal(38,9)", "original_account": "decimal(38,9)", "source_system": "int", "last_purchase_date": "date",
+    "employee_number": "decimal(38,9)", "strategy_key": "decimal(38,9)", "txn_count": "decimal(38,9)",
+    "track_account": "decimal(38,9)", "score_text": "string", "client_age": "int", "client_gender": "int", "sex": "string",
+    "run_load_date": "int", "open_year_band": "int"}
 SNAPSHOT_TIES = ["store_id", "balance", "credit_limit", "rate", "level", "score", "stmt_flag", "pay_history"]
 
 
@@ -485,7 +508,11 @@ OVERDRAFT_COLUMNS = [
     "mob_band_numbered", "int_fin", "int_mor", "int_total", "int_msi", "write_off_amount", "write_off_count",
     "forgiveness_amount", "forgiveness_count", "web_flag", "digital_flag", "gender", "age_band",
     "obs_product", "state", "brand", "store_id", "headroom", "segment_client", "rfm", "macro_segment_code", "income",
-    "n_addon", "n_primary", "zone_label", "state_code", "insured_flag",
+    "n_addon", "n_primary", "zone_label", "state_code", "insured_flag", "spid", "limit_auth", "balance_auth", "amount_auth",
+    "n_approved", "n_declined", "n_decided", "manual_count", "manual_amount", "over_limit", "closing_balance", "origin_yyyymm",
+    "open_date", "rate", "rate_level", "score", "totalero_flag", "client_uid", "segment_year", "segment_month", "client_id",
+    "previous_id", "client_open_date", "birth_date", "gender_code", "age", "write_off_date", "write_off_horizon", "total_label",
+    "node_age_label", "off_flag", "load_date", *OVERDRAFT_NULLS,
 ]
 
 

@@ -287,8 +287,10 @@ register("overdraft_mart", A.sql_with(
         "cc": f"""SELECT account_id, count(DISTINCT CASE WHEN holder_flag IN ('1', ' ') THEN card_no END) AS n_addon,
                          count(DISTINCT CASE WHEN holder_flag = '0' THEN card_no END) AS n_primary
                   FROM cards WHERE card_state NOT IN {_sql_in(R.CARD_DEAD_STATES)} GROUP BY account_id""",
-        "csr": f"""SELECT {_OWNER} AS account_id, x.year, x.month, max(x.segment_client) AS segment_client
-                   FROM client_segments x LEFT JOIN successor_map m ON m.account_id = x.account_id GROUP BY ALL""",
+        "csr": f"""SELECT {_OWNER} AS account_id, x.year, x.month, x.segment_client, x.client_uid
+                   FROM client_segments x LEFT JOIN successor_map m ON m.account_id = x.account_id
+                   QUALIFY row_number() OVER (PARTITION BY {_OWNER}, x.year, x.month
+                                              ORDER BY x.segment_client DESC, x.client_uid DESC) = 1""",
         "rfr": f"""SELECT {_OWNER} AS account_id, x.year, x.month, max(x.rfm) AS rfm
                    FROM rfm_segments x LEFT JOIN successor_map m ON m.account_id = x.account_id GROUP BY ALL""",
         "pv": f"""SELECT {_OWNER} AS account_id, year, month,
@@ -299,17 +301,19 @@ register("overdraft_mart", A.sql_with(
         "tx": f"""SELECT {_OWNER} AS account_id, year(txn_date) AS year, month(txn_date) AS month,
                          sum(CASE WHEN code IN {_WO} THEN amount ELSE 0 END) AS write_off_amount,
                          count(CASE WHEN code IN {_WO} AND amount > 0 THEN 1 END) AS write_off_count,
+                         max(CASE WHEN code IN {_WO} THEN txn_date END) AS write_off_date,
                          sum(CASE WHEN code IN {_FG} THEN amount ELSE 0 END) AS forgiveness_amount,
                          count(CASE WHEN code IN {_FG} AND amount > 0 THEN 1 END) AS forgiveness_count
                   FROM ledger x LEFT JOIN successor_map m ON m.account_id = x.account_id GROUP BY 1, 2, 3""",
         "web": f"""SELECT DISTINCT account_id, year(txn_date) AS year, month(txn_date) AS month FROM ledger
                    WHERE store_id IN {_sql_in(WEB_STORES)} AND code IN {_sql_in(WEB_CODES)} AND section <> '0936'""",
         "epd": """SELECT DISTINCT account_id, origin_year, origin_month, product, origin_class, overdraft_amount, total_amount,
-                         total_approved, section FROM ep""",
+                         total_approved, section, spid, limit_auth, balance_auth, amount_auth, n_approved, n_declined, n_decided,
+                         manual_count, manual_amount, over_limit, closing_balance FROM ep""",
         "sz": f"""SELECT CASE WHEN m.successor_id IS NULL OR m.successor_id = 0 THEN s.account_id ELSE m.successor_id END
                            AS account_id, s.year, s.month, s.product AS obs_product, s.state, s.brand, s.store_id,
                          s.balance, s.credit_limit, s.credit_limit - s.balance AS headroom,
-                         s.rate, s.level, s.score, s.stmt_flag, s.pay_history,
+                         s.rate, s.level, s.score, s.stmt_flag, s.pay_history, s.totalero_flag,
                          CASE WHEN s.credit_limit IS NULL OR s.credit_limit = 0 THEN -1.0
                               ELSE CAST(s.balance AS DOUBLE) / CAST(s.credit_limit AS DOUBLE) END AS util_ratio
                   FROM snapshots s LEFT JOIN successor_map m ON m.account_id = s.account_id
@@ -321,17 +325,18 @@ register("overdraft_mart", A.sql_with(
                       s.store_id NULLS FIRST, s.balance NULLS FIRST, s.credit_limit NULLS FIRST, s.rate NULLS FIRST,
                       s.level NULLS FIRST, s.score NULLS FIRST, s.stmt_flag NULLS FIRST, s.pay_history NULLS FIRST) = 1""",
         "op": """SELECT e.*, s.year, s.month, s.obs_product, s.state, s.brand, s.headroom, s.store_id, s.balance, s.credit_limit, s.rate, s.level, s.score,
-                        s.stmt_flag, s.pay_history, s.util_ratio, a.open_date,
+                        s.stmt_flag, s.pay_history, s.totalero_flag, s.util_ratio, a.open_date,
                         (s.year - year(a.open_date)) * 12 + (s.month - month(a.open_date)) AS mob,
                         (s.year - e.origin_year) * 12 + (s.month - e.origin_month) AS vintage_offset,
                         (e.origin_year - year(a.open_date)) * 12 + (e.origin_month - month(a.open_date)) AS mob_origin
                  FROM epd e JOIN sz s ON s.account_id = e.account_id
                  LEFT JOIN accounts a ON a.account_id = e.account_id
                  WHERE s.state NOT IN ('T') AND (s.year - e.origin_year) * 12 + (s.month - e.origin_month) >= 0""",
-        "opj": """SELECT op.*, zn.zone, zn.zone_id, st.zone_code, st.state_code, csr.segment_client, rfr.rfm,
-                         msg.segment_official AS macro_segment_code, inc.income, cc.n_addon, cc.n_primary, pv.int_fin, pv.int_mor, pv.int_msi, tx.write_off_amount,
+        "opj": """SELECT op.*, zn.zone, zn.zone_id, st.zone_code, st.state_code, csr.segment_client, csr.client_uid, csr.year AS segment_year, csr.month AS segment_month, rfr.rfm,
+                         msg.segment_official AS macro_segment_code, inc.income, cc.n_addon, cc.n_primary, pv.int_fin, pv.int_mor, pv.int_msi, tx.write_off_amount, tx.write_off_date,
                          tx.write_off_count, tx.forgiveness_amount, tx.forgiveness_count, web.account_id AS web_id,
-                         dig.account_id AS dig_id, clip.gender_code, clip.birth_date, pol.account_id AS policy_id
+                         dig.account_id AS dig_id, clip.gender_code, clip.birth_date, clip.client_id, clip.previous_id,
+                         clip.client_open_date, pol.account_id AS policy_id
                   FROM op LEFT JOIN zn ON zn.store_id = op.store_id
                   LEFT JOIN pv ON pv.account_id = op.account_id AND pv.year = op.year AND pv.month = op.month
                   LEFT JOIN tx ON tx.account_id = op.account_id AND tx.year = op.year AND tx.month = op.month
@@ -394,6 +399,24 @@ SELECT account_id, CAST(origin_year AS BIGINT) AS origin_year, CAST(origin_month
        CAST(income AS DOUBLE) AS income, CAST(COALESCE(n_addon, 0) AS BIGINT) AS n_addon,
        CAST(COALESCE(n_primary, 0) AS BIGINT) AS n_primary, state_code,
        CAST(CASE WHEN policy_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS insured_flag,
+       spid, CAST(limit_auth AS DOUBLE) AS limit_auth, CAST(balance_auth AS DOUBLE) AS balance_auth,
+       CAST(amount_auth AS DOUBLE) AS amount_auth, CAST(n_approved AS BIGINT) AS n_approved, CAST(n_declined AS BIGINT) AS n_declined,
+       CAST(n_decided AS BIGINT) AS n_decided, CAST(manual_count AS BIGINT) AS manual_count,
+       CAST(manual_amount AS DOUBLE) AS manual_amount, CAST(over_limit AS BIGINT) AS over_limit,
+       CAST(closing_balance AS DOUBLE) AS closing_balance, CAST(origin_year * 100 + origin_month AS BIGINT) AS origin_yyyymm,
+       open_date, CAST(rate AS DOUBLE) AS rate, {R.RATE_LEVEL.sql(rate='rate')} AS rate_level, CAST(score AS BIGINT) AS score,
+       CAST(totalero_flag AS BIGINT) AS totalero_flag, CAST(client_uid AS BIGINT) AS client_uid,
+       CAST(segment_year AS BIGINT) AS segment_year, CAST(segment_month AS BIGINT) AS segment_month, client_id, previous_id,
+       client_open_date, birth_date, CAST(gender_code AS BIGINT) AS gender_code,
+       CAST(origin_year - year(birth_date) AS BIGINT) AS age, write_off_date,
+       CASE WHEN write_off_date IS NULL THEN 'OTRO' WHEN vintage_offset <= 12 THEN 'Y1' WHEN vintage_offset <= 24 THEN 'Y2'
+            WHEN vintage_offset <= 36 THEN 'Y3' ELSE 'OTRO' END AS write_off_horizon,
+       '1. TOTAL' AS total_label, '2. 2 AL 5' AS node_age_label, '0' AS off_flag, {_d(OVERDRAFT_LAST_RUN)} AS load_date,
+       CAST(NULL AS DOUBLE) AS current_account, CAST(NULL AS DOUBLE) AS original_account, CAST(NULL AS BIGINT) AS source_system,
+       CAST(NULL AS DATE) AS last_purchase_date, CAST(NULL AS DOUBLE) AS employee_number, CAST(NULL AS DOUBLE) AS strategy_key,
+       CAST(NULL AS DOUBLE) AS txn_count, CAST(NULL AS DOUBLE) AS track_account, CAST(NULL AS VARCHAR) AS score_text,
+       CAST(NULL AS BIGINT) AS client_age, CAST(NULL AS BIGINT) AS client_gender, CAST(NULL AS VARCHAR) AS sex,
+       CAST(NULL AS BIGINT) AS run_load_date, CAST(NULL AS BIGINT) AS open_year_band,
        CASE WHEN product IN (210, 200, 220) AND store_id IN ('0782', '0039') THEN 'Canal Digital'
             WHEN product IN (210, 200, 220) AND store_id IN ('0687', '0024', '0329', '0778') THEN 'Otro'
             WHEN product IN (210, 200, 220) THEN zone
