@@ -63,3 +63,22 @@ def test_unique_origins_take_no_counts(spark):
     once, counted = (_plan(panel.vintage_delinquency(origins, snaps, unique_origins=u)).count("Exchange")
                      for u in (True, False))
     assert once < counted
+
+
+def test_overdraft_events_are_read_and_aggregated_once_before_the_map(spark):
+    """One scan of the events, and the successor map meets one row per own account-month."""
+    import datetime as dt
+
+    from vintagelake.operators import overdraft
+    from vintagelake.plans import marts as M
+    inp = M.Inputs.load(spark, SF)
+    state = overdraft.merged_state(overdraft.event_state(overdraft.decided_events(
+        inp.auth_events, dt.date(2001, 2, 15)), "account_id"), inp.successor_map)
+    plan = overdraft.overdrafts_of_state(state)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("event_type") and plan.count("Join") == 1
+    scans = [line for line in plan.splitlines() if "Relation" in line and "user_id" in line]
+    assert len(scans) == 1
+    lines = plan.splitlines()
+    join = next(i for i, x in enumerate(lines) if "Join" in x)
+    aggregates = [i for i, x in enumerate(lines) if "Aggregate" in x]
+    assert len(aggregates) == 2 and aggregates[0] < join < aggregates[1]

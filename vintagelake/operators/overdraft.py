@@ -1,16 +1,14 @@
 """Overdraft episodes of a closed month.
 
 Chain: authorisation events of the month (decision 1 approve / 2 decline,
-excluded accounts and unit-amount probes removed) -> resolved account ->
-per account-month window attributes (last approved limit, last processing
-id) -> section mix, approvals/declines -> per account-month-decision
-aggregate -> approved only -> full join with manual releases -> origin
-class 1-7 -> closing snapshot attached, unmatched dropped.
-
-Every step is keyed by (account, year, month); Spark co-partitions the
-chain on those keys.  The window step sorts one account-month's events in
-one task: the events of a month for one account are bounded by its
-authorisation volume, and the aggregates that follow are map-side combined.
+excluded accounts and unit-amount probes removed) -> one state per own
+account-month (last approved limit, last processing id, section and decision
+counts, exposure) -> resolved account, states merged -> approved only -> full
+join with manual releases -> origin class 1-7 -> closing snapshot attached,
+unmatched dropped.
+
+The events are scanned once and aggregated once, with map-side combine, before
+anything is joined; every later step has one row per account-month.
 """
 
 from __future__ import annotations
@@ -36,23 +34,66 @@ def in_months(first: _dt.date, last: _dt.date) -> Column:
             & (F.col("year") * 100 + F.col("month")).between(first.year * 100 + first.month, last.year * 100 + last.month))
 
 
-def closed_month_events(events: DataFrame, successor_map: DataFrame, run_date: _dt.date,
-                        excluded: Sequence[int] = (), since: _dt.date | None = None) -> DataFrame:
-    """K18 part 1: the previous month's decided events (decision 1/2, unit
-    amounts and excluded accounts removed), resolved to the current account
-    (``track_id``), with year, month and exposure (balance + amount).
-    ``since`` starts earlier, for a backfill of several months."""
+def decided_events(events: DataFrame, run_date: _dt.date, excluded: Sequence[int] = (),
+                   since: _dt.date | None = None) -> DataFrame:
+    """K18 part 1: the previous month's decided events (decision 1/2, unit amounts and excluded accounts removed) by
+    their own account, with year, month and exposure (balance + amount).  ``since`` starts earlier, for a backfill of
+    several months."""
     start, end = previous_month(run_date)
     start = since or start
     e = events.where(F.col("decision").isin("1", "2") & (F.col("auth_amount") != 1)
                      & (F.col("proc_date") >= F.lit(start)) & (F.col("proc_date") <= F.lit(end)))
     if excluded:
         e = e.where(~F.col("account_id").isin(list(excluded)))
-    e = resolve_key(e, successor_map, key="account_id", out="track_id", mode="null")
     return e.withColumns({"year": F.year("proc_date"), "month": F.month("proc_date"),
                           "exposure": F.col("auth_balance") + F.col("auth_amount")})
 
 
+def closed_month_events(events: DataFrame, successor_map: DataFrame, run_date: _dt.date,
+                        excluded: Sequence[int] = (), since: _dt.date | None = None) -> DataFrame:
+    """``decided_events`` resolved to the current account (``track_id``), event by event."""
+    return resolve_key(decided_events(events, run_date, excluded, since), successor_map, key="account_id",
+                       out="track_id", mode="null")
+
+
+def event_state(ev: DataFrame, key: str) -> DataFrame:
+    """All that an account-month's events tell, in one aggregate whose results merge again (``merged_state``).
+
+    The latest approved limit and the latest processing id are maxima of (date, event id, value); sections, decisions
+    and amounts are counts and sums.  So the events are read once and combined before they are shuffled, by their own
+    account, and only one row per account-month meets the successor map."""
+    approved = F.col("decision") == "1"
+    at = [F.col("proc_date"), F.col("event_id")]
+    return ev.groupBy(key, "year", "month").agg(
+        F.max(F.when(approved, F.struct(*at, "auth_limit"))).alias("last_approved"),
+        F.max(F.struct(*at, "spid")).alias("last"),
+        F.count_if(F.col("section") == 0).alias("n_zero"),
+        F.count_if(F.col("section").isin(1, 2, 3)).alias("n_main"),
+        F.count_if(approved).alias("n_approved"),
+        F.count_if(F.col("decision") == "2").alias("n_declined"),
+        F.max(F.when(approved, F.col("exposure"))).alias("max_exposure"),
+        F.sum(F.when(approved, F.col("auth_amount"))).alias("amount_total"))
+
+
+def merged_state(state: DataFrame, successor_map: DataFrame) -> DataFrame:
+    """States by own account (``account_id``) merged into those of the resolved account (``track_id``)."""
+    s = resolve_key(state, successor_map, key="account_id", out="track_id", mode="null")
+    largest, total = ("last_approved", "last", "max_exposure"), ("n_zero", "n_main", "n_approved", "n_declined", "amount_total")
+    return s.groupBy("track_id", "year", "month").agg(*[F.max(c).alias(c) for c in largest],
+                                                      *[F.sum(c).alias(c) for c in total])
+
+
+def overdrafts_of_state(state: DataFrame) -> DataFrame:
+    """Account-months with an approved event: excess (max exposure - last approved limit), section mix and counts."""
+    out = state.where(F.col("n_approved") > 0)
+    return out.select(
+        "track_id", "year", "month", F.lit("1").alias("decision"), "max_exposure", "amount_total",
+        F.col("n_approved").alias("n_events"), F.col("last_approved.auth_limit").alias("last_limit"),
+        F.col("last.spid").alias("last_spid"), "n_approved", "n_declined",
+        R.SECTION_MIX.column(n_zero="n_zero", n_main="n_main").alias("section_mix"),
+        (F.col("max_exposure") - F.col("last_approved.auth_limit")).alias("excess"))
+
+
 def month_attributes(ev: DataFrame) -> DataFrame:
     """W8 / W9 per account-month, as aggregates:
 
@@ -107,27 +148,8 @@ def approvals_declines(ev: DataFrame) -> DataFrame:
 
 
 def auto_overdrafts(ev: DataFrame) -> DataFrame:
-    """Approved automatic overdraft rows per account-month with the excess
-    (max exposure - last approved limit), section mix and counts.
-
-    Two map-side-combined aggregates over the events -- per account-month
-    (window attributes, section counts, approvals, declines) and per
-    account-month-decision (exposure, amount, count) -- joined on the
-    account-month: one pass over the event table, no window over it.
-    """
-    d = F.col("decision")
-    k = ["track_id", "year", "month"]
-    month = month_attributes(ev).join(
-        ev.groupBy(*k).agg(F.count_if(F.col("section") == 0).alias("_n0"),
-                           F.count_if(F.col("section").isin(1, 2, 3)).alias("_n123"),
-                           F.sum(F.when(d == "1", 1).otherwise(0)).alias("n_approved"),
-                           F.sum(F.when(d == "2", 1).otherwise(0)).alias("n_declined")), k)
-    month = month.withColumn("section_mix", R.SECTION_MIX.column(n_zero="_n0", n_main="_n123")).drop("_n0", "_n123")
-    g = (ev.where(d == "1").groupBy(*k, "decision")
-         .agg(F.max("exposure").alias("max_exposure"), F.sum("auth_amount").alias("amount_total"),
-              F.count(F.lit(1)).alias("n_events")))
-    g = g.join(month, k, "inner")
-    return g.withColumn("excess", F.col("max_exposure") - F.col("last_limit"))
+    """Approved automatic overdrafts of resolved events, by one aggregate over them."""
+    return overdrafts_of_state(event_state(ev, "track_id"))
 
 
 def merge_manual(auto: DataFrame, manual_monthly: DataFrame) -> DataFrame:
@@ -182,8 +204,8 @@ def overdraft_episodes(events: DataFrame, manual: DataFrame, snapshots: DataFram
                        run_date: _dt.date, excluded: Sequence[int] = (), since: _dt.date | None = None) -> DataFrame:
     """K18-K21 end to end: overdraft episodes of the month before ``run_date``
     (of every month from ``since`` to it: the same rows as a run per month)."""
-    ev = closed_month_events(events, successor_map, run_date, excluded, since)
+    state = merged_state(event_state(decided_events(events, run_date, excluded, since), "account_id"), successor_map)
     start, _ = previous_month(run_date)
     nxt = (start.replace(day=28) + _dt.timedelta(days=4)).replace(day=1)
-    merged = merge_manual(auto_overdrafts(ev), manual_auth_monthly(manual, successor_map, since or start, nxt))
+    merged = merge_manual(overdrafts_of_state(state), manual_auth_monthly(manual, successor_map, since or start, nxt))
     return attach_closing(merged, closing_snapshot(snapshots, successor_map, run_date, since=since))
