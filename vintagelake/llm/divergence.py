@@ -9,10 +9,10 @@ same for what it is compared with, and ``f = floor((p - q)^2 / q)``.
 * ``term`` part, by a dominance skyband: where ``p > q``, f grows with the
   source's count and falls with the language's, and ties go to the earlier term.
   So a term that ``k`` others beat in all three (count not lower, language count
-  not higher, earlier in UTF-8) is not among the first ``k``.  Each partition
-  keeps the terms that fewer than ``k`` others dominate, the skybands are merged
-  twice in the same way (by hash parts of a source, then by source), and what is
-  left is ranked exactly.  A merge folds its rows through a buffer of bounded
+  not higher, earlier in UTF-8) is not among the first ``k``.  Each partition (a
+  hash part of a source's terms) keeps those that fewer than ``k`` others
+  dominate, the skybands of a source are merged in the same way, and what is left
+  is ranked exactly.  A merge folds its rows through a buffer of bounded
   size besides the skyband, so a hot source does not grow a task's memory.
 * ``pair`` part: f summed over all kept terms for two sources of a language.
   Terms that a source lacks have one share, so the sum is taken from the terms of
@@ -42,7 +42,8 @@ MIN_DOCS, SCALE, TOP = 3, 1_000_000_000, 200
 ENTRIES = 300_000      # counter entries of a task before they are handed on
 BUFFER = 20_000        # rows of a source waiting for the next reduction to its skyband
 PAIR_ROWS = 1_000_000  # pairs of sources of single terms worked out together
-PARTS = 16             # hash parts of a source in the first merge
+PARTS = 8              # hash parts of a source whose skybands are found first
+GRID, STEP = 64, 512   # cells a side of the skyband's grid of counts; rows compared together
 
 _OTHER = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 GROUP = ["lang", "source"]
@@ -81,7 +82,8 @@ def count_terms(docs: DataFrame) -> DataFrame:
 
     parts = base.mapInArrow(run, "lang string, source string, term binary, n long, docs long") \
         .withColumn("term", F.col("term").cast("string"))
-    return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # dealt by term: the counts by source and those of the language need no further exchange
+    return parts.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def kept_terms(counts: DataFrame, min_docs: int) -> DataFrame:
@@ -123,19 +125,28 @@ def skyband(n: np.ndarray, lang_n: np.ndarray, term: np.ndarray, k: int) -> np.n
     rank[np.argsort(term)] = np.arange(len(term))
     order = np.lexsort((rank, lang_n, -n))
     low, word = lang_n[order], rank[order]
+    # a grid of counts of kept rows: those of lower cells in both directions are dominators, mostly enough of them
+    values = np.unique(low)
+    bounds = np.concatenate([values[:GRID], values[GRID::max(1, len(values) // GRID)]])
+    cell_low = np.searchsorted(bounds, low, "right")
+    below = np.where(cell_low < GRID, cell_low, cell_low - 1)  # a cell of one value counts as well
+    cell_word = word * GRID // max(1, len(word)) + 1
+    grid = np.zeros((int(cell_low.max(initial=0)) + 1, GRID + 1), np.int64)
     kept = np.zeros(len(order), bool)
     have_low, have_word = low[:0], word[:0]
-    step = 512
-    for at in range(0, len(order), step):
-        l, w = low[at:at + step], word[at:at + step]
+    for at in range(0, len(order), STEP):
+        beaten = grid.cumsum(0).cumsum(1)[below[at:at + STEP], cell_word[at:at + STEP] - 1]
+        open_ = at + np.flatnonzero(beaten < k)
+        l, w = low[open_], word[open_]
         beaten = np.zeros(len(l), np.int64)
         for lo in range(0, len(have_low), 4096):
             beaten += ((have_low[lo:lo + 4096, None] <= l) & (have_word[lo:lo + 4096, None] <= w)).sum(0)
-        maybe = np.flatnonzero(beaten < k)
-        l, w = l[maybe], w[maybe]
+        maybe = beaten < k
+        open_, l, w = open_[maybe], l[maybe], w[maybe]
         inside = np.triu((l[:, None] <= l) & (w[:, None] <= w), 1).sum(0)
         good = beaten[maybe] + inside < k
-        kept[at + maybe[good]] = True
+        kept[open_[good]] = True
+        np.add.at(grid, (cell_low[open_[good]], cell_word[open_[good]]), 1)
         have_low, have_word = np.concatenate([have_low, l[good]]), np.concatenate([have_word, w[good]])
     return order[kept]
 
@@ -177,8 +188,7 @@ def distinctive(kept: DataFrame, langs: DataFrame, sources: DataFrame, top: int)
     """Part ``term``: the first ``top`` terms of each source that it has more of than its language."""
     points = kept.select("lang", "term", "lang_n", F.explode("by_source").alias("s")) \
         .select("lang", F.col("s.source").alias("source"), F.col("term").cast("binary").alias("term"), F.col("s.n").alias("n"), "lang_n")
-    bands = skybands(points, top)
-    bands = skybands(bands.repartition("lang", "source", F.pmod(F.xxhash64("term"), F.lit(PARTS))), top)
+    bands = skybands(points.repartition("lang", "source", F.pmod(F.xxhash64("term"), F.lit(PARTS))), top)
     bands = skybands(bands.repartition("lang", "source"), top)
     p, q = share(F.col("n"), F.col("total"), F.col("v")), share(F.col("lang_n"), F.col("lang_total"), F.col("v"))
     rated = bands.join(sources.drop("v"), GROUP).join(langs, "lang").select(*GROUP, F.col("term").cast("string").alias("item"),
