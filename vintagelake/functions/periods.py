@@ -115,11 +115,11 @@ def horizon_bucket(offset: ColLike, years: int = 4, other: str = "OTRO") -> Colu
     return expr.otherwise(F.lit(other))
 
 
-def today_in(tz: str) -> Column:
-    """CURRENT_DATE(tz) -- the calendar date in a time zone."""
-    return F.to_date(F.from_utc_timestamp(F.current_timestamp(), tz))
+def today_in(tz: str, instant: Column | None = None) -> Column:
+    """CURRENT_DATE(tz) -- the calendar date in a time zone, now or at an instant."""
+    return F.to_date(F.from_utc_timestamp(F.current_timestamp() if instant is None else instant, tz))
 
 
-def time_of_day_in(tz: str) -> Column:
-    """EXTRACT(TIME FROM CURRENT_DATETIME(tz)) as HH:mm:ss text."""
-    return F.date_format(F.from_utc_timestamp(F.current_timestamp(), tz), "HH:mm:ss")
+def time_of_day_in(tz: str, instant: Column | None = None) -> Column:
+    """EXTRACT(TIME FROM CURRENT_DATETIME(tz)) as HH:mm:ss text, now or at an instant."""
+    return F.date_format(F.from_utc_timestamp(F.current_timestamp() if instant is None else instant, tz), "HH:mm:ss")

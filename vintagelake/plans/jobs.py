@@ -16,7 +16,7 @@ import datetime as _dt
 import os
 from typing import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,7 @@ from vintagelake.operators import overdraft
 from vintagelake.plans import marts as M
 from vintagelake.plans import schemas
 from vintagelake.session import get_session, stage, stage_scope
-from vintagelake.sources import sinks
+from vintagelake.sources import catalog, sinks
 from vintagelake.sources.versions import VersionedTable
 
 ORIGIN_COL = "origin_yyyymm"
@@ -36,6 +36,11 @@ def fact_table(spark: SparkSession, out_dir: str, name: str, schema: T.StructTyp
     return VersionedTable(spark, os.path.join(out_dir, name), schema, partition_col)
 
 
+def _kept_rules(fact: DataFrame, name: str) -> DataFrame:
+    """The fact, failing the write at a row that breaks one of its declared rules."""
+    return catalog.checked(fact, schemas.REQUIRED[name], schemas.CHECKS[name])
+
+
 def run_dispositions(spark: SparkSession, inp: M.Inputs, run_date: _dt.date, history: bool, out_dir: str,
                      history_start: _dt.date = _dt.date(2017, 1, 1)) -> list[int]:
     """E1 end to end (K2, K29, K30): stages for the window, control totals
@@ -51,7 +56,7 @@ def run_dispositions(spark: SparkSession, inp: M.Inputs, run_date: _dt.date, his
         stages.append(M.target_step(target.read(), start, end))
         ts = _dt.datetime.combine(run_date, _dt.time(0, 0))
         sinks.append(sinks.control_totals(spark, stages, "DISPOSITIONS", ts), os.path.join(out_dir, "control_totals"))
-        return target.rewrite(fact, *P.period_window(run_date, False, history_start))
+        return target.rewrite(_kept_rules(fact, "dispositions"), *P.period_window(run_date, False, history_start))
 
 
 def publish_dispositions(spark: SparkSession, out_dir: str, yyyymm: int) -> list[int]:
@@ -76,13 +81,14 @@ def run_overdraft(spark: SparkSession, inp: M.Inputs, run_date: _dt.date, out_di
         episodes = fact_table(spark, out_dir, "overdraft_episodes", new.schema, ORIGIN_COL)
         episodes.rewrite(new, start, start)
         fact = M.overdraft_mart(inp, run_date, excluded, web_stores, episodes.read(months=(0, month)))
-        return fact_table(spark, out_dir, "overdraft", fact.schema).rewrite(fact, start, start)
+        return fact_table(spark, out_dir, "overdraft", schemas.overdraft()).rewrite(_kept_rules(fact, "overdraft"), start, start)
 
 
 def run_cohort(spark: SparkSession, inp: M.Inputs, run_date: _dt.date, out_dir: str, product: int, brand: int,
                since: _dt.date, stores: Sequence[str] | None, with_applications: bool, name: str) -> None:
     """Full rebuild (CREATE OR REPLACE) of a cohort mart and its view."""
     df = M.cohort_mart(inp, product, brand, since, stores, run_date, with_applications)
+    df = sinks.conform(_kept_rules(df, "cohort"), schemas.cohort(with_applications))
     path = os.path.join(out_dir, name)
     sinks.overwrite(df, path, partition_by=[], sort_by=["account_id", "year", "month"])
     sinks.create_view(spark.read.parquet(path), f"v_{name}")

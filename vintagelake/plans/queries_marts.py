@@ -8,6 +8,7 @@ import os
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vintagelake.functions import ruleset as R
 from vintagelake.plans import marts as M
@@ -20,7 +21,7 @@ from vintagelake.plans.queries_aggs import (COHORT_BRAND, COHORT_PRODUCT, COHORT
 from vintagelake.plans.queries_rules import _ZONE_CLEAN_SQL
 from vintagelake.session import checkpoint_dir
 from vintagelake.sources import analogues as A
-from vintagelake.sources import sinks
+from vintagelake.sources import catalog, sinks
 
 LOAD_DATE = RUN_DATE_HISTORY
 
@@ -628,6 +629,31 @@ GROUP BY year * 100 + month
 """)(window_rewrite)
 
 
+def catalog_fact(spark, sf_dir):
+    """A typed table partitioned by month in the catalog, its months written in two checked inserts (the second
+    replaces two months), read through a stored view."""
+    name = f"monthly_{uuid.uuid4().hex}"
+    fact = _monthly_fact(spark, sf_dir)
+    schema = T.StructType([fact.schema[c] for c in ("n_accounts", "balance_total", "n_30", sinks.PARTITION_COL)])
+    path = os.path.join(checkpoint_dir(spark), "catalog_fact", name)
+    catalog.create_table(spark, name, schema, [sinks.PARTITION_COL], path)
+    catalog.create_view(spark, f"v_{name}", f"SELECT * FROM {name} WHERE n_30 > 0")
+    rules = dict(required=["n_accounts", sinks.PARTITION_COL], checks=["n_30 <= n_accounts"])
+    catalog.insert(fact, name, **rules)
+    again = fact.where(F.col(sinks.PARTITION_COL).isin(*CATALOG_MONTHS)).withColumn("balance_total", F.col("balance_total") * 2)
+    catalog.insert(again, name, overwrite=True, **rules)
+    return spark.table(f"v_{name}")
+
+
+CATALOG_MONTHS = (199803, 199804)
+register("catalog_fact", A.sql_with("accounts", "snapshots") + f"""
+SELECT CAST(year * 100 + month AS BIGINT) AS obs_yyyymm, CAST(count(*) AS BIGINT) AS n_accounts,
+       CAST(sum(balance) * CASE WHEN year * 100 + month IN {CATALOG_MONTHS} THEN 2 ELSE 1 END AS DOUBLE) AS balance_total,
+       CAST(sum({R.FLAG_30.sql(level='level')}) AS BIGINT) AS n_30
+FROM snapshots GROUP BY year * 100 + month HAVING sum({R.FLAG_30.sql(level='level')}) > 0
+""")(catalog_fact)
+
+
 # ---------------------------------------------------------------------------
 # E1' dispositions, netted variant
 # ---------------------------------------------------------------------------

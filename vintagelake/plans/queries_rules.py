@@ -15,6 +15,7 @@ from vintagelake.functions import ruleset as R
 from vintagelake.operators import enrich, keys, panel
 from vintagelake.plans.registry import HISTORY_START, register
 from vintagelake.sources import analogues as A
+from vintagelake.sources.tables import read_table
 
 RISK_SHIFT = 25      # 1995..2001 -> 2020..2026
 TREE_SHIFT = 21      # 1995..2001 -> 2016..2022
@@ -510,3 +511,54 @@ SELECT account_id, CAST(age AS BIGINT) AS age, {R.AGE_BAND_OVERDRAFT.sql(age='ag
        {R.GENDER_FROM_CODE.sql(gen='gender_code')} AS gender, {R.SEX_FROM_CODE.sql(gen='gender_code')} AS sex
 FROM ag
 """)(band_age_overdraft)
+
+
+# ---------------------------------------------------------------------------
+# R8 lettered rate tier; F2 / F3 date and time of day in a zone
+# ---------------------------------------------------------------------------
+RATES_SEEN = sorted({rate for rule in R.RATE_LEVEL.rules for _, _, rates in rule.tests for rate in rates})
+
+
+def rate_tier_letters(spark, sf_dir):
+    """The lettered tiers; every snapshot takes one of the tabled rates or one beside it."""
+    s = A.snapshots(spark, sf_dir)
+    at = (F.col("account_id") + F.col("level") * 7) % len(RATES_SEEN)
+    rate = F.element_at(F.array(*[F.lit(x).cast("decimal(18,2)") for x in RATES_SEEN]), (at + 1).cast("int"))
+    rate = F.when(F.col("score") % 4 == 0, rate + F.lit("0.01").cast("decimal(18,2)")).otherwise(rate)
+    return s.select("account_id", "year", "month", rate.cast("decimal(18,2)").alias("rate")).withColumn(
+        "rate_level", R.RATE_LEVEL.column(rate="rate"))
+
+
+register("rate_tier_letters", A.sql_with("accounts", "snapshots", extra={
+    "rated": f"""SELECT account_id, year, month,
+                        CAST([{', '.join(f"CAST('{x}' AS DECIMAL(18,2))" for x in RATES_SEEN)}]
+                             [(account_id + level * 7) % {len(RATES_SEEN)} + 1]
+                             + CASE WHEN score % 4 = 0 THEN 0.01 ELSE 0 END AS DECIMAL(18,2)) AS rate
+                 FROM snapshots"""}) + """
+SELECT account_id, CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month, CAST(rate AS DOUBLE) AS rate,
+       CASE WHEN rate IN (66.00, 64.00, 64.50, 65.50, 68.00, 85, 84, 84.5, 85.5) THEN 'F.T5'
+            WHEN rate IN (61.20, 62.20, 62.70, 63.70, 66.20, 80, 80.5, 81.5) THEN 'E.T4'
+            WHEN rate IN (53.11, 54.86, 55.36, 56.36, 58.86, 77.42, 77.6, 78.1, 79.1) THEN 'D.T3'
+            WHEN rate IN (42.04, 45.54, 46.04, 47.04, 49.54, 69.83, 70.33, 71.33) THEN 'C.T2'
+            WHEN rate IN (31.39, 32.39, 32.89, 33.89, 36.39, 60.36, 60.86, 61.86) THEN 'B.T1'
+            WHEN rate IN (14.99, 15.49, 16.49, 18.99) THEN 'A.T0'
+            WHEN rate IN (26.56, 27.43, 27.68, 28.18, 29.43, 38.71, 38.8, 39.05, 39.55) THEN 'G.Empleados'
+            ELSE 'H.Otros' END AS rate_level
+FROM rated
+""")(rate_tier_letters)
+
+ZONE = "America/Mexico_City"
+
+
+def local_clock(spark, sf_dir):
+    """Date and time of day of every event, as a clock in the zone shows them."""
+    e = read_table(spark, sf_dir, "events", ["event_id", "ts"])
+    at = F.col("ts").cast("timestamp_ntz")
+    return e.select("event_id", P.today_in(ZONE, at).alias("local_date"), P.time_of_day_in(ZONE, at).alias("local_time"))
+
+
+register("local_clock", f"""
+SELECT event_id, CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE '{ZONE}' AS DATE) AS local_date,
+       strftime((ts AT TIME ZONE 'UTC') AT TIME ZONE '{ZONE}', '%H:%M:%S') AS local_time
+FROM events
+""")(local_clock)
