@@ -22,6 +22,7 @@ from vintagelake.plans.queries_rules import _ZONE_CLEAN_SQL
 from vintagelake.session import checkpoint_dir
 from vintagelake.sources import analogues as A
 from vintagelake.sources import catalog, sinks
+from vintagelake.sources.versions import VersionedTable
 
 LOAD_DATE = RUN_DATE_HISTORY
 
@@ -629,6 +630,36 @@ GROUP BY year * 100 + month
 """)(window_rewrite)
 
 
+def versioned_rewrite(spark, sf_dir):
+    """K30 / S6 / S7 on versioned tables: full build, a window rewritten twice without one of its months, one month
+    published to a master table; read as it is now, the dropped month as the first version had it, and the master."""
+    root = os.path.join(checkpoint_dir(spark), "versioned_rewrite", uuid.uuid4().hex)
+    fact = _monthly_fact(spark, sf_dir)
+    table, master = (VersionedTable(spark, f"{root}/{n}", fact.schema, sinks.PARTITION_COL) for n in ("fact", "master"))
+    table.rewrite(fact, *REWRITE_FULL)
+    for _ in range(2):
+        table.rewrite(fact.where(F.col(sinks.PARTITION_COL) != REWRITE_DROPPED_MONTH), *REWRITE_WINDOW)
+    master.publish(table.read(months=(PUBLISHED_MONTH, PUBLISHED_MONTH)), PUBLISHED_MONTH)
+    dropped = (REWRITE_DROPPED_MONTH, REWRITE_DROPPED_MONTH)
+    frames = {"now": table.read(), "first version": table.read(version=1, months=dropped), "master": master.read()}
+    out = None
+    for name, df in frames.items():
+        df = df.select(F.lit(name).alias("seen"), sinks.PARTITION_COL, "n_accounts", "balance_total", "n_30")
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+PUBLISHED_MONTH = 200107
+register("versioned_rewrite", A.sql_with("accounts", "snapshots", extra={
+    "m": f"""SELECT CAST(year * 100 + month AS BIGINT) AS obs_yyyymm, CAST(count(*) AS BIGINT) AS n_accounts,
+                    CAST(sum(balance) AS DOUBLE) AS balance_total, CAST(sum({R.FLAG_30.sql(level='level')}) AS BIGINT) AS n_30
+             FROM snapshots GROUP BY year * 100 + month"""}) + f"""
+SELECT 'now' AS seen, * FROM m WHERE obs_yyyymm <> {REWRITE_DROPPED_MONTH}
+UNION ALL SELECT 'first version', * FROM m WHERE obs_yyyymm = {REWRITE_DROPPED_MONTH}
+UNION ALL SELECT 'master', * FROM m WHERE obs_yyyymm = {PUBLISHED_MONTH}
+""")(versioned_rewrite)
+
+
 def catalog_fact(spark, sf_dir):
     """A typed table partitioned by month in the catalog, its months written in two checked inserts (the second
     replaces two months), read through a stored view."""
