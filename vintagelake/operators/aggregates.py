@@ -142,9 +142,23 @@ def signed_monthly_base(ledger: DataFrame, successor_map: DataFrame, accounts: D
     return g.withColumn("channel", R.CHANNEL.column(plan="plan"))
 
 
+LEDGER_FACTS = ("base_rows", "n_txn", "amount", "write_off_amount", "write_off_rows", "forgiveness_amount", "forgiveness_rows")
+
+
 def ledger_monthly_facts(ledger: DataFrame, successor_map: DataFrame, start: _dt.date, end: _dt.date,
                          write_off=R.WRITE_OFF_CODES, forgiveness=R.FORGIVENESS_CODES) -> DataFrame:
-    """One resolved scan of the ledger window feeding both the cash-advance
+    """``own_monthly_facts`` by resolved account (``zero`` mode)."""
+    return resolved_facts(own_monthly_facts(ledger, start, end, write_off, forgiveness), successor_map)
+
+
+def resolved_facts(own: DataFrame, successor_map: DataFrame) -> DataFrame:
+    """Facts by own account, as computed or as stored by month, summed per resolved account."""
+    return resolve_and_sum(own, successor_map, "zero", ["account_id", "product", "year", "month", "plan"], list(LEDGER_FACTS))
+
+
+def own_monthly_facts(ledger: DataFrame, start: _dt.date, end: _dt.date,
+                      write_off=R.WRITE_OFF_CODES, forgiveness=R.FORGIVENESS_CODES) -> DataFrame:
+    """One scan of the ledger window feeding both the cash-advance
     base (K9) and the write-off / forgiveness sets (K7): conditional
     aggregates per (account, product, month, plan).  ``cash_advance_base`` and
     ``code_sets_from_facts`` derive from it, so the largest table is read and
@@ -167,9 +181,7 @@ def ledger_monthly_facts(ledger: DataFrame, successor_map: DataFrame, start: _dt
                  conditional_sum(amt, wo).alias("write_off_amount"), F.count(F.when(wo, 1)).alias("write_off_rows"),
                  conditional_sum(amt, fg).alias("forgiveness_amount"),
                  F.count(F.when(fg, 1)).alias("forgiveness_rows")))
-    return resolve_and_sum(part, successor_map, "zero", ["account_id", "product", "year", "month", "plan"],
-                           ["base_rows", "n_txn", "amount", "write_off_amount", "write_off_rows",
-                            "forgiveness_amount", "forgiveness_rows"])
+    return part
 
 
 def cash_advance_base(facts: DataFrame, accounts: DataFrame) -> DataFrame:

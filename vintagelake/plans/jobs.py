@@ -1,6 +1,7 @@
 """Scheduled jobs: build a mart for a run date and write it idempotently.
 
     python -m vintagelake.plans.jobs dispositions --sf-dir DIR --out DIR --run-date 2001-09-01 [--history]
+    python -m vintagelake.plans.jobs month        --sf-dir DIR --out DIR --run-date 2001-09-01 [--backfill-from 1995-01-01]
     python -m vintagelake.plans.jobs publish      --sf-dir DIR --out DIR --month 200108
     python -m vintagelake.plans.jobs overdraft    --sf-dir DIR --out DIR --run-date 2001-02-15
     python -m vintagelake.plans.jobs cohort       --sf-dir DIR --out DIR --run-date 2001-09-01
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vintagelake.functions import periods as P
+from vintagelake.operators import aggregates as G
 from vintagelake.operators import overdraft
 from vintagelake.plans import marts as M
 from vintagelake.plans import schemas
@@ -59,6 +61,40 @@ def run_dispositions(spark: SparkSession, inp: M.Inputs, run_date: _dt.date, his
         return target.rewrite(_kept_rules(fact, "dispositions"), *P.period_window(run_date, False, history_start))
 
 
+def run_dispositions_month(spark: SparkSession, inp: M.Inputs, run_date: _dt.date, out_dir: str,
+                           history_start: _dt.date = _dt.date(2017, 1, 1)) -> list[int]:
+    """E1 month by month (K14, K28): the closing month's ledger joins the stored state, and only the closing month's
+    snapshots meet the vintages.
+
+    The state holds the ledger's monthly facts by own account, before keys are resolved, so a later successor map
+    applies to old months as in a full rebuild.  A run scans one month of the ledger and of the snapshots, however long
+    the history; its month of the fact equals that of ``run_dispositions`` with full history.  Months before the first
+    run come from ``backfill_ledger_state``.
+    """
+    first, last = P.period_window(run_date, False, history_start)
+    state = fact_table(spark, out_dir, "ledger_state", schemas.ledger_state(), ORIGIN_COL)
+    target = fact_table(spark, out_dir, "dispositions", schemas.dispositions())
+    target.create()
+    with stage_scope(spark):
+        _store_ledger(state, inp, first, last)
+        own = state.read(months=(history_start.year * 100 + history_start.month, last.year * 100 + last.month)).drop(ORIGIN_COL)
+        fact, stages = M.dispositions_stages(inp, history_start, last, run_date, own, (first, last))
+        stages.append(M.target_step(target.read(months=(first.year * 100 + first.month, last.year * 100 + last.month)), first, last))
+        ts = _dt.datetime.combine(run_date, _dt.time(0, 0))
+        sinks.append(sinks.control_totals(spark, stages, "DISPOSITIONS", ts), os.path.join(out_dir, "control_totals"))
+        return target.rewrite(_kept_rules(fact, "dispositions"), first, last)
+
+
+def backfill_ledger_state(spark: SparkSession, inp: M.Inputs, start: _dt.date, end: _dt.date, out_dir: str) -> None:
+    """The state of the months from ``start`` to ``end``, from one scan of the ledger."""
+    _store_ledger(fact_table(spark, out_dir, "ledger_state", schemas.ledger_state(), ORIGIN_COL), inp, start, end)
+
+
+def _store_ledger(state: VersionedTable, inp: M.Inputs, first: _dt.date, last: _dt.date) -> None:
+    own = G.own_monthly_facts(inp.ledger, first, last)
+    state.rewrite(own.withColumn(ORIGIN_COL, F.col("year") * 100 + F.col("month")), first, last)
+
+
 def publish_dispositions(spark: SparkSession, out_dir: str, yyyymm: int) -> list[int]:
     """Publish one month of the fact to the master table, by the sink's column list."""
     schema = schemas.dispositions()
@@ -96,7 +132,7 @@ def run_cohort(spark: SparkSession, inp: M.Inputs, run_date: _dt.date, out_dir:
 
 def main(argv: Sequence[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="vintagelake.plans.jobs")
-    ap.add_argument("job", choices=["dispositions", "publish", "overdraft", "cohort"])
+    ap.add_argument("job", choices=["dispositions", "month", "publish", "overdraft", "cohort"])
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--run-date", type=_dt.date.fromisoformat)
@@ -111,6 +147,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--name", default="cohort")
     ap.add_argument("--history-start", type=_dt.date.fromisoformat, default=_dt.date(2017, 1, 1))
     ap.add_argument("--month", type=int)
+    ap.add_argument("--backfill-from", type=_dt.date.fromisoformat, help="store the ledger's months from then on first")
     a = ap.parse_args(argv)
     spark = get_session("vintagelake-job")
     if a.job == "publish":
@@ -119,6 +156,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     inp = M.Inputs.load(spark, a.sf_dir, pin=True)
     if a.job == "dispositions":
         print(run_dispositions(spark, inp, a.run_date, a.history, a.out, a.history_start))
+    elif a.job == "month":
+        if a.backfill_from:
+            backfill_ledger_state(spark, inp, a.backfill_from, P.previous_month(a.run_date)[1], a.out)
+        print(run_dispositions_month(spark, inp, a.run_date, a.out, a.history_start))
     elif a.job == "overdraft":
         print(run_overdraft(spark, inp, a.run_date, a.out, a.exclude_account, a.web_store))
     else:

@@ -222,9 +222,13 @@ class DispositionsParts:
 
 
 def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _dt.date,
-                      parts: DispositionsParts | None = None) -> DataFrame:
+                      parts: DispositionsParts | None = None,
+                      observed: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
     """Cash-advance vintage fact for the window [start, end].
 
+    ``observed`` keeps the rows of some observation months only: the filter reaches the snapshots and every source
+    keyed by month, so a stored month is pruned to its folder.
+
     ``facts`` (``ledger_monthly_facts``) feeds both the cash-advance base and
     the write-off/forgiveness dimension; it is staged (checkpointed) so the
     ledger -- the largest input -- is scanned and shuffled once.
@@ -233,9 +237,12 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
     base = parts.base if parts else G.cash_advance_base(facts, inp.accounts)
     # only a job that observes the panel tells the copies of a row apart
     copies = ("__snap_first", "__base_first") if parts else (None, None)
+    def seen(df):
+        return df if observed is None else df.where(overdraft.in_months(*observed))
+
     # the window bounds the ledger only: every observation month on or after the origin counts
     snap = keys.resolve_key(
-        inp.snapshots.select(
+        seen(inp.snapshots).select(
             "account_id", "year", "month", F.col("product").alias("obs_product"), "brand", "state", "store_id",
             "balance", "credit_limit", "rate", "level", "score", "stmt_flag", "totalero_flag"),
         inp.successor_map, mode="inverse")
@@ -254,12 +261,12 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
     months = (F.col("year") * 100 + F.col("month")).between(start.year * 100 + start.month,
                                                              end.year * 100 + end.month)
     pivot = G.resolve_and_sum(
-        G.indicator_pivot(inp.indicators.where(months), with_total=False).select(
+        G.indicator_pivot(seen(inp.indicators.where(months)), with_total=False).select(
             *AM, "int_fin", "int_mor", F.col("int_msi_any").alias("int_msi")),
         inp.successor_map, "zero", AM, ["int_fin", "int_mor", "int_msi"])
-    codes = G.code_sets_from_facts(facts)
-    fees = G.commissions(inp.indicators)
-    seg = enrich.segment_of_latest_date(inp.macro_old)
+    codes = G.code_sets_from_facts(seen(facts))
+    fees = G.commissions(seen(inp.indicators))
+    seg = seen(enrich.segment_of_latest_date(inp.macro_old))
     # the zone name as it stands in the latest load, not cleaned
     zones = windows.latest_load(inp.zone_history, "load_date").select("store_id", F.col("zone_desc").alias("zone"))
     demo = clients.by_load_date(clients.visible(inp.client_history)).select(
@@ -271,7 +278,7 @@ def dispositions_mart(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _d
             unique=True),
         Dim(fees, ym, ["fee_amount"], unique=True),
         Dim(seg, ym, ["segment_official"], unique=True),
-        Dim(latest_client_segment(inp.client_segments), ym, ["segment_client"], unique=True),
+        Dim(latest_client_segment(seen(inp.client_segments)), ym, ["segment_client"], unique=True),
         Dim(inp.stores, {"store_id": "store_id"}, ["zone_code"], unique=True),
         Dim(zones, {"store_id": "store_id"}, ["zone"], unique=True),
     ], copies[0])
@@ -308,20 +315,24 @@ DISPOSITIONS_COLUMNS = [
 ]
 
 
-def dispositions_stages(inp: Inputs, start: _dt.date, end: _dt.date,
-                        load_date: _dt.date) -> tuple[DataFrame, list[tuple[str, str, DataFrame | int]]]:
+def dispositions_stages(inp: Inputs, start: _dt.date, end: _dt.date, load_date: _dt.date, own_facts: DataFrame | None = None,
+                        observed: tuple[_dt.date, _dt.date] | None = None) -> tuple[DataFrame, list[tuple[str, str, DataFrame | int]]]:
     """The staged fact of E1 and the (step, table, rows) of its control totals.
 
     Each staged table is evaluated once and counted while it is written.  The panel is counted in the evaluation of the
     fact: its rows are those not made by a repeated dimension key, the enriched rows are all.  The two are equal unless a
     dimension breaks its key; only then is the fact's DISTINCT worth its shuffle, and the last count comes after it.
+    ``own_facts`` are stored ledger facts of the window by own account, in place of a scan of the ledger.
     """
-    facts = stage(G.ledger_monthly_facts(inp.ledger, inp.successor_map, start, end))
+    if own_facts is None:
+        own_facts = G.own_monthly_facts(inp.ledger, start, end)
+    facts = stage(G.resolved_facts(own_facts, inp.successor_map))
     cards, n_cards = stage_counted(G.card_counts(inp.cards))
     uids, n_uids = stage_counted(G.unified_customer(inp.cards))
     base, n_base = stage_counted(G.cash_advance_base(facts, inp.accounts))
     seen = Observation()
-    fact, n_fact = stage_counted(dispositions_mart(inp, start, end, load_date, DispositionsParts(facts, base, cards, uids, seen)))
+    fact, n_fact = stage_counted(dispositions_mart(inp, start, end, load_date, DispositionsParts(facts, base, cards, uids, seen),
+                                                     observed))
     n_panel, n_enriched = seen.get["panel"], seen.get["enriched"]
     if n_enriched > n_panel:
         fact, n_fact = stage_counted(fact.distinct())

@@ -69,6 +69,11 @@ _COHORT = """
     decimal(28,2), write_off_amount decimal(28,2), write_off_count bigint, write_off_date date, forgiveness_amount
     decimal(28,2), forgiveness_count bigint, client_uid bigint, macro_segment_code int
 """
+_LEDGER_STATE = """
+    account_id bigint, product int, year int, month int, plan int, base_rows bigint, n_txn bigint, amount decimal(38,2),
+    write_off_amount decimal(38,2), write_off_rows bigint, forgiveness_amount decimal(38,2), forgiveness_rows bigint,
+    origin_yyyymm int
+"""
 _APPLICATION = "app_status string, app_status_desc string, load_date date"
 
 # what every row of a published fact keeps to; checked in the tasks that write it
@@ -86,6 +91,10 @@ CHECKS = {
 }
 
 
+def ledger_state() -> T.StructType:
+    return T.StructType.fromDDL(_LEDGER_STATE)
+
+
 def dispositions_net() -> T.StructType:
     return T.StructType.fromDDL(_DISPOSITIONS_NET)
 
