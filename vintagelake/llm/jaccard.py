@@ -199,7 +199,7 @@ def sketch_bits(rows: int) -> int:
 def _order(docs: DataFrame, k: int, bits: int) -> tuple[np.ndarray, float]:
     """Order code of each sketch bucket (twice the log of its count), and the mean count."""
     def count(batches):
-        hasher, counter = Hasher(), sketch.Counter()
+        hasher, counter = Hasher(), sketch.Counter(1 << bits)
         for b in batches:
             for _, _, h in batch_shingles(b.column(0), k, hasher):
                 counter.add(h >> np.uint64(64 - bits))

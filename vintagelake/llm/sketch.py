@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 CHUNK = 1 << 16
 SCHEMA = "chunk int, low binary, at binary, counts binary"
 SLOTS = 8
-_HELD = 2_000_000
 
 
 def _pack(chunk: int, acc: np.ndarray) -> tuple:
@@ -37,36 +36,18 @@ def _sum(pdf: pd.DataFrame) -> np.ndarray:
 
 
 class Counter:
-    """Counts of one task, kept as sorted ids with their counts."""
+    """Counts of one task, added in place: 4 bytes for each of the sketch's buckets and no more."""
 
-    def __init__(self):
-        self.ids, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64)
-        self.new, self.n = [], 0
+    def __init__(self, size: int):
+        self.counts = np.zeros(-(-size // CHUNK) * CHUNK, np.uint32)
 
     def add(self, ids: np.ndarray) -> None:
-        self.new.append(ids.astype(np.uint32))
-        self.n += len(ids)
-        if self.n > _HELD:
-            self.merge()
-
-    def merge(self) -> None:
-        ids = np.concatenate([self.ids, *self.new])
-        weight = np.concatenate([self.counts, np.ones(self.n, np.int64)])
-        order = np.argsort(ids, kind="stable")
-        ids, weight = ids[order], weight[order]
-        first = np.flatnonzero(np.diff(ids, prepend=ids[:1] + np.uint32(1))) if len(ids) else np.empty(0, np.int64)
-        self.ids, self.counts = ids[first], np.add.reduceat(weight, first) if len(ids) else weight
-        self.new, self.n = [], 0
+        np.add.at(self.counts, ids.astype(np.int64), np.uint32(1))
 
     def batch(self) -> pa.RecordBatch:
         """Rows of SCHEMA for the chunks that hold any count."""
-        self.merge()
-        rows, chunk = [], self.ids // CHUNK
-        for part in np.split(np.arange(len(self.ids)), np.flatnonzero(np.diff(chunk)) + 1):
-            if len(part):
-                acc = np.zeros(CHUNK, np.int64)
-                acc[self.ids[part] % CHUNK] = self.counts[part]
-                rows.append(_pack(chunk[part[0]], acc))
+        chunks = self.counts.reshape(-1, CHUNK)
+        rows = [_pack(i, chunks[i].astype(np.int64)) for i in np.flatnonzero(chunks.any(axis=1))]
         cols = list(zip(*rows)) or [[], [], [], []]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
