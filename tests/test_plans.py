@@ -82,3 +82,20 @@ def test_overdraft_events_are_read_and_aggregated_once_before_the_map(spark):
     join = next(i for i, x in enumerate(lines) if "Join" in x)
     aggregates = [i for i, x in enumerate(lines) if "Aggregate" in x]
     assert len(aggregates) == 2 and aggregates[0] < join < aggregates[1]
+
+
+def test_latest_stored_load_opens_one_folder(spark):
+    """The scalar subquery is evaluated before the outer scan lists its files."""
+    from pyspark.sql import functions as F
+
+    from vintagelake.operators import windows
+    path = os.path.join(checkpoint_dir(spark), "loads", uuid.uuid4().hex)
+    rows = spark.range(600).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 12).cast("int")).alias("load_date"))
+    rows.repartition("load_date").write.partitionBy("load_date").parquet(path)
+    df = windows.latest_stored_load(spark.read.parquet(path), "load_date")
+    assert sorted(r.id for r in df.collect()) == list(range(11, 600, 12))
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.finalPhysicalPlan().collectLeaves() if "Adaptive" in plan.getClass().getName() else plan.collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size()) if "FileSourceScanExec" in leaves.apply(i).getClass().getName()]
+    assert [x.metrics().apply("numPartitions").value() for x in scans] == [1]
+    assert [x.metrics().apply("numFiles").value() for x in scans] == [1]

@@ -65,3 +65,12 @@ def latest_load(df: DataFrame, load_col: str) -> DataFrame:
     load value -- a broadcast of one row, no window over the whole table."""
     mx = df.agg(F.max(load_col).alias("__max_load"))
     return df.join(F.broadcast(mx), F.col(load_col) == F.col("__max_load"), "inner").drop("__max_load")
+
+
+def latest_stored_load(history: DataFrame, load_col: str) -> DataFrame:
+    """P10 / P11 over a table stored by load date: ``WHERE load = (SELECT MAX(load) ...)`` as a scalar subquery.
+
+    The subquery is a predicate on the partition column, so Spark evaluates it before it lists the files of the outer
+    scan and opens one folder, however many loads there are."""
+    latest = history.agg(F.max(load_col)).scalar()
+    return history.where(F.col(load_col) == latest)

@@ -581,6 +581,20 @@ WHERE load_date = (SELECT max(load_date) FROM zone_history)
 """)(zone_latest_load)
 
 
+def zone_store_latest_load(spark, sf_dir):
+    """P11 on a store with one folder per load: the scan opens the latest one only."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/zone-loads-{uuid.uuid4().hex}"
+    A.zone_history(spark, sf_dir).write.partitionBy("load_date").parquet(path)
+    z = windows.latest_stored_load(spark.read.parquet(path), "load_date")
+    return z.select("store_id", "store_desc", "zone_desc", "load_date")
+
+
+register("zone_store_latest_load", A.sql_with("zone_history") + """
+SELECT store_id, store_desc, zone_desc, load_date FROM zone_history
+WHERE load_date = (SELECT max(load_date) FROM zone_history)
+""")(zone_store_latest_load)
+
+
 # ---------------------------------------------------------------------------
 # W4, W7, K25 client history; K16 insured accounts
 # ---------------------------------------------------------------------------
