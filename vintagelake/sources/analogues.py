@@ -285,7 +285,7 @@ def macro_segments(spark: SparkSession, sf_dir: str, generation: str) -> DataFra
                 day >= F.lit("1997-07-01").cast("timestamp_ntz"))
     return o.select(F.col("o_custkey").alias("account_id"), F.col("o_orderdate").cast("date").alias("segment_date"),
                     ((F.col("o_orderkey") % 7) * 33 + (0 if generation == "old" else 1)).cast("int").alias("segment_official"),
-                    F.col("o_orderkey").alias("ref_id"))
+                    (F.col("o_orderkey") * 2 + (0 if generation == "old" else 1)).alias("ref_id"))
 
 
 STATUS_SEGMENT = (("F", "GOLD"), ("O", "SILVER"))     # else 'BRONZE'
@@ -456,11 +456,11 @@ SQL = {
       FROM supplier""",
     "macro_old": """
       SELECT o_custkey AS account_id, CAST(o_orderdate AS DATE) AS segment_date,
-             CAST((o_orderkey % 7) * 33 AS INTEGER) AS segment_official, o_orderkey AS ref_id
+             CAST((o_orderkey % 7) * 33 AS INTEGER) AS segment_official, o_orderkey * 2 AS ref_id
       FROM orders WHERE o_orderdate < TIMESTAMP '1998-07-01'""",
     "macro_new": """
       SELECT o_custkey AS account_id, CAST(o_orderdate AS DATE) AS segment_date,
-             CAST((o_orderkey % 7) * 33 + 1 AS INTEGER) AS segment_official, o_orderkey AS ref_id
+             CAST((o_orderkey % 7) * 33 + 1 AS INTEGER) AS segment_official, o_orderkey * 2 + 1 AS ref_id
       FROM orders WHERE o_orderdate >= TIMESTAMP '1997-07-01'""",
     "client_segments": f"""
       SELECT o_custkey AS account_id, CAST(year(o_orderdate) AS INTEGER) AS year,
