@@ -34,7 +34,7 @@ DROPOUT, SEED = 0.1, 20
 # chunks longer than this are merged one by one with a heap
 WIDE = 96
 CACHE = 250_000
-ROUND = 200_000
+ROUND = 100_000
 
 _CHUNKS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 _A, _B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
@@ -255,6 +255,7 @@ def encode(docs: DataFrame, model: Model, dropout: float = DROPOUT, seed: int =
                 arr = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()),
                                                mask=pa.array([x is None for x in lists]))
                 part = b.slice(first, at - first)
+                done = items = parts = lists = values = None  # freed before the batch is handed on
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), arr], ["doc_id", "text", "piece_ids"])
     no = (F.col(copy) if copy else F.lit(0)).cast("long").alias("copy")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", no).mapInArrow(
