@@ -32,7 +32,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -46,7 +45,7 @@ TOKEN_BYTES = 5
 MAX_LIGHT = 64
 HOT_LIST = 65536
 FEW = 4
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 FILTER_BUCKETS = 1 << 20
 
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -375,7 +374,7 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("sid"), F.col("b").alias("comp"))
 
 
-def _across(key, xs: pd.DataFrame, ys: pd.DataFrame, percent: int) -> pd.DataFrame:
+def _across(xs: pa.Table, ys: pa.Table, percent: int) -> pa.Table:
     """Links between the components of one cluster block: each x against all y.
 
     Counts overlaps by scanning the block's inverted lists, and returns one
@@ -383,14 +382,14 @@ def _across(key, xs: pd.DataFrame, ys: pd.DataFrame, percent: int) -> pd.DataFra
     """
     found = []
     if len(xs) and len(ys):
-        tok = [_unpack(t) for t in ys["ytoks"]]
+        tok = [_unpack(t.as_buffer()) for t in ys.column("ytoks")]
         size = np.array([len(t) for t in tok])
         flat, owner = np.concatenate(tok), np.repeat(np.arange(len(tok)), size)
         order = np.argsort(flat, kind="stable")
         flat, owner = flat[order], owner[order]
-        ysid, ycomp = ys["ysid"].to_numpy(), ys["ycomp"].to_numpy()
-        for sid, comp, blob in zip(xs["sid"], xs["comp"], xs["toks"]):
-            t = _unpack(blob)
+        ysid, ycomp = ys.column("ysid").to_numpy(), ys.column("ycomp").to_numpy()
+        for sid, comp, blob in zip(xs.column("sid").to_pylist(), xs.column("comp").to_pylist(), xs.column("toks")):
+            t = _unpack(blob.as_buffer())
             lo, hi = np.searchsorted(flat, t, "left"), np.searchsorted(flat, t, "right")
             n = hi - lo
             if not n.any():
@@ -399,8 +398,8 @@ def _across(key, xs: pd.DataFrame, ys: pd.DataFrame, percent: int) -> pd.DataFra
             both = np.bincount(owner[at], minlength=len(tok))
             hit = np.flatnonzero((100 * both >= percent * (size + len(t) - both)) & (ycomp != comp))
             _, one = np.unique(ycomp[hit], return_index=True)
-            found += [(sid, y) for y in ysid[hit[one]]]
-    return pd.DataFrame(found, columns=["p", "m"], dtype="int64")
+            found += [(sid, y) for y in ysid[hit[one]].tolist()]
+    return pa.table({"p": pa.array([p for p, _ in found], pa.int64()), "m": pa.array([m for _, m in found], pa.int64())})
 
 
 def _only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -441,7 +440,7 @@ def _residual(pairs: DataFrame, comps: DataFrame, blobs: DataFrame, percent: int
 
     def across(key, a, b):
         return _across(key, a, b, percent)
-    return xs.groupBy("p", "i", "j").cogroup(ys.groupBy("yp", "yi", "yj")).applyInPandas(across, "p long, m long")
+    return xs.groupBy("p", "i", "j").cogroup(ys.groupBy("yp", "yi", "yj")).applyInArrow(across, "p long, m long")
 
 
 def _labelled(docs: DataFrame, k: int, percent: int, hot_list: int) -> tuple[DataFrame, DataFrame]:
