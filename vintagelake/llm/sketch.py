@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,16 +28,10 @@ def _unpack(low: bytes, at: bytes, counts: bytes) -> np.ndarray:
     return acc
 
 
-def _rows(rows: list[tuple]) -> pa.Table:
-    cols = list(zip(*rows)) or [[], [], [], []]
-    return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
-                    names=["chunk", "low", "at", "counts"])
-
-
-def _sum(table: pa.Table) -> np.ndarray:
+def _sum(pdf: pd.DataFrame) -> np.ndarray:
     acc = np.zeros(CHUNK, np.int64)
-    for row in zip(table.column("low"), table.column("at"), table.column("counts")):
-        acc += _unpack(*(x.as_py() for x in row))
+    for row in zip(pdf["low"], pdf["at"], pdf["counts"]):
+        acc += _unpack(*row)
     return acc
 
 
@@ -53,7 +48,10 @@ class Counter:
         """Rows of SCHEMA for the chunks that hold any count."""
         chunks = self.counts.reshape(-1, CHUNK)
         rows = [_pack(i, chunks[i].astype(np.int64)) for i in np.flatnonzero(chunks.any(axis=1))]
-        return _rows(rows).combine_chunks().to_batches()[0] if rows else pa.RecordBatch.from_pylist([], _rows([]).schema)
+        cols = list(zip(*rows)) or [[], [], [], []]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
+            ["chunk", "low", "at", "counts"])
 
 
 def codes(parts: DataFrame, size: int) -> tuple[np.ndarray, float]:
@@ -61,19 +59,18 @@ def codes(parts: DataFrame, size: int) -> tuple[np.ndarray, float]:
 
     The parts of a chunk are summed in SLOTS groups first, then these.
     """
-    def part(key, table):
-        return _rows([_pack(key[0].as_py(), _sum(table))])
+    def part(key, pdf):
+        return pd.DataFrame([_pack(key[0], _sum(pdf))], columns=["chunk", "low", "at", "counts"])
 
-    def code(key, table):
-        acc = _sum(table)
+    def code(key, pdf):
+        acc = _sum(pdf)
         byte = np.floor(2 * np.log2(acc + 1)).astype(np.uint8)
-        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "code": pa.array([zlib.compress(byte.tobytes(), 1)], pa.binary()),
-                         "total": pa.array([int(acc.sum())], pa.int64())})
+        return pd.DataFrame({"chunk": [key[0]], "code": [zlib.compress(byte.tobytes(), 1)], "total": [int(acc.sum())]})
 
     slots = parts.withColumn("slot", F.pmod(F.spark_partition_id(), F.lit(SLOTS)))
-    dense = slots.groupBy("chunk", "slot").applyInArrow(part, SCHEMA)
+    dense = slots.groupBy("chunk", "slot").applyInPandas(part, SCHEMA)
     out, total = np.zeros(size, np.uint8), 0
-    for r in dense.groupBy("chunk").applyInArrow(code, "chunk int, code binary, total long").collect():
+    for r in dense.groupBy("chunk").applyInPandas(code, "chunk int, code binary, total long").collect():
         at = r["chunk"] * CHUNK
         out[at:at + CHUNK] = np.frombuffer(zlib.decompress(r["code"]), np.uint8)
         total += r["total"]
