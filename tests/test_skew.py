@@ -26,3 +26,18 @@ def test_salted_queries_match_oracle(salted, name):
     con = duck_connect(SF)
     res = compare(spark_rows(E.queries()[name](salted, SF)), duck_rows(con, E.oracle_sql()[name]))
     assert res["ok"], res
+
+
+def test_fact_ladders_are_not_left_to_the_interpreter(spark):
+    """HotSpot interprets a method beyond 8,000 bytes: building a fact keeps its session from running one."""
+    from vintagelake.session import CONF_METHOD_LIMIT, compiled_ladders
+    kept = spark.conf.get(CONF_METHOD_LIMIT)
+    try:
+        spark.conf.unset(CONF_METHOD_LIMIT)
+        E.queries()["dispositions_net_mart"](spark, SF)
+        assert int(spark.conf.get(CONF_METHOD_LIMIT)) <= 8000
+        spark.conf.set(CONF_METHOD_LIMIT, "20000")   # the session's own limit stays
+        compiled_ladders(spark)
+        assert spark.conf.get(CONF_METHOD_LIMIT) == "20000"
+    finally:
+        spark.conf.set(CONF_METHOD_LIMIT, kept)
