@@ -94,6 +94,32 @@ def test_hasher_cuts_long_texts(monkeypatch):
     assert np.array_equal(np.concatenate(whole), np.concatenate(parts))
 
 
+def test_hasher_joins_words_longer_than_a_segment(monkeypatch):
+    import pyarrow as pa
+    long = ["q" * 200, "q" * 128, "Q" * 127, "r" * 65]
+    texts = [" ".join(["a b", *long, "c d"]), *long, f"{'s' * 63} {'t' * 64} {'u' * 65}", "v" * 64 + " " + "w" * 64 + " x"]
+    hasher = jaccard.Hasher()
+    whole = [h for _, _, h in jaccard.batch_words(pa.array(texts), hasher)]
+    monkeypatch.setattr(jaccard, "SEGMENT", 64)
+    parts = [h for _, _, h in jaccard.batch_words(pa.array(texts), hasher)]
+    assert np.array_equal(np.concatenate(whole), np.concatenate(parts))
+
+
+def test_jaccard_tasks_take_small_batches(spark, monkeypatch):
+    """The session's own setting is back afterwards."""
+    key, seen, whole = "spark.sql.execution.arrow.maxRecordsPerBatch", [], jaccard._labels
+    before = spark.conf.get(key)
+
+    def labels(rows, *a):
+        sizes = rows.select("text").mapInPandas(lambda batches: (b.assign(n=len(b))[["n"]] for b in batches), "n long")
+        seen.append((int(spark.conf.get(key)), sizes.agg(F.max("n")).first()[0]))
+        return whole(rows, *a)
+    monkeypatch.setattr(jaccard, "_labels", labels)
+    many = spark.range(0, 3 * jaccard.BATCH_ROWS, 1, 1).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    assert jaccard.jaccard_components(many).count() == 3 * jaccard.BATCH_ROWS
+    assert seen == [(jaccard.BATCH_ROWS, jaccard.BATCH_ROWS)] and spark.conf.get(key) == before
+
+
 def test_boundary_follows_cost():
     assert jaccard.boundary({8: (100, 0.0)}, 75) <= 8
     assert jaccard.boundary({8: (100, 1e9)}, 75) > 8

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,6 +34,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Actions inside hand tasks at most ``rows`` rows an Arrow batch, or fewer where the session says so."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with did (doc_id, null last) and th (hash of the text): rows equal in both are repeats."""
     return docs.withColumn("did", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))) \

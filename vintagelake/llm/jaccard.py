@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintagelake.llm import sketch
-from vintagelake.llm.common import attach, stage
+from vintagelake.llm.common import attach, batch_rows, stage
 
 MIN_BITS, MAX_BITS = 20, 24
 TOKEN_BYTES = 5
@@ -52,7 +52,8 @@ FILTER_BUCKETS = 1 << 20
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                   0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 _BASE = 0x9E3779B97F4A7C15
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
+BATCH_ROWS = 1000
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -75,14 +76,19 @@ class Hasher:
         space[[9, 10, 11, 12, 13, 32]] = True
         self.table, self.space = table, space
         inverse = pow(_BASE, -1, 1 << 64)
-        self.up = np.full(2 * SEGMENT, _BASE, np.uint64)
-        self.down = np.full(2 * SEGMENT, inverse, np.uint64)
+        self.up = np.full(SEGMENT, _BASE, np.uint64)
+        self.down = np.full(SEGMENT, inverse, np.uint64)
         self.up[0] = self.down[0] = 1
         np.cumprod(self.up, out=self.up)
         np.cumprod(self.down, out=self.down)
 
     def words(self, data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(hash, first byte) of each word; no word spans a position of ``cuts``."""
+        raw, lo = self.sums(data, cuts)
+        return _mix(raw), lo
+
+    def sums(self, data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same with the value of the polynomial, from a word's first byte, for its hash."""
         full = ~self.space[data]
         edge = np.empty(len(data) + 1, bool)
         edge[0] = edge[-1] = True
@@ -94,14 +100,14 @@ class Hasher:
         lo, hi = lo[word], hi[word]
         total = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.table[data] * self.up[:len(data)], out=total[1:])
-        return _mix((total[hi] - total[lo]) * self.down[lo]), lo
+        return (total[hi] - total[lo]) * self.down[lo], lo
 
 
 def batch_words(column: pa.Array, hasher: Hasher):
     """Yield (row numbers, number of words of each, word hashes) for the texts of an Arrow column.
 
-    Short texts go together, long ones in segments cut at a space (or, inside
-    a word over SEGMENT bytes, at a fixed length).
+    Short texts go together, long ones in segments cut at a space.  A word of
+    more than SEGMENT bytes is summed over its segments.
     """
     if not len(column):
         return
@@ -115,13 +121,22 @@ def batch_words(column: pa.Array, hasher: Hasher):
             h, at = hasher.words(data[lo:hi], offsets[row:last] - lo)
             n = np.diff(np.searchsorted(at, offsets[row:last + 1] - lo))
         else:
-            parts = []
+            parts, held, size = [], None, 0
             while lo < hi:
-                end = min(hi, lo + SEGMENT)
+                end, inside = min(hi, lo + SEGMENT), False
                 if end < hi:
                     gaps = np.flatnonzero(hasher.space[data[lo:end]])
-                    end = lo + int(gaps[-1]) + 1 if len(gaps) else end
-                parts.append(hasher.words(data[lo:end], np.zeros(1, np.int64))[0])
+                    inside = not len(gaps)
+                    end = end if inside else lo + int(gaps[-1]) + 1
+                raw, at = hasher.sums(data[lo:end], np.zeros(1, np.int64))
+                if held is not None:  # the word that the last segment ended in
+                    if len(raw) and at[0] == 0:
+                        raw[:1] = held + raw[:1] * np.uint64(pow(_BASE, size, 1 << 64))
+                    else:
+                        raw = np.concatenate([held, raw])
+                held, size = (raw, size + end - lo) if inside else (None, 0)
+                if not inside:
+                    parts.append(_mix(raw))
                 lo = end
             h = np.concatenate(parts)
             n = np.array([len(h)])
@@ -445,7 +460,16 @@ def _residual(pairs: DataFrame, comps: DataFrame, blobs: DataFrame, percent: int
 
 
 def _labelled(docs: DataFrame, k: int, percent: int, hot_list: int) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, th, n, sid), and (sid, comp) for every set that has a link."""
+    """Rows (doc_id, th, n, sid), and (sid, comp) for every set that has a link.
+
+    Tasks take and give BATCH_ROWS rows at a time: neither side of a task holds
+    more texts or sets at once.
+    """
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        return _labels(docs, k, percent, hot_list)
+
+
+def _labels(docs: DataFrame, k: int, percent: int, hot_list: int) -> tuple[DataFrame, DataFrame]:
     docs = docs.select("doc_id", "text")
     code, mean = _order(docs, k, sketch_bits(docs.count()))
     sets = stage(shingle_sets(docs, code, mean, k, percent), "sets")
