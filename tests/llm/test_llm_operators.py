@@ -191,6 +191,24 @@ def test_bpe_matches_the_library_and_decodes(docs):
     assert bpe.decode(bpe.encode(odd, model), model).first()["decoded"] == text
 
 
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.6, 1.0])
+def test_bpe_merges_frequent_chunks_by_themselves_only_where_one_is_skipped(monkeypatch, dropout):
+    """The pieces are those of the agenda, for frequent, rare, long and odd chunks, and after the kept ones are forgotten."""
+    enc, merged, whole = bpe.Encoder(bpe.default_model(), dropout, 7), [], bpe.Encoder._together
+    monkeypatch.setattr(bpe.Encoder, "_together", lambda self, rows, *a: merged.append(len(rows)) or whole(self, rows, *a))
+    text = " ".join(["of the data", "W\u00f6rter \u4e2d\u6587\u5b57 \U0001f600x", "rare%d" % 7, "x" * 97] * 3 + ["once", "\ud800", "y" * 300])
+    for cache in (bpe.CACHE, 0):
+        monkeypatch.setattr(bpe, "CACHE", cache)
+        for n in (1, 400, 2):
+            todo = [(c, int(k)) for c in bpe.chunks(text) for k in rng.integers(0, 1 << 62, n)]
+            assert enc.encode_all(todo) == [enc.agenda(*t) for t in todo]
+    assert enc.encode_all([]) == []
+    enc = bpe.Encoder(bpe.default_model(), 0.1, 7)
+    merged.clear()
+    enc.encode_all([(c, int(k)) for c in bpe.chunks("of the") for k in rng.integers(0, 1 << 62, 2000)])
+    assert sum(merged) < 0.7 * 4000
+
+
 def test_dropout_varies_by_document_position_and_copy(spark):
     """More than four segmentations of a word, and other pieces for each copy that mixing makes."""
     model = bpe.default_model()
