@@ -99,3 +99,23 @@ def test_latest_stored_load_opens_one_folder(spark):
     scans = [leaves.apply(i) for i in range(leaves.size()) if "FileSourceScanExec" in leaves.apply(i).getClass().getName()]
     assert [x.metrics().apply("numPartitions").value() for x in scans] == [1]
     assert [x.metrics().apply("numFiles").value() for x in scans] == [1]
+
+
+@pytest.mark.parametrize("name", ["dispositions_mart", "dispositions_net_mart"])
+def test_fact_rows_are_copied_by_two_projections_at_most(spark, name):
+    """Each projection above the vintage join copies every row of the expanded fact."""
+    lines = E.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    join = next(i for i, x in enumerate(lines) if "Join Inner" in x)
+    assert 1 <= sum("Project" in x for x in lines[:join]) <= 2
+
+
+def test_netted_mart_meets_its_hot_keys_as_a_stored_table(spark):
+    """Hot keys are known before the expansion is planned, and the initial state is derived once."""
+    lines = E.queries()["dispositions_net_mart"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [x for x in lines if "__o" in x and "count(1)" in x]
+    assert not [x for x in lines if "min(struct(year" in x]
+
+
+def test_netted_base_sums_its_cells_once(spark):
+    plan = E.queries()["net_monthly_base"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert len([x for x in plan.splitlines() if "Relation" in x and "l_linenumber" in x]) == 1
