@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import io
+import random
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 import corpus_pipeline
 from oracle_harness import compare, duck_connect, duck_rows, spark_rows
-from vintagelake.llm import bpe, html, jaccard, langid, lines, mixing, outliers, vptree, warc, zclass
+from vintagelake.llm import bpe, html, jaccard, langid, lines, mixing, outliers, sketch, vptree, warc, zclass
 from vintagelake.llm.common import read
 
 SF = "/root/testdata/sf0.001"
@@ -125,6 +126,47 @@ def test_boundary_follows_cost():
     assert jaccard.boundary({8: (100, 1e9)}, 75) > 8
 
 
+def test_ngram_jaccard_keeps_passages_apart_in_a_full_sketch(spark, monkeypatch):
+    """Sets that share a passage only are not compared token by token where the sketch shows nothing."""
+    rng, rows = random.Random(7), []
+    word = lambda: "".join(rng.choices("abcdefghij", k=9))
+    for group in range(40):
+        passage = [word() for _ in range(10)]
+        rows += [(group * 6 + i, " ".join([word() for _ in range(150)] + passage + [word() for _ in range(150)])) for i in range(6)]
+    whole = [word() for _ in range(110)]
+    rows += [(500 + i, " ".join(whole[:100 + i])) for i in range(6)]  # linked: stars, and pairs beyond the pivot
+    staged, kept = {}, jaccard.stage
+    monkeypatch.setattr(jaccard, "_order", lambda docs, k, bits: (np.full(1 << 16, 10, np.uint8), 0.0))
+    monkeypatch.setattr(jaccard, "stage", lambda df, name: staged.setdefault(name, kept(df, name)))
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {d: 500 if d >= 500 else d for d, _ in rows}
+    assert staged["clusters"].count() == 0
+
+
+def test_sketch_levels_follow_the_noise_of_its_counts():
+    for mean in (0.0, 8.4, 134.0, 5000.0):
+        counts = np.arange(0, 1 << 20)
+        code = sketch.level(counts, mean).astype(int)
+        assert (np.diff(code) >= 0).all() and (sketch.excess(code, mean)[code > 0] <= counts[code > 0] - mean + 1e-6).all()
+        few = mean + 2 * sketch.spread(mean)
+        assert sketch.level(np.array([few + mean ** 0.5]), mean)[0] > sketch.level(np.array([few]), mean)[0] or mean == 0
+    assert sketch.level(np.array([1, 2]), 0.0).tolist() == [36, 40]
+
+
+@pytest.mark.parametrize("percent", [50, 75, 90])
+def test_longer_prefixes_of_linked_sets_share_tokens(percent):
+    rng = random.Random(percent)
+    for _ in range(3000):
+        n = rng.randint(1, 150)
+        a = set(rng.sample(range(2 * n), n))
+        b = set(rng.sample(sorted(a), n - rng.randint(0, n // 6))) | {1000 + i for i in range(rng.randint(0, n // 6))}
+        if not b or 100 * len(a & b) < percent * len(a | b):
+            continue
+        prefix = [set(sorted(s)[:len(s) - jaccard._needed(len(s), percent) + jaccard._shared(len(s), percent)]) for s in (a, b)]
+        for s in (a, b):
+            assert len(prefix[0] & prefix[1]) >= jaccard._shared(jaccard._needed(len(s), percent), percent)
+
+
 def test_patience_and_blocks():
     assert lines.patience([1, 2, 3, 4], [9, 2, 3, 8]) == [(1, 1), (2, 2)]
     assert lines.patience([5, 2, 1, 3], [9, 5, 2, 3]) == [(0, 1), (1, 2), (3, 3)]

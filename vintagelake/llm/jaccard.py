@@ -4,10 +4,11 @@ Every document is the set of its distinct ``k``-word shingles.  Two sets link
 when ``100 * |A & B| >= percent * |A | B|``; the result is one row per
 document with its set size and its connected component.
 
-* Order.  All shingles are ordered by (coarse corpus count, hash); the counts
-  come from a fixed-size sketch over every document.  Any common order keeps
-  the prefix bounds below exact; this one moves passages that many documents
-  share out of the prefixes.
+* Order.  All shingles are ordered by (corpus count in steps of the sketch's
+  own noise, hash); the counts come from a fixed-size sketch over every
+  document.  Any common order keeps the prefix bounds below exact; this one
+  moves passages that many documents share out of the prefixes, also where the
+  corpus fills the sketch.
 * Light sets (fewer than ``x`` shingles) enumerate all 2-subsets of their
   prefix: linked sets share at least one.
 * Heavy sets scan the inverted lists of the shingles in their prefix.
@@ -46,6 +47,8 @@ TOKEN_BYTES = 5
 MAX_LIGHT = 64
 HOT_LIST = 65536
 FEW = 4
+LONGER = 10
+LIGHT, LISTED, BEYOND = 0, 1, 2
 BLOCK_BYTES = 16 << 20
 FILTER_BUCKETS = 1 << 20
 
@@ -189,6 +192,15 @@ def _size(n: int, percent: int, x: int) -> tuple[int, int]:
     return scanned, light
 
 
+def _shared(n: int, percent: int) -> int:
+    """How many tokens linked sets share at least, where the prefixes of both are longer by one less than this.
+
+    ``n`` is the size of the smaller one; the number never falls as sizes grow.
+    """
+    o = _needed(n, percent)
+    return min(o, 1 + (n - o + 1) // LONGER)
+
+
 def boundary(sizes: dict[int, tuple[int, float]], percent: int) -> int:
     """The size from which sets scan lists: the cheapest of 1..MAX_LIGHT.
 
@@ -212,7 +224,7 @@ def sketch_bits(rows: int) -> int:
 
 
 def _order(docs: DataFrame, k: int, bits: int) -> tuple[np.ndarray, float]:
-    """Order code of each sketch bucket (twice the log of its count), and the mean count."""
+    """Order code of each sketch bucket (the level of its count), and the mean count."""
     def count(batches):
         hasher, counter = Hasher(), sketch.Counter(1 << bits)
         for b in batches:
@@ -232,7 +244,7 @@ def shingle_sets(docs: DataFrame, code: np.ndarray, mean: float, k: int, percent
     """(doc_id, th, n, sid, others, toks): hash of the text, the set's size, id, the estimated
     other rows in its prefix lists, and its shingles in order as 40-bit numbers."""
     top = np.uint64(64 - (len(code).bit_length() - 1))
-    other_rows = np.maximum(0, 2.0 ** (np.arange(256) / 2) - 1 - mean - 4 * mean ** 0.5)
+    other_rows = np.maximum(0, sketch.excess(np.arange(256), mean) - 4 * mean ** 0.5)
 
     def build(batches):
         hasher = Hasher()
@@ -260,9 +272,11 @@ def shingle_sets(docs: DataFrame, code: np.ndarray, mean: float, k: int, percent
         build, "doc_id long, th long, n long, sid long, others double, toks binary")
 
 
-def signatures(sets: DataFrame, code: np.ndarray, x: int, percent: int, hot_list: int) -> DataFrame:
-    """(sig, sid, n, pos, hot): prefix shingles of heavy sets, 2-subsets of light ones."""
-    hot_code = math.floor(2 * math.log2(hot_list + 1))
+def signatures(sets: DataFrame, code: np.ndarray, mean: float, x: int, percent: int, hot_list: int) -> DataFrame:
+    """(sig, sid, at): prefix shingles of heavy sets (LISTED), some more of them (BEYOND, see ``_linkable``), and
+    2-subsets of light ones (LIGHT).  ``at`` is one number, as these are the most rows of the join: the set's size, the
+    place in the prefix, the kind and whether the list is hot (see ``_FIELDS``)."""
+    hot_code = sketch.level(np.array([hot_list]), mean)[0]
     shift = np.uint64(40 - (len(code).bit_length() - 1))
 
     def emit(batches):
@@ -270,23 +284,25 @@ def signatures(sets: DataFrame, code: np.ndarray, x: int, percent: int, hot_list
 
         def flush():
             cols = [np.concatenate(c) for c in zip(*out)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["sig", "sid", "n", "pos", "hot"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["sig", "sid", "at"])
         for b in batches:
             for sid, n, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 scanned, light = _size(n, percent, x)
-                tok = _unpack(blob.as_buffer()[:TOKEN_BYTES * max(scanned, light)])
+                longer = scanned + _shared(n, percent) - 1 if scanned else 0
+                tok = _unpack(blob.as_buffer()[:TOKEN_BYTES * max(longer, light)])
                 parts = []
                 if scanned:
-                    t = tok[:scanned]
-                    parts.append((t.astype(np.int64), np.arange(scanned, dtype=np.int32), code[t >> shift] >= hot_code))
+                    t, pos = tok[:longer], np.arange(longer)
+                    parts.append((t.astype(np.int64), code[t >> shift] >= hot_code,
+                                  pos << 3 | np.where(pos < scanned, LISTED, BEYOND) << 1))
                 if light:
                     t = tok[:light]
                     i, j = np.triu_indices(len(t), 1)
                     pair = _mix(t[i] * _MULT[0] ^ _mix(t[j] * _MULT[1])) >> np.uint64(2)
                     hot = (code[t[i] >> shift] >= hot_code) & (code[t[j] >> shift] >= hot_code)
-                    parts.append(((pair | np.uint64(1 << 61)).astype(np.int64), np.zeros(len(i), np.int32), hot))
-                for sig, pos, hot in parts:
-                    out.append((sig, np.full(len(sig), sid, np.int64), np.full(len(sig), n, np.int32), pos, hot))
+                    parts.append(((pair | np.uint64(1 << 61)).astype(np.int64), hot, LIGHT << 1))
+                for sig, hot, place in parts:
+                    out.append((sig, np.full(len(sig), sid, np.int64), n << 32 | place | hot))
                     rows += len(sig)
                 if rows > 200_000:
                     yield flush()
@@ -294,7 +310,10 @@ def signatures(sets: DataFrame, code: np.ndarray, x: int, percent: int, hot_list
         if out:
             yield flush()
     return sets.filter("n > 0").select("sid", "n", "toks").mapInArrow(
-        emit, "sig long, sid long, n int, pos int, hot boolean")
+        emit, "sig long, sid long, at long")
+
+
+_FIELDS = {"n": "shiftright(at, 32)", "pos": "shiftright(at, 3) & 536870911", "kind": "shiftright(at, 1) & 3", "hot": "at & 1 = 1"}
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
@@ -305,30 +324,54 @@ def _may_link(a: str, b: str, percent: int) -> Column:
         & (reach * (100 + percent) >= percent * (size(a) + size(b)))
 
 
-def _candidates(sigs: DataFrame, percent: int) -> DataFrame:
+def _linkable(shared: DataFrame, percent: int) -> DataFrame:
+    """``shared`` (rows of lists with other rows) without the rows that no link needs.
+
+    Linked sets share ``_shared`` tokens of their longer prefixes, so a set with
+    fewer tokens in lists with other rows has no link to find in them.  It has
+    only a passage or so in common with others, and the sketch did not show it.
+    """
+    needed = lambda n: F.expr(f"({percent} * {n} + 99) div 100")
+    least = F.least(F.col("o"), 1 + F.expr(f"(least_n - o + 1) div {LONGER}"))
+    listed = shared.filter(F.col("kind") != LIGHT)
+    able = listed.groupBy("sid", "n").agg(F.count(F.lit(1)).alias("found")) \
+        .withColumn("least_n", needed("n")).withColumn("o", needed("least_n")).filter(F.col("found") >= least).select("sid")
+    return shared.filter(F.col("kind") == LIGHT).union(
+        listed.filter(F.col("kind") == LISTED).join(able, "sid", "left_semi").select(*shared.columns))
+
+
+def _candidates(sigs: DataFrame, percent: int, hot: bool = True) -> DataFrame:
     """(p, m, ok, far): pairs of set ids that share a signature.
 
     Lists of at most FEW rows give all their pairs.  In longer ones (``far``)
     every member is paired with the smallest set id only; ``ok`` is then false
-    where a link is ruled out.  Lists that the sketch calls hot are reduced
-    map-side and joined back, so that the join can split them; the others are
-    read in one window.
+    where a link is ruled out.  Lists that the sketch calls hot (none, unless
+    ``hot``) are reduced map-side and joined back, so that the join can split
+    them; the others are read in one window.
     """
     row = F.struct("sid", "n", "pos")
-    calm = sigs.filter(~F.col("hot")).select("sig", row.alias("m"))
     by = Window.partitionBy("sig")
-    calm = calm.withColumn("rows", F.count(F.lit(1)).over(by))
+    is_hot = F.expr(_FIELDS["hot"])
+    shared = sigs.filter(~is_hot) if hot else sigs
+    shared = shared.withColumn("rows", F.count(F.lit(1)).over(by)).filter("rows > 1").drop("rows")
+    if hot:
+        shared = shared.union(sigs.filter(is_hot))
+    shared = stage(shared, "shared").select("sig", "sid", *[F.expr(e).alias(c) for c, e in _FIELDS.items()])
+    shared = _linkable(shared, percent)
+    calm = shared.filter(~F.col("hot")).select("sig", row.alias("m")).withColumn("rows", F.count(F.lit(1)).over(by))
     calm = calm.filter("rows > 1")
     by_id = by.orderBy("m.sid")
     calm = calm.withColumns({"p": F.first("m").over(by_id), **{
         f"b{i}": F.lag("m", i).over(by_id) for i in range(1, FEW)}})
-    hot = sigs.filter("hot")
-    hot = hot.join(hot.groupBy("sig").agg(F.min(row).alias("p")), "sig").select("p", row.alias("m"))
     # the pairs of a row: with its list's first member, or with the few before it
     first, few = F.array(F.col("p")), F.array(*[F.col(f"b{i}") for i in range(1, FEW)])
     far = F.col("rows") > FEW
-    calm = calm.select("m", far.alias("far"), F.explode(F.when(far, first).otherwise(few)).alias("p"))
-    both = calm.select("p", "m", "far").union(hot.select("p", "m", F.lit(True))).filter("p.sid != m.sid")
+    both = calm.select("m", far.alias("far"), F.explode(F.when(far, first).otherwise(few)).alias("p")).select("p", "m", "far")
+    if hot:
+        most = shared.filter("hot")
+        most = most.join(most.groupBy("sig").agg(F.min(row).alias("p")), "sig").select("p", row.alias("m"))
+        both = both.union(most.select("p", "m", F.lit(True)))
+    both = both.filter("p.sid != m.sid")
     both = both.select(F.col("p.sid").alias("p"), F.col("m.sid").alias("m"), _may_link("p", "m", percent).alias("ok"), "far")
     return both.filter("ok or far").groupBy("p", "m").agg(F.max("ok").alias("ok"), F.max("far").alias("far"))
 
@@ -476,7 +519,8 @@ def _labels(docs: DataFrame, k: int, percent: int, hot_list: int) -> tuple[DataF
     small = sets.filter((F.col("n") > 0) & (F.col("n") <= MAX_LIGHT)).groupBy("n").agg(
         F.count(F.lit(1)).alias("count"), F.sum("others").alias("others")).collect()
     x = boundary({r["n"]: (r["count"], r["others"]) for r in small}, percent)
-    pairs = stage(_candidates(signatures(sets, code, x, percent, hot_list), percent), "pairs")
+    hot = bool((code >= sketch.level(np.array([hot_list]), mean)[0]).any())
+    pairs = stage(_candidates(signatures(sets, code, mean, x, percent, hot_list), percent, hot), "pairs")
     wanted = pairs.select(F.col("p").alias("sid")).union(pairs.select(F.col("m").alias("sid")))
     blobs = stage(_only(sets.filter("n > 0"), wanted).groupBy("sid").agg(
         F.first("n").alias("n"), F.first("toks").alias("toks")), "blobs")

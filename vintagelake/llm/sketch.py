@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -10,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vintagelake.llm.common import stage
+
 CHUNK = 1 << 16
 SCHEMA = "chunk int, low binary, at binary, counts binary"
 SLOTS = 8
@@ -54,24 +57,46 @@ class Counter:
             ["chunk", "low", "at", "counts"])
 
 
+def spread(mean: float) -> float:
+    """Standard deviation of the counts that chance alone gives the buckets, at least 1."""
+    return max(1.0, math.sqrt(mean))
+
+
+def level(counts: np.ndarray, mean: float) -> np.ndarray:
+    """A byte for each count, in their order: quarters of the spread from 8 below the mean to 24 above, then thirds of octaves.
+
+    The steps follow the spread, so an item of some more copies than its bucket holds by chance stands out as well in a
+    full sketch as in an empty one.
+    """
+    above = (np.asarray(counts, np.float64) - mean) / spread(mean)
+    far = 128 + np.floor(3 * np.log2(np.maximum(above, 24) / 24))
+    return np.clip(np.where(above < 24, np.floor(32 + 4 * above), far), 0, 255).astype(np.uint8)
+
+
+def excess(codes: np.ndarray, mean: float) -> np.ndarray:
+    """The least count above the mean of each byte of ``level``."""
+    codes = np.asarray(codes, np.float64)
+    return spread(mean) * np.where(codes < 128, (codes - 32) / 4, 24 * 2.0 ** ((codes - 128) / 3))
+
+
 def codes(parts: DataFrame, size: int) -> tuple[np.ndarray, float]:
-    """For each of ``size`` buckets twice the log of its count (a byte), and the mean count.
+    """For each of ``size`` buckets the ``level`` of its count, and the mean count.
 
     The parts of a chunk are summed in SLOTS groups first, then these.
     """
     def part(key, pdf):
-        return pd.DataFrame([_pack(key[0], _sum(pdf))], columns=["chunk", "low", "at", "counts"])
-
-    def code(key, pdf):
         acc = _sum(pdf)
-        byte = np.floor(2 * np.log2(acc + 1)).astype(np.uint8)
-        return pd.DataFrame({"chunk": [key[0]], "code": [zlib.compress(byte.tobytes(), 1)], "total": [int(acc.sum())]})
+        return pd.DataFrame([(*_pack(key[0], acc), int(acc.sum()))], columns=["chunk", "low", "at", "counts", "total"])
 
     slots = parts.withColumn("slot", F.pmod(F.spark_partition_id(), F.lit(SLOTS)))
-    dense = slots.groupBy("chunk", "slot").applyInPandas(part, SCHEMA)
-    out, total = np.zeros(size, np.uint8), 0
-    for r in dense.groupBy("chunk").applyInPandas(code, "chunk int, code binary, total long").collect():
+    dense = stage(slots.groupBy("chunk", "slot").applyInPandas(part, f"{SCHEMA}, total long"), "counts")
+    mean = (dense.agg(F.sum("total")).first()[0] or 0) / size
+
+    def code(key, pdf):
+        return pd.DataFrame({"chunk": [key[0]], "code": [zlib.compress(level(_sum(pdf), mean).tobytes(), 1)]})
+
+    out = np.full(size, level(np.zeros(1), mean)[0], np.uint8)
+    for r in dense.groupBy("chunk").applyInPandas(code, "chunk int, code binary").collect():
         at = r["chunk"] * CHUNK
         out[at:at + CHUNK] = np.frombuffer(zlib.decompress(r["code"]), np.uint8)
-        total += r["total"]
-    return out, total / size
+    return out, mean
