@@ -141,6 +141,7 @@ def test_ngram_jaccard_keeps_passages_apart_in_a_full_sketch(spark, monkeypatch)
     got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {d: 500 if d >= 500 else d for d, _ in rows}
     assert staged["clusters"].count() == 0
+    assert staged["sets"].filter("length(toks) >= n * 5 / 2").count() == 0   # prefixes, not whole sets
 
 
 def test_sketch_levels_follow_the_noise_of_its_counts():

@@ -240,9 +240,10 @@ def _unpack(blob: bytes) -> np.ndarray:
     return raw.view("<u8").ravel()
 
 
-def shingle_sets(docs: DataFrame, code: np.ndarray, mean: float, k: int, percent: int) -> DataFrame:
+def shingle_sets(docs: DataFrame, code: np.ndarray, mean: float, k: int, percent: int, whole: bool = False) -> DataFrame:
     """(doc_id, th, n, sid, others, toks): hash of the text, the set's size, id, the estimated
-    other rows in its prefix lists, and its shingles in order as 40-bit numbers."""
+    other rows in its prefix lists, and its shingles in order as 40-bit numbers: those that
+    ``signatures`` may read, or all if ``whole``."""
     top = np.uint64(64 - (len(code).bit_length() - 1))
     other_rows = np.maximum(0, sketch.excess(np.arange(256), mean) - 4 * mean ** 0.5)
 
@@ -259,7 +260,8 @@ def shingle_sets(docs: DataFrame, code: np.ndarray, mean: float, k: int, percent
                         continue
                     own = np.unique(keys[at:at + m])
                     at += m
-                    packed = ((own >> np.uint64(16)) & np.uint64((1 << 40) - 1)).view(np.uint8).reshape(-1, 8)
+                    kept = len(own) if whole else len(own) - _needed(len(own), percent) + 1 + _shared(len(own), percent)
+                    packed = ((own[:kept] >> np.uint64(16)) & np.uint64((1 << 40) - 1)).view(np.uint8).reshape(-1, 8)
                     n.append(len(own))
                     sid.append(xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63))
                     toks.append(np.ascontiguousarray(packed[:, :TOKEN_BYTES]).tobytes())
@@ -461,13 +463,13 @@ def _across(key, xs: pd.DataFrame, ys: pd.DataFrame, percent: int) -> pd.DataFra
     return pd.DataFrame(found, columns=["p", "m"], dtype="int64")
 
 
-def _only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``rows`` without most of those whose sid is not among ``wanted``, before any exchange.
+def _only(rows: DataFrame, wanted: DataFrame, key: str = "sid") -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not among ``wanted``, before any exchange.
 
     Ids are compared by hash bucket; the broadcast side has at most
     FILTER_BUCKETS rows, whatever the input.
     """
-    bucket = F.pmod(F.xxhash64("sid"), F.lit(FILTER_BUCKETS))
+    bucket = F.pmod(F.xxhash64(key), F.lit(FILTER_BUCKETS))
     buckets = wanted.select(bucket.alias("bucket")).distinct()
     return rows.withColumn("bucket", bucket).join(F.broadcast(buckets), "bucket", "left_semi").drop("bucket")
 
@@ -522,7 +524,9 @@ def _labels(docs: DataFrame, k: int, percent: int, hot_list: int) -> tuple[DataF
     hot = bool((code >= sketch.level(np.array([hot_list]), mean)[0]).any())
     pairs = stage(_candidates(signatures(sets, code, mean, x, percent, hot_list), percent, hot), "pairs")
     wanted = pairs.select(F.col("p").alias("sid")).union(pairs.select(F.col("m").alias("sid")))
-    blobs = stage(_only(sets.filter("n > 0"), wanted).groupBy("sid").agg(
+    # whole sets are made again for the texts of pairs, rather than stored for all
+    texts = _only(docs.withColumn("th", F.xxhash64("text")), _only(sets.filter("n > 0").select("sid", "th"), wanted), "th")
+    blobs = stage(_only(shingle_sets(texts, code, mean, k, percent, whole=True).filter("n > 0"), wanted).groupBy("sid").agg(
         F.first("n").alias("n"), F.first("toks").alias("toks")), "blobs")
     links = stage(_verify(pairs.filter("ok").select("p", "m"), blobs, percent), "links")
     comps = components(links)
